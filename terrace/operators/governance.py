@@ -1,7 +1,7 @@
 """Freshness, completeness, trust, retention, lineage and cost."""
 
 from collections.abc import Mapping, Sequence
-from datetime import datetime, timedelta
+from datetime import datetime, time, timedelta
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -9,6 +9,11 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from terrace.operators.tables import _native, _partition_columns, quoted, replace_table
 
 
+def _moment(df: DataFrame, ts: str, value: datetime) -> Column:
+    """A point in time in the type of a column; text keeps the driver's own zone out of it."""
+    return F.lit(str(value)).cast(df.schema[ts].dataType)
+
+
 def freshness(df: DataFrame, ts: str, as_of: datetime, max_age: timedelta,
               by: Sequence[str] = ()) -> DataFrame:
     """Newest row, its age in seconds at ``as_of`` and whether that is too old.
@@ -16,7 +21,7 @@ def freshness(df: DataFrame, ts: str, as_of: datetime, max_age: timedelta,
     An empty table has no age and is stale.
     """
     report = df.groupBy(*by).agg(F.max(ts).alias("newest"))
-    now = F.lit(as_of).cast(df.schema[ts].dataType)
+    now = _moment(df, ts, as_of)
     age = F.timestamp_diff("SECOND", F.col("newest"), now)
     stale = F.coalesce(age > int(max_age.total_seconds()), F.lit(True))
     return report.withColumn("age_seconds", age).withColumn("stale", stale)
@@ -53,26 +58,26 @@ def trust_score(parts: DataFrame, weights: Mapping[str, float], threshold: float
     return parts.withColumn("score", score).withColumn("promotable", ready)
 
 
-def expire(df: DataFrame, ts: str, cutoff) -> DataFrame:
+def expire(df: DataFrame, ts: str, cutoff: datetime) -> DataFrame:
     """Rows inside the retention period."""
-    return df.where(F.col(ts) >= F.lit(cutoff).cast(df.schema[ts].dataType))
+    return df.where(F.col(ts) >= _moment(df, ts, cutoff))
 
 
-def expire_table(spark: SparkSession, fqn: str, ts: str, cutoff) -> None:
+def expire_table(spark: SparkSession, fqn: str, ts: str, cutoff: datetime) -> None:
     """Apply ``expire`` to a stored table.
 
     A table partitioned by ``<ts>_day`` drops whole days and rewrites nothing when the
     cutoff is a midnight; any other one is rewritten without the expired rows.
     """
-    table = spark.table(fqn)
-    expired = ~F.coalesce(F.col(ts) >= F.lit(cutoff).cast(table.schema[ts].dataType), F.lit(False))
+    table, day = spark.table(fqn), f"{ts}_day"
+    expired = ~F.coalesce(F.col(ts) >= _moment(table, ts, cutoff), F.lit(False))
     if _native(spark, fqn):
         spark.sql(f"DELETE FROM {fqn} WHERE NOT coalesce({quoted(ts)} >= TIMESTAMP '{cutoff}', false)")
-        return
-    day = f"{ts}_day"
-    if day in _partition_columns(spark, fqn) and cutoff == cutoff.replace(
-            hour=0, minute=0, second=0, microsecond=0):
-        spark.sql(f"ALTER TABLE {fqn} DROP IF EXISTS PARTITION ({quoted(day)} < '{cutoff.date()}')")
+    elif day in _partition_columns(spark, fqn) and cutoff.time() == time.min:
+        old = table.where((F.col(day) < F.lit(str(cutoff.date())).cast("date")) | F.col(day).isNull())
+        for days in old.select(day).distinct().collect():
+            value = "NULL" if days[0] is None else f"'{days[0]}'"
+            spark.sql(f"ALTER TABLE {fqn} DROP IF EXISTS PARTITION ({quoted(day)} = {value})")
     elif not table.where(expired).isEmpty():
         replace_table(table.where(~expired), fqn)
 

@@ -9,7 +9,7 @@ import re
 import threading
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 from terrace.functions.audit import AUDIT_COLUMNS
 from terrace.operators.partitioning import (
@@ -111,26 +111,31 @@ def _add_columns(df: DataFrame, fqn: str, evolve: bool) -> None:
 
 def append(df: DataFrame, namespace: str, table: str, catalog: str | None = None,
            partition_by: Sequence[str] = (), properties: Mapping[str, str] | None = None,
-           evolve: bool = False, replay_of: str | None = None) -> str:
+           evolve: bool = False, replay_of: str | None = None,
+           observe: tuple[Observation, Sequence[Column]] | None = None) -> str:
     """Append, creating the table on its first write. Never replaces existing rows.
 
     With ``evolve`` unknown columns are added first (older rows read NULL); without
     it they are an error. Columns the frame lacks become NULL. Partitioning and
     properties apply at creation only. ``replay_of`` names the batch this frame is
     the whole of: partitions already holding that batch are rewritten, not doubled.
+    ``observe`` collects metrics in the stage that writes, after any shuffle, where
+    work repeated for a lost executor is counted once.
     """
     spark = df.sparkSession
     fqn = quoted(catalog, namespace, table)
     ensure_namespace(spark, namespace, catalog)
     if _native(spark, fqn):
-        _append_native(df, fqn, partition_by, properties, evolve, replay_of)
+        watched = df.observe(observe[0], *observe[1]) if observe else df
+        _append_native(watched, fqn, partition_by, properties, evolve, replay_of)
         return fqn
 
     derived = derived_columns(partition_by)
     df = df.withColumns(derived) if derived else df
     if not table_exists(spark, fqn):
-        writer = spread(df, _write_keys(partition_by)).writeTo(fqn).using("parquet")
-        writer = writer.option("compression", "zstd")
+        rows = spread(df, _write_keys(partition_by))
+        rows = rows.observe(observe[0], *observe[1]) if observe else rows
+        writer = rows.writeTo(fqn).using("parquet").option("compression", "zstd")
         for key, value in (properties or {}).items():
             writer = writer.tableProperty(key, value)
         if partition_by:
@@ -140,6 +145,7 @@ def append(df: DataFrame, namespace: str, table: str, catalog: str | None = None
 
     _add_columns(df, fqn, evolve)
     rows = spread(df, [k for k in _layout_columns(spark, fqn) if k in df.columns])
+    rows = rows.observe(observe[0], *observe[1]) if observe else rows
     if replay_of is not None:
         if "_batch_id" in _partition_columns(spark, fqn):
             _overwrite(rows, fqn)

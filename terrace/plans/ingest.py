@@ -37,9 +37,8 @@ def ingest_source(spark: SparkSession, spec: SourceSpec, batch_id: str,
 
 def _append_counted(rows: DataFrame, spec: SourceSpec, catalog: str | None, *extra):
     seen = Observation()
-    rows = rows.observe(seen, F.count(F.lit(1)).alias("rows"), *extra)
-    table = append(rows, spec.namespace, spec.table or spec.name, catalog,
-                   spec.partition_by, evolve=True)
+    table = append(rows, spec.namespace, spec.table or spec.name, catalog, spec.partition_by,
+                   evolve=True, observe=(seen, [F.count(F.lit(1)).alias("rows"), *extra]))
     return table, seen.get["rows"], seen.get
 
 

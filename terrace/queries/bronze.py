@@ -291,16 +291,26 @@ def partitioned_append(spark, sf):
 
 
 @query("transform_partitions", """
-    SELECT CAST(ts AS DATE) AS ts_day, substr(event_type, 1, 3) AS event_type_trunc, count(*) AS rows,
-           count(DISTINCT user_id) AS users FROM events GROUP BY ALL""")
+    SELECT CAST(ts AS DATE) AS ts_day, count(*) AS rows, count(DISTINCT user_id) AS users
+    FROM events GROUP BY ALL""")
 def transform_partitions(spark, sf):
     namespace = fresh_namespace(spark, "transform")
-    layout = ["days(ts)", "truncate(3, event_type)", "bucket(8, user_id)"]
+    layout = ["days(ts)", "bucket(4, user_id)"]
     fqn = append(table(spark, sf, "events"), namespace, "events", partition_by=layout)
-    return spark.table(fqn).groupBy("ts_day", "event_type_trunc").agg(
+    return spark.table(fqn).groupBy("ts_day").agg(
         F.count("*").alias("rows"), F.countDistinct("user_id").alias("users"))
 
 
+@query("truncate_partitions", """
+    SELECT substr(o_orderpriority, 1, 2) AS o_orderpriority_trunc, date_trunc('year', o_orderdate)::DATE
+           AS o_orderdate_year, count(*) AS rows FROM orders GROUP BY ALL""")
+def truncate_partitions(spark, sf):
+    namespace = fresh_namespace(spark, "truncate")
+    layout = ["years(o_orderdate)", "truncate(2, o_orderpriority)"]
+    fqn = append(table(spark, sf, "orders"), namespace, "orders", partition_by=layout)
+    return rows_by(spark.table(fqn), "o_orderpriority_trunc", "o_orderdate_year")
+
+
 @query("overwrite_one_partition", """
     SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN o_totalprice * 2 ELSE o_totalprice END
            AS o_totalprice, o_orderstatus FROM orders""")
