@@ -26,4 +26,4 @@ def rows_by(df: DataFrame, *columns: str) -> DataFrame:
 def unknown_names(requested: DataFrame, known: DataFrame, column: str = "name") -> DataFrame:
     """Requested names that are not known, sorted."""
     asked = requested.select(column).distinct()
-    return asked.join(known.select(column), column, "left_anti").orderBy(column)
+    return asked.join(known.select(column).distinct(), column, "left_anti").orderBy(column)

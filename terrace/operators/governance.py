@@ -6,7 +6,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from terrace.operators.tables import _native, _partition_columns, quoted, replace_table
+from terrace.operators.tables import (
+    delete_rows, drop_partitions, literal, partition_columns, quoted)
 
 
 def _moment(df: DataFrame, ts: str, value: datetime) -> Column:
@@ -66,20 +67,20 @@ def expire(df: DataFrame, ts: str, cutoff: datetime) -> DataFrame:
 def expire_table(spark: SparkSession, fqn: str, ts: str, cutoff: datetime) -> None:
     """Apply ``expire`` to a stored table.
 
-    A table partitioned by ``<ts>_day`` drops whole days and rewrites nothing when the
-    cutoff is a midnight; any other one is rewritten without the expired rows.
+    A table partitioned by ``<ts>_day`` drops the days before the cutoff and rewrites at
+    most the day the cutoff falls into.
     """
     table, day = spark.table(fqn), f"{ts}_day"
-    expired = ~F.coalesce(F.col(ts) >= _moment(table, ts, cutoff), F.lit(False))
-    if _native(spark, fqn):
-        spark.sql(f"DELETE FROM {fqn} WHERE NOT coalesce({quoted(ts)} >= TIMESTAMP '{cutoff}', false)")
-    elif day in _partition_columns(spark, fqn) and cutoff.time() == time.min:
-        old = table.where((F.col(day) < F.lit(str(cutoff.date())).cast("date")) | F.col(day).isNull())
-        for days in old.select(day).distinct().collect():
-            value = "NULL" if days[0] is None else f"'{days[0]}'"
-            spark.sql(f"ALTER TABLE {fqn} DROP IF EXISTS PARTITION ({quoted(day)} = {value})")
-    elif not table.where(expired).isEmpty():
-        replace_table(table.where(~expired), fqn)
+    kind = table.schema[ts].dataType.simpleString()
+    early = f"{quoted(ts)} < CAST({literal(cutoff)} AS {kind})"
+    if day not in partition_columns(spark, fqn):
+        delete_rows(spark, fqn, f"{quoted(ts)} IS NULL OR {early}")
+        return
+    last_day = F.lit(str(cutoff.date())).cast("date")
+    days = table.where((F.col(day) < last_day) | F.col(day).isNull()).select(day).distinct()
+    drop_partitions(spark, fqn, [r.asDict() for r in days.collect()])
+    if cutoff.time() > time.min:
+        delete_rows(spark, fqn, f"{quoted(day)} = DATE '{cutoff.date()}' AND {early}")
 
 
 def lineage(runs: DataFrame) -> DataFrame:

@@ -3,9 +3,11 @@
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-BROADCAST_ROWS = 2_000_000
+from terrace.workspace import materialise
+
+BROADCAST_ROWS = 1_000_000
 BROADCAST_BYTES = 64 << 20
 HOT_KEYS = 512
 
@@ -20,27 +22,31 @@ def _unique(df: DataFrame, keys: Sequence[str]) -> bool:
     return counts.where("n > 1").isEmpty()
 
 
-def fits_broadcast(df: DataFrame) -> bool:
-    """Measure a frame: rows first, and bytes only when the rows are few enough."""
-    if df.count() > BROADCAST_ROWS:
+def fits_broadcast(df: DataFrame, bound: DataFrame | None = None) -> bool:
+    """Measure a frame: rows first, and bytes only when the rows are few enough.
+
+    ``bound`` is a frame with at least as many rows that is cheaper to count.
+    """
+    if (bound or df).count() > BROADCAST_ROWS:
         return False
     text = F.octet_length(F.to_json(F.struct(*df.columns)))
     return (df.agg(F.sum(text)).first()[0] or 0) <= BROADCAST_BYTES
 
 
 def join_unique(df: DataFrame, other: DataFrame, on: str | Sequence[str], how: str = "left",
-                check_unique: bool = True) -> DataFrame:
+                check_unique: bool = True, bound: DataFrame | None = None) -> DataFrame:
     """Join to a frame that has one row per key, whatever the key distribution of ``df``.
 
     A measured small side is broadcast, so ``df`` is not shuffled. Otherwise rows of
     the few most frequent keys (and NULL keys, which match nothing) meet a broadcast
     of just those keys' rows, at most ``HOT_KEYS`` of them, and only the rest is
-    shuffled. ``how`` is left, inner, left_semi or left_anti.
+    shuffled. ``how`` is left, inner, left_semi or left_anti. ``other`` is measured
+    and read again, so a costly one should be a stored table.
     """
     keys = _keys(on)
     if check_unique and not _unique(other, keys):
         raise ValueError(f"the joined frame is not unique on {keys}")
-    if fits_broadcast(other):
+    if fits_broadcast(other, bound):
         return df.join(F.broadcast(other), keys, how)
     return split_hot_join(df, other, keys, how)
 
@@ -59,29 +65,34 @@ def split_hot_join(df: DataFrame, other: DataFrame, keys: Sequence[str], how: st
     return near.unionByName(far)
 
 
-def lookup(df: DataFrame, seed: DataFrame, on: str | Sequence[str]) -> DataFrame:
+def lookup(df: DataFrame, seed: DataFrame, on: str | Sequence[str],
+           check_unique: bool = True) -> DataFrame:
     """Add reference columns; the row count stays."""
-    return join_unique(df, seed, on)
+    return join_unique(df, seed, on, "left", check_unique)
 
 
-def conform(fact: DataFrame, dim: DataFrame, on: str, unknown=-1) -> DataFrame:
+def conform(fact: DataFrame, dim: DataFrame, on: str, unknown=-1,
+            check_unique: bool = True) -> DataFrame:
     """Left join to a dimension; fact keys without a member get the unknown key."""
     marked = dim.withColumn("_member", F.lit(True))
-    joined = join_unique(fact, marked, on)
-    key: Column = F.when(F.col("_member"), F.col(on)).otherwise(F.lit(unknown))
+    joined = join_unique(fact, marked, on, "left", check_unique)
+    key = F.when(F.col("_member"), F.col(on)).otherwise(F.lit(unknown))
     return joined.withColumn(on, key.cast(fact.schema[on].dataType)).drop("_member")
 
 
 def orphans(df: DataFrame, parent: DataFrame, on: str | Sequence[str]) -> DataFrame:
     """Rows without a parent; NULL keys count as orphans."""
-    keys = _keys(on)
-    return join_unique(df, parent.select(*keys).distinct(), keys, "left_anti", False)
+    return _by_existence(df, parent, on, "left_anti")
 
 
 def matched(df: DataFrame, parent: DataFrame, on: str | Sequence[str]) -> DataFrame:
     """Rows that have a parent."""
+    return _by_existence(df, parent, on, "left_semi")
+
+
+def _by_existence(df, parent, on, how):
     keys = _keys(on)
-    return join_unique(df, parent.select(*keys).distinct(), keys, "left_semi", False)
+    return join_unique(df, parent.select(*keys).distinct(), keys, how, False, bound=parent)
 
 
 def rows_with_run(rows: DataFrame, runs: DataFrame) -> DataFrame:
@@ -94,5 +105,5 @@ def rows_with_run(rows: DataFrame, runs: DataFrame) -> DataFrame:
 def edges_with_facts(facts: DataFrame, edges: DataFrame, on: Sequence[str],
                      weight: str) -> DataFrame:
     """Facts whose end points are joined by an edge; parallel edges are summed first."""
-    per_pair = edges.groupBy(*on).agg(F.sum(weight).alias(weight))
-    return join_unique(facts, per_pair, on, "inner", False)
+    per_pair = materialise(edges.groupBy(*on).agg(F.sum(weight).alias(weight)), "edges")
+    return join_unique(facts, per_pair, on, "inner", check_unique=False)

@@ -26,19 +26,14 @@ def _split(entry: str) -> tuple[str, int | None, str]:
     raise ValueError(f"unknown partition transform {entry!r}")
 
 
-def native_partitions(partition_by: Sequence[str]) -> list[Column]:
-    """Transforms for a catalog with hidden partitioning."""
-    columns = []
+def native_partitions(partition_by: Sequence[str]) -> list[str]:
+    """The transforms as a ``PARTITIONED BY`` list, for a catalog with hidden partitioning."""
+    clauses = []
     for kind, width, name in map(_split, partition_by):
-        if kind == "identity":
-            columns.append(F.col(name))
-        elif kind == "bucket":
-            columns.append(F.partitioning.bucket(width, name))
-        elif kind == "truncate":
-            columns.append(F.call_function("truncate", F.lit(width), F.col(name)))
-        else:
-            columns.append(getattr(F.partitioning, kind)(name))
-    return columns
+        name = ".".join(f"`{part}`" for part in name.split("."))
+        inner = name if width is None else f"{width}, {name}"
+        clauses.append(name if kind == "identity" else f"{kind}({inner})")
+    return clauses
 
 
 def derived_columns(partition_by: Sequence[str]) -> dict[str, Column]:

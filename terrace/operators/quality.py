@@ -37,9 +37,24 @@ def _row_rules(rules: Sequence[Rule]) -> list[Rule]:
     return [r for r in rules if not r.unique_key]
 
 
-def _repeated(df: DataFrame, rule: Rule) -> DataFrame:
-    counts = df.where(rule.checked).groupBy(*rule.unique_key).agg(F.count("*").alias("copies"))
-    return counts.where("copies > 1")
+def _compact(df: DataFrame, rule: Rule) -> dict:
+    """The key of a unique rule as narrow columns.
+
+    Text over 32 bytes stands as its SHA-256 digest, so counting whole documents
+    shuffles 64 characters for each; a digest is longer than any text kept as it is.
+    """
+    key = {}
+    for i, c in enumerate(rule.unique_key):
+        text = df.select(c).schema[0].dataType.typeName() == "string"
+        column = F.col(c)
+        key[f"_key{i}"] = F.when(F.octet_length(column) <= 32, column).otherwise(
+            F.sha2(column, 256)) if text else column
+    return key
+
+
+def _key_counts(df: DataFrame, rule: Rule) -> DataFrame:
+    key = [c.alias(n) for n, c in _compact(df, rule).items()]
+    return df.where(rule.checked).groupBy(*key).agg(F.count("*").alias("copies"))
 
 
 def rule_report(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
@@ -56,11 +71,11 @@ def rule_report(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
         parts.append(df.agg(*sums).select(F.inline(F.array(*rows))))
     for r in rules:
         if r.unique_key:
-            counts = df.where(r.checked).groupBy(*r.unique_key).agg(F.count("*").alias("n"))
-            parts.append(counts.agg(
+            copies = F.col("copies")
+            parts.append(_key_counts(df, r).agg(
                 F.lit(r.name).alias("rule"),
-                F.coalesce(F.sum("n"), F.lit(0)).alias("checked"),
-                F.coalesce(F.sum(F.when(F.col("n") > 1, F.col("n"))), F.lit(0)).alias("failed")))
+                F.coalesce(F.sum(copies), F.lit(0)).alias("checked"),
+                F.coalesce(F.sum(F.when(copies > 1, copies)), F.lit(0)).alias("failed")))
     report = parts[0]
     for part in parts[1:]:
         report = report.unionByName(part)
@@ -74,11 +89,12 @@ def flag_rules(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     verdicts, helpers = [], []
     for i, r in enumerate(rules):
         if r.unique_key:
-            repeated = materialise(_repeated(df, r).select(
-                *r.unique_key, F.lit(True).alias(f"_repeated{i}")), "repeated")
-            df = join_unique(df, repeated, r.unique_key, check_unique=False)
-            helpers.append(f"_repeated{i}")
-            wrong = F.col(f"_repeated{i}")
+            key, mark = _compact(df, r), f"_repeated{i}"
+            repeated = materialise(_key_counts(df, r).where("copies > 1").select(
+                *key, F.lit(True).alias(mark)), "repeated")
+            df = join_unique(df.withColumns(key), repeated, list(key), check_unique=False).drop(*key)
+            helpers.append(mark)
+            wrong = F.col(mark)
         else:
             wrong = r.checked & ~F.coalesce(r.passed, F.lit(False))
         verdicts.append(F.when(wrong, F.lit(r.name)))

@@ -7,6 +7,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 from terrace.functions.audit import AUDIT_COLUMNS
 from terrace.functions.rules import Rule, castable
 from terrace.operators.joins import join_unique
+from terrace.operators.tables import (
+    in_partitions, is_native, partition_columns, quoted, replace_partitions, replace_table)
 from terrace.workspace import materialise
 
 
@@ -35,9 +37,10 @@ def _read_as(field: T.StructField, data_type: str, on_error: str) -> Column:
     return F.when(value.isNotNull() & read.isNull(), F.raise_error(message)).otherwise(read)
 
 
-def type_rules(types: Mapping[str, str]) -> list[Rule]:
-    """The casts of ``typed`` as rules over the raw rows, for the quarantine."""
-    return [castable(column, data_type) for column, data_type in types.items()]
+def type_rules(df: DataFrame, types: Mapping[str, str]) -> list[Rule]:
+    """The casts of ``typed`` that can fail, as rules over the raw rows for the quarantine."""
+    return [castable(column, data_type) for column, data_type in types.items()
+            if df.schema[column].dataType != T.DataType.fromDDL(data_type)]
 
 
 def null_policy(df: DataFrame, policy: Mapping[str, tuple]) -> DataFrame:
@@ -111,6 +114,30 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], order_by:
     return kept.drop(*names).unionByName(winners, allowMissingColumns=True)
 
 
+def upsert_into(source: DataFrame, fqn: str, keys: Sequence[str], order_by: str) -> None:
+    """``upsert`` into a stored table that has one row per key.
+
+    A catalog with row-level changes merges. A plain table whose partition columns are
+    among the keys rewrites only the partitions the source touches; any other one is
+    rewritten whole. ``source`` is read more than once and should be a stored table.
+    """
+    spark = source.sparkSession
+    parts = partition_columns(spark, fqn)
+    if is_native(spark, fqn):
+        best = first_per_key(source, keys, [F.col(order_by).desc_nulls_last()])
+        on = " AND ".join(f"t.{quoted(k)} <=> s.{quoted(k)}" for k in keys)
+        newer = f"t.{quoted(order_by)} IS NULL OR s.{quoted(order_by)} >= t.{quoted(order_by)}"
+        spark.sql(f"MERGE INTO {fqn} t USING {{best}} s ON {on} WHEN MATCHED AND ({newer}) "
+                  "THEN UPDATE SET * WHEN NOT MATCHED THEN INSERT *", best=best)
+    elif parts and set(parts) <= set(keys):
+        touched = [r.asDict() for r in source.select(*parts).distinct().collect()]
+        if touched:
+            target = in_partitions(spark.table(fqn), touched)
+            replace_partitions(_winners(target, source, keys, order_by), fqn, touched)
+    else:
+        replace_table(upsert(spark.table(fqn), source, keys, order_by, target_unique=True), fqn)
+
+
 def _zero(field: T.StructField) -> Column:
     kind = "" if isinstance(field.dataType, T.StringType) else 0
     return F.lit(kind).try_cast(field.dataType)

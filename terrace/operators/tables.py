@@ -8,6 +8,7 @@ partition transforms natively.
 import re
 import threading
 from collections.abc import Mapping, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
@@ -51,13 +52,13 @@ def table_exists(spark: SparkSession, fqn: str) -> bool:
     return spark.catalog.tableExists(fqn)
 
 
-def _native(spark: SparkSession, fqn: str) -> bool:
+def is_native(spark: SparkSession, fqn: str) -> bool:
     """Whether the table's catalog brings its own table format."""
     catalog = fqn.split("`.`")[0].strip("`") if fqn.count("`.`") == 2 else "spark_catalog"
     return spark.conf.get(f"spark.sql.catalog.{catalog}", None) is not None
 
 
-def _partition_columns(spark: SparkSession, fqn: str) -> list[str]:
+def partition_columns(spark: SparkSession, fqn: str) -> list[str]:
     return [c.name for c in spark.catalog.listColumns(fqn) if c.isPartition]
 
 
@@ -100,13 +101,24 @@ def _matched(df: DataFrame, held: T.StructType, fqn: str) -> list[T.StructField]
     return [f for f in df.schema if f.name.lower() not in known]
 
 
+def _nullable(kind: T.DataType) -> T.DataType:
+    """The type with NULL allowed everywhere: another batch may lack any of it."""
+    if isinstance(kind, T.StructType):
+        return T.StructType([T.StructField(f.name, _nullable(f.dataType)) for f in kind])
+    if isinstance(kind, T.ArrayType):
+        return T.ArrayType(_nullable(kind.elementType))
+    if isinstance(kind, T.MapType):
+        return T.MapType(_nullable(kind.keyType), _nullable(kind.valueType))
+    return kind
+
+
 def _add_columns(df: DataFrame, fqn: str, evolve: bool) -> None:
     spark = df.sparkSession
     added = _matched(df, spark.table(fqn).schema, fqn)
     if added and not evolve:
         raise ValueError(f"{fqn} has no column(s) {[f.name for f in added]}")
     if added:
-        spark.sql(f"ALTER TABLE {fqn} ADD COLUMNS ({T.StructType(added).toDDL()})")
+        spark.sql(f"ALTER TABLE {fqn} ADD COLUMNS ({_nullable(T.StructType(added)).toDDL()})")
 
 
 def append(df: DataFrame, namespace: str, table: str, catalog: str | None = None,
@@ -125,11 +137,12 @@ def append(df: DataFrame, namespace: str, table: str, catalog: str | None = None
     spark = df.sparkSession
     fqn = quoted(catalog, namespace, table)
     ensure_namespace(spark, namespace, catalog)
-    if _native(spark, fqn):
+    if is_native(spark, fqn):
         watched = df.observe(observe[0], *observe[1]) if observe else df
         _append_native(watched, fqn, partition_by, properties, evolve, replay_of)
         return fqn
 
+    restore(spark, fqn)
     derived = derived_columns(partition_by)
     df = df.withColumns(derived) if derived else df
     if not table_exists(spark, fqn):
@@ -147,7 +160,7 @@ def append(df: DataFrame, namespace: str, table: str, catalog: str | None = None
     rows = spread(df, [k for k in _layout_columns(spark, fqn) if k in df.columns])
     rows = rows.observe(observe[0], *observe[1]) if observe else rows
     if replay_of is not None:
-        if "_batch_id" in _partition_columns(spark, fqn):
+        if "_batch_id" in partition_columns(spark, fqn):
             _overwrite(rows, fqn)
             return fqn
         rollback_batch(spark, fqn, replay_of)
@@ -163,50 +176,50 @@ def _write_keys(partition_by: Sequence[str]) -> list[str]:
 
 def _append_native(df, fqn, partition_by, properties, evolve, replay_of):
     spark = df.sparkSession
-    writer = df.writeTo(fqn)
     if not table_exists(spark, fqn):
-        for key, value in {**TABLE_PROPERTIES, **(properties or {})}.items():
-            writer = writer.tableProperty(key, value)
-        if partition_by:
-            writer = writer.partitionedBy(*native_partitions(partition_by))
-        writer.create()
-        return
+        layout = ", ".join(native_partitions(partition_by))
+        stated = ", ".join(f"'{k}' = '{v}'" for k, v in {**TABLE_PROPERTIES, **(properties or {})}.items())
+        spark.sql(f"CREATE TABLE {fqn} ({_nullable(df.schema).toDDL()})"
+                  + (f" PARTITIONED BY ({layout})" if layout else "") + f" TBLPROPERTIES ({stated})")
     added = _matched(df, spark.table(fqn).schema, fqn)
     if added and not evolve:
         raise ValueError(f"{fqn} has no column(s) {[f.name for f in added]}")
-    if replay_of is not None:
-        writer.option("mergeSchema", "true").overwrite(F.col("_batch_id") == replay_of)
-        return
-    writer.option("mergeSchema", "true").append()
+    writer = df.writeTo(fqn).option("mergeSchema", str(evolve).lower())
+    if replay_of is None:
+        writer.append()
+    else:
+        writer.overwrite(F.col("_batch_id") == replay_of)
 
 
 def evolve_and_append(df: DataFrame, namespace: str, table: str, **options) -> str:
     return append(df, namespace, table, evolve=True, **options)
 
 
-def _overwrite(df: DataFrame, fqn: str) -> None:
+def _overwrite(df: DataFrame, fqn: str, mode: str = "dynamic") -> None:
+    """Overwrite the partitions the frame has rows for, or with ``static`` all of them."""
     spark = df.sparkSession
     held = spark.table(fqn).schema
     have = {c.lower() for c in df.columns}
     rows = df.select(*[F.col(quoted(f.name)) if f.name.lower() in have
                        else F.lit(None).cast(f.dataType).alias(f.name) for f in held])
-    mode = "spark.sql.sources.partitionOverwriteMode"
+    setting = "spark.sql.sources.partitionOverwriteMode"
     with _OVERWRITE_MODE:
-        before = spark.conf.get(mode)
-        spark.conf.set(mode, "dynamic")
+        before = spark.conf.get(setting)
+        spark.conf.set(setting, mode)
         try:
             rows.write.mode("overwrite").insertInto(fqn)
         finally:
-            spark.conf.set(mode, before)
+            spark.conf.set(setting, before)
 
 
 def overwrite_partitions(df: DataFrame, fqn: str) -> None:
     """Replace exactly the partitions the frame has rows for; the others stay."""
     spark = df.sparkSession
-    if _native(spark, fqn):
+    if is_native(spark, fqn):
         df.writeTo(fqn).overwritePartitions()
         return
-    keys = _partition_columns(spark, fqn)
+    restore(spark, fqn)
+    keys = partition_columns(spark, fqn)
     if not keys:
         raise ValueError(f"{fqn} is not partitioned")
     _add_columns(df, fqn, evolve=False)
@@ -221,7 +234,7 @@ def write_partitioned(df: DataFrame, namespace: str, table: str, partition_by: S
     spark, fqn = df.sparkSession, quoted(catalog, namespace, table)
     if not table_exists(spark, fqn):
         return append(df, namespace, table, catalog, partition_by)
-    if not _native(spark, fqn):
+    if not is_native(spark, fqn):
         df = df.withColumns(derived_columns(partition_by)) if derived_columns(partition_by) else df
         _add_columns(df, fqn, evolve)
     overwrite_partitions(df, fqn)
@@ -235,40 +248,117 @@ def batch_rows(df: DataFrame, batch_id: str) -> DataFrame:
 def rollback_batch(spark: SparkSession, fqn: str, batch_id: str) -> None:
     """Remove one batch; every other row stays. An unknown batch changes nothing.
 
-    Metadata only when the table is partitioned by the batch or its catalog deletes
-    rows itself; otherwise the table is rewritten without the batch.
+    Metadata only when the table is partitioned by the batch.
+    """
+    restore(spark, fqn)
+    if not is_native(spark, fqn) and "_batch_id" in partition_columns(spark, fqn):
+        drop_partitions(spark, fqn, [{"_batch_id": batch_id}])
+    else:
+        delete_rows(spark, fqn, f"_batch_id = {literal(batch_id)}")
+
+
+def drop_partitions(spark: SparkSession, fqn: str, partitions: Sequence[Mapping]) -> None:
+    """Drop partitions given as ``{column: value}``, leading columns are enough."""
+    for partition in partitions:
+        spec = ", ".join(f"{quoted(k)} = {literal(v)}" for k, v in partition.items())
+        spark.sql(f"ALTER TABLE {fqn} DROP IF EXISTS PARTITION ({spec})")
+
+
+def literal(value) -> str:
+    if value is None:
+        return "NULL"
+    return "'" + str(value).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def delete_rows(spark: SparkSession, fqn: str, condition: str) -> None:
+    """Remove the rows that meet an SQL condition; without such rows nothing is written.
+
+    A partitioned table rewrites only the partitions that hold such rows.
+    """
+    if is_native(spark, fqn):
+        spark.sql(f"DELETE FROM {fqn} WHERE {condition}")
+        return
+    restore(spark, fqn)
+    table, keys = spark.table(fqn), partition_columns(spark, fqn)
+    gone = F.coalesce(F.expr(condition), F.lit(False))
+    if not keys:
+        if not table.where(gone).isEmpty():
+            replace_table(table.where(~gone), fqn)
+    else:
+        # At most one row per partition of the table.
+        touched = [r.asDict() for r in table.where(gone).select(*keys).distinct().collect()]
+        if touched:
+            replace_partitions(in_partitions(table, touched).where(~gone), fqn, touched)
+
+
+def in_partitions(table: DataFrame, partitions: Sequence[Mapping]) -> DataFrame:
+    """Rows of the given partitions; the lists prune the scan, the semi join is exact."""
+    spark, keys = table.sparkSession, list(partitions[0])
+    listed = spark.createDataFrame([tuple(p[k] for k in keys) for p in partitions],
+                                   T.StructType([table.schema[k] for k in keys]))
+    exact = None
+    for k in keys:
+        values = [p[k] for p in partitions if p[k] is not None]
+        wanted = F.col(quoted(k)).isin(values)
+        if len(values) < len(partitions):
+            wanted = wanted | F.col(quoted(k)).isNull()
+        table = table.where(wanted)
+        same = table[k].eqNullSafe(listed[k])
+        exact = same if exact is None else exact & same
+    return table.join(F.broadcast(listed), exact, "left_semi")
+
+
+def replace_partitions(df: DataFrame, fqn: str, partitions: Sequence[Mapping]) -> None:
+    """Make the frame, which may read the table, the whole contents of these partitions.
+
+    The rows go to ``<table>__part`` first. A job that stops after that is completed by
+    the next write to the table.
     """
-    if _native(spark, fqn):
-        spark.sql(f"DELETE FROM {fqn} WHERE _batch_id = :batch", args={"batch": batch_id})
-    elif "_batch_id" in _partition_columns(spark, fqn):
-        name = batch_id.replace("\\", "\\\\").replace("'", "\\'")
-        spark.sql(f"ALTER TABLE {fqn} DROP IF EXISTS PARTITION (_batch_id = '{name}')")
-    elif not batch_rows(spark.table(fqn), batch_id).isEmpty():
-        rest = spark.table(fqn).where(~F.col("_batch_id").eqNullSafe(batch_id))
-        replace_table(rest, fqn)
+    spark, part = df.sparkSession, _beside(fqn, "__part")
+    keys = list(partitions[0])
+    spark.sql(f"DROP TABLE IF EXISTS {part}")
+    df.writeTo(part).using("parquet").create()
+    filled = {tuple(r) for r in spark.table(part).select(*keys).distinct().collect()}
+    _restore_part(spark, fqn, part)
+    drop_partitions(spark, fqn, [p for p in partitions if tuple(p[k] for k in keys) not in filled])
+
+
+def _restore_part(spark: SparkSession, fqn: str, part: str) -> None:
+    _overwrite(spread(spark.table(part), _layout_columns(spark, fqn)), fqn)
+    spark.sql(f"DROP TABLE {part}")
+
+
+def _beside(fqn: str, suffix: str) -> str:
+    head, _, last = fqn.rpartition(".")
+    return f"{head}.{quoted(last.strip('`') + suffix)}"
 
 
 def replace_table(df: DataFrame, fqn: str) -> None:
     """Swap in new contents that may be computed from the table itself.
 
-    The new rows are written beside the table, then two renames switch them. A
-    crash between the renames leaves ``<table>__old``; the next call puts it back.
+    The new rows are first written beside the table as ``<table>__stg``. A table
+    without partitions is then switched by two renames. A partitioned one is
+    overwritten from the staged rows, because the session catalog keeps the old place
+    of every partition across a rename. ``restore`` completes or undoes what a crash
+    leaves, and every write to the table calls it first.
     """
     spark = df.sparkSession
-    if _native(spark, fqn):
+    if is_native(spark, fqn):
         df.writeTo(fqn).replace()
         return
-    head, _, last = fqn.rpartition(".")
-    staging, old = (f"{head}.{quoted(last.strip('`') + suffix)}" for suffix in ("__stg", "__old"))
     restore(spark, fqn)
-    layout = [F.col(k) for k in _partition_columns(spark, fqn)] + _buckets(spark, fqn)
+    staging, old = _beside(fqn, "__stg"), _beside(fqn, "__old")
+    if partition_columns(spark, fqn):
+        df.writeTo(staging).using("parquet").option("compression", "zstd").create()
+        restore(spark, fqn)
+        return
+    layout = _buckets(spark, fqn)
     writer = spread(df, _layout_columns(spark, fqn)).writeTo(staging).using("parquet")
     writer = writer.option("compression", "zstd")
     for row in spark.sql(f"SHOW TBLPROPERTIES {fqn}").collect():
         writer = writer.tableProperty(row["key"], row["value"])
     if layout:
         writer = writer.partitionedBy(*layout)
-    spark.sql(f"DROP TABLE IF EXISTS {staging}")
     writer.create()
     spark.sql(f"ALTER TABLE {fqn} RENAME TO {old}")
     spark.sql(f"ALTER TABLE {staging} RENAME TO {fqn}")
@@ -282,15 +372,37 @@ def _buckets(spark: SparkSession, fqn: str) -> list:
     return [F.partitioning.bucket(count, *names)] if count > 0 else []
 
 
+@contextmanager
+def staged(df: DataFrame, namespace: str, table: str, catalog: str | None = None):
+    """The frame written once to a table of its own, which is dropped afterwards."""
+    spark, fqn = df.sparkSession, quoted(catalog, namespace, table)
+    spark.sql(f"DROP TABLE IF EXISTS {fqn}")
+    append(df, namespace, table, catalog)
+    try:
+        yield spark.table(fqn)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {fqn}")
+
+
 def restore(spark: SparkSession, fqn: str) -> None:
-    """Undo a replacement that stopped between its renames."""
-    head, _, last = fqn.rpartition(".")
-    old = f"{head}.{quoted(last.strip('`') + '__old')}"
+    """Complete or undo a replacement that stopped half-way; otherwise do nothing.
+
+    A staged table exists only once it is completely written. A partitioned table may
+    have lost rows to the overwrite it was staged for, so that is run again. Otherwise
+    the old table is put back, and what was staged for it is dropped.
+    """
+    staging, old, part = (_beside(fqn, s) for s in ("__stg", "__old", "__part"))
     if table_exists(spark, old):
         if table_exists(spark, fqn):
             spark.sql(f"DROP TABLE {old}")
         else:
             spark.sql(f"ALTER TABLE {old} RENAME TO {fqn}")
+    if table_exists(spark, part):
+        _restore_part(spark, fqn, part)
+    if table_exists(spark, staging):
+        if table_exists(spark, fqn) and partition_columns(spark, fqn):
+            _overwrite(spread(spark.table(staging), _layout_columns(spark, fqn)), fqn, "static")
+        spark.sql(f"DROP TABLE {staging}")
 
 
 def list_tables(spark: SparkSession, namespace: str, catalog: str | None = None) -> DataFrame:

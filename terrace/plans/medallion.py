@@ -7,17 +7,16 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from terrace.functions.rules import Rule
 from terrace.operators.aggregates import kpi
 from terrace.operators.quality import gate
-from terrace.operators.staging import dedup, null_policy, type_rules, typed, upsert
+from terrace.operators.staging import dedup, null_policy, type_rules, typed, upsert_into
 from terrace.operators.tables import (
-    append, quoted, replace_table, table_exists, write_partitioned)
-from terrace.workspace import materialise
+    append, quoted, restore, staged, table_exists, write_partitioned)
 
 
 def stage(raw: DataFrame, types: Mapping[str, str], nulls: Mapping[str, tuple],
           rules: Sequence[Rule], keys: Sequence[str], order_by: str,
           max_failed_share: float | None = None) -> tuple[DataFrame, DataFrame]:
     """Typed, complete, valid, deduplicated rows, and the raw rows that did not qualify."""
-    readable, unreadable = gate(raw, type_rules(types), max_failed_share)
+    readable, unreadable = gate(raw, type_rules(raw, types), max_failed_share)
     complete = null_policy(typed(readable, types), nulls)
     valid, invalid = gate(complete, rules, max_failed_share)
     as_text = invalid.select(*[c if c.startswith("_") else invalid[c].cast("string").alias(c)
@@ -30,10 +29,12 @@ def stage(raw: DataFrame, types: Mapping[str, str], nulls: Mapping[str, tuple],
 def refresh_silver(raw: DataFrame, table: str, types: Mapping[str, str], keys: Sequence[str],
                    order_by: str, nulls: Mapping[str, tuple] | None = None,
                    rules: Sequence[Rule] = (), namespace: str = "silver",
-                   catalog: str | None = None, max_failed_share: float | None = None) -> str:
+                   catalog: str | None = None, max_failed_share: float | None = None,
+                   partition_by: Sequence[str] = ()) -> str:
     """Merge staged rows into a Silver table; rows that fail go to ``<table>_quarantine``.
 
-    A rerun of the same batch leaves the Silver table as it is.
+    A rerun of the same batch leaves the Silver table as it is. With ``partition_by``
+    columns that belong to the keys a refresh rewrites only the partitions it touches.
     """
     spark = raw.sparkSession
     fqn = quoted(catalog, namespace, table)
@@ -42,11 +43,12 @@ def refresh_silver(raw: DataFrame, table: str, types: Mapping[str, str], keys: S
         write_partitioned(bad, namespace, f"{table}_quarantine", ["_batch_id"], catalog, evolve=True)
     else:
         append(bad, namespace, f"{table}_quarantine", catalog, evolve=True)
+    restore(spark, fqn)
     if not table_exists(spark, fqn):
-        return append(good, namespace, table, catalog)
-    # The staged rows feed three joins below, so they are computed once.
-    incoming = materialise(good, "silver")
-    replace_table(upsert(spark.table(fqn), incoming, keys, order_by, target_unique=True), fqn)
+        return append(good, namespace, table, catalog, partition_by)
+    # The staged rows are read three times below, so they are computed once.
+    with staged(good, namespace, f"{table}__in", catalog) as incoming:
+        upsert_into(incoming, fqn, keys, order_by)
     return fqn
 
 

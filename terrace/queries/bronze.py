@@ -18,7 +18,7 @@ from terrace.queries.registered import TABLES, fresh_namespace, query, table
 from terrace.sources.jdbc import read_jdbc
 from terrace.sources.readers import format_reader, read_source, register_type
 from terrace.sources.spec import SourceSpec
-from terrace.workspace import scratch
+from terrace.workspace import one_process, scratch
 
 
 def file_spec(name, path, fmt, namespace, **more):
@@ -89,7 +89,7 @@ def demo_database(spark):
     url = spark.conf.get("spark.terrace.jdbc.url", None)
     if url:
         return url, spark.conf.get("spark.terrace.jdbc.driver")
-    if not spark.sparkContext.master.startswith("local"):
+    if not one_process(spark):
         raise RuntimeError("the JDBC queries need spark.terrace.jdbc.url on a cluster")
     name = scratch(spark, "db").rsplit("-", 1)[1]
     return f"jdbc:derby:memory:d{name};create=true", "org.apache.derby.iapi.jdbc.AutoloadedDriver"

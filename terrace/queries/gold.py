@@ -29,7 +29,7 @@ def revenue_by_customer(lineitem, orders):
 
 
 @query("gold_revenue_by_nation", """
-    SELECT n_name, r_name, round(sum(l_extendedprice * (1 - l_discount)), 2) AS revenue,
+    SELECT n_name, r_name, round(sum(l_extendedprice * (1 - l_discount)), 4) AS revenue,
            count(DISTINCT l_orderkey) AS orders
     FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
     JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
@@ -40,7 +40,7 @@ def gold_revenue_by_nation(spark, sf):
     placed = lookup(conform(facts, customer, "c_custkey"), nations(spark, sf), "c_nationkey")
     namespace = fresh_namespace(spark, "revenue")
     fqn = refresh_gold(placed, "revenue_by_nation", ["n_name", "r_name"], {
-        "revenue": F.round(F.sum("revenue"), 2), "orders": F.sum("orders")}, ["r_name"], namespace=namespace)
+        "revenue": F.round(F.sum("revenue"), 4), "orders": F.sum("orders")}, ["r_name"], namespace=namespace)
     return spark.table(fqn)
 
 
@@ -49,7 +49,7 @@ def gold_revenue_by_nation(spark, sf):
         PARTITION BY l_orderkey, l_linenumber ORDER BY l_shipdate DESC NULLS LAST, l_partkey, l_suppkey,
         l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus) AS rn
         FROM lineitem WHERE l_quantity >= 2)
-    SELECT n_name, r_name, round(sum(l_extendedprice * (1 - l_discount)), 2) AS revenue,
+    SELECT n_name, r_name, round(sum(l_extendedprice * (1 - l_discount)), 4) AS revenue,
            count(DISTINCT l_orderkey) AS orders
     FROM latest JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
     JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
@@ -68,7 +68,7 @@ def medallion_revenue(spark, sf):
     customer = spark.table(quoted(namespace, "customer")).select("c_custkey", "c_nationkey")
     placed = lookup(conform(facts, customer, "c_custkey"), nations(spark, sf), "c_nationkey")
     fqn = refresh_gold(placed, "gold_revenue", ["n_name", "r_name"], {
-        "revenue": F.round(F.sum("revenue"), 2), "orders": F.sum("orders")}, ["r_name"], namespace=namespace)
+        "revenue": F.round(F.sum("revenue"), 4), "orders": F.sum("orders")}, ["r_name"], namespace=namespace)
     return spark.table(fqn)
 
 

@@ -7,8 +7,8 @@ from terrace.operators.aggregates import duplicate_keys, unknown_names
 from terrace.operators.changes import apply_changes
 from terrace.operators.joins import matched, orphans
 from terrace.operators.quality import rule_report, split_by_rules
-from terrace.operators.staging import dedup, null_policy, typed, upsert
-from terrace.operators.tables import append, quoted, replace_table
+from terrace.operators.staging import dedup, null_policy, typed, upsert, upsert_into
+from terrace.operators.tables import append, quoted
 from terrace.plans.ingest import ingest_source
 from terrace.plans.medallion import refresh_silver
 from terrace.queries.registered import fresh_namespace, query, table
@@ -87,7 +87,7 @@ def silver_upsert_customer(spark, sf):
         .unionByName(segment("HOUSEHOLD", F.lit("tie").alias("c_name"), "c_acctbal", F.lit(1).alias("version")))
         .unionByName(supplier.select((-1 - F.col("s_suppkey")).alias("c_custkey"), F.col("s_name").alias("c_name"),
                                      F.col("s_acctbal").alias("c_acctbal"), F.lit(1).alias("version"))))
-    replace_table(upsert(spark.table(fqn), incoming, ["c_custkey"], "version", target_unique=True), fqn)
+    upsert_into(incoming, fqn, ["c_custkey"], "version")
     return spark.table(fqn)
 
 

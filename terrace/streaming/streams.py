@@ -7,12 +7,11 @@ from pyspark.sql.streaming import StreamingQuery
 
 from terrace.functions.audit import enrich
 from terrace.operators.changes import latest_changes
-from terrace.operators.staging import upsert
+from terrace.operators.staging import upsert_into
 from terrace.operators.tables import (
-    append, ensure_namespace, quoted, replace_table, restore, table_exists)
+    append, ensure_namespace, quoted, restore, staged, table_exists)
 from terrace.sources.files import file_options
 from terrace.sources.spec import SourceSpec
-from terrace.workspace import materialise
 
 
 def stream_files(spark: SparkSession, spec: SourceSpec, schema: str,
@@ -79,11 +78,12 @@ def stream_changes(changes: DataFrame, namespace: str, table: str, keys: Sequenc
         spark = rows.sparkSession
         ensure_namespace(spark, namespace, catalog)
         restore(spark, fqn)
-        last = materialise(latest_changes(rows, keys, seq, op), "changes")
+        last = latest_changes(rows, keys, seq, op)
         if not table_exists(spark, fqn):
             append(last, namespace, table, catalog)
-        else:
-            replace_table(upsert(spark.table(fqn), last, keys, seq, target_unique=True), fqn)
+            return
+        with staged(last, namespace, f"{table}__in", catalog) as incoming:
+            upsert_into(incoming, fqn, keys, seq)
 
     return _start(changes, merge, checkpoint, available_now)
 

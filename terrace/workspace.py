@@ -1,5 +1,6 @@
 """Where intermediate tables and exported files live."""
 
+import re
 import tempfile
 import uuid
 
@@ -8,6 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 _local_root = None
 
 
+def one_process(spark: SparkSession) -> bool:
+    """Whether driver and tasks share one process (``local`` or ``local[n]``)."""
+    return re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master) is not None
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``.
 
@@ -18,7 +24,7 @@ def shared_folder(spark: SparkSession) -> str:
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not one_process(spark):
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
     if _local_root is None:
         _local_root = tempfile.mkdtemp(prefix="terrace-")

@@ -1,0 +1,151 @@
+from datetime import datetime
+
+import pytest
+from hypothesis import HealthCheck, given, settings, strategies as st
+from pyspark.sql import functions as F
+
+from terrace.functions import rules as R
+from terrace.functions.audit import enrich
+from terrace.operators.changes import apply_changes, latest_changes
+from terrace.operators.staging import (
+    dedup, latest_run, null_policy, type_rules, typed, upsert, upsert_into)
+from terrace.operators.quality import split_by_rules
+from terrace.operators.tables import append, quoted
+from terrace.plans.medallion import refresh_gold, refresh_silver
+
+few = settings(max_examples=12, deadline=None,
+               suppress_health_check=[HealthCheck.function_scoped_fixture])
+
+
+def test_typed_reads_trimmed_text(rows):
+    df = rows.make([(" 1 ", "", "2024-01-02 03:04:05", "b"), ("x", None, "soon", "b")],
+                   "i string, s string, t string, _batch_id string")
+    out = typed(df, {"i": "int", "s": "string", "t": "timestamp"})
+    assert [t for _, t in out.dtypes] == ["int", "string", "timestamp", "string"]
+    assert rows.of(out) == [(1, None, datetime(2024, 1, 2, 3, 4, 5), "b"), (None, None, None, "b")]
+    assert rows.of(typed(rows.make([("",)], "i string"), {"i": "int"}, "fail")) == [(None,)]
+    with pytest.raises(Exception, match="i is not int: x"):
+        typed(rows.make([("x",)], "i string"), {"i": "int"}, "fail").collect()
+    for wrong in ({"i": "int"}, {"i": "int", "s": "string", "t": "date", "u": "int"}):
+        with pytest.raises(ValueError):
+            typed(df, wrong)
+
+
+def test_failed_casts_can_be_quarantined(rows):
+    df = rows.make([("1", 5), ("x", 5), ("", 5), (None, 5)], "i string, n int")
+    checks = type_rules(df, {"i": "int", "n": "int"})
+    assert [r.name for r in checks] == ["i:type"]
+    assert rows.of(split_by_rules(df, checks)[1]) == [("x", 5, ["i:type"])]
+
+
+def test_null_policy_drops_before_it_fills(rows):
+    df = rows.make([(1, None, None), (None, "x", "y"), (2, "x", None)], "a int, b string, c string")
+    policy = {"b": ("fill", "?"), "a": ("drop", None), "c": ("keep", None)}
+    assert rows.of(null_policy(df, policy)) == [(1, "?", None), (2, "x", None)]
+    with pytest.raises(ValueError):
+        null_policy(df, {"a": ("guess", None)})
+
+
+def test_dedup_breaks_ties_by_the_other_columns(rows):
+    data = [(1, 5, "b", None), (1, 5, "a", None), (1, 4, "0", None), (None, 1, "n", {"k": 1}),
+            (None, None, "m", {"k": 0}), (2, 7, None, None), (2, 7, "z", None)]
+    df = rows.make(data, "k int, o int, s string, m map<string,int>")
+    assert rows.of(dedup(df, ["k"], ["o"]).select("k", "s")) == [(1, "a"), (2, "z"), (None, "n")]
+
+
+key = st.one_of(st.none(), st.integers(0, 4))
+versions = st.lists(st.tuples(key, st.one_of(st.none(), st.integers(0, 3)), st.text("ab", max_size=2)),
+                    max_size=12)
+SCHEMA = "k int, v int, s string"
+
+
+@few
+@given(versions)
+def test_dedup_is_idempotent_and_order_free(rows, data):
+    once = dedup(rows.make(data, SCHEMA), ["k"], ["v"])
+    assert rows.of(once) == rows.of(dedup(rows.make(data[::-1], SCHEMA), ["k"], ["v"]))
+    assert rows.of(dedup(once, ["k"], ["v"])) == rows.of(once)
+    assert len({r.k for r in once.collect()}) == once.count() == len({k for k, _, _ in data})
+
+
+def newest(target, source):
+    """Per key: greatest version, NULL lowest; source before target; then the smaller text."""
+    best = {}
+    for side, data in ((0, source), (1, target)):
+        for k, v, s in data:
+            rank = (-(v if v is not None else -1), side, s)
+            if k not in best or rank < best[k][0]:
+                best[k] = (rank, (k, v, s))
+    return sorted((row for _, row in best.values()), key=repr)
+
+
+@few
+@given(versions, versions)
+def test_upsert_against_brute_force(rows, old, new):
+    target, source = rows.make(old, SCHEMA), rows.make(new, SCHEMA)
+    result = upsert(target, source, ["k"], "v")
+    assert rows.of(result) == newest(old, new)
+    unique = dedup(target, ["k"], ["v"])
+    kept = [tuple(r) for r in unique.collect()]
+    maintained = upsert(unique, source, ["k"], "v", target_unique=True)
+    assert rows.of(maintained) == newest(kept, new)
+    again = upsert(maintained, source, ["k"], "v", target_unique=True)
+    assert rows.of(again) == rows.of(maintained)
+
+
+def test_upsert_fills_columns_one_side_lacks(rows):
+    target = rows.make([(1, 1, "t"), (2, 1, "t")], "k int, v int, old string")
+    source = rows.make([(1, 2, "s")], "k int, v int, new string")
+    for unique in (False, True):
+        out = upsert(target, source, ["k"], "v", unique).select("k", "v", "old", "new")
+        assert rows.of(out) == [(1, 2, None, "s"), (2, 1, "t", None)]
+
+
+def test_upsert_into_a_partitioned_table_touches_only_its_partitions(spark, ns, rows):
+    schema = "k int, day string, v int"
+    fqn = append(rows.make([(1, "a", 1), (2, "a", 1), (1, "b", 1), (1, None, 1)], schema), ns, "t",
+                 partition_by=["day"])
+    kept = {f for f in spark.table(fqn).inputFiles() if "day=b" in f}
+    incoming = rows.make([(1, "a", 2), (1, "a", 0), (5, "c", 1), (1, None, 9)], schema)
+    for _ in range(2):
+        upsert_into(incoming, fqn, ["k", "day"], "v")
+        assert rows.of(spark.table(fqn).select("k", "day", "v")) == [
+            (1, "a", 2), (1, "b", 1), (1, None, 9), (2, "a", 1), (5, "c", 1)]
+    assert kept <= set(spark.table(fqn).inputFiles())
+
+
+def test_changes(rows):
+    log = rows.make([("i", 1, 1), ("u", 1, 2), ("i", 2, 1), ("d", 2, 1), ("d", 3, 5), ("u", 3, 4),
+                     (None, 4, 1)], "op string, k int, seq int")
+    assert rows.of(apply_changes(log, ["k"], "seq", "op")) == [(1, 2), (4, 1)]
+    assert rows.of(latest_changes(log, ["k"], "seq", "op").where("op = 'd'")) == [("d", 2, 1), ("d", 3, 5)]
+
+
+def test_latest_run_keeps_duplicates_inside_a_run(rows):
+    first, second = datetime(2024, 1, 1), datetime(2024, 1, 2)
+    data = [("b1", "s", first, 1), ("b1", "s", second, 1), ("b1", "s", second, 1), ("b1", "t", first, 2),
+            ("b2", "s", first, 3)]
+    df = rows.make(data, "_batch_id string, _source string, _ingested_at timestamp, v int")
+    assert rows.of(latest_run(df).select("_batch_id", "_source", "v")) == [
+        ("b1", "s", 1), ("b1", "s", 1), ("b1", "t", 2), ("b2", "s", 3)]
+
+
+def test_silver_refresh(spark, ns, rows):
+    def batch(name, data):
+        return enrich(rows.make(data, "id string, day string, v string"), "src", "file", name)
+    types = {"id": "int", "day": "date", "v": "double"}
+    options = {"types": types, "keys": ["id", "day"], "order_by": "_ingested_at", "namespace": ns,
+               "rules": [R.at_least("v", 0)], "partition_by": ["day"]}
+    one = batch("b1", [("1", "2024-01-01", "1"), ("2", "2024-01-01", "-1"), ("x", "2024-01-02", "3")])
+    one = spark.table(append(one, ns, "raw1"))
+    fqn = refresh_silver(one, "facts", **options)
+    two = spark.table(append(batch("b2", [("1", "2024-01-01", "5"), ("4", "2024-01-03", "6")]), ns, "raw2"))
+    for _ in range(2):
+        refresh_silver(two, "facts", **options)
+    refresh_silver(one, "facts", **options)
+    assert rows.of(spark.table(fqn).select("id", "v", "_batch_id")) == [(1, 5.0, "b2"), (4, 6.0, "b2")]
+    held = spark.table(quoted(ns, "facts_quarantine"))
+    assert rows.of(held.select("id", "_batch_id", "_failed_rules")) == [
+        ("2", "b1", ["v:minimum"]), ("x", "b1", ["id:type"])]
+    gold = refresh_gold(spark.table(fqn), "daily", ["day"], {"v": F.sum("v")}, ["day"], namespace=ns)
+    assert [r.v for r in spark.table(gold).orderBy("day").collect()] == [5.0, 6.0]
