@@ -1,8 +1,9 @@
 """Schema, rule and gate checks over whole tables."""
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from terrace.functions.audit import AUDIT_SCHEMA
 from terrace.functions.rules import Rule
@@ -33,8 +34,8 @@ def audit_contract(df: DataFrame) -> DataFrame:
     return schema_report(df, expected).where("status <> 'extra'")
 
 
-def _row_rules(rules: Sequence[Rule]) -> list[Rule]:
-    return [r for r in rules if not r.unique_key]
+def _broken(rule: Rule) -> Column:
+    return rule.checked & ~F.coalesce(rule.passed, F.lit(False))
 
 
 def _compact(df: DataFrame, rule: Rule) -> dict:
@@ -59,13 +60,12 @@ def _key_counts(df: DataFrame, rule: Rule) -> DataFrame:
 
 def rule_report(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """``(rule, checked, failed)``: one aggregation for all row rules, one per unique rule."""
-    plain = _row_rules(rules)
+    plain = [r for r in rules if not r.unique_key]
     parts = []
     if plain:
         sums = []
         for i, r in enumerate(plain):
-            wrong = r.checked & ~F.coalesce(r.passed, F.lit(False))
-            sums += [F.count_if(r.checked).alias(f"c{i}"), F.count_if(wrong).alias(f"f{i}")]
+            sums += [F.count_if(r.checked).alias(f"c{i}"), F.count_if(_broken(r)).alias(f"f{i}")]
         rows = [F.struct(F.lit(r.name).alias("rule"), F.col(f"c{i}").alias("checked"),
                          F.col(f"f{i}").alias("failed")) for i, r in enumerate(plain)]
         parts.append(df.agg(*sums).select(F.inline(F.array(*rows))))
@@ -82,31 +82,26 @@ def rule_report(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     return report
 
 
-def flag_rules(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
-    """Add ``_failed_rules``, the names of the rules a row breaks, in rule order."""
-    if not rules:
-        return df.withColumn("_failed_rules", F.array().cast("array<string>"))
-    verdicts, helpers = [], []
+def split_by_rules(df: DataFrame, rules: Sequence[Rule]) -> tuple[DataFrame, DataFrame]:
+    """Rows that keep every rule, and the others with ``_failed_rules`` in rule order."""
+    judged, wrong = df, {}
     for i, r in enumerate(rules):
         if r.unique_key:
+            # The repeated keys are few and narrow beside the rows they are matched with.
             key, mark = _compact(df, r), f"_repeated{i}"
             repeated = materialise(_key_counts(df, r).where("copies > 1").select(
                 *key, F.lit(True).alias(mark)), "repeated")
-            df = join_unique(df.withColumns(key), repeated, list(key), check_unique=False).drop(*key)
-            helpers.append(mark)
-            wrong = F.col(mark)
+            judged = join_unique(judged.withColumns(key), repeated, list(key),
+                                 check_unique=False).drop(*key)
+            wrong[i] = F.coalesce(mark, F.lit(False))
         else:
-            wrong = r.checked & ~F.coalesce(r.passed, F.lit(False))
-        verdicts.append(F.when(wrong, F.lit(r.name)))
-    return df.withColumn("_failed_rules", F.array_compact(F.array(*verdicts))).drop(*helpers)
-
-
-def split_by_rules(df: DataFrame, rules: Sequence[Rule]) -> tuple[DataFrame, DataFrame]:
-    """Rows that keep every rule, and the others with the rules they broke."""
-    flagged = flag_rules(df, rules)
-    broken = F.size("_failed_rules") > 0
-    return flagged.where(~broken).select(*df.columns), flagged.where(broken).select(
-        *df.columns, "_failed_rules")
+            wrong[i] = _broken(r)
+    if not rules:
+        return df, df.where("false").withColumn("_failed_rules", F.array().cast("array<string>"))
+    any_wrong = reduce(lambda a, b: a | b, wrong.values())
+    names = F.array_compact(F.array(*[F.when(wrong[i], F.lit(r.name)) for i, r in enumerate(rules)]))
+    passed = judged.where(~any_wrong).select(*df.columns)
+    return passed, judged.where(any_wrong).select(*df.columns, names.alias("_failed_rules"))
 
 
 class RuleGateError(Exception):

@@ -8,7 +8,8 @@ from terrace.functions.audit import AUDIT_COLUMNS
 from terrace.functions.rules import Rule, castable
 from terrace.operators.joins import join_unique
 from terrace.operators.tables import (
-    in_partitions, is_native, partition_columns, quoted, replace_partitions, replace_table)
+    in_partitions, is_native, partition_columns, quoted, replace_partitions, replace_table,
+    restore)
 from terrace.workspace import materialise
 
 
@@ -122,6 +123,8 @@ def upsert_into(source: DataFrame, fqn: str, keys: Sequence[str], order_by: str)
     rewritten whole. ``source`` is read more than once and should be a stored table.
     """
     spark = source.sparkSession
+    if not is_native(spark, fqn):
+        restore(spark, fqn)
     parts = partition_columns(spark, fqn)
     if is_native(spark, fqn):
         best = first_per_key(source, keys, [F.col(order_by).desc_nulls_last()])

@@ -232,6 +232,8 @@ def write_partitioned(df: DataFrame, namespace: str, table: str, partition_by: S
     if not partition_by:
         raise ValueError(f"{namespace}.{table} needs a partitioning")
     spark, fqn = df.sparkSession, quoted(catalog, namespace, table)
+    if not is_native(spark, fqn):
+        restore(spark, fqn)
     if not table_exists(spark, fqn):
         return append(df, namespace, table, catalog, partition_by)
     if not is_native(spark, fqn):
@@ -316,13 +318,20 @@ def replace_partitions(df: DataFrame, fqn: str, partitions: Sequence[Mapping]) -
     """
     spark, part = df.sparkSession, _beside(fqn, "__part")
     keys = list(partitions[0])
-    spark.sql(f"DROP TABLE IF EXISTS {part}")
-    df.writeTo(part).using("parquet").create()
+    _refuse_leftovers(spark, fqn)
+    df.writeTo(part).using("parquet").option("compression", "zstd").create()
     filled = {tuple(r) for r in spark.table(part).select(*keys).distinct().collect()}
     _restore_part(spark, fqn, part)
     drop_partitions(spark, fqn, [p for p in partitions if tuple(p[k] for k in keys) not in filled])
 
 
+def _refuse_leftovers(spark: SparkSession, fqn: str) -> None:
+    """A frame computed from a half-replaced table must not become its contents."""
+    if restore(spark, fqn):
+        raise RuntimeError(f"an earlier replacement of {fqn} had stopped half-way; it is repaired "
+                           "now, so compute the new rows again")
+
+
 def _restore_part(spark: SparkSession, fqn: str, part: str) -> None:
     _overwrite(spread(spark.table(part), _layout_columns(spark, fqn)), fqn)
     spark.sql(f"DROP TABLE {part}")
@@ -346,7 +355,7 @@ def replace_table(df: DataFrame, fqn: str) -> None:
     if is_native(spark, fqn):
         df.writeTo(fqn).replace()
         return
-    restore(spark, fqn)
+    _refuse_leftovers(spark, fqn)
     staging, old = _beside(fqn, "__stg"), _beside(fqn, "__old")
     if partition_columns(spark, fqn):
         df.writeTo(staging).using("parquet").option("compression", "zstd").create()
@@ -384,25 +393,32 @@ def staged(df: DataFrame, namespace: str, table: str, catalog: str | None = None
         spark.sql(f"DROP TABLE IF EXISTS {fqn}")
 
 
-def restore(spark: SparkSession, fqn: str) -> None:
-    """Complete or undo a replacement that stopped half-way; otherwise do nothing.
+def restore(spark: SparkSession, fqn: str) -> bool:
+    """Complete or undo a replacement that stopped half-way; says whether there was one.
 
     A staged table exists only once it is completely written. A partitioned table may
     have lost rows to the overwrite it was staged for, so that is run again. Otherwise
     the old table is put back, and what was staged for it is dropped.
     """
     staging, old, part = (_beside(fqn, s) for s in ("__stg", "__old", "__part"))
-    if table_exists(spark, old):
+    left = [t for t in (staging, old, part) if table_exists(spark, t)]
+    if old in left:
         if table_exists(spark, fqn):
             spark.sql(f"DROP TABLE {old}")
         else:
             spark.sql(f"ALTER TABLE {old} RENAME TO {fqn}")
-    if table_exists(spark, part):
+    if part in left:
         _restore_part(spark, fqn, part)
-    if table_exists(spark, staging):
+    if staging in left:
         if table_exists(spark, fqn) and partition_columns(spark, fqn):
             _overwrite(spread(spark.table(staging), _layout_columns(spark, fqn)), fqn, "static")
         spark.sql(f"DROP TABLE {staging}")
+    return bool(left)
+
+
+def list_namespaces(spark: SparkSession, catalog: str | None = None) -> DataFrame:
+    """``SHOW SCHEMAS`` as a frame."""
+    return spark.sql("SHOW NAMESPACES" + (f" IN {quoted(catalog)}" if catalog else ""))
 
 
 def list_tables(spark: SparkSession, namespace: str, catalog: str | None = None) -> DataFrame:

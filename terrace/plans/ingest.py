@@ -5,7 +5,7 @@ import uuid
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timezone
-from threading import Event
+from threading import Event, Lock
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
@@ -57,6 +57,8 @@ def ingest_all(spark: SparkSession, specs: Sequence[SourceSpec], only: Sequence[
     chosen = {s.name for s in choose(specs, only)}
     listed = [s for s in specs if not only or s.name in only]
     stop = Event()
+    # Two jobs must not write into one table's folder at a time.
+    one_writer = {s.target: Lock() for s in listed}
 
     def run(spec: SourceSpec):
         target = quoted(catalog, spec.namespace, spec.table or spec.name)
@@ -69,7 +71,8 @@ def ingest_all(spark: SparkSession, specs: Sequence[SourceSpec], only: Sequence[
         if spec.name not in chosen or stop.is_set():
             return row("source.skipped", "skipped")
         try:
-            return row("source.ingest.end", "ok", ingest_source(spark, spec, batch_id, catalog)[1])
+            with one_writer[spec.target]:
+                return row("source.ingest.end", "ok", ingest_source(spark, spec, batch_id, catalog)[1])
         except Exception as problem:  # the boundary between independent sources
             if fail_fast:
                 stop.set()

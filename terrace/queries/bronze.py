@@ -16,7 +16,7 @@ from terrace.operators.tables import (
 from terrace.plans.ingest import ingest_all, ingest_increment, ingest_source
 from terrace.queries.registered import TABLES, fresh_namespace, query, table
 from terrace.sources.jdbc import read_jdbc
-from terrace.sources.readers import format_reader, read_source, register_type
+from terrace.sources.readers import format_reader, register_type
 from terrace.sources.spec import SourceSpec
 from terrace.workspace import one_process, scratch
 

@@ -36,6 +36,12 @@ def test_a_failure_stays_with_its_source(spark, ns, specs, concurrency):
     assert [r.source for r in failed_sources(spark.table(quoted(ns, "runs")), "b1").collect()] == ["gone"]
 
 
+def test_sources_may_share_a_table(spark, ns, specs):
+    shared = [SourceSpec(f"s{i}", specs[0].options, namespace=ns, table="all") for i in range(6)]
+    assert {s for _, s, _ in outcome(ingest_all(spark, shared, concurrency=6))} == {"ok"}
+    assert spark.table(quoted(ns, "all")).count() == 18
+
+
 def test_fail_fast_and_only(spark, specs):
     assert [s for _, s, _ in outcome(ingest_all(spark, specs, fail_fast=True))] == [
         "ok", "failed", "skipped", "skipped"]

@@ -7,7 +7,8 @@ from terrace.functions.audit import enrich
 from terrace.operators.governance import expire_table, table_cost
 from terrace.operators.partitioning import native_partitions
 from terrace.operators.tables import (
-    append, delete_rows, evolve_and_append, list_tables, lossless, overwrite_partitions, preview, quoted,
+    append, delete_rows, evolve_and_append, list_namespaces, list_tables,
+    lossless, overwrite_partitions, preview, quoted,
     replace_table, restore, rollback_batch, table_exists, write_partitioned)
 
 
@@ -22,6 +23,7 @@ def test_append_creates_then_appends(spark, ns, rows):
     shown = {r.key: r.value for r in spark.sql(f"SHOW TBLPROPERTIES {fqn}").collect()}
     assert shown["team.owner"] == "x"
     assert rows.of(list_tables(spark, ns)) == [(ns, "t")]
+    assert list_namespaces(spark).where(F.col("namespace") == ns).count() == 1
 
 
 def test_strict_append_refuses_new_columns(rows, ns):
@@ -157,8 +159,11 @@ def test_partitioned_replacement_is_completed_after_a_crash(spark, ns, rows):
 def test_replacement_can_be_finished_after_a_crash(spark, ns):
     fqn = append(spark.range(3), ns, "t")
     spark.sql(f"ALTER TABLE {fqn} RENAME TO {quoted(ns, 't__old')}")
-    restore(spark, fqn)
+    assert restore(spark, fqn) is True and restore(spark, fqn) is False
     assert spark.table(fqn).count() == 3
+    spark.range(9).writeTo(quoted(ns, "t__stg")).using("parquet").create()
+    with pytest.raises(RuntimeError, match="again"):
+        replace_table(spark.range(1), fqn)
     replace_table(spark.table(fqn).where("id > 0"), fqn)
     assert spark.table(fqn).count() == 2
     assert [r.table for r in list_tables(spark, ns).collect()] == ["t"]
