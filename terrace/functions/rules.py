@@ -90,7 +90,5 @@ def unique(*columns: str, name: str | None = None) -> Rule:
 
 
 def when(condition: Column, rule: Rule) -> Rule:
-    """Apply a rule only where the condition holds. Not for ``unique``."""
-    if rule.unique_key:
-        raise ValueError("a unique rule spans rows and cannot be conditional")
+    """Apply a rule only where the condition holds; ``unique`` then compares only such rows."""
     return replace(rule, checked=F.coalesce(condition, F.lit(False)) & rule.checked)

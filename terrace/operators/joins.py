@@ -16,21 +16,24 @@ def _keys(on: str | Sequence[str]) -> list[str]:
     return [on] if isinstance(on, str) else list(on)
 
 
-def _unique(df: DataFrame, keys: Sequence[str]) -> bool:
-    """Whether no complete key occurs twice; rows with a NULL in the key match nothing."""
-    counts = df.dropna(subset=list(keys)).groupBy(*keys).agg(F.count("*").alias("n"))
-    return counts.where("n > 1").isEmpty()
+def _measure(df: DataFrame, keys: Sequence[str], check_unique: bool,
+             bound: DataFrame | None) -> tuple[bool, bool]:
+    """Whether the frame may be broadcast, and whether some complete key repeats.
 
-
-def fits_broadcast(df: DataFrame, bound: DataFrame | None = None) -> bool:
-    """Measure a frame: rows first, and bytes only when the rows are few enough.
-
-    ``bound`` is a frame with at least as many rows that is cheaper to count.
+    Rows are counted first, which for stored Parquet reads file footers only; bytes are
+    added up only when the rows are few. ``bound`` is a frame with at least as many
+    rows that is cheaper to count. A NULL in a key matches nothing, so may repeat.
     """
-    if (bound or df).count() > BROADCAST_ROWS:
-        return False
-    text = F.octet_length(F.to_json(F.struct(*df.columns)))
-    return (df.agg(F.sum(text)).first()[0] or 0) <= BROADCAST_BYTES
+    few = (bound or df).count() <= BROADCAST_ROWS
+    size = F.octet_length(F.to_json(F.struct(*df.columns))) if few else F.lit(0)
+    complete = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    if not check_unique:
+        return few and (df.agg(F.sum(size)).first()[0] or 0) <= BROADCAST_BYTES, False
+    counted = df.groupBy(*keys).agg(F.count_if(complete).alias("copies"), F.sum(size).alias("size"))
+    if not few:
+        return False, not counted.where("copies > 1").isEmpty()
+    most, total = counted.agg(F.max("copies"), F.sum("size")).first()
+    return (total or 0) <= BROADCAST_BYTES, (most or 0) > 1
 
 
 def join_unique(df: DataFrame, other: DataFrame, on: str | Sequence[str], how: str = "left",
@@ -44,9 +47,10 @@ def join_unique(df: DataFrame, other: DataFrame, on: str | Sequence[str], how: s
     and read again, so a costly one should be a stored table.
     """
     keys = _keys(on)
-    if check_unique and not _unique(other, keys):
+    small, repeats = _measure(other, keys, check_unique, bound)
+    if repeats:
         raise ValueError(f"the joined frame is not unique on {keys}")
-    if fits_broadcast(other, bound):
+    if small:
         return df.join(F.broadcast(other), keys, how)
     return split_hot_join(df, other, keys, how)
 

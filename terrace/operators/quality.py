@@ -82,9 +82,9 @@ def rule_report(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     return report
 
 
-def split_by_rules(df: DataFrame, rules: Sequence[Rule]) -> tuple[DataFrame, DataFrame]:
-    """Rows that keep every rule, and the others with ``_failed_rules`` in rule order."""
-    judged, wrong = df, {}
+def _judge(df: DataFrame, rules: Sequence[Rule]) -> tuple[DataFrame, Column, Column]:
+    """The frame with what the rules need, whether a row breaks one, and which it breaks."""
+    judged, wrong = df, []
     for i, r in enumerate(rules):
         if r.unique_key:
             # The repeated keys are few and narrow beside the rows they are matched with.
@@ -93,15 +93,16 @@ def split_by_rules(df: DataFrame, rules: Sequence[Rule]) -> tuple[DataFrame, Dat
                 *key, F.lit(True).alias(mark)), "repeated")
             judged = join_unique(judged.withColumns(key), repeated, list(key),
                                  check_unique=False).drop(*key)
-            wrong[i] = F.coalesce(mark, F.lit(False))
+            wrong.append(r.checked & F.coalesce(mark, F.lit(False)))
         else:
-            wrong[i] = _broken(r)
-    if not rules:
-        return df, df.where("false").withColumn("_failed_rules", F.array().cast("array<string>"))
-    any_wrong = reduce(lambda a, b: a | b, wrong.values())
-    names = F.array_compact(F.array(*[F.when(wrong[i], F.lit(r.name)) for i, r in enumerate(rules)]))
-    passed = judged.where(~any_wrong).select(*df.columns)
-    return passed, judged.where(any_wrong).select(*df.columns, names.alias("_failed_rules"))
+            wrong.append(_broken(r))
+    names = F.array_compact(F.array(*[F.when(w, F.lit(r.name)) for w, r in zip(wrong, rules)]))
+    return judged, reduce(lambda a, b: a | b, wrong, F.lit(False)), names.cast("array<string>")
+
+
+def split_by_rules(df: DataFrame, rules: Sequence[Rule]) -> tuple[DataFrame, DataFrame]:
+    """Rows that keep every rule, and the others with ``_failed_rules`` in rule order."""
+    return gate(df, rules)
 
 
 class RuleGateError(Exception):
@@ -111,9 +112,10 @@ class RuleGateError(Exception):
 def gate(df: DataFrame, rules: Sequence[Rule], max_failed_share: float | None = None
          ) -> tuple[DataFrame, DataFrame]:
     """``split_by_rules`` that raises when more than the given share would be quarantined."""
-    passed, quarantined = split_by_rules(df, rules)
+    judged, wrong, names = _judge(df, rules)
     if max_failed_share is not None:
-        total, failed = df.count(), quarantined.count()
+        total, failed = judged.agg(F.count("*"), F.count_if(wrong)).first()
         if total and failed / total > max_failed_share:
             raise RuleGateError(f"{failed} of {total} rows failed, limit {max_failed_share}")
-    return passed, quarantined
+    held = judged.where(wrong).select(*df.columns, names.alias("_failed_rules"))
+    return judged.where(~wrong).select(*df.columns), held

@@ -1,6 +1,7 @@
 """Raw to typed rows, null policy, business-key deduplication and upsert."""
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
@@ -19,12 +20,16 @@ def typed(df: DataFrame, types: Mapping[str, str], on_error: str = "null") -> Da
     Strings are trimmed and blanks become NULL. A value that does not read as its
     type becomes NULL, or with ``on_error="fail"`` stops the job.
     """
+    return df.select(*typed_columns(df, types, on_error))
+
+
+def typed_columns(df: DataFrame, types: Mapping[str, str], on_error: str = "null") -> list[Column]:
     undeclared = [c for c in df.columns if c not in types and c not in AUDIT_COLUMNS]
     absent = [c for c in types if c not in df.columns]
     if undeclared or absent:
         raise ValueError(f"fields without a type: {undeclared}; typed fields not found: {absent}")
-    return df.select(*[F.col(c) if c in AUDIT_COLUMNS else
-                       _read_as(df.schema[c], types[c], on_error).alias(c) for c in df.columns])
+    return [F.col(c) if c in AUDIT_COLUMNS else _read_as(df.schema[c], types[c], on_error).alias(c)
+            for c in df.columns]
 
 
 def _read_as(field: T.StructField, data_type: str, on_error: str) -> Column:
@@ -38,21 +43,32 @@ def _read_as(field: T.StructField, data_type: str, on_error: str) -> Column:
     return F.when(value.isNotNull() & read.isNull(), F.raise_error(message)).otherwise(read)
 
 
-def type_rules(df: DataFrame, types: Mapping[str, str]) -> list[Rule]:
-    """The casts of ``typed`` that can fail, as rules over the raw rows for the quarantine."""
-    return [castable(column, data_type) for column, data_type in types.items()
+def type_rules(df: DataFrame, types: Mapping[str, str], inside: str = "") -> list[Rule]:
+    """The casts of ``typed`` that can fail, as rules over the raw rows for the quarantine.
+
+    ``inside`` names a struct column that holds the raw row.
+    """
+    prefix = f"{inside}." if inside else ""
+    return [castable(prefix + column, data_type, name=f"{column}:type")
+            for column, data_type in types.items()
             if df.schema[column].dataType != T.DataType.fromDDL(data_type)]
 
 
-def null_policy(df: DataFrame, policy: Mapping[str, tuple]) -> DataFrame:
-    """``{column: ("drop", None) | ("fill", value) | ("keep", None)}``; drops come first."""
+def null_policy(df: DataFrame, policy: Mapping[str, tuple],
+                exempt: Column | None = None) -> DataFrame:
+    """``{column: ("drop", None) | ("fill", value) | ("keep", None)}``; drops come first.
+
+    Rows that meet ``exempt`` are never dropped.
+    """
     unknown = {a for a, _ in policy.values()} - {"drop", "fill", "keep"}
     if unknown:
         raise ValueError(f"unknown null action(s) {sorted(unknown)}")
-    dropped = [c for c, (action, _) in policy.items() if action == "drop"]
+    needed = [F.col(c).isNotNull() for c, (action, _) in policy.items() if action == "drop"]
     filled = {c: F.coalesce(F.col(c), F.lit(value).cast(df.schema[c].dataType))
               for c, (action, value) in policy.items() if action == "fill"}
-    df = df.dropna(subset=dropped) if dropped else df
+    if needed:
+        complete = reduce(lambda a, b: a & b, needed)
+        df = df.where(complete if exempt is None else complete | exempt)
     return df.withColumns(filled) if filled else df
 
 

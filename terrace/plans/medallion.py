@@ -1,13 +1,14 @@
 """Bronze to Silver and Silver to Gold."""
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from terrace.functions.rules import Rule
+from terrace.functions.rules import Rule, when
 from terrace.operators.aggregates import kpi
 from terrace.operators.quality import gate
-from terrace.operators.staging import dedup, null_policy, type_rules, typed, upsert_into
+from terrace.operators.staging import dedup, null_policy, type_rules, typed_columns, upsert_into
 from terrace.operators.tables import (
     append, quoted, restore, staged, table_exists, write_partitioned)
 
@@ -15,15 +16,19 @@ from terrace.operators.tables import (
 def stage(raw: DataFrame, types: Mapping[str, str], nulls: Mapping[str, tuple],
           rules: Sequence[Rule], keys: Sequence[str], order_by: str,
           max_failed_share: float | None = None) -> tuple[DataFrame, DataFrame]:
-    """Typed, complete, valid, deduplicated rows, and the raw rows that did not qualify."""
-    readable, unreadable = gate(raw, type_rules(raw, types), max_failed_share)
-    complete = null_policy(typed(readable, types), nulls)
-    valid, invalid = gate(complete, rules, max_failed_share)
-    as_text = invalid.select(*[c if c.startswith("_") else invalid[c].cast("string").alias(c)
-                               for c in invalid.columns])
-    as_raw = unreadable.select(*[c if c.startswith("_") else unreadable[c].cast("string").alias(c)
-                                 for c in unreadable.columns])
-    return dedup(valid, keys, [order_by]), as_raw.unionByName(as_text)
+    """Typed, complete, valid, deduplicated rows, and the raw rows that did not qualify.
+
+    Every raw row is judged in one pass: its casts first, and the rules only where all
+    casts succeeded.
+    """
+    casts = type_rules(raw, types, inside="_raw")
+    unread = reduce(lambda a, b: a | b, [c.checked & ~c.passed for c in casts], F.lit(False))
+    rows = raw.select(*typed_columns(raw, types), F.struct(*raw.columns).alias("_raw"))
+    rows = null_policy(rows.withColumn("_unread", unread), nulls, exempt=F.col("_unread"))
+    checks = [*casts, *[when(~F.col("_unread"), r) for r in rules]]
+    passed, held = gate(rows, checks, max_failed_share)
+    return (dedup(passed.drop("_raw", "_unread"), keys, [order_by]),
+            held.select("_raw.*", "_failed_rules"))
 
 
 def refresh_silver(raw: DataFrame, table: str, types: Mapping[str, str], keys: Sequence[str],
