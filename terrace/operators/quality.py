@@ -6,7 +6,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from terrace.functions.audit import AUDIT_SCHEMA
-from terrace.functions.rules import Rule
+from terrace.functions.rules import Rule, when
 from terrace.operators.joins import join_unique
 from terrace.workspace import materialise
 
@@ -82,7 +82,7 @@ def rule_report(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     return report
 
 
-def _judge(df: DataFrame, rules: Sequence[Rule]) -> tuple[DataFrame, Column, Column]:
+def _verdicts(df: DataFrame, rules: Sequence[Rule]) -> tuple[DataFrame, Column, Column]:
     """The frame with what the rules need, whether a row breaks one, and which it breaks."""
     judged, wrong = df, []
     for i, r in enumerate(rules):
@@ -109,10 +109,20 @@ class RuleGateError(Exception):
     """Too large a share of the rows broke a rule."""
 
 
-def gate(df: DataFrame, rules: Sequence[Rule], max_failed_share: float | None = None
-         ) -> tuple[DataFrame, DataFrame]:
-    """``split_by_rules`` that raises when more than the given share would be quarantined."""
-    judged, wrong, names = _judge(df, rules)
+def gate(df: DataFrame, rules: Sequence[Rule], max_failed_share: float | None = None,
+         first: Sequence[Rule] = ()) -> tuple[DataFrame, DataFrame]:
+    """``split_by_rules`` that raises when more than the given share would be quarantined.
+
+    Rows that break one of the ``first`` rules, which look at one row each, are not held
+    to the others.
+    """
+    if any(r.unique_key for r in first):
+        raise ValueError("a unique rule cannot come first")
+    _, unfit, unfit_names = _verdicts(df, first)
+    judged, broken, broken_names = _verdicts(
+        df, [when(~unfit, r) if first and r.unique_key else r for r in rules])
+    wrong = unfit | broken
+    names = F.when(unfit, unfit_names).otherwise(broken_names)
     if max_failed_share is not None:
         total, failed = judged.agg(F.count("*"), F.count_if(wrong)).first()
         if total and failed / total > max_failed_share:

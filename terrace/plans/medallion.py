@@ -5,7 +5,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from terrace.functions.rules import Rule, when
+from terrace.functions.rules import Rule
 from terrace.operators.aggregates import kpi
 from terrace.operators.quality import gate
 from terrace.operators.staging import dedup, null_policy, type_rules, typed_columns, upsert_into
@@ -24,10 +24,9 @@ def stage(raw: DataFrame, types: Mapping[str, str], nulls: Mapping[str, tuple],
     casts = type_rules(raw, types, inside="_raw")
     unread = reduce(lambda a, b: a | b, [c.checked & ~c.passed for c in casts], F.lit(False))
     rows = raw.select(*typed_columns(raw, types), F.struct(*raw.columns).alias("_raw"))
-    rows = null_policy(rows.withColumn("_unread", unread), nulls, exempt=F.col("_unread"))
-    checks = [*casts, *[when(~F.col("_unread"), r) for r in rules]]
-    passed, held = gate(rows, checks, max_failed_share)
-    return (dedup(passed.drop("_raw", "_unread"), keys, [order_by]),
+    rows = null_policy(rows, nulls, exempt=unread)
+    passed, held = gate(rows, rules, max_failed_share, first=casts)
+    return (dedup(passed.drop("_raw"), keys, [order_by]),
             held.select("_raw.*", "_failed_rules"))
 
 
