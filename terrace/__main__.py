@@ -9,6 +9,7 @@ import sys
 from pyspark.sql import SparkSession
 
 from terrace.plans.ingest import ingest_all
+from terrace.sources.readers import supported_types
 from terrace.sources.registry import check_registry, load_registry
 
 
@@ -24,7 +25,7 @@ def main(argv=None) -> int:
 
     specs = load_registry(args.registry)
     spark = SparkSession.builder.appName("terrace ingest").getOrCreate()
-    check_registry(spark, specs)
+    check_registry(spark, specs, supported_types())
     runs = ingest_all(spark, specs, args.only, args.batch_id, args.fail_fast, args.catalog,
                       audit_table=("ops", "ingest_runs"), concurrency=args.concurrency)
     runs.select("source", "status", "rows", "duration_ms", "error").show(truncate=False)

@@ -25,10 +25,9 @@ def stored_mark(state: DataFrame, source: str, column: str):
 
 
 def unfinished_batches(state: DataFrame) -> list[str]:
-    """Batches of one source that were begun but never got their mark.
+    """Batches of one source that were begun but not ended: one row instead of two.
 
-    At most one exists: the next run takes it back before it begins its own. The
-    first run of an empty source ends without a mark too, and has no rows to lose.
+    At most one exists, because the next run takes it back and ends it.
     """
-    begun = state.groupBy("batch_id").agg(F.count("*").alias("n"))
-    return [r["batch_id"] for r in begun.where("n = 1").collect()]
+    counted = state.groupBy("batch_id").agg(F.count("*").alias("entries"))
+    return [r["batch_id"] for r in counted.where("entries = 1").collect()]

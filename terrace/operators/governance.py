@@ -60,7 +60,9 @@ def trust_score(parts: DataFrame, weights: Mapping[str, float], threshold: float
 
 
 def expire(df: DataFrame, ts: str, cutoff: datetime) -> DataFrame:
-    """Rows inside the retention period."""
+    """Rows inside the retention period; a ``<ts>_day`` partition column prunes the scan."""
+    if f"{ts}_day" in df.columns:
+        df = df.where(F.col(f"{ts}_day") >= F.lit(str(cutoff.date())).cast("date"))
     return df.where(F.col(ts) >= _moment(df, ts, cutoff))
 
 

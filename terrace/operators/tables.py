@@ -32,6 +32,7 @@ _OVERWRITE_MODE = threading.Lock()
 
 _INTEGERS = [T.ByteType, T.ShortType, T.IntegerType, T.LongType]
 _DIGITS = {T.ByteType: 3, T.ShortType: 5, T.IntegerType: 10, T.LongType: 19}
+_AS_TEXT = (*_INTEGERS, T.FloatType, T.DoubleType, T.DecimalType, T.BooleanType, T.DateType)
 _EXACT_FLOAT = {T.FloatType: (T.ByteType, T.ShortType),
                 T.DoubleType: (T.ByteType, T.ShortType, T.IntegerType, T.FloatType)}
 
@@ -87,6 +88,10 @@ def lossless(given: T.DataType, held: T.DataType) -> bool:
         if isinstance(given, T.DecimalType):
             return given.precision - given.scale <= whole and given.scale <= held.scale
         return kind in _DIGITS and _DIGITS[kind] <= whole
+    if target is T.StringType:
+        return kind in _AS_TEXT
+    if kind is T.DateType:
+        return target in (T.TimestampType, T.TimestampNTZType)
     return kind in _EXACT_FLOAT.get(target, ())
 
 
@@ -307,7 +312,7 @@ def in_partitions(table: DataFrame, partitions: Sequence[Mapping]) -> DataFrame:
         table = table.where(wanted)
         same = table[k].eqNullSafe(listed[k])
         exact = same if exact is None else exact & same
-    return table.join(F.broadcast(listed), exact, "left_semi")
+    return table.join(listed, exact, "left_semi")
 
 
 def replace_partitions(df: DataFrame, fqn: str, partitions: Sequence[Mapping]) -> None:

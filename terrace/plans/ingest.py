@@ -95,15 +95,16 @@ def ingest_increment(spark: SparkSession, spec: SourceSpec, column: str, batch_i
     """Load only rows above the source's high-water mark and move the mark.
 
     The new mark is the maximum the write itself observed. The state table records a
-    batch before its write and its mark afterwards; a batch without a mark stopped
-    half-way and is taken back out of the table before the next one is read.
+    batch before its write and its mark afterwards; a batch begun but not ended stopped
+    half-way and is taken back out of the table before the next one is read. One run per
+    source at a time.
     """
     target = quoted(catalog, spec.namespace, spec.table or spec.name)
     raw = read_source(spark, spec)
     kind = raw.schema[column].dataType.simpleString()
 
-    def record(mark):
-        row = spark.createDataFrame([(spec.name, batch_id, mark)],
+    def record(batch, mark):
+        row = spark.createDataFrame([(spec.name, batch, mark)],
                                     f"source string, batch_id string, mark {kind}")
         append(row.select("source", "batch_id", F.col("mark").cast("string").alias("high_water"),
                           F.current_timestamp().alias("recorded_at")), *state, catalog=catalog)
@@ -116,8 +117,9 @@ def ingest_increment(spark: SparkSession, spec: SourceSpec, column: str, batch_i
         for batch in unfinished_batches(stored):
             if table_exists(spark, target):
                 rollback_batch(spark, target, batch)
-    record(None)
+            record(batch, None)
+    record(batch_id, None)
     rows = enrich(read_increment(raw, column, mark), spec.name, spec.type, batch_id, from_files(spec))
     table, count, seen = _append_counted(rows, spec, catalog, F.max(column).alias("mark"))
-    record(seen["mark"] if count else mark)
+    record(batch_id, seen["mark"] if count else mark)
     return table, count

@@ -10,7 +10,7 @@ from terrace.operators.aggregates import kpi
 from terrace.operators.quality import gate
 from terrace.operators.staging import dedup, null_policy, type_rules, typed_columns, upsert_into
 from terrace.operators.tables import (
-    append, quoted, restore, staged, table_exists, write_partitioned)
+    append, quoted, restore, rollback_batch, staged, table_exists, write_partitioned)
 
 
 def stage(raw: DataFrame, types: Mapping[str, str], nulls: Mapping[str, tuple],
@@ -37,16 +37,13 @@ def refresh_silver(raw: DataFrame, table: str, types: Mapping[str, str], keys: S
                    partition_by: Sequence[str] = ()) -> str:
     """Merge staged rows into a Silver table; rows that fail go to ``<table>_quarantine``.
 
-    A rerun of the same batch leaves the Silver table as it is. With ``partition_by``
+    A rerun of the same batch leaves both as they are. With ``partition_by``
     columns that belong to the keys a refresh rewrites only the partitions it touches.
     """
     spark = raw.sparkSession
     fqn = quoted(catalog, namespace, table)
     good, bad = stage(raw, types, nulls or {}, rules, keys, order_by, max_failed_share)
-    if "_batch_id" in raw.columns:
-        write_partitioned(bad, namespace, f"{table}_quarantine", ["_batch_id"], catalog, evolve=True)
-    else:
-        append(bad, namespace, f"{table}_quarantine", catalog, evolve=True)
+    _quarantine(raw, bad, namespace, f"{table}_quarantine", catalog)
     restore(spark, fqn)
     if not table_exists(spark, fqn):
         return append(good, namespace, table, catalog, partition_by)
@@ -56,6 +53,17 @@ def refresh_silver(raw: DataFrame, table: str, types: Mapping[str, str], keys: S
     return fqn
 
 
+def _quarantine(raw: DataFrame, bad: DataFrame, namespace: str, table: str,
+                catalog: str | None) -> None:
+    """Replace what is held of the batches in ``raw``; rows without a batch are only added."""
+    spark, held = raw.sparkSession, quoted(catalog, namespace, table)
+    batched = "_batch_id" in raw.columns
+    if batched and table_exists(spark, held):
+        for batch in raw.select("_batch_id").distinct().dropna().collect():
+            rollback_batch(spark, held, batch["_batch_id"])
+    append(bad, namespace, table, catalog, ["_batch_id"] if batched else (), evolve=True)
+
+
 def refresh_gold(facts: DataFrame, table: str, by: Sequence[str], measures: Mapping[str, Column],
                  partition_by: Sequence[str], mode: str = "group", namespace: str = "gold",
                  catalog: str | None = None) -> str:

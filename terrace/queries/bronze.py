@@ -4,7 +4,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from terrace.functions.audit import enrich, raw_columns, select_rows
+from terrace.functions.audit import AUDIT_COLUMNS, enrich, raw_columns, select_rows
 from terrace.operators.aggregates import rows_by
 from terrace.operators.joins import join_unique, rows_with_run
 from terrace.operators.quality import audit_contract, schema_report
@@ -355,13 +355,13 @@ def runs_join_rows(spark, sf):
 
 @query("audit_contract", """
     SELECT c AS "column", t AS expected, t AS actual, 'ok' AS status,
-           CASE WHEN c = '_batch_id' THEN (SELECT count(*) FROM orders) END AS rows
+           (SELECT avg(CASE WHEN o_orderkey IS NULL THEN 0.0 ELSE 1.0 END) FROM orders) AS share
     FROM (VALUES ('_ingested_at', 'timestamp'), ('_source', 'string'), ('_source_type', 'string'),
                  ('_batch_id', 'string'), ('_source_file', 'string')) v(c, t)""")
 def audit_contract_query(spark, sf):
     rows = ingest_file(spark, "orders", f"{sf}/orders.parquet", "parquet", "contract")
-    counted = rows.agg(F.lit("_batch_id").alias("column"), F.count("_batch_id").alias("rows"))
-    return audit_contract(rows).join(counted, "column", "left")
+    filled = completeness(rows, AUDIT_COLUMNS).withColumnRenamed("field", "column")
+    return audit_contract(rows).join(filled, "column", "left")
 
 
 @query("schema_check", """

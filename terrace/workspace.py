@@ -32,8 +32,12 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def scratch(spark: SparkSession, label: str) -> str:
-    """A path under the shared folder that nothing else uses."""
-    return f"{shared_folder(spark)}/terrace/{label}-{uuid.uuid4().hex[:12]}"
+    """A path under the shared folder that nothing else uses.
+
+    All paths of one application lie together, to be removed when it has ended.
+    """
+    run = spark.sparkContext.applicationId
+    return f"{shared_folder(spark)}/terrace/{run}/{label}-{uuid.uuid4().hex[:12]}"
 
 
 def materialise(df: DataFrame, label: str = "stage") -> DataFrame:

@@ -93,6 +93,8 @@ def test_freshness_and_retention(rows):
     empty = freshness(df.where("k = 'c'"), "ts", as_of, timedelta(hours=1)).first()
     assert empty.stale is True and empty.newest is None
     assert expire(df, "ts", datetime(2024, 1, 2)).count() == 1
+    by_day = df.withColumn("ts_day", F.to_date("ts"))
+    assert expire(by_day, "ts", datetime(2024, 1, 1, 12)).count() == 1
 
 
 def test_completeness(rows):

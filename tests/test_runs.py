@@ -3,6 +3,7 @@ from datetime import datetime, timedelta
 import pytest
 
 from terrace.__main__ import main
+from terrace.operators.changes import unfinished_batches
 from terrace.operators.runs import (
     RUN_SCHEMA, failed_sources, failure_rate, pair_events, run_summary, sla)
 from terrace.operators.tables import quoted
@@ -105,6 +106,7 @@ def test_increment_stopped_after_its_write_is_taken_back(spark, ns, tmp_path, ro
     monkeypatch.undo()
     assert spark.table(quoted(ns, "feed")).count() == 2
     assert load("b3") == 1 and load("b4") == 0
+    assert unfinished_batches(spark.table(quoted(ns, "marks"))) == []
     assert rows.of(spark.table(quoted(ns, "feed")).select("id", "_batch_id")) == [(1, "b1"), (2, "b3")]
 
 

@@ -147,5 +147,8 @@ def test_silver_refresh(spark, ns, rows):
     held = spark.table(quoted(ns, "facts_quarantine"))
     assert rows.of(held.select("id", "_batch_id", "_failed_rules")) == [
         ("2", "b1", ["v:minimum"]), ("x", "b1", ["id:type"])]
+    refresh_silver(one, "facts", **options | {"rules": []})
+    assert rows.of(held.sparkSession.table(quoted(ns, "facts_quarantine")).select("id")) == [("x",)]
+    assert rows.of(spark.table(fqn).select("id", "v")) == [(1, 5.0), (2, -1.0), (4, 6.0)]
     gold = refresh_gold(spark.table(fqn), "daily", ["day"], {"v": F.sum("v")}, ["day"], namespace=ns)
-    assert [r.v for r in spark.table(gold).orderBy("day").collect()] == [5.0, 6.0]
+    assert [r.v for r in spark.table(gold).orderBy("day").collect()] == [4.0, 6.0]

@@ -46,6 +46,12 @@ def test_lossy_types_are_refused_before_writing(spark, ns, rows, given):
     assert spark.table(fqn).count() == 1
 
 
+def test_wider_columns_take_narrower_values(spark, ns, rows):
+    fqn = append(rows.make([("a", 1)], "s string, n bigint"), ns, "t")
+    append(rows.make([(5, 2)], "s int, n int"), ns, "t")
+    assert rows.of(spark.table(fqn)) == [("5", 2), ("a", 1)]
+
+
 def test_nested_field_cannot_be_added_silently(ns, rows):
     append(rows.make([((1,),)], "s struct<a:int>"), ns, "t")
     with pytest.raises(TypeError):
@@ -54,9 +60,10 @@ def test_nested_field_cannot_be_added_silently(ns, rows):
 
 def test_lossless_pairs():
     yes = [("int", "bigint"), ("int", "double"), ("float", "double"), ("int", "decimal(10,0)"),
-           ("decimal(5,2)", "decimal(7,3)"), ("array<int>", "array<bigint>"), ("void", "string")]
+           ("bigint", "string"), ("date", "timestamp"), ("decimal(5,2)", "decimal(7,3)"), ("array<int>", "array<bigint>"), ("void", "string")]
     no = [("bigint", "double"), ("int", "float"), ("double", "float"), ("decimal(5,2)", "decimal(5,3)"),
-          ("bigint", "decimal(18,0)"), ("timestamp", "date"), ("map<string,bigint>", "map<string,int>")]
+          ("bigint", "decimal(18,0)"), ("timestamp", "date"), ("timestamp", "string"),
+          ("string", "int"), ("map<string,bigint>", "map<string,int>")]
     for expected, pairs in ((True, yes), (False, no)):
         for given, held in pairs:
             assert lossless(T.DataType.fromDDL(given), T.DataType.fromDDL(held)) is expected, (given, held)
