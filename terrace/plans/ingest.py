@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from terrace.functions.audit import enrich
 from terrace.operators.changes import stored_mark, unfinished_batches
 from terrace.operators.runs import RUN_SCHEMA
-from terrace.operators.tables import append, quoted, rollback_batch, table_exists
+from terrace.operators.tables import append, delete_rows, literal, quoted, table_exists
 from terrace.sources.jdbc import read_increment
 from terrace.sources.readers import from_files, read_source
 from terrace.sources.registry import choose
@@ -116,7 +116,7 @@ def ingest_increment(spark: SparkSession, spec: SourceSpec, column: str, batch_i
                            spec.name, "high_water")
         for batch in unfinished_batches(stored):
             if table_exists(spark, target):
-                rollback_batch(spark, target, batch)
+                delete_rows(spark, target, f"_batch_id = {literal(batch)} AND _source = {literal(spec.name)}")
             record(batch, None)
     record(batch_id, None)
     rows = enrich(read_increment(raw, column, mark), spec.name, spec.type, batch_id, from_files(spec))

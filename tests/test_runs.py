@@ -94,6 +94,8 @@ def test_increment_stopped_after_its_write_is_taken_back(spark, ns, tmp_path, ro
     load = increments(spark, ns, tmp_path)
     rows.make([(1,)], "id int").write.parquet(f"{tmp_path}/feed")
     load("b1")
+    other = SourceSpec("other", {"path": f"{tmp_path}/feed", "format": "parquet"}, namespace=ns, table="feed")
+    ingest_source(spark, other, "b2")  # the same batch of another source must stay
     rows.make([(2,)], "id int").write.mode("append").parquet(f"{tmp_path}/feed")
     real = ingest._append_counted
 
@@ -104,10 +106,11 @@ def test_increment_stopped_after_its_write_is_taken_back(spark, ns, tmp_path, ro
     with pytest.raises(KeyboardInterrupt):
         load("b2")
     monkeypatch.undo()
-    assert spark.table(quoted(ns, "feed")).count() == 2
+    assert spark.table(quoted(ns, "feed")).count() == 3
     assert load("b3") == 1 and load("b4") == 0
     assert unfinished_batches(spark.table(quoted(ns, "marks"))) == []
-    assert rows.of(spark.table(quoted(ns, "feed")).select("id", "_batch_id")) == [(1, "b1"), (2, "b3")]
+    assert rows.of(spark.table(quoted(ns, "feed")).select("id", "_batch_id")) == [
+        (1, "b1"), (1, "b2"), (2, "b3")]
 
 
 def run(batch, source, status, minute, ms):

@@ -1,6 +1,8 @@
+import uuid
 from datetime import datetime
 
 import pytest
+from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F, types as T
 
 from terrace.functions.audit import enrich
@@ -121,6 +123,20 @@ def test_rollback(spark, ns, layout):
     assert [r._batch_id for r in spark.table(fqn).collect()] == ["b1"] * 3
 
 
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.lists(st.tuples(st.integers(0, 3), st.sampled_from([None, "a", "b"])), max_size=4),
+                min_size=1, max_size=3), st.sampled_from([[], ["s"], ["_batch_id"]]))
+def test_rollback_undoes_an_append(spark, ns, rows, batches, layout):
+    table = f"t{uuid.uuid4().hex}"
+    for i, data in enumerate(batches):
+        frame = enrich(rows.make(data, "v int, s string"), "src", "file", f"b{i}")
+        fqn = append(frame, ns, table, partition_by=layout)
+    before = rows.of(spark.table(fqn).select("v", "s", "_batch_id"))
+    append(enrich(rows.make([(7, "a"), (8, "new")], "v int, s string"), "src", "file", "late"), ns, table)
+    rollback_batch(spark, fqn, "late")
+    assert rows.of(spark.table(fqn).select("v", "s", "_batch_id")) == before
+
+
 @pytest.mark.parametrize("layout", [[], ["_batch_id"]])
 def test_replayed_batch_replaces_itself(spark, ns, layout):
     fqn = two_batches(spark, ns, partition_by=layout)
