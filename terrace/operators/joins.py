@@ -56,7 +56,7 @@ def join_unique(df: DataFrame, other: DataFrame, on: str | Sequence[str], how: s
 
 
 def split_hot_join(df: DataFrame, other: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
-    """The large-by-large form of ``join_unique``."""
+    """The large-by-large form of ``join_unique``; ``df`` is read three times."""
     bucket = F.xxhash64(*keys)
     # A sketch: it only chooses the route of a row, never whether it is in the result.
     found = (df.select(bucket.alias("h"))

@@ -38,18 +38,19 @@ def _broken(rule: Rule) -> Column:
     return rule.checked & ~F.coalesce(rule.passed, F.lit(False))
 
 
-def _compact(df: DataFrame, rule: Rule) -> dict:
+def _compact(df: DataFrame, rule: Rule) -> dict[str, Column]:
     """The key of a unique rule as narrow columns.
 
-    Text over 32 bytes stands as its SHA-256 digest, so counting whole documents
-    shuffles 64 characters for each; a digest is longer than any text kept as it is.
+    Text of 32 bytes and more stands as its 32-byte SHA-256 digest, so counting whole
+    documents shuffles little; text kept as it is is shorter than any digest.
     """
     key = {}
     for i, c in enumerate(rule.unique_key):
-        text = df.select(c).schema[0].dataType.typeName() == "string"
         column = F.col(c)
-        key[f"_key{i}"] = F.when(F.octet_length(column) <= 32, column).otherwise(
-            F.sha2(column, 256)) if text else column
+        if df.select(c).schema[0].dataType.typeName() == "string":
+            column = F.when(F.octet_length(column) < 32, column.cast("binary")).otherwise(
+                F.unhex(F.sha2(column, 256)))
+        key[f"_key{i}"] = column
     return key
 
 
