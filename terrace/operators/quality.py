@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from terrace.functions.audit import AUDIT_SCHEMA
 from terrace.functions.rules import Rule, when
 from terrace.operators.joins import join_unique
+from terrace.operators.tables import quoted
 from terrace.workspace import materialise
 
 
@@ -128,5 +129,6 @@ def gate(df: DataFrame, rules: Sequence[Rule], max_failed_share: float | None =
         total, failed = judged.agg(F.count("*"), F.count_if(wrong)).first()
         if total and failed / total > max_failed_share:
             raise RuleGateError(f"{failed} of {total} rows failed, limit {max_failed_share}")
-    held = judged.where(wrong).select(*df.columns, names.alias("_failed_rules"))
-    return judged.where(~wrong).select(*df.columns), held
+    columns = [quoted(c) for c in df.columns]
+    held = judged.where(wrong).select(*columns, names.alias("_failed_rules"))
+    return judged.where(~wrong).select(*columns), held

@@ -9,7 +9,7 @@ from terrace.functions.audit import AUDIT_COLUMNS
 from terrace.functions.rules import Rule, castable
 from terrace.operators.joins import join_unique
 from terrace.operators.tables import (
-    in_partitions, is_native, partition_columns, quoted, replace_partitions, replace_table,
+    add_columns, in_partitions, is_native, partition_columns, quoted, replace_partitions, replace_table,
     restore)
 from terrace.workspace import materialise
 
@@ -33,7 +33,7 @@ def typed_columns(df: DataFrame, types: Mapping[str, str], on_error: str = "null
 
 
 def _read_as(field: T.StructField, data_type: str, on_error: str) -> Column:
-    value = F.col(field.name)
+    value = F.col(quoted(field.name))
     if isinstance(field.dataType, T.StringType):
         value = F.nullif(F.trim(value), F.lit(""))
     read = value.try_cast(data_type)
@@ -49,7 +49,7 @@ def type_rules(df: DataFrame, types: Mapping[str, str], inside: str = "") -> lis
     ``inside`` names a struct column that holds the raw row.
     """
     prefix = f"{inside}." if inside else ""
-    return [castable(prefix + column, data_type, name=f"{column}:type")
+    return [castable(prefix + quoted(column), data_type, name=f"{column}:type")
             for column, data_type in types.items()
             if df.schema[column].dataType != T.DataType.fromDDL(data_type)]
 
@@ -73,7 +73,7 @@ def null_policy(df: DataFrame, policy: Mapping[str, tuple],
 
 
 def _orderable(field: T.StructField) -> Column:
-    column = F.col(field.name)
+    column = F.col(quoted(field.name))
     return F.to_json(column) if "map<" in field.dataType.simpleString() else column
 
 
@@ -114,16 +114,11 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], order_by:
     """
     if not target_unique:
         return _winners(target, source, keys, order_by)
-    touched = source.select(*keys).distinct()
-    if any(f.nullable for f in touched.schema):
-        # NULL keys form one key, so compare a NULL-safe stand-in.
-        marks = [F.struct(F.coalesce(F.col(k), _zero(target.schema[k])).alias("v"),
-                          F.col(k).isNull().alias("n")) for k in keys]
-    else:
-        marks = [F.col(k) for k in keys]
+    # A struct of the key is never NULL, so keys that are NULL compare equal too.
     names = [f"_key{i}" for i in range(len(keys))]
-    stand_in = dict(zip(names, marks))
-    touched = materialise(touched.withColumns(stand_in).select(*names), "touched")
+    stand_in = {n: F.struct(F.col(k).cast(target.schema[k].dataType).alias("key"))
+                for n, k in zip(names, keys)}
+    touched = materialise(source.select(*[c.alias(n) for n, c in stand_in.items()]).distinct(), "touched")
     marked = target.withColumns(stand_in)
     kept = join_unique(marked, touched, names, "left_anti", check_unique=False)
     contested = join_unique(marked, touched, names, "left_semi", check_unique=False)
@@ -134,16 +129,19 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], order_by:
 def upsert_into(source: DataFrame, fqn: str, keys: Sequence[str], order_by: str) -> None:
     """``upsert`` into a stored table that has one row per key.
 
-    A catalog with row-level changes merges. A plain table whose partition columns are
+    Columns that only the source has are added to the table. A catalog with row-level
+    changes merges. A plain table whose partition columns are
     among the keys rewrites only the partitions the source touches; any other one is
     rewritten whole. ``source`` is read more than once and should be a stored table.
     """
     spark = source.sparkSession
     if not is_native(spark, fqn):
         restore(spark, fqn)
+    add_columns(source, fqn, evolve=True)
     parts = partition_columns(spark, fqn)
     if is_native(spark, fqn):
-        best = first_per_key(source, keys, [F.col(order_by).desc_nulls_last()])
+        same_columns = spark.table(fqn).limit(0).unionByName(source, allowMissingColumns=True)
+        best = first_per_key(same_columns, keys, [F.col(order_by).desc_nulls_last()])
         on = " AND ".join(f"t.{quoted(k)} <=> s.{quoted(k)}" for k in keys)
         newer = f"t.{quoted(order_by)} IS NULL OR s.{quoted(order_by)} >= t.{quoted(order_by)}"
         spark.sql(f"MERGE INTO {fqn} t USING {{best}} s ON {on} WHEN MATCHED AND ({newer}) "
@@ -157,11 +155,6 @@ def upsert_into(source: DataFrame, fqn: str, keys: Sequence[str], order_by: str)
         replace_table(upsert(spark.table(fqn), source, keys, order_by, target_unique=True), fqn)
 
 
-def _zero(field: T.StructField) -> Column:
-    kind = "" if isinstance(field.dataType, T.StringType) else 0
-    return F.lit(kind).try_cast(field.dataType)
-
-
 def _winners(target: DataFrame, source: DataFrame, keys: Sequence[str], order_by: str) -> DataFrame:
     both = target.withColumn("_side", F.lit(1)).unionByName(
         source.withColumn("_side", F.lit(0)), allowMissingColumns=True)

@@ -95,7 +95,7 @@ def lossless(given: T.DataType, held: T.DataType) -> bool:
     return kind in _EXACT_FLOAT.get(target, ())
 
 
-def _matched(df: DataFrame, held: T.StructType, fqn: str) -> list[T.StructField]:
+def _new_columns(df: DataFrame, held: T.StructType, fqn: str) -> list[T.StructField]:
     """Check types of shared columns; return the columns the table does not have yet."""
     known = {f.name.lower(): f for f in held}
     conflicts = [f"{f.name}: {f.dataType.simpleString()} into {known[f.name.lower()].dataType.simpleString()}"
@@ -117,9 +117,10 @@ def _nullable(kind: T.DataType) -> T.DataType:
     return kind
 
 
-def _add_columns(df: DataFrame, fqn: str, evolve: bool) -> None:
+def add_columns(df: DataFrame, fqn: str, evolve: bool) -> None:
+    """Refuse lossy types, and columns the table lacks unless they may be added."""
     spark = df.sparkSession
-    added = _matched(df, spark.table(fqn).schema, fqn)
+    added = _new_columns(df, spark.table(fqn).schema, fqn)
     if added and not evolve:
         raise ValueError(f"{fqn} has no column(s) {[f.name for f in added]}")
     if added:
@@ -161,7 +162,7 @@ def append(df: DataFrame, namespace: str, table: str, catalog: str | None = None
         writer.create()
         return fqn
 
-    _add_columns(df, fqn, evolve)
+    add_columns(df, fqn, evolve)
     rows = spread(df, [k for k in _layout_columns(spark, fqn) if k in df.columns])
     rows = rows.observe(observe[0], *observe[1]) if observe else rows
     if replay_of is not None:
@@ -186,7 +187,7 @@ def _append_native(df, fqn, partition_by, properties, evolve, replay_of):
         stated = ", ".join(f"'{k}' = '{v}'" for k, v in {**TABLE_PROPERTIES, **(properties or {})}.items())
         spark.sql(f"CREATE TABLE {fqn} ({_nullable(df.schema).toDDL()})"
                   + (f" PARTITIONED BY ({layout})" if layout else "") + f" TBLPROPERTIES ({stated})")
-    added = _matched(df, spark.table(fqn).schema, fqn)
+    added = _new_columns(df, spark.table(fqn).schema, fqn)
     if added and not evolve:
         raise ValueError(f"{fqn} has no column(s) {[f.name for f in added]}")
     writer = df.writeTo(fqn).option("mergeSchema", str(evolve).lower())
@@ -227,7 +228,7 @@ def overwrite_partitions(df: DataFrame, fqn: str) -> None:
     keys = partition_columns(spark, fqn)
     if not keys:
         raise ValueError(f"{fqn} is not partitioned")
-    _add_columns(df, fqn, evolve=False)
+    add_columns(df, fqn, evolve=False)
     _overwrite(spread(df, keys), fqn)
 
 
@@ -243,7 +244,7 @@ def write_partitioned(df: DataFrame, namespace: str, table: str, partition_by: S
         return append(df, namespace, table, catalog, partition_by)
     if not is_native(spark, fqn):
         df = df.withColumns(derived_columns(partition_by)) if derived_columns(partition_by) else df
-        _add_columns(df, fqn, evolve)
+        add_columns(df, fqn, evolve)
     overwrite_partitions(df, fqn)
     return fqn
 

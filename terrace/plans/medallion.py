@@ -23,7 +23,7 @@ def stage(raw: DataFrame, types: Mapping[str, str], nulls: Mapping[str, tuple],
     """
     casts = type_rules(raw, types, inside="_raw")
     unread = reduce(lambda a, b: a | b, [c.checked & ~c.passed for c in casts], F.lit(False))
-    rows = raw.select(*typed_columns(raw, types), F.struct(*raw.columns).alias("_raw"))
+    rows = raw.select(*typed_columns(raw, types), F.struct(*[quoted(c) for c in raw.columns]).alias("_raw"))
     rows = null_policy(rows, nulls, exempt=unread)
     passed, held = gate(rows, rules, max_failed_share, first=casts)
     return (dedup(passed.drop("_raw"), keys, [order_by]),

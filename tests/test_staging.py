@@ -114,6 +114,26 @@ def test_upsert_into_a_partitioned_table_touches_only_its_partitions(spark, ns,
     assert kept <= set(spark.table(fqn).inputFiles())
 
 
+def test_upsert_into_adds_columns_and_refuses_lossy_types(spark, ns, rows):
+    day = datetime(2024, 1, 1).date()
+    for table, layout in (("plain", []), ("parted", ["day"])):
+        fqn = append(rows.make([(day, 1), (None, 1)], "day date, v int"), ns, table, partition_by=layout)
+        upsert_into(rows.make([(None, 2, "x")], "day date, v int, more string"), fqn, ["day"], "v")
+        assert rows.of(spark.table(fqn).select("day", "v", "more")) == [(None, 2, "x"), (day, 1, None)]
+        with pytest.raises(TypeError):
+            upsert_into(rows.make([(day, 2.5)], "day date, v double"), fqn, ["day"], "v")
+
+
+def test_odd_column_names_pass_through_all_layers(spark, ns, rows):
+    raw = rows.make([("1", "2.5", "a"), ("x", "1", "b")], "`order id` string, `unit.price` string, `a``b` string")
+    kept = spark.table(append(enrich(raw, "s", "file", "b1"), ns, "raw"))
+    types = {"order id": "int", "unit.price": "double", "a`b": "string"}
+    fqn = refresh_silver(kept, "odd", types, ["order id"], "_ingested_at", namespace=ns)
+    refresh_silver(kept, "odd", types, ["order id"], "_ingested_at", namespace=ns)
+    assert rows.of(spark.table(fqn).select(*[quoted(c) for c in types])) == [(1, 2.5, "a")]
+    assert spark.table(quoted(ns, "odd_quarantine")).first()["order id"] == "x"
+
+
 def test_changes(rows):
     log = rows.make([("i", 1, 1), ("u", 1, 2), ("i", 2, 1), ("d", 2, 1), ("d", 3, 5), ("u", 3, 4),
                      (None, 4, 1)], "op string, k int, seq int")
