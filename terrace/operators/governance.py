@@ -1,7 +1,7 @@
 """Freshness, completeness, trust, retention, lineage and cost."""
 
 from collections.abc import Mapping, Sequence
-from datetime import datetime, time, timedelta
+from datetime import datetime, timedelta
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -79,10 +79,10 @@ def expire_table(spark: SparkSession, fqn: str, ts: str, cutoff: datetime) -> No
         delete_rows(spark, fqn, f"{quoted(ts)} IS NULL OR {early}")
         return
     last_day = F.lit(str(cutoff.date())).cast("date")
-    days = table.where((F.col(day) < last_day) | F.col(day).isNull()).select(day).distinct()
+    days = table.where(F.col(day) < last_day).select(day).distinct()
     drop_partitions(spark, fqn, [r.asDict() for r in days.collect()])
-    if cutoff.time() > time.min:
-        delete_rows(spark, fqn, f"{quoted(day)} = DATE '{cutoff.date()}' AND {early}")
+    delete_rows(spark, fqn, f"({quoted(day)} IS NULL OR {quoted(day)} = DATE '{cutoff.date()}') "
+                            f"AND ({quoted(ts)} IS NULL OR {early})")
 
 
 def lineage(runs: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ from terrace.functions.rules import Rule, castable
 from terrace.operators.joins import join_unique
 from terrace.operators.tables import (
     add_columns, in_partitions, is_native, partition_columns, quoted, replace_partitions, replace_table,
-    restore)
+    restore, with_partitions)
 from terrace.workspace import materialise
 
 
@@ -137,6 +137,7 @@ def upsert_into(source: DataFrame, fqn: str, keys: Sequence[str], order_by: str)
     spark = source.sparkSession
     if not is_native(spark, fqn):
         restore(spark, fqn)
+    source = with_partitions(source, fqn)
     add_columns(source, fqn, evolve=True)
     parts = partition_columns(spark, fqn)
     if is_native(spark, fqn):

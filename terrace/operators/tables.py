@@ -26,6 +26,9 @@ TABLE_PROPERTIES = {
     "write.target-file-size-bytes": "134217728",
 }
 
+# Table property that keeps the partition transforms of a plain table.
+_LAYOUT = "terrace.partition_by"
+
 # insertInto takes the overwrite mode from the session alone, so a thread that has
 # switched it must finish its write before another one switches it back.
 _OVERWRITE_MODE = threading.Lock()
@@ -149,19 +152,19 @@ def append(df: DataFrame, namespace: str, table: str, catalog: str | None = None
         return fqn
 
     restore(spark, fqn)
-    derived = derived_columns(partition_by)
-    df = df.withColumns(derived) if derived else df
     if not table_exists(spark, fqn):
-        rows = spread(df, _write_keys(partition_by))
+        rows = spread(_with_derived(df, partition_by), _write_keys(partition_by))
         rows = rows.observe(observe[0], *observe[1]) if observe else rows
         writer = rows.writeTo(fqn).using("parquet").option("compression", "zstd")
-        for key, value in (properties or {}).items():
+        layout = {_LAYOUT: "; ".join(partition_by)} if derived_columns(partition_by) else {}
+        for key, value in {**layout, **(properties or {})}.items():
             writer = writer.tableProperty(key, value)
         if partition_by:
             writer = writer.partitionedBy(*plain_partitions(partition_by))
         writer.create()
         return fqn
 
+    df = with_partitions(df, fqn)
     add_columns(df, fqn, evolve)
     rows = spread(df, [k for k in _layout_columns(spark, fqn) if k in df.columns])
     rows = rows.observe(observe[0], *observe[1]) if observe else rows
@@ -174,6 +177,24 @@ def append(df: DataFrame, namespace: str, table: str, catalog: str | None = None
     return fqn
 
 
+def _with_derived(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+    derived = derived_columns(partition_by)
+    return df.withColumns(derived) if derived else df
+
+
+def with_partitions(df: DataFrame, fqn: str) -> DataFrame:
+    """The frame with the derived partition columns of a plain table.
+
+    The transforms the table was created with are kept in it, so later writers need
+    not repeat them.
+    """
+    spark = df.sparkSession
+    if is_native(spark, fqn) or not partition_columns(spark, fqn):
+        return df
+    held = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {fqn}").collect()}
+    return _with_derived(df, held[_LAYOUT].split("; ")) if _LAYOUT in held else df
+
+
 def _write_keys(partition_by: Sequence[str]) -> list[str]:
     names = [next(iter(derived_columns([entry])), re.sub(r".*[(, ](\w+)\)$", r"\1", entry))
              for entry in partition_by]
@@ -228,6 +249,7 @@ def overwrite_partitions(df: DataFrame, fqn: str) -> None:
     keys = partition_columns(spark, fqn)
     if not keys:
         raise ValueError(f"{fqn} is not partitioned")
+    df = with_partitions(df, fqn)
     add_columns(df, fqn, evolve=False)
     _overwrite(spread(df, keys), fqn)
 
@@ -243,7 +265,7 @@ def write_partitioned(df: DataFrame, namespace: str, table: str, partition_by: S
     if not table_exists(spark, fqn):
         return append(df, namespace, table, catalog, partition_by)
     if not is_native(spark, fqn):
-        df = df.withColumns(derived_columns(partition_by)) if derived_columns(partition_by) else df
+        df = with_partitions(df, fqn)
         add_columns(df, fqn, evolve)
     overwrite_partitions(df, fqn)
     return fqn

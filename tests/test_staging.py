@@ -124,6 +124,17 @@ def test_upsert_into_adds_columns_and_refuses_lossy_types(spark, ns, rows):
             upsert_into(rows.make([(day, 2.5)], "day date, v double"), fqn, ["day"], "v")
 
 
+@pytest.mark.parametrize("keys", [["k"], ["k", "ts_day"]])
+def test_upsert_into_a_table_with_derived_partitions(spark, ns, rows, keys):
+    def at(day):
+        return datetime(2024, 1, day)
+    schema = "k int, ts timestamp"
+    fqn = append(rows.make([(1, at(1)), (2, at(1))], schema), ns, "t", partition_by=["days(ts)"])
+    upsert_into(rows.make([(1, at(2)), (3, at(3))], schema), fqn, keys, "ts")
+    found = sorted((r.k, r.ts.day, r.ts_day.day) for r in spark.table(fqn).collect())
+    assert found == ([(1, 2, 2)] if keys == ["k"] else [(1, 1, 1), (1, 2, 2)]) + [(2, 1, 1), (3, 3, 3)]
+
+
 def test_odd_column_names_pass_through_all_layers(spark, ns, rows):
     raw = rows.make([("1", "2.5", "a"), ("x", "1", "b")], "`order id` string, `unit.price` string, `a``b` string")
     kept = spark.table(append(enrich(raw, "s", "file", "b1"), ns, "raw"))
