@@ -50,7 +50,7 @@ def test_split_names_the_broken_rules_in_order(rows):
     assert split_by_rules(df, [])[0].count() == 4
 
 
-@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=7, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(st.tuples(st.one_of(st.none(), st.integers(0, 3)),
                           st.one_of(st.none(), st.sampled_from(["", "a", "b" * 40, "c" * 40]))), max_size=10))
 def test_split_keeps_every_row_once(rows, data):

@@ -176,7 +176,8 @@ def test_new_source_types(spark, rows):
         register_type("squares", format_reader("squares"))
         assert rows.of(read_source(spark, SourceSpec("sq", {"upto": 3}, "squares"))) == [
             (0, 0), (1, 1), (2, 4)]
-        assert supported_types() == ("file", "jdbc", "squares")
+        assert {"file", "jdbc", "squares"} <= set(supported_types())
+        assert list(supported_types()) == sorted(supported_types())
     finally:
         READERS.pop("squares")
     with pytest.raises(KeyError, match="file.*jdbc"):

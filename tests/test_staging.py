@@ -13,7 +13,7 @@ from terrace.operators.quality import split_by_rules
 from terrace.operators.tables import append, quoted
 from terrace.plans.medallion import refresh_gold, refresh_silver
 
-few = settings(max_examples=12, deadline=None,
+few = settings(max_examples=8, deadline=None,
                suppress_health_check=[HealthCheck.function_scoped_fixture])
 
 
