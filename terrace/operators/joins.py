@@ -57,7 +57,9 @@ def join_unique(df: DataFrame, other: DataFrame, on: str | Sequence[str], how: s
 
 def split_hot_join(df: DataFrame, other: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
     """The large-by-large form of ``join_unique``; ``df`` is read three times."""
-    bucket = F.xxhash64(*keys)
+    # Equal keys must hash alike on both sides, so hash them in their common type.
+    common = df.select(*keys).unionByName(other.select(*keys)).schema
+    bucket = F.xxhash64(*[F.col(k).cast(common[k].dataType) for k in keys])
     # A sketch: it only chooses the route of a row, never whether it is in the result.
     found = (df.select(bucket.alias("h"))
              .agg(F.expr(f"approx_top_k(h, {HOT_KEYS}, {HOT_KEYS * 16})").alias("top")).first())

@@ -34,6 +34,18 @@ def test_join_unique_equals_a_plain_join(route, facts, dim, rows, how):
     assert rows.of(join_unique(facts, dim, "k", how)) == rows.of(facts.join(dim, "k", how))
 
 
+@pytest.mark.parametrize("how", ["left", "inner", "left_semi", "left_anti"])
+@pytest.mark.parametrize("kind", ["bigint", "double", "decimal(12,2)"])
+def test_keys_of_different_types_meet(route, facts, dim, rows, how, kind):
+    wide = dim.withColumn("k", F.col("k").cast(kind))
+    assert rows.of(join_unique(facts, wide, "k", how)) == rows.of(facts.join(wide, "k", how))
+
+
+def test_empty_sides(route, facts, dim, rows):
+    assert join_unique(facts.where("false"), dim, "k").count() == 0
+    assert join_unique(facts, dim.where("false"), "k", "left_anti").count() == facts.count()
+
+
 def test_split_join_shuffles_no_hot_or_null_key(spark, facts, dim, monkeypatch):
     monkeypatch.setattr(joins, "HOT_KEYS", 1)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
