@@ -49,9 +49,8 @@ def sample(docs, rows, per_class=PER_CLASS):
 
 def forward(params, steps, mask):
     """Logits (time, classes, batch) and what ``gradients`` needs."""
-    table_f, table_b = params["in_f"].T, params["in_b"].T
-    ahead, kept_f = run(table_f, params["u_f"], steps, mask, keep=True)
-    behind, kept_b = run(table_b, params["u_b"], steps[::-1], mask[::-1], keep=True)
+    ahead, kept_f = run(params["in_f"], params["u_f"], steps, mask, keep=True)
+    behind, kept_b = run(params["in_b"], params["u_b"], steps[::-1], mask[::-1], keep=True)
     states = np.concatenate([ahead, behind[::-1]], axis=1)
     return params["w"] @ states + params["b"][:, None], (states, kept_f, kept_b)
 
@@ -143,15 +142,14 @@ def _each(model, texts, positions, sums=None):
     flat = np.frombuffer(b"".join(data) + b"\0", "u1")
     base = np.r_[0, np.cumsum(lengths)]
     found = windows(lengths, WINDOW, WINDOW)
-    table_f, table_b = (np.ascontiguousarray(model[k].T) for k in ("in_f", "in_b"))
     units = model["u_f"].shape[1]
     w_f, w_b, bias = model["w"][:, :units], model["w"][:, units:], model["b"][:, None]
     for chosen, at, inside in batches(found, WINDOW, ROWS):
         doc, start, _, fresh = found[:, chosen]
         steps = flat.take(np.minimum(base[doc] + start + at, len(flat) - 1))
         mask = None if inside.all() else inside.astype("f4")
-        ahead = run(table_f, model["u_f"], steps, mask)
-        behind = run(table_b, model["u_b"], steps[::-1], None if mask is None else mask[::-1])[::-1]
+        ahead = run(model["in_f"], model["u_f"], steps, mask)
+        behind = run(model["in_b"], model["u_b"], steps[::-1], None if mask is None else mask[::-1])[::-1]
         counted = (inside & (at >= fresh)).astype("f4")
         total = np.zeros((len(bias), len(doc)), "f4")
         every = [] if positions else None

@@ -15,15 +15,17 @@ def new_direction(rng, units):
 def run(table, weights, steps, mask=None, keep=False):
     """States of one direction for index steps ``(time, batch)``; masked steps leave the state alone.
 
-    ``table`` is ``(3 * units, entries)``. With ``keep`` the gates are returned for ``back``.
+    ``table`` is ``(entries, 3 * units)``. With ``keep`` the gates are returned for ``back``.
     """
     units = weights.shape[1]
+    columns = np.ascontiguousarray(table.T) if len(table) <= 1024 else None
     gates, candidate = weights[:2 * units], weights[2 * units:]
     state = np.zeros((units, steps.shape[1]), "f4")
     states = np.empty((len(steps), *state.shape), "f4")
     kept = []
     for t, step in enumerate(steps):
-        x = table.take(step, axis=1)
+        # Entries of a small table stay in the cache by column, those of a large one are read whole.
+        x = columns.take(step, axis=1) if columns is not None else table.take(step, axis=0).T
         g = gates @ state
         g += x[:2 * units]
         np.negative(g, g)

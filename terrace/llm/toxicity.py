@@ -1,7 +1,7 @@
 """Toxicity (operator 2): a bidirectional gated recurrent network with attention pooling, scoring windows.
 
 A step of the network is a word. Its input is a learnt word vector (words share ``WORDS`` hashed
-rows) plus the mean of learnt character vectors (hashed character pairs, with the word's edges), so
+rows) plus the mean of learnt character vectors (hashed byte triples, with the word's edges), so
 unseen spellings still say something. Attention over the states of a window pools it into one
 logit; the windows of a text overlap by half, all of them are scored, and the text has the score of
 its worst window. Trained in numpy by backpropagation through time on a bounded sample
@@ -26,8 +26,9 @@ from terrace.llm.registry import query, remainder, table
 
 THRESHOLD = 0.3
 PER_CLASS, PER_TEXT = 1200, 16
-WORDS, PAIRS = 1 << 13, 1 << 12
-UNITS, EPOCHS, BATCH, RATE, DECAY = 8, 6, 64, 0.02, 1e-4
+WORDS, TRIPLES = 1 << 13, 1 << 13
+UNITS, EPOCHS, BATCH, RATE, DECAY = 8, 6, 64, 0.02, 0.002
+CLEAN_WINDOWS = 2
 #: A word vector is learnt only if so many training texts have the word; others have their characters.
 LEAST_TEXTS = 4
 WINDOW, STRIDE, ROWS = 32, 16, 2048
@@ -43,7 +44,7 @@ def words_of(text):
 
 
 class Features:
-    """Numbers the words of some texts and gives the hashed rows of each word and its character pairs."""
+    """Numbers the words of some texts and gives the hashed rows of each word and its byte triples."""
 
     def __init__(self):
         self.number, self.words = {}, []
@@ -59,45 +60,45 @@ class Features:
         return np.array(out, "i4")
 
     def rows(self):
-        """(hashed word row, hashed pairs of all words in one array, where each word's pairs begin)."""
+        """(hashed word row, hashed triples of all words in one array, where each word's begin)."""
         data = [f"^{w}$".encode("utf-8", "replace") for w in self.words]
         lengths = np.array([len(d) for d in data], "i8")
         flat = np.frombuffer(b"".join(data), "u1").astype("u4")
         begin = np.r_[0, np.cumsum(lengths)[:-1]].astype("i8") if len(data) else np.zeros(0, "i8")
         if not len(data):
             return np.zeros(0, "i8"), np.zeros(0, "i8"), begin
-        pairs = (flat * 257 + np.roll(flat, -1)) * np.uint32(2654435761) >> np.uint32(20)
-        pairs[begin + lengths - 1] = 0
+        nearby = (flat * 257 + np.roll(flat, -1)) * 257 + np.roll(flat, -2)
+        nearby[begin + lengths - 2] = nearby[begin + lengths - 1] = 0
+        triples = nearby * np.uint32(2654435761) >> np.uint32(19)
         place = np.arange(len(flat)) - np.repeat(begin, lengths)
         with np.errstate(over="ignore"):
             power = np.cumprod(np.full(LONGEST_WORD * 4 + 2, 0x9E3779B97F4A7C15, "u8"))
             mixed = np.add.reduceat((flat.astype("u8") + 1) * power[place], begin)
             mixed = (mixed ^ (mixed >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
-        return (mixed >> np.uint64(64 - 13)).astype("i8"), (pairs % PAIRS).astype("i8"), begin
+        return (mixed >> np.uint64(64 - 13)).astype("i8"), (triples % TRIPLES).astype("i8"), begin
 
 
 def inputs(params, side, rows):
-    """Input projections of every numbered word: (3 * units, words + 1); the last column is 'no word'."""
-    word, pairs, begin = rows
+    """Input projections of every numbered word: (words + 1, 3 * units); the last row is 'no word'."""
+    word, triples, begin = rows
     width = params["word_" + side].shape[1]
     if not len(word):
-        return np.zeros((width, 1), "f4")
-    counts = np.diff(np.r_[begin, len(pairs)])[:, None]
-    x = np.concatenate([np.add.reduceat(params["pair_" + side][a], s, axis=0)
-                        for a, s in ((pairs, begin),)]) / counts
+        return np.zeros((1, width), "f4")
+    counts = np.diff(np.r_[begin, len(triples)])[:, None]
+    x = np.add.reduceat(params["triple_" + side][triples], begin, axis=0) / counts
     x += np.r_[params["word_" + side], np.zeros((1, width), "f4")][word]
-    return np.ascontiguousarray(np.r_[x, np.zeros((1, width), "f4")].T.astype("f4"))
+    return np.r_[x, np.zeros((1, width), "f4")].astype("f4")
 
 
 def pool(params, ahead, behind, inside):
     """Attention over the states: logits of the windows, attention weights, pooled states."""
     states = np.concatenate([ahead, behind], axis=1)
-    scores = np.einsum("u,tub->tb", params["v"], states)
+    scores = np.matmul(params["v"], states)
     scores = np.where(inside, scores, -1e9)
     scores -= scores.max(axis=0)
     attention = np.exp(scores) * inside
     attention /= np.maximum(attention.sum(axis=0), 1e-9)
-    pooled = np.einsum("tb,tub->ub", attention, states)
+    pooled = (attention[:, None].astype("f4") * states).sum(axis=0)
     return params["w"] @ pooled + params["b"][0], attention, pooled, states
 
 
@@ -113,17 +114,17 @@ def gradients(params, rows, steps, inside, labels, weights):
     loss = -(share * np.where(labels, np.log(p + 1e-9), np.log(1 - p + 1e-9))).sum()
     d = (share * (p - labels)).astype("f4")
     grads = {"w": pooled @ d, "b": np.array([d.sum()], "f4")}
-    along = np.einsum("u,tub->tb", params["w"], states)
+    along = np.matmul(params["w"], states)
     d_scores = attention * (along - (attention * along).sum(axis=0)) * d
     grads["v"] = np.einsum("tb,tub->u", d_scores, states)
     d_states = (attention[:, None] * params["w"][:, None] * d + d_scores[:, None] * params["v"][:, None]).astype("f4")
-    word, pairs, begin = rows
-    counts = np.diff(np.r_[begin, len(pairs)])
+    word, triples, begin = rows
+    counts = np.diff(np.r_[begin, len(triples)])
     for side, kept, part, order in (("f", kept_f, d_states[:, :units], 1), ("b", kept_b, d_states[:, units:], -1)):
         grads["u_" + side], d_in = back(params["u_" + side], kept, part[::order], mask[::order])
         by_word = sum_by(steps[::order].ravel(), d_in.transpose(0, 2, 1).reshape(-1, 3 * units), len(word) + 1)[:-1]
         grads["word_" + side] = sum_by(word, by_word, WORDS + 1)[:-1]
-        grads["pair_" + side] = sum_by(pairs, np.repeat(by_word / counts[:, None], counts, axis=0), PAIRS)
+        grads["triple_" + side] = sum_by(triples, np.repeat(by_word / counts[:, None], counts, axis=0), TRIPLES)
     return loss, grads
 
 
@@ -144,13 +145,13 @@ def train(rows, seed=2):
     positive = np.array(labels)[found[0]] == 1
     found = found[:, keep | positive]
     every = features.rows()
-    rows_word, rows_pairs, begin = every
-    ends = np.r_[begin[1:], len(rows_pairs)]
+    rows_word, rows_triples, begin = every
+    ends = np.r_[begin[1:], len(rows_triples)]
     flat = np.concatenate([*texts, [0]]).astype("i8")
     base = np.r_[0, np.cumsum([len(t) for t in texts])]
     labels = np.array(labels)
     params = {"word_f": np.zeros((WORDS, 3 * UNITS)), "word_b": np.zeros((WORDS, 3 * UNITS)),
-              "pair_f": rng.normal(size=(PAIRS, 3 * UNITS)) * 0.05, "pair_b": rng.normal(size=(PAIRS, 3 * UNITS)) * 0.05,
+              "triple_f": rng.normal(size=(TRIPLES, 3 * UNITS)) * 0.05, "triple_b": rng.normal(size=(TRIPLES, 3 * UNITS)) * 0.05,
               "u_f": new_direction(rng, UNITS), "u_b": new_direction(rng, UNITS),
               "v": rng.normal(size=2 * UNITS) * 0.3, "w": rng.normal(size=2 * UNITS) * 0.3, "b": np.full(1, -1.0)}
     params = {k: v.astype("f4") for k, v in params.items()}
@@ -167,9 +168,10 @@ def train(rows, seed=2):
         order = rng.permutation(docs)
         worst = _window_logits(params, every, flat, base, found) if epoch else _window_odds(odds, texts, found)
         chosen = np.array([by_doc[i][worst[by_doc[i]].argmax()] for i in order])
-        if epoch:  # clean documents also learn from a window drawn at random
-            chosen = np.r_[chosen, [by_doc[i][rng.integers(len(by_doc[i]))] for i in order if labels[i] == 0]]
-            chosen = chosen[rng.permutation(len(chosen))]
+        # Clean documents also learn from windows drawn at random.
+        clean = np.repeat(order[labels[order] == 0], CLEAN_WINDOWS)
+        chosen = np.r_[chosen, [by_doc[i][rng.integers(len(by_doc[i]))] for i in clean]].astype("i8")
+        chosen = chosen[rng.permutation(len(chosen))]
         for i in range(0, len(chosen), BATCH):
             part = found[:, chosen[i:i + BATCH]]
             inside = at < part[2]
@@ -180,12 +182,12 @@ def train(rows, seed=2):
                 used, steps = used[1:], np.where(inside, steps - 1, len(used) - 1)
             sizes = ends[used] - begin[used]
             places = np.repeat(begin[used] - np.r_[0, np.cumsum(sizes)[:-1]], sizes) + np.arange(sizes.sum())
-            small = (rows_word[used], rows_pairs[places], np.r_[0, np.cumsum(sizes)[:-1]].astype("i8"))
+            small = (rows_word[used], rows_triples[places], np.r_[0, np.cumsum(sizes)[:-1]].astype("i8"))
             y = labels[part[0]]
             grads = gradients(params, small, steps, inside, y, np.ones(len(y)))[1]
-            for k in ("word_f", "word_b", "pair_f", "pair_b"):
-                grads[k] += DECAY * params[k]
             adam.step(grads)
+            for k in ("word_f", "word_b", "triple_f", "triple_b"):
+                params[k] *= 1 - DECAY
     return params
 
 
@@ -210,7 +212,7 @@ def _grouped(index, size):
 
 def _window_logits(params, rows, flat, base, found):
     table_f, table_b = inputs(params, "f", rows), inputs(params, "b", rows)
-    nothing = table_f.shape[1] - 1
+    nothing = len(table_f) - 1
     logits = np.empty(found.shape[1], "f4")
     for chosen, at, inside in batches(found, WINDOW, ROWS):
         doc, start = found[0, chosen], found[1, chosen]
