@@ -1,5 +1,6 @@
 """Registers every query of the subpackage."""
 
+import terrace.llm.bytepair  # noqa: F401
 import terrace.llm.language  # noqa: F401
 import terrace.llm.toxicity  # noqa: F401
 from terrace.llm.registry import ORACLES, QUERIES  # noqa: F401
