@@ -4,4 +4,5 @@ import terrace.llm.bytepair  # noqa: F401
 import terrace.llm.language  # noqa: F401
 import terrace.llm.packing  # noqa: F401
 import terrace.llm.toxicity  # noqa: F401
+import terrace.llm.warc  # noqa: F401
 from terrace.llm.registry import ORACLES, QUERIES  # noqa: F401
