@@ -4,6 +4,7 @@ import terrace.llm.bytepair  # noqa: F401
 import terrace.llm.jaccard  # noqa: F401
 import terrace.llm.language  # noqa: F401
 import terrace.llm.packing  # noqa: F401
+import terrace.llm.scoring  # noqa: F401
 import terrace.llm.substrings  # noqa: F401
 import terrace.llm.toxicity  # noqa: F401
 import terrace.llm.warc  # noqa: F401
