@@ -1,6 +1,7 @@
 """Registers every query of the subpackage."""
 
 import terrace.llm.bytepair  # noqa: F401
+import terrace.llm.forest  # noqa: F401
 import terrace.llm.jaccard  # noqa: F401
 import terrace.llm.language  # noqa: F401
 import terrace.llm.packing  # noqa: F401
