@@ -14,8 +14,7 @@ comes; ``visits`` covers ``COVER`` of them. So the recall is measured at every s
 
 A leaf's rows and its queries are dealt into blocks of bounded size, and a task sees one block of
 rows and one of queries, so leaves full of copies (or of a third of all rows) are many small tasks.
-Each gives every query of the block its ``k`` best, if they reach the ``k``-th best of the sample
-(which bounds the result from below); those are merged by query.
+Each gives every query of the block its ``k`` best; those are merged by query.
 
 Defined cases: vectors that are NULL, empty, zero or have NULL or non-finite components take no
 part, nor do those with a NULL id or with another length than the first of the sample. Queries with
@@ -98,9 +97,8 @@ class Tree:
 
 
 class Forest:
-    def __init__(self, ids, sample, largest, seed=6):
+    def __init__(self, sample, largest, seed=6):
         rng = np.random.default_rng(seed)
-        self.ids, self.sample = ids, sample
         self.size, self.largest = sample.shape[1], largest
         points = self.lifted(sample)
         self.trees = [Tree(points, rng) for _ in range(TREES)]
@@ -109,15 +107,6 @@ class Forest:
         extra = np.sqrt(np.maximum(0, self.largest ** 2 - (vectors ** 2).sum(axis=1)))
         return np.c_[vectors, extra] / self.largest
 
-    def least(self, own, vectors, k):
-        """The ``k``-th best inner product of each query with the sample: a candidate below it is in no result."""
-        scores = vectors @ self.sample.T
-        scores[own[:, None] == self.ids[None, :]] = -np.inf
-        if scores.shape[1] < k:
-            return np.full(len(scores), -np.inf)
-        # Other sums of the same products may differ in the last digits.
-        return -np.partition(-scores, k - 1, axis=1)[:, k - 1] - 1e-9 * (1 + np.abs(vectors).sum(axis=1) * self.largest)
-
     def leaves_of(self, vectors):
         """Leaves of rows: (rows, trees)."""
         points = self.lifted(vectors)
@@ -165,8 +154,7 @@ def fit(rows, sample=SAMPLE):
     if not found:
         found = rows.limit(sample).collect()
     size = len(found[0].vector)
-    found = [r for r in found if len(r.vector) == size]
-    return Forest(np.array([r.id for r in found], "i8"), np.array([r.vector for r in found]), stats[1])
+    return Forest(np.array([r.vector for r in found if len(r.vector) == size]), stats[1])
 
 
 def _own_queries(rows, forest, k, probes):
@@ -223,40 +211,36 @@ def search(rows, queries, k=20, visits=None):
 
     def descend(parts):
         for part in parts:
-            names, vectors = part.column(0).to_numpy(), matrix(part.column(1))
-            least = shared.value.least(names, vectors, k)
-            found = [(tree, leaf, int(name), float(bound)) for name, v, bound in zip(names, vectors, least, strict=True)
+            found = [(tree, leaf, name) for name, v in zip(part.column(0).to_pylist(), matrix(part.column(1)), strict=True)
                      for tree, leaf in shared.value.queue(v, visits)]
-            types = pa.int32(), pa.int32(), pa.int64(), pa.float64()
-            yield pa.RecordBatch.from_arrays([pa.array([f[i] for f in found], t) for i, t in enumerate(types)],
-                                             names=["tree", "leaf", "id", "least"])
+            yield pa.RecordBatch.from_arrays([pa.array([f[i] for f in found], t) for i, t in ((0, pa.int32()), (1, pa.int32()), (2, pa.int64()))],
+                                             names=["tree", "leaf", "id"])
 
     fitting = F.size("vector") == forest.size
     spread = "tree int, leaf int, id long"
     placed = rows.where(fitting).mapInArrow(index, spread)
-    asked = queries.where(fitting).mapInArrow(descend, spread + ", least double")
+    asked = queries.where(fitting).mapInArrow(descend, spread)
     sizes = materialise(placed.groupBy("tree", "leaf").agg(F.ceil(F.count("*") / ROWS).cast("int").alias("row_blocks"))
                         .join(asked.groupBy("tree", "leaf").agg(F.ceil(F.count("*") / QUERIES).cast("int").alias("query_blocks")), ["tree", "leaf"]), "leaves")
     block = lambda of: F.pmod(F.xxhash64("id"), F.col(of)).cast("int")
     every = lambda of: F.explode(F.sequence(F.lit(0), F.col(of) - 1))
     key = ["tree", "leaf", "i", "j"]
     here = placed.join(sizes, ["tree", "leaf"]).withColumn("i", block("row_blocks")).withColumn("j", every("query_blocks")).select(*key, "id").join(rows, "id")
-    there = asked.join(sizes, ["tree", "leaf"]).withColumn("j", block("query_blocks")).withColumn("i", every("row_blocks")).select(*key, "id", "least").join(queries, "id")
+    there = asked.join(sizes, ["tree", "leaf"]).withColumn("j", block("query_blocks")).withColumn("i", every("row_blocks")).select(*key, "id").join(queries, "id")
 
     def rerank(left, right):
         out = {"query_id": [], "vec_id": [], "score": []}
         if len(left) and len(right):
-            ids, own, least = left.id.to_numpy(), right.id.to_numpy(), right.least.to_numpy()
+            ids, own = left.id.to_numpy(), right.id.to_numpy()
             scores = np.stack(right.vector.to_numpy()) @ np.stack(left.vector.to_numpy()).T
             for q, places in enumerate(top(scores, ids, own, k)):
-                places = places[scores[q, places] >= least[q]]
                 out["query_id"].append(np.full(len(places), own[q]))
                 out["vec_id"].append(ids[places])
                 out["score"].append(scores[q, places])
         return pd.DataFrame({c: np.concatenate([*v, np.zeros(0, "f8" if c == "score" else "i8")]) for c, v in out.items()})
 
     found = here.groupBy(*key).cogroup(there.groupBy(*key)).applyInPandas(rerank, "query_id long, vec_id long, score double")
-    # A candidate met in several trees is one candidate; only the best of a task's candidates travel on.
+    # A candidate met in several trees is one candidate.
     best = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     ranked = best.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")))
     return ranked.where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
