@@ -8,5 +8,6 @@ import terrace.llm.packing  # noqa: F401
 import terrace.llm.scoring  # noqa: F401
 import terrace.llm.substrings  # noqa: F401
 import terrace.llm.toxicity  # noqa: F401
+import terrace.llm.vamana  # noqa: F401
 import terrace.llm.warc  # noqa: F401
 from terrace.llm.registry import ORACLES, QUERIES  # noqa: F401
