@@ -23,8 +23,6 @@ PER_CLASS = 150
 SEGMENTS, SEGMENT = 4, 96
 UNITS, EPOCHS, BATCH, RATE = 8, 6, 128, 0.03
 WINDOW, ROWS = 256, 2048
-#: Documents are refused below this mean probability of their best language.
-REFUSED_BELOW = 0.0
 
 
 def has_letter(text):
@@ -210,9 +208,8 @@ def keep_identified(docs, model, text_column="text"):
 
     def kept(parts):
         for part in parts:
-            langs, scores = predict(model, part.column(place).to_pylist())
-            yield part.filter(pa.array([lang != UNKNOWN and score >= REFUSED_BELOW
-                                        for lang, score in zip(langs, scores, strict=True)], pa.bool_()))
+            langs, _ = predict(model, part.column(place).to_pylist())
+            yield part.filter(pa.array([lang != UNKNOWN for lang in langs], pa.bool_()))
 
     return docs.mapInArrow(kept, docs.schema)
 

@@ -178,9 +178,10 @@ def repeated_spans(docs, id_column="doc_id", text_column="text", least=LEAST):
 
 def remove_repeats(docs, id_column="doc_id", text_column="text", least=LEAST):
     """The documents without their repeated spans (the first document keeps them), all columns and rows."""
+    new = "_" * (1 + max(map(len, docs.columns)))  # longer than any column, so no name clashes
     spans = materialise(repeated_spans(docs, id_column, text_column, least)
-                        .select(F.col("doc_id").alias("__doc"), F.col("spans").alias("__spans")), "spans")
-    joined = docs.join(spans, F.col(id_column).cast("long") == F.col("__doc"), "left").drop("__doc")
+                        .select(F.col("doc_id").alias(new + "doc"), F.col("spans").alias(new + "spans")), "spans")
+    joined = docs.join(spans, F.col(id_column).cast("long") == F.col(new + "doc"), "left").drop(new + "doc")
     place, last = joined.columns.index(text_column), len(joined.columns) - 1
 
     def cut(parts):
