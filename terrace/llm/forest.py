@@ -182,6 +182,8 @@ def _own_queries(rows, forest, k, probes):
 def calibrated(forest, rows, queries, k, probes=PROBES, cover=COVER):
     """How many leaves of the queue hold ``cover`` of the true neighbours of some of the queries."""
     chosen = queries.where(F.size("vector") == forest.size).orderBy(F.xxhash64("id")).limit(probes).collect()
+    if not chosen:
+        return 1
     most = sum(t.leaves for t in forest.trees)
     ranks = []
     order = {r.id: {leaf: i for i, leaf in enumerate(forest.queue(np.array(r.vector), most))} for r in chosen}
