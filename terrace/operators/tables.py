@@ -6,7 +6,6 @@ partition transforms natively.
 """
 
 import re
-import threading
 from collections.abc import Mapping, Sequence
 from contextlib import contextmanager
 
@@ -29,9 +28,14 @@ TABLE_PROPERTIES = {
 # Table property that keeps the partition transforms of a plain table.
 _LAYOUT = "terrace.partition_by"
 
-# insertInto takes the overwrite mode from the session alone, so a thread that has
-# switched it must finish its write before another one switches it back.
-_OVERWRITE_MODE = threading.Lock()
+# Table option that makes every overwrite of a plain table replace only the partitions
+# it has rows for, whatever the session says.
+_DYNAMIC = ("partitionOverwriteMode", "dynamic")
+
+# Tables that replacements keep beside a table are named so and say whose they are. No
+# other table may have such a name.
+_RESERVED = "_terrace_"
+_OWNER = "terrace.beside"
 
 _INTEGERS = [T.ByteType, T.ShortType, T.IntegerType, T.LongType]
 _DIGITS = {T.ByteType: 3, T.ShortType: 5, T.IntegerType: 10, T.LongType: 19}
@@ -47,7 +51,7 @@ def quoted(*parts: str) -> str:
 
 def ensure_namespace(spark: SparkSession, namespace: str, catalog: str | None = None,
                      location: str | None = None) -> None:
-    where = f" LOCATION '{location}'" if location else ""
+    where = f" LOCATION {literal(location)}" if location else ""
     spark.sql(f"CREATE NAMESPACE IF NOT EXISTS {quoted(catalog, namespace)}{where}")
 
 
@@ -143,6 +147,8 @@ def append(df: DataFrame, namespace: str, table: str, catalog: str | None = None
     ``observe`` collects metrics in the stage that writes, after any shuffle, where
     work repeated for a lost executor is counted once.
     """
+    if table.lower().startswith(_RESERVED):
+        raise ValueError(f"table names that start with {_RESERVED!r} are reserved: {table}")
     spark = df.sparkSession
     fqn = quoted(catalog, namespace, table)
     ensure_namespace(spark, namespace, catalog)
@@ -155,7 +161,7 @@ def append(df: DataFrame, namespace: str, table: str, catalog: str | None = None
     if not table_exists(spark, fqn):
         rows = spread(_with_derived(df, partition_by), _write_keys(partition_by))
         rows = rows.observe(observe[0], *observe[1]) if observe else rows
-        writer = rows.writeTo(fqn).using("parquet").option("compression", "zstd")
+        writer = rows.writeTo(fqn).using("parquet").option("compression", "zstd").option(*_DYNAMIC)
         layout = {_LAYOUT: "; ".join(partition_by)} if derived_columns(partition_by) else {}
         for key, value in {**layout, **(properties or {})}.items():
             writer = writer.tableProperty(key, value)
@@ -191,7 +197,7 @@ def with_partitions(df: DataFrame, fqn: str) -> DataFrame:
     spark = df.sparkSession
     if is_native(spark, fqn) or not partition_columns(spark, fqn):
         return df
-    held = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {fqn}").collect()}
+    held = _properties(spark, fqn)
     return _with_derived(df, held[_LAYOUT].split("; ")) if _LAYOUT in held else df
 
 
@@ -222,21 +228,22 @@ def evolve_and_append(df: DataFrame, namespace: str, table: str, **options) -> s
     return append(df, namespace, table, evolve=True, **options)
 
 
-def _overwrite(df: DataFrame, fqn: str, mode: str = "dynamic") -> None:
-    """Overwrite the partitions the frame has rows for, or with ``static`` all of them."""
+def _overwrite(df: DataFrame, fqn: str) -> None:
+    """Overwrite the partitions the frame has rows for."""
     spark = df.sparkSession
+    option = _properties(spark, fqn).get(f"option.{_DYNAMIC[0]}", spark.conf.get("spark.sql.sources.partitionOverwriteMode"))
+    if option.lower() != _DYNAMIC[1]:
+        raise ValueError(f"{fqn} was not created here: set spark.sql.sources.partitionOverwriteMode to dynamic "
+                         "for the session, or its overwrites would remove all other partitions")
     held = spark.table(fqn).schema
     have = {c.lower() for c in df.columns}
     rows = df.select(*[F.col(quoted(f.name)) if f.name.lower() in have
                        else F.lit(None).cast(f.dataType).alias(f.name) for f in held])
-    setting = "spark.sql.sources.partitionOverwriteMode"
-    with _OVERWRITE_MODE:
-        before = spark.conf.get(setting)
-        spark.conf.set(setting, mode)
-        try:
-            rows.write.mode("overwrite").insertInto(fqn)
-        finally:
-            spark.conf.set(setting, before)
+    rows.write.mode("overwrite").insertInto(fqn)
+
+
+def _properties(spark: SparkSession, fqn: str) -> dict[str, str]:
+    return {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {fqn}").collect()}
 
 
 def overwrite_partitions(df: DataFrame, fqn: str) -> None:
@@ -341,13 +348,13 @@ def in_partitions(table: DataFrame, partitions: Sequence[Mapping]) -> DataFrame:
 def replace_partitions(df: DataFrame, fqn: str, partitions: Sequence[Mapping]) -> None:
     """Make the frame, which may read the table, the whole contents of these partitions.
 
-    The rows go to ``<table>__part`` first. A job that stops after that is completed by
+    The rows go to a table beside it first. A job that stops after that is completed by
     the next write to the table.
     """
-    spark, part = df.sparkSession, _beside(fqn, "__part")
+    spark, part = df.sparkSession, _beside(fqn, "part")
     keys = list(partitions[0])
     _refuse_leftovers(spark, fqn)
-    df.writeTo(part).using("parquet").option("compression", "zstd").create()
+    _create_beside(df, fqn, "part")
     filled = {tuple(r) for r in spark.table(part).select(*keys).distinct().collect()}
     _restore_part(spark, fqn, part)
     drop_partitions(spark, fqn, [p for p in partitions if tuple(p[k] for k in keys) not in filled])
@@ -365,15 +372,27 @@ def _restore_part(spark: SparkSession, fqn: str, part: str) -> None:
     spark.sql(f"DROP TABLE {part}")
 
 
-def _beside(fqn: str, suffix: str) -> str:
+def _beside(fqn: str, kind: str) -> str:
     head, _, last = fqn.rpartition(".")
-    return f"{head}.{quoted(last.strip('`') + suffix)}"
+    return f"{head}.{quoted(_RESERVED + kind + '_' + last.strip('`'))}"
+
+
+def _create_beside(df: DataFrame, fqn: str, kind: str) -> str:
+    name = _beside(fqn, kind)
+    df.writeTo(name).using("parquet").option("compression", "zstd").tableProperty(_OWNER, fqn).create()
+    return name
+
+
+def _is_beside(spark: SparkSession, fqn: str, kind: str) -> bool:
+    """Whether a replacement of this very table has left a table of this kind."""
+    name = _beside(fqn, kind)
+    return table_exists(spark, name) and _properties(spark, name).get(_OWNER) == fqn
 
 
 def replace_table(df: DataFrame, fqn: str) -> None:
     """Swap in new contents that may be computed from the table itself.
 
-    The new rows are first written beside the table as ``<table>__stg``. A table
+    The new rows are first written to a table beside it. A table
     without partitions is then switched by two renames. A partitioned one is
     overwritten from the staged rows, because the session catalog keeps the old place
     of every partition across a rename. ``restore`` completes or undoes what a crash
@@ -384,19 +403,20 @@ def replace_table(df: DataFrame, fqn: str) -> None:
         df.writeTo(fqn).replace()
         return
     _refuse_leftovers(spark, fqn)
-    staging, old = _beside(fqn, "__stg"), _beside(fqn, "__old")
+    staging, old = _beside(fqn, "stg"), _beside(fqn, "old")
     if partition_columns(spark, fqn):
-        df.writeTo(staging).using("parquet").option("compression", "zstd").create()
+        _create_beside(df, fqn, "stg")
         restore(spark, fqn)
         return
     layout = _buckets(spark, fqn)
     writer = spread(df, _layout_columns(spark, fqn)).writeTo(staging).using("parquet")
     writer = writer.option("compression", "zstd")
-    for row in spark.sql(f"SHOW TBLPROPERTIES {fqn}").collect():
-        writer = writer.tableProperty(row["key"], row["value"])
+    for key, value in {**_properties(spark, fqn), _OWNER: fqn}.items():
+        writer = writer.tableProperty(key, value)
     if layout:
         writer = writer.partitionedBy(*layout)
     writer.create()
+    spark.sql(f"ALTER TABLE {fqn} SET TBLPROPERTIES ('{_OWNER}' = {literal(fqn)})")
     spark.sql(f"ALTER TABLE {fqn} RENAME TO {old}")
     spark.sql(f"ALTER TABLE {staging} RENAME TO {fqn}")
     spark.sql(f"DROP TABLE {old}")
@@ -410,26 +430,31 @@ def _buckets(spark: SparkSession, fqn: str) -> list:
 
 
 @contextmanager
-def staged(df: DataFrame, namespace: str, table: str, catalog: str | None = None):
-    """The frame written once to a table of its own, which is dropped afterwards."""
-    spark, fqn = df.sparkSession, quoted(catalog, namespace, table)
-    spark.sql(f"DROP TABLE IF EXISTS {fqn}")
-    append(df, namespace, table, catalog)
+def staged(df: DataFrame, fqn: str):
+    """The frame written once to a table beside ``fqn``, which is dropped afterwards."""
+    spark, name = df.sparkSession, _beside(fqn, "in")
+    if is_native(spark, fqn) or _is_beside(spark, fqn, "in"):
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+    if is_native(spark, fqn):
+        df.writeTo(name).create()
+    else:
+        _create_beside(df, fqn, "in")
     try:
-        yield spark.table(fqn)
+        yield spark.table(name)
     finally:
-        spark.sql(f"DROP TABLE IF EXISTS {fqn}")
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
 
 
 def restore(spark: SparkSession, fqn: str) -> bool:
     """Complete or undo a replacement that stopped half-way; says whether there was one.
 
-    A staged table exists only once it is completely written. A partitioned table may
+    Only tables that such a replacement of this table made are touched. A staged table
+    exists only once it is completely written. A partitioned table may
     have lost rows to the overwrite it was staged for, so that is run again. Otherwise
     the old table is put back, and what was staged for it is dropped.
     """
-    staging, old, part = (_beside(fqn, s) for s in ("__stg", "__old", "__part"))
-    left = [t for t in (staging, old, part) if table_exists(spark, t)]
+    staging, old, part = (_beside(fqn, k) for k in ("stg", "old", "part"))
+    left = [_beside(fqn, k) for k in ("stg", "old", "part") if _is_beside(spark, fqn, k)]
     if old in left:
         if table_exists(spark, fqn):
             spark.sql(f"DROP TABLE {old}")
@@ -439,11 +464,22 @@ def restore(spark: SparkSession, fqn: str) -> bool:
         _restore_part(spark, fqn, part)
     if staging in left:
         if table_exists(spark, fqn) and partition_columns(spark, fqn):
-            _overwrite(spread(spark.table(staging), _layout_columns(spark, fqn)), fqn, "static")
+            _become(spark.table(staging), fqn)
         spark.sql(f"DROP TABLE {staging}")
     return bool(left)
 
 
+def _become(df: DataFrame, fqn: str) -> None:
+    """Make a stored frame the whole contents of a partitioned table."""
+    spark, keys = df.sparkSession, partition_columns(df.sparkSession, fqn)
+    _overwrite(spread(df, _layout_columns(spark, fqn)), fqn)
+    kept = df.select(*keys).distinct()
+    same = [F.col(f"t.{quoted(k)}").eqNullSafe(F.col(f"k.{quoted(k)}")) for k in keys]
+    # At most one row per partition of the table.
+    gone = spark.table(fqn).select(*keys).distinct().alias("t").join(kept.alias("k"), same, "left_anti")
+    drop_partitions(spark, fqn, [r.asDict() for r in gone.collect()])
+
+
 def list_namespaces(spark: SparkSession, catalog: str | None = None) -> DataFrame:
     """``SHOW SCHEMAS`` as a frame."""
     return spark.sql("SHOW NAMESPACES" + (f" IN {quoted(catalog)}" if catalog else ""))
@@ -452,7 +488,7 @@ def list_namespaces(spark: SparkSession, catalog: str | None = None) -> DataFram
 def list_tables(spark: SparkSession, namespace: str, catalog: str | None = None) -> DataFrame:
     """``SHOW TABLES`` as a frame."""
     shown = spark.sql(f"SHOW TABLES IN {quoted(catalog, namespace)}")
-    return shown.where(~F.col("isTemporary")).select("namespace", F.col("tableName").alias("table"))
+    return shown.where(~F.col("isTemporary") & ~F.startswith("tableName", F.lit(_RESERVED))).select("namespace", F.col("tableName").alias("table"))
 
 
 def preview(df: DataFrame, order_by: Sequence, rows: int = 10) -> DataFrame:

@@ -48,7 +48,7 @@ def refresh_silver(raw: DataFrame, table: str, types: Mapping[str, str], keys: S
     if not table_exists(spark, fqn):
         return append(good, namespace, table, catalog, partition_by)
     # The staged rows are read three times below, so they are computed once.
-    with staged(good, namespace, f"{table}__in", catalog) as incoming:
+    with staged(good, fqn) as incoming:
         upsert_into(incoming, fqn, keys, order_by)
     return fqn
 

@@ -82,7 +82,7 @@ def stream_changes(changes: DataFrame, namespace: str, table: str, keys: Sequenc
         if not table_exists(spark, fqn):
             append(last, namespace, table, catalog)
             return
-        with staged(last, namespace, f"{table}__in", catalog) as incoming:
+        with staged(last, fqn) as incoming:
             upsert_into(incoming, fqn, keys, seq)
 
     return _start(changes, merge, checkpoint, available_now)

@@ -1,4 +1,5 @@
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
 
 import pytest
@@ -6,6 +7,7 @@ from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F, types as T
 
 from terrace.functions.audit import enrich
+from terrace.operators import tables
 from terrace.operators.governance import expire_table, table_cost
 from terrace.operators.partitioning import native_partitions
 from terrace.operators.tables import (
@@ -167,14 +169,19 @@ def test_deletes_rewrite_only_touched_partitions(spark, ns, rows):
     assert len(spark.sql(f"SHOW PARTITIONS {fqn}").collect()) == 2
 
 
+def left_behind(df, fqn, kind):
+    """What a replacement that stopped half-way has written."""
+    tables._create_beside(df, fqn, kind)
+
+
 def test_partitioned_replacement_is_completed_after_a_crash(spark, ns, rows):
     df = rows.make([(1, "a"), (2, "b")], "id int, s string")
     fqn = append(df, ns, "t", partition_by=["s"])
-    df.where("id = 2").writeTo(quoted(ns, "t__stg")).using("parquet").create()
+    left_behind(df.where("id = 2"), fqn, "stg")
     spark.sql(f"ALTER TABLE {fqn} DROP PARTITION (s = 'b')")  # the overwrite had begun
     append(rows.make([(3, "c")], "id int, s string"), ns, "t")
     assert rows.of(spark.table(fqn)) == [(2, "b"), (3, "c")]
-    rows.make([(9, "c")], "id int, s string").writeTo(quoted(ns, "t__part")).using("parquet").create()
+    left_behind(rows.make([(9, "c")], "id int, s string"), fqn, "part")
     restore(spark, fqn)
     assert rows.of(spark.table(fqn)) == [(2, "b"), (9, "c")]
     assert [r.table for r in list_tables(spark, ns).collect()] == ["t"]
@@ -182,10 +189,12 @@ def test_partitioned_replacement_is_completed_after_a_crash(spark, ns, rows):
 
 def test_replacement_can_be_finished_after_a_crash(spark, ns):
     fqn = append(spark.range(3), ns, "t")
-    spark.sql(f"ALTER TABLE {fqn} RENAME TO {quoted(ns, 't__old')}")
+    old = tables._beside(fqn, "old")
+    spark.sql(f"ALTER TABLE {fqn} SET TBLPROPERTIES ('{tables._OWNER}' = '{fqn}')")
+    spark.sql(f"ALTER TABLE {fqn} RENAME TO {old}")
     assert restore(spark, fqn) is True and restore(spark, fqn) is False
     assert spark.table(fqn).count() == 3
-    spark.range(9).writeTo(quoted(ns, "t__stg")).using("parquet").create()
+    left_behind(spark.range(9), fqn, "stg")
     with pytest.raises(RuntimeError, match="again"):
         replace_table(spark.range(1), fqn)
     replace_table(spark.table(fqn).where("id > 0"), fqn)
@@ -208,3 +217,39 @@ def test_cost_and_preview(spark, ns):
     row = table_cost(spark, [fqn]).first()
     assert row.rows == 100 and row.bytes > 0 and row.files == len(spark.table(fqn).inputFiles())
     assert [r.id for r in preview(spark.table(fqn), [F.desc("id")], 2).collect()] == [99, 98]
+
+
+def test_other_tables_are_never_taken_for_leftovers(spark, ns, rows):
+    """Whatever a user calls a table, writes to its neighbour leave it alone."""
+    df = rows.make([(1, "a"), (2, "b")], "id int, s string")
+    names = ["t", "t__old", "t__stg", "t__part", "t__in", "old_t"]
+    for _ in range(2):
+        for name in names:
+            append(df, ns, name, partition_by=["s"] if name == "t__part" else [])
+    for name in names:
+        delete_rows(spark, quoted(ns, name), "id = 2")
+        replace_table(spark.table(quoted(ns, name)), quoted(ns, name))
+    assert {n: spark.table(quoted(ns, n)).count() for n in names} == dict.fromkeys(names, 2)
+    # A table with a reserved name that no replacement made is not touched either.
+    spark.range(3).writeTo(quoted(ns, "_terrace_old_t")).using("parquet").create()
+    append(df, ns, "t")
+    assert spark.table(quoted(ns, "_terrace_old_t")).count() == 3
+    with pytest.raises(ValueError, match="reserved"):
+        append(df, ns, "_terrace_old_t")
+
+
+def test_overwrites_run_side_by_side(spark, ns, rows):
+    """Neither a lock nor a session setting: several overwrites at once, each of its own partitions."""
+    fqns = [append(rows.make([(1, "a"), (2, "b")], "id int, s string"), ns, f"t{k}", partition_by=["s"]) for k in range(4)]
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(lambda fqn: overwrite_partitions(rows.make([(9, "a")], "id int, s string"), fqn), fqns))
+    assert [rows.of(spark.table(f)) for f in fqns] == [[(2, "b"), (9, "a")]] * 4
+    spark.range(2).selectExpr("id", "id AS s").writeTo(quoted(ns, "other")).using("parquet").partitionedBy("s").create()
+    with pytest.raises(ValueError, match="dynamic"):
+        overwrite_partitions(spark.range(1).selectExpr("id", "id AS s"), quoted(ns, "other"))
+
+
+def test_locations_may_hold_quotes(spark, tmp_path):
+    name = f"n{uuid.uuid4().hex[:8]}"
+    tables.ensure_namespace(spark, name, location=str(tmp_path / "it's"))
+    assert "it's" in append(spark.range(1), name, "t") or spark.table(quoted(name, "t")).count() == 1
