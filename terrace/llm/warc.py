@@ -38,6 +38,8 @@ from terrace.workspace import materialise, scratch
 
 LEAST_BYTES = 100
 BLOCK_LINES = 128
+#: Blocks that one task reads in a lookup of all keys.
+BLOCKS_READ = 32
 #: Payload bytes that one task writes.
 FILE_BYTES = 32 << 20
 #: Ranges of one file closer than this are read together.
@@ -112,11 +114,10 @@ def _captures(pages, id_column, url_column, payload_column):
     rows = pages.select(F.col(id_column).cast("long").alias("page"), F.col(url_column).alias("url"),
                         F.coalesce(F.col(payload_column).cast("binary"), F.lit(b"")).alias("payload"))
     rows = rows.withColumn("digest", F.sha2("payload", 256)).withColumn("bytes", F.octet_length("payload").cast("long"))
-    groups = materialise(rows.groupBy("digest").agg(
-        F.min("page").alias("first"), F.count("*").alias("n"), F.max("bytes").alias("size"),
-        F.sum("bytes").alias("total")), "payloads")
-    total = groups.agg(F.sum("total")).first()[0] or 0
-    shared = groups.where((F.col("n") > 1) & (F.col("size") >= LEAST_BYTES)).select("digest", "first")
+    groups = rows.where(F.col("bytes") >= LEAST_BYTES).groupBy("digest").agg(F.min("page").alias("first"), F.count("*").alias("n"))
+    # Stored, so that its true size decides how payloads meet it: few repeated ones need no shuffle of payloads.
+    shared = materialise(groups.where("n > 1").select("digest", "first"), "payloads")
+    total = rows.agg(F.sum("bytes")).first()[0] or 0
     rows = rows.join(shared, "digest", "left")
     first = F.when((F.col("page") != F.col("first")) | F.col("page").isNull(), F.col("first"))
     return rows.select("page", "url", "payload", "digest", first.alias("first"), url_key(F.col("url")).alias("key")), total
@@ -208,7 +209,9 @@ def lookup(archive, folder, keys, key_column="key"):
 
     ``archive`` is what ``write_archive`` returned; its rows (one per writing task) go to every task.
     """
-    ranges = sorted((r.last_key, r.first_key, r.file) for r in archive.collect())
+    files = archive.collect()
+    ranges = sorted((r.last_key, r.first_key, r.file) for r in files)
+    tasks = 1 + sum(r.blocks for r in files) // BLOCKS_READ
     shared = archive.sparkSession.sparkContext.broadcast(ranges)
 
     def find(parts):
@@ -234,7 +237,7 @@ def lookup(archive, folder, keys, key_column="key"):
 
     places = keys.select(F.col(key_column).alias("key")).where("key IS NOT NULL").distinct().mapInArrow(
         find, "file string, block long, key string")
-    return (places.repartition("file", "block").sortWithinPartitions("file", "block")
+    return (places.repartition(tasks, "file", "block").sortWithinPartitions("file", "block")
             .mapInArrow(read, "key string, page_id long, url string, payload_bytes long, payload_digest string, "
                               "record_type string, refers_to long, payload binary"))
 
