@@ -14,6 +14,37 @@ def kpi(df: DataFrame, by: Sequence[str], measures: Mapping[str, Column],
     return grouping[mode](*by).agg(*[m.alias(name) for name, m in measures.items()])
 
 
+#: How the parts of a measure are added up again.
+_AGAIN = {"count": F.sum, "sum": F.sum, "min": F.min, "max": F.max}
+
+
+def kpi_sets(df: DataFrame, by: Sequence[str], measures: Mapping[str, tuple[str, str]], mode: str = "cube") -> DataFrame:
+    """``kpi`` over grouping sets of large data: ``{name: (kind, column)}``.
+
+    Kinds are count, sum, min, max, avg and distinct (``("count", "*")`` counts rows). Rows are first
+    aggregated by all groups and the columns counted distinct; only that result is
+    expanded to the grouping sets, and distinct counts stay exact.
+    """
+    unknown = {kind for kind, _ in measures.values()} - {*_AGAIN, "avg", "distinct"}
+    if unknown or mode not in ("group", "rollup", "cube"):
+        raise ValueError(f"unknown kind of measure {sorted(unknown)} or mode {mode!r}")
+    distinct = list(dict.fromkeys(c for kind, c in measures.values() if kind == "distinct"))
+    first, then = {}, {}
+    for i, (name, (kind, column)) in enumerate(measures.items()):
+        part = f"_part{i}"
+        if kind == "distinct":
+            then[name] = F.countDistinct(f"_distinct{distinct.index(column)}")
+        elif kind == "avg":
+            first |= {part: F.sum(column), f"{part}n": F.count(column)}
+            then[name] = F.sum(part) / F.nullif(F.sum(f"{part}n"), F.lit(0))
+        else:
+            first[part] = getattr(F, kind)(column)
+            then[name] = _AGAIN[kind](part)
+    keys = [F.col(c).alias(f"_distinct{i}") for i, c in enumerate(distinct)]
+    parts = df.groupBy(*by, *keys).agg(*[m.alias(n) for n, m in (first or {"_rows": F.count("*")}).items()])
+    return kpi(parts, by, then, mode)
+
+
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys that occur more than once, with their counts."""
     return df.groupBy(*keys).agg(F.count("*").alias("copies")).where("copies > 1")

@@ -4,7 +4,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from terrace.operators.staging import first_per_key
+from terrace.operators.ranking import first_per_key
 
 
 def latest_changes(changes: DataFrame, keys: Sequence[str], seq: str, op: str) -> DataFrame:
@@ -24,10 +24,10 @@ def stored_mark(state: DataFrame, source: str, column: str):
     return state.where(F.col("source") == source).agg(F.max(column)).first()[0]
 
 
-def unfinished_batches(state: DataFrame) -> list[str]:
-    """Batches of one source that were begun but not ended: one row instead of two.
+def unfinished_attempts(state: DataFrame) -> list[str]:
+    """Attempts of one source that were begun but not ended: one row instead of two.
 
     At most one exists, because the next run takes it back and ends it.
     """
-    counted = state.groupBy("batch_id").agg(F.count("*").alias("entries"))
-    return [r["batch_id"] for r in counted.where("entries = 1").collect()]
+    counted = state.groupBy("attempt").agg(F.count("*").alias("entries"))
+    return [r["attempt"] for r in counted.where("entries = 1").collect()]

@@ -5,70 +5,33 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
+from terrace.operators.ranking import first_per_key
 from terrace.workspace import materialise
 
-BROADCAST_ROWS = 1_000_000
-BROADCAST_BYTES = 64 << 20
-HOT_KEYS = 512
-
 
 def _keys(on: str | Sequence[str]) -> list[str]:
     return [on] if isinstance(on, str) else list(on)
 
 
-def _measure(df: DataFrame, keys: Sequence[str], check_unique: bool,
-             bound: DataFrame | None) -> tuple[bool, bool]:
-    """Whether the frame may be broadcast, and whether some complete key repeats.
-
-    Rows are counted first, which for stored Parquet reads file footers only; bytes are
-    added up only when the rows are few. ``bound`` is a frame with at least as many
-    rows that is cheaper to count. A NULL in a key matches nothing, so may repeat.
-    """
-    few = (bound or df).count() <= BROADCAST_ROWS
-    size = F.octet_length(F.to_json(F.struct(*df.columns))) if few else F.lit(0)
+def _repeats(df: DataFrame, keys: Sequence[str]) -> bool:
+    """Whether some complete key occurs twice. A NULL in a key matches nothing, so may repeat."""
     complete = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
-    if not check_unique:
-        return few and (df.agg(F.sum(size)).first()[0] or 0) <= BROADCAST_BYTES, False
-    counted = df.groupBy(*keys).agg(F.count_if(complete).alias("copies"), F.sum(size).alias("size"))
-    if not few:
-        return False, not counted.where("copies > 1").isEmpty()
-    most, total = counted.agg(F.max("copies"), F.sum("size")).first()
-    return (total or 0) <= BROADCAST_BYTES, (most or 0) > 1
+    return not df.where(complete).groupBy(*keys).agg(F.count("*").alias("copies")).where("copies > 1").isEmpty()
 
 
 def join_unique(df: DataFrame, other: DataFrame, on: str | Sequence[str], how: str = "left",
-                check_unique: bool = True, bound: DataFrame | None = None) -> DataFrame:
+                check_unique: bool = True) -> DataFrame:
     """Join to a frame that has one row per key, whatever the key distribution of ``df``.
 
-    A measured small side is broadcast, so ``df`` is not shuffled. Otherwise rows of
-    the few most frequent keys (and NULL keys, which match nothing) meet a broadcast
-    of just those keys' rows, at most ``HOT_KEYS`` of them, and only the rest is
-    shuffled. ``how`` is left, inner, left_semi or left_anti. ``other`` is measured
-    and read again, so a costly one should be a stored table.
+    Spark broadcasts ``other`` where its statistics are within the session's threshold, at
+    planning or, by the size of what was shuffled, at run time; beyond that adaptive
+    execution cuts the partitions of hot keys (and of NULL keys, which match nothing).
+    Each side is read once. ``how`` is left, inner, left_semi or left_anti.
     """
     keys = _keys(on)
-    small, repeats = _measure(other, keys, check_unique, bound)
-    if repeats:
+    if check_unique and _repeats(other, keys):
         raise ValueError(f"the joined frame is not unique on {keys}")
-    if small:
-        return df.join(F.broadcast(other), keys, how)
-    return split_hot_join(df, other, keys, how)
-
-
-def split_hot_join(df: DataFrame, other: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
-    """The large-by-large form of ``join_unique``; ``df`` is read three times."""
-    # Equal keys must hash alike on both sides, so hash them in their common type.
-    common = df.select(*keys).unionByName(other.select(*keys)).schema
-    bucket = F.xxhash64(*[F.col(k).cast(common[k].dataType) for k in keys])
-    # A sketch: it only chooses the route of a row, never whether it is in the result.
-    found = (df.select(bucket.alias("h"))
-             .agg(F.expr(f"approx_top_k(h, {HOT_KEYS}, {HOT_KEYS * 16})").alias("top")).first())
-    hot = [entry["item"] for entry in found["top"] or []]
-    missing = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
-    is_hot = bucket.isin(hot) if hot else F.lit(False)
-    near = df.where(missing | is_hot).join(F.broadcast(other.where(is_hot)), list(keys), how)
-    far = df.where(~missing & ~is_hot).join(other.where(~is_hot), list(keys), how)
-    return near.unionByName(far)
+    return df.join(other, keys, how)
 
 
 def lookup(df: DataFrame, seed: DataFrame, on: str | Sequence[str],
@@ -98,14 +61,20 @@ def matched(df: DataFrame, parent: DataFrame, on: str | Sequence[str]) -> DataFr
 
 def _by_existence(df, parent, on, how):
     keys = _keys(on)
-    return join_unique(df, parent.select(*keys).distinct(), keys, how, False, bound=parent)
+    return join_unique(df, parent.select(*keys).distinct(), keys, how, check_unique=False)
 
 
 def rows_with_run(rows: DataFrame, runs: DataFrame) -> DataFrame:
-    """Raw rows beside the run that loaded them, by batch and source."""
-    facts = runs.select(F.col("batch_id").alias("_batch_id"), F.col("source").alias("_source"),
+    """Raw rows beside the run that loaded them, by batch and source.
+
+    A source that was run again for the same batch has several runs; its rows are those
+    of the last that succeeded, or of the last at all.
+    """
+    order = [(F.col("status") == "ok").desc_nulls_last(), F.col("started_at").desc_nulls_last()]
+    last = first_per_key(runs, ["batch_id", "source"], order)
+    facts = last.select(F.col("batch_id").alias("_batch_id"), F.col("source").alias("_source"),
                         F.col("status").alias("run_status"), F.col("rows").alias("run_rows"))
-    return join_unique(rows, facts, ["_batch_id", "_source"], "inner")
+    return join_unique(rows, facts, ["_batch_id", "_source"], "inner", check_unique=False)
 
 
 def edges_with_facts(facts: DataFrame, edges: DataFrame, on: Sequence[str],

@@ -21,7 +21,7 @@ def _split(entry: str) -> tuple[str, int | None, str]:
     found = _TRANSFORM.fullmatch(entry.strip())
     kind = found.group(1) if found else ""
     width = found.group(2) if found else None
-    if kind in _CALENDAR and width is None or kind in ("bucket", "truncate") and width:
+    if kind in _CALENDAR and width is None or kind in ("bucket", "hash", "truncate") and width:
         return kind, width and int(width), found.group(3)
     raise ValueError(f"unknown partition transform {entry!r}")
 
@@ -32,6 +32,7 @@ def native_partitions(partition_by: Sequence[str]) -> list[str]:
     for kind, width, name in map(_split, partition_by):
         name = ".".join(f"`{part}`" for part in name.split("."))
         inner = name if width is None else f"{width}, {name}"
+        kind = "bucket" if kind == "hash" else kind
         clauses.append(name if kind == "identity" else f"{kind}({inner})")
     return clauses
 
@@ -45,9 +46,16 @@ def derived_columns(partition_by: Sequence[str]) -> dict[str, Column]:
             derived[f"{name}_{suffix}"] = value(F.col(name))
         elif kind == "truncate":
             derived[f"{name}_trunc"] = F.substring(name, 1, width)
+        elif kind == "hash":
+            derived[f"{name}_hash"] = F.pmod(F.xxhash64(name), F.lit(width)).cast("int")
     return derived
 
 
+def source_columns(partition_by: Sequence[str]) -> dict[str, str]:
+    """Which column each derived partition column is computed from."""
+    return {derived: _split(entry)[2] for entry in partition_by for derived in derived_columns([entry])}
+
+
 def plain_partitions(partition_by: Sequence[str]) -> list[Column]:
     """Identity and bucket partitions over the frame with its derived columns added."""
     columns = []

@@ -125,10 +125,12 @@ def gate(df: DataFrame, rules: Sequence[Rule], max_failed_share: float | None =
         df, [when(~unfit, r) if first and r.unique_key else r for r in rules])
     wrong = unfit | broken
     names = F.when(unfit, unfit_names).otherwise(broken_names)
-    if max_failed_share is not None:
-        total, failed = judged.agg(F.count("*"), F.count_if(wrong)).first()
-        if total and failed / total > max_failed_share:
-            raise RuleGateError(f"{failed} of {total} rows failed, limit {max_failed_share}")
     columns = [quoted(c) for c in df.columns]
-    held = judged.where(wrong).select(*columns, names.alias("_failed_rules"))
-    return judged.where(~wrong).select(*columns), held
+    # Judged once: both outputs, and the share of failed rows, come from what is stored here.
+    judged = materialise(judged.select(*columns, F.when(wrong, names).alias("_failed_rules")), "judged")
+    failed = F.col("_failed_rules").isNotNull()
+    if max_failed_share is not None:
+        total, count = judged.agg(F.count("*"), F.count_if(failed)).first()
+        if total and count / total > max_failed_share:
+            raise RuleGateError(f"{count} of {total} rows failed, limit {max_failed_share}")
+    return judged.where(~failed).select(*columns), judged.where(failed)

@@ -3,15 +3,16 @@
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from terrace.functions.audit import AUDIT_COLUMNS
-from terrace.functions.rules import Rule, castable
+from terrace.functions.rules import Rule
 from terrace.operators.joins import join_unique
+from terrace.operators.ranking import first_per_key
 from terrace.operators.tables import (
-    add_columns, in_partitions, is_native, partition_columns, quoted, replace_partitions, replace_table,
+    add_columns, in_partitions, is_native, partition_columns, partition_sources, quoted, replace_partitions, replace_table,
     restore, with_partitions)
-from terrace.workspace import materialise
+from terrace.workspace import materialise, scratch_scope
 
 
 def typed(df: DataFrame, types: Mapping[str, str], on_error: str = "null") -> DataFrame:
@@ -32,10 +33,14 @@ def typed_columns(df: DataFrame, types: Mapping[str, str], on_error: str = "null
             for c in df.columns]
 
 
+def _value(field: T.StructField, inside: str = "") -> Column:
+    """A raw value as it is cast: text trimmed, blanks NULL."""
+    value = F.col(f"{inside}.{quoted(field.name)}" if inside else quoted(field.name))
+    return F.nullif(F.trim(value), F.lit("")) if isinstance(field.dataType, T.StringType) else value
+
+
 def _read_as(field: T.StructField, data_type: str, on_error: str) -> Column:
-    value = F.col(quoted(field.name))
-    if isinstance(field.dataType, T.StringType):
-        value = F.nullif(F.trim(value), F.lit(""))
+    value = _value(field)
     read = value.try_cast(data_type)
     if on_error == "null":
         return read
@@ -46,12 +51,16 @@ def _read_as(field: T.StructField, data_type: str, on_error: str) -> Column:
 def type_rules(df: DataFrame, types: Mapping[str, str], inside: str = "") -> list[Rule]:
     """The casts of ``typed`` that can fail, as rules over the raw rows for the quarantine.
 
-    ``inside`` names a struct column that holds the raw row.
+    They look at the very value that ``typed`` casts. ``inside`` names a struct column
+    that holds the raw row.
     """
-    prefix = f"{inside}." if inside else ""
-    return [castable(prefix + quoted(column), data_type, name=f"{column}:type")
-            for column, data_type in types.items()
-            if df.schema[column].dataType != T.DataType.fromDDL(data_type)]
+    rules = []
+    for column, data_type in types.items():
+        field = df.schema[column]
+        if field.dataType != T.DataType.fromDDL(data_type):
+            value = _value(field, inside)
+            rules.append(Rule(f"{column}:type", value.isNotNull(), value.try_cast(data_type).isNotNull()))
+    return rules
 
 
 def null_policy(df: DataFrame, policy: Mapping[str, tuple],
@@ -72,22 +81,6 @@ def null_policy(df: DataFrame, policy: Mapping[str, tuple],
     return df.withColumns(filled) if filled else df
 
 
-def _orderable(field: T.StructField) -> Column:
-    column = F.col(quoted(field.name))
-    return F.to_json(column) if "map<" in field.dataType.simpleString() else column
-
-
-def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
-    """The first row of every key; ties go by all other columns ascending, NULLs last.
-
-    Spark keeps only each task's own first row per key before the shuffle, so a key
-    with a large share of the rows sends one row per task, not all of them.
-    """
-    ties = [_orderable(f).asc_nulls_last() for f in df.schema if f.name not in keys]
-    window = Window.partitionBy(*keys).orderBy(*order, *ties)
-    return df.withColumn("_rank", F.row_number().over(window)).where("_rank = 1").drop("_rank")
-
-
 def dedup(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:
     """One row per business key, the latest by ``order_by``."""
     return first_per_key(df, keys, [F.col(c).desc_nulls_last() for c in order_by])
@@ -130,9 +123,10 @@ def upsert_into(source: DataFrame, fqn: str, keys: Sequence[str], order_by: str)
     """``upsert`` into a stored table that has one row per key.
 
     Columns that only the source has are added to the table. A catalog with row-level
-    changes merges. A plain table whose partition columns are
-    among the keys rewrites only the partitions the source touches; any other one is
-    rewritten whole. ``source`` is read more than once and should be a stored table.
+    changes merges. A plain table whose partition columns are among the keys, or derived
+    from them (``hash(64, key)`` bounds their number), rewrites only the partitions the
+    source touches; any other one is rewritten whole. ``source`` is read more than once
+    and should be a stored table.
     """
     spark = source.sparkSession
     if not is_native(spark, fqn):
@@ -147,13 +141,14 @@ def upsert_into(source: DataFrame, fqn: str, keys: Sequence[str], order_by: str)
         newer = f"t.{quoted(order_by)} IS NULL OR s.{quoted(order_by)} >= t.{quoted(order_by)}"
         spark.sql(f"MERGE INTO {fqn} t USING {{best}} s ON {on} WHEN MATCHED AND ({newer}) "
                   "THEN UPDATE SET * WHEN NOT MATCHED THEN INSERT *", best=best)
-    elif parts and set(parts) <= set(keys):
+    elif parts and (set(parts) <= set(keys) or partition_sources(spark, fqn) <= set(keys)):
         touched = [r.asDict() for r in source.select(*parts).distinct().collect()]
         if touched:
             target = in_partitions(spark.table(fqn), touched)
             replace_partitions(_winners(target, source, keys, order_by), fqn, touched)
     else:
-        replace_table(upsert(spark.table(fqn), source, keys, order_by, target_unique=True), fqn)
+        with scratch_scope(spark):
+            replace_table(upsert(spark.table(fqn), source, keys, order_by, target_unique=True), fqn)
 
 
 def _winners(target: DataFrame, source: DataFrame, keys: Sequence[str], order_by: str) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions
 
 from terrace.functions.audit import AUDIT_COLUMNS
 from terrace.operators.partitioning import (
-    derived_columns, native_partitions, plain_partitions, spread)
+    derived_columns, native_partitions, plain_partitions, source_columns, spread)
 
 # Properties given to a table of an Iceberg-style catalog on creation.
 TABLE_PROPERTIES = {
@@ -201,6 +201,13 @@ def with_partitions(df: DataFrame, fqn: str) -> DataFrame:
     return _with_derived(df, held[_LAYOUT].split("; ")) if _LAYOUT in held else df
 
 
+def partition_sources(spark: SparkSession, fqn: str) -> set[str]:
+    """The columns that alone decide a row's partition in a plain table."""
+    held = _properties(spark, fqn)
+    derived = source_columns(held[_LAYOUT].split("; ")) if _LAYOUT in held else {}
+    return {derived.get(c, c) for c in partition_columns(spark, fqn)}
+
+
 def _write_keys(partition_by: Sequence[str]) -> list[str]:
     names = [next(iter(derived_columns([entry])), re.sub(r".*[(, ](\w+)\)$", r"\1", entry))
              for entry in partition_by]

@@ -2,7 +2,7 @@
 
 import time
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timezone
 from threading import Event, Lock
@@ -11,15 +11,20 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from terrace.functions.audit import enrich
-from terrace.operators.changes import stored_mark, unfinished_batches
+from terrace.operators.changes import stored_mark, unfinished_attempts
 from terrace.operators.runs import RUN_SCHEMA
-from terrace.operators.tables import append, delete_rows, literal, quoted, table_exists
+from terrace.operators.tables import (
+    append, delete_rows, drop_partitions, is_native, literal, partition_columns, quoted, table_exists)
 from terrace.sources.jdbc import read_increment
 from terrace.sources.readers import from_files, read_source
 from terrace.sources.registry import choose
 from terrace.sources.spec import SourceSpec
 
 
+#: Which call of ``ingest_increment`` wrote a row.
+ATTEMPT = "_attempt_id"
+
+
 def new_batch_id() -> str:
     return str(uuid.uuid4())
 
@@ -35,10 +40,12 @@ def ingest_source(spark: SparkSession, spec: SourceSpec, batch_id: str,
     return _append_counted(rows, spec, catalog)[:2]
 
 
-def _append_counted(rows: DataFrame, spec: SourceSpec, catalog: str | None, *extra):
+def _append_counted(rows: DataFrame, spec: SourceSpec, catalog: str | None, *extra, partition_by=()):
+    """Raw tables are partitioned by batch unless the source says otherwise: a batch is
+    then taken back by its metadata alone, and needs no shuffle to be written."""
     seen = Observation()
-    table = append(rows, spec.namespace, spec.table or spec.name, catalog, spec.partition_by,
-                   evolve=True, observe=(seen, [F.count(F.lit(1)).alias("rows"), *extra]))
+    table = append(rows, spec.namespace, spec.table or spec.name, catalog,
+                   partition_by or spec.partition_by or ["_batch_id"], evolve=True, observe=(seen, [F.count(F.lit(1)).alias("rows"), *extra]))
     return table, seen.get["rows"], seen.get
 
 
@@ -91,22 +98,25 @@ def ingest_all(spark: SparkSession, specs: Sequence[SourceSpec], only: Sequence[
 
 def ingest_increment(spark: SparkSession, spec: SourceSpec, column: str, batch_id: str,
                      state: tuple[str, str] = ("ops", "high_water"),
-                     catalog: str | None = None) -> tuple[str, int]:
+                     catalog: str | None = None, written: Callable[[], None] | None = None) -> tuple[str, int]:
     """Load only rows above the source's high-water mark and move the mark.
 
-    The new mark is the maximum the write itself observed. The state table records a
-    batch before its write and its mark afterwards; a batch begun but not ended stopped
-    half-way and is taken back out of the table before the next one is read. One run per
-    source at a time.
+    ``written`` is called between the write and its mark.
+
+    The new mark is the maximum the write itself observed. Every call is an attempt with
+    an id of its own, whatever the batch id: its rows carry it as ``_attempt_id``, which
+    also partitions the table. The state table records an attempt before its write and its
+    mark afterwards; one begun but not ended stopped half-way, and its partition is dropped
+    before the next one reads. One run per source at a time.
     """
     target = quoted(catalog, spec.namespace, spec.table or spec.name)
     raw = read_source(spark, spec)
     kind = raw.schema[column].dataType.simpleString()
 
-    def record(batch, mark):
-        row = spark.createDataFrame([(spec.name, batch, mark)],
-                                    f"source string, batch_id string, mark {kind}")
-        append(row.select("source", "batch_id", F.col("mark").cast("string").alias("high_water"),
+    def record(attempt, mark):
+        row = spark.createDataFrame([(spec.name, batch_id, attempt, mark)],
+                                    f"source string, batch_id string, attempt string, mark {kind}")
+        append(row.select("source", "batch_id", "attempt", F.col("mark").cast("string").alias("high_water"),
                           F.current_timestamp().alias("recorded_at")), *state, catalog=catalog)
 
     mark = None
@@ -114,12 +124,24 @@ def ingest_increment(spark: SparkSession, spec: SourceSpec, column: str, batch_i
         stored = spark.table(quoted(catalog, *state)).where(F.col("source") == spec.name)
         mark = stored_mark(stored.withColumn("high_water", F.col("high_water").cast(kind)),
                            spec.name, "high_water")
-        for batch in unfinished_batches(stored):
+        for attempt in unfinished_attempts(stored):
             if table_exists(spark, target):
-                delete_rows(spark, target, f"_batch_id = {literal(batch)} AND _source = {literal(spec.name)}")
-            record(batch, None)
-    record(batch_id, None)
+                _take_back(spark, target, attempt)
+            record(attempt, None)
+    attempt = new_batch_id()
+    record(attempt, None)
     rows = enrich(read_increment(raw, column, mark), spec.name, spec.type, batch_id, from_files(spec))
-    table, count, seen = _append_counted(rows, spec, catalog, F.max(column).alias("mark"))
-    record(batch_id, seen["mark"] if count else mark)
+    rows = rows.withColumn(ATTEMPT, F.lit(attempt))
+    table, count, seen = _append_counted(rows, spec, catalog, F.max(column).alias("mark"),
+                                         partition_by=[*spec.partition_by, ATTEMPT])
+    if written:
+        written()
+    record(attempt, seen["mark"] if count else mark)
     return table, count
+
+
+def _take_back(spark: SparkSession, target: str, attempt: str) -> None:
+    if not is_native(spark, target) and ATTEMPT in partition_columns(spark, target):
+        drop_partitions(spark, target, [{ATTEMPT: attempt}])
+    elif ATTEMPT in spark.table(target).columns:
+        delete_rows(spark, target, f"{ATTEMPT} = {literal(attempt)}")

@@ -11,6 +11,7 @@ from terrace.operators.quality import gate
 from terrace.operators.staging import dedup, null_policy, type_rules, typed_columns, upsert_into
 from terrace.operators.tables import (
     append, quoted, restore, rollback_batch, staged, table_exists, write_partitioned)
+from terrace.workspace import scratch_scope
 
 
 def stage(raw: DataFrame, types: Mapping[str, str], nulls: Mapping[str, tuple],
@@ -34,33 +35,38 @@ def refresh_silver(raw: DataFrame, table: str, types: Mapping[str, str], keys: S
                    order_by: str, nulls: Mapping[str, tuple] | None = None,
                    rules: Sequence[Rule] = (), namespace: str = "silver",
                    catalog: str | None = None, max_failed_share: float | None = None,
-                   partition_by: Sequence[str] = ()) -> str:
+                   partition_by: Sequence[str] = (), batch_ids: Sequence[str] | None = None) -> str:
     """Merge staged rows into a Silver table; rows that fail go to ``<table>_quarantine``.
 
-    A rerun of the same batch leaves both as they are. With ``partition_by``
-    columns that belong to the keys a refresh rewrites only the partitions it touches.
+    A rerun of the same batch leaves both as they are. ``batch_ids`` names the batches in
+    ``raw``; without it they are looked up, which reads that column once more. With
+    ``partition_by`` columns that belong to the keys, or transforms of them
+    (``hash(64, key)``), a refresh rewrites only the partitions it touches.
     """
     spark = raw.sparkSession
     fqn = quoted(catalog, namespace, table)
-    good, bad = stage(raw, types, nulls or {}, rules, keys, order_by, max_failed_share)
-    _quarantine(raw, bad, namespace, f"{table}_quarantine", catalog)
-    restore(spark, fqn)
-    if not table_exists(spark, fqn):
-        return append(good, namespace, table, catalog, partition_by)
-    # The staged rows are read three times below, so they are computed once.
-    with staged(good, fqn) as incoming:
-        upsert_into(incoming, fqn, keys, order_by)
+    with scratch_scope(spark):
+        good, bad = stage(raw, types, nulls or {}, rules, keys, order_by, max_failed_share)
+        _quarantine(raw, bad, namespace, f"{table}_quarantine", catalog, batch_ids)
+        restore(spark, fqn)
+        if not table_exists(spark, fqn):
+            return append(good, namespace, table, catalog, partition_by)
+        # The staged rows are read three times below, so they are computed once.
+        with staged(good, fqn) as incoming:
+            upsert_into(incoming, fqn, keys, order_by)
     return fqn
 
 
 def _quarantine(raw: DataFrame, bad: DataFrame, namespace: str, table: str,
-                catalog: str | None) -> None:
+                catalog: str | None, batch_ids: Sequence[str] | None) -> None:
     """Replace what is held of the batches in ``raw``; rows without a batch are only added."""
     spark, held = raw.sparkSession, quoted(catalog, namespace, table)
     batched = "_batch_id" in raw.columns
     if batched and table_exists(spark, held):
-        for batch in raw.select("_batch_id").distinct().dropna().collect():
-            rollback_batch(spark, held, batch["_batch_id"])
+        if batch_ids is None:
+            batch_ids = [r["_batch_id"] for r in raw.select("_batch_id").distinct().dropna().collect()]
+        for batch in batch_ids:
+            rollback_batch(spark, held, batch)
     append(bad, namespace, table, catalog, ["_batch_id"] if batched else (), evolve=True)
 
 

@@ -1,18 +1,20 @@
 """Raw ingest and table-lifecycle queries."""
 
 import os
+from functools import reduce
 
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from terrace.functions.audit import AUDIT_COLUMNS, enrich, raw_columns, select_rows
 from terrace.operators.aggregates import rows_by
 from terrace.operators.joins import join_unique, rows_with_run
 from terrace.operators.quality import audit_contract, schema_report
 from terrace.operators.governance import completeness
+from terrace.operators.runs import failed_sources
 from terrace.operators.staging import latest_run
 from terrace.operators.tables import (
-    append, batch_rows, evolve_and_append, list_tables, overwrite_partitions, preview, quoted,
-    rollback_batch, write_partitioned)
+    append, batch_rows, delete_rows, evolve_and_append, list_tables, overwrite_partitions, preview, quoted,
+    replace_table, rollback_batch, write_partitioned)
 from terrace.plans.ingest import ingest_all, ingest_increment, ingest_source
 from terrace.queries.registered import TABLES, fresh_namespace, query, table
 from terrace.sources.jdbc import read_jdbc
@@ -54,15 +56,18 @@ def bronze_csv_all_strings(spark, sf):
 
 
 @query("bronze_json_nested", """
-    SELECT event_id, user_id, event_type, value, CAST(json_extract(props, '$.k') AS BIGINT) AS k
+    SELECT event_id, ts, user_id, event_type, value, CAST(json_extract(props, '$.k') AS BIGINT) AS k
     FROM events""")
 def bronze_json_nested(spark, sf):
     path = scratch(spark, "json")
     events = table(spark, sf, "events")
-    events.select("event_id", "user_id", "event_type", "value",
-                  F.from_json("props", "k bigint").alias("props")).write.json(path)
-    rows = ingest_file(spark, "events_json", path, "json", "json")
-    return rows.select("event_id", "user_id", "event_type", "value", F.col("props.k").alias("k"))
+    exact = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+    events.select("event_id", "ts", "user_id", "event_type", "value",
+                  F.from_json("props", "k bigint").alias("props")).write.option("timestampNTZFormat", exact).json(path)
+    rows = ingest_file(spark, "events_json", path, "json", "json", options={"reader_options": {
+        "timestampNTZFormat": exact, "inferTimestamp": True, "prefersDecimal": False}, "schema":
+        "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props struct<k: bigint>"})
+    return rows.select("event_id", "ts", "user_id", "event_type", "value", F.col("props.k").alias("k"))
 
 
 @query("csv_recursive_options", """
@@ -109,7 +114,7 @@ def in_database(spark, df, name, text_columns):
 
 
 def orders_in_database(spark, sf):
-    orders = table(spark, sf, "orders").withColumn("o_orderdate", F.to_date("o_orderdate"))
+    orders = table(spark, sf, "orders")
     options = in_database(spark, orders, "orders", ["o_orderstatus", "o_orderpriority"])
     low, high = orders.agg(F.min("o_orderkey"), F.max("o_orderkey")).first()
     return options | {"partition_column": "o_orderkey", "lower_bound": low, "upper_bound": high,
@@ -117,13 +122,14 @@ def orders_in_database(spark, sf):
 
 
 @query("bronze_jdbc_partitioned", """
-    SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, CAST(o_orderdate AS DATE) AS o_orderdate,
+    SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate,
            o_orderpriority, 'jdbc' AS _source_type, CAST(NULL AS VARCHAR) AS _source_file FROM orders""")
 def bronze_jdbc_partitioned(spark, sf):
     spec = SourceSpec("orders_db", orders_in_database(spark, sf) | {"dbtable": "orders"}, "jdbc",
                       namespace=fresh_namespace(spark, "jdbc"))
     rows = spark.table(ingest_source(spark, spec, "b1")[0])
-    return rows.select(*raw_columns(rows), "_source_type", "_source_file")
+    return rows.select(*raw_columns(rows), "_source_type", "_source_file").withColumn(
+        "o_orderdate", F.col("o_orderdate").cast("timestamp_ntz"))
 
 
 @query("bronze_jdbc_query", """
@@ -164,10 +170,10 @@ def rows_by_source_type(spark, sf):
         F.count("*").alias("rows"), F.count_if(F.col("_source_file").isNull()).alias("without_file"))
 
 
-@query("custom_source", "SELECT event_id, user_id, event_type, value, 'orc' AS _source_type FROM events")
+@query("custom_source", "SELECT *, 'orc' AS _source_type FROM events")
 def custom_source(spark, sf):
     path = scratch(spark, "orc")
-    table(spark, sf, "events").select("event_id", "user_id", "event_type", "value").write.orc(path)
+    table(spark, sf, "events").write.orc(path)
     register_type("orc", format_reader("orc"), from_files=True)
     spec = SourceSpec("events_orc", {"path": path}, "orc", fresh_namespace(spark, "orc"))
     rows = spark.table(ingest_source(spark, spec, "b1")[0])
@@ -326,8 +332,8 @@ def overwrite_one_partition(spark, sf):
 @query("incremental_read", """
     WITH old AS (SELECT * FROM orders WHERE o_orderdate < TIMESTAMP '1998-01-01'),
          mark AS (SELECT max(o_orderkey) AS m FROM old)
-    SELECT o_orderkey, 'b1' AS _batch_id FROM old
-    UNION ALL SELECT o_orderkey, 'b2' FROM orders, mark WHERE o_orderkey > m""")
+    SELECT *, 'b1' AS _batch_id FROM old
+    UNION ALL SELECT orders.*, 'b2' FROM orders, mark WHERE o_orderkey > m""")
 def incremental_read(spark, sf):
     namespace, path = fresh_namespace(spark, "increment"), scratch(spark, "early")
     early = table(spark, sf, "orders").where("o_orderdate < TIMESTAMP_NTZ '1998-01-01'")
@@ -337,17 +343,79 @@ def incremental_read(spark, sf):
     ingest_increment(spark, first, "o_orderkey", "b1", state)
     later = file_spec("orders", f"{sf}/orders.parquet", "parquet", namespace)
     fqn, _ = ingest_increment(spark, later, "o_orderkey", "b2", state)
-    return spark.table(fqn).select("o_orderkey", "_batch_id")
+    rows = spark.table(fqn)
+    return rows.select(*table(spark, sf, "orders").columns, "_batch_id")
+
+
+class _Stopped(Exception):
+    """Stands for a driver that is lost between the write and its mark."""
+
+
+@query("incremental_rerun", "SELECT *, 'b1' AS _batch_id FROM orders")
+def incremental_rerun(spark, sf):
+    """The same batch id again and again: finished once, then stopped twice half-way, then finished."""
+    namespace, path = fresh_namespace(spark, "again"), scratch(spark, "early")
+    orders = table(spark, sf, "orders")
+    middle = orders.agg(F.expr("percentile_approx(o_orderkey, 0.5)")).first()[0]
+    orders.where(F.col("o_orderkey") <= middle).write.parquet(path)
+    state = (namespace, "high_water")
+    ingest_increment(spark, file_spec("orders", path, "parquet", namespace), "o_orderkey", "b1", state)
+    later = file_spec("orders", f"{sf}/orders.parquet", "parquet", namespace)
+
+    def stop():
+        raise _Stopped
+    for _ in range(2):
+        try:
+            ingest_increment(spark, later, "o_orderkey", "b1", state, written=stop)
+        except _Stopped:
+            pass
+    fqn, _ = ingest_increment(spark, later, "o_orderkey", "b1", state)
+    return spark.table(fqn).select(*orders.columns, "_batch_id")
+
+
+@query("sibling_tables", " UNION ALL ".join(
+    f"SELECT '{t}' AS \"table\", c_custkey, c_nationkey FROM customer CROSS JOIN (VALUES (1), (2)) v(n) "
+    "WHERE c_nationkey % 5 <> 0" for t in ("t", "t__old", "t__stg", "t__part", "t__in")))
+def sibling_tables(spark, sf):
+    """Tables whose names look like leftovers, written and rewritten in turn."""
+    namespace, names = fresh_namespace(spark, "siblings"), ["t", "t__old", "t__stg", "t__part", "t__in"]
+    customer = table(spark, sf, "customer").select("c_custkey", "c_nationkey")
+    for _ in range(2):
+        for name in names:
+            append(customer, namespace, name, partition_by=["c_nationkey"] if name == "t__part" else [])
+    for name in names:
+        delete_rows(spark, quoted(namespace, name), "c_nationkey % 5 = 0")
+    parts = [spark.table(quoted(namespace, n)).select(F.lit(n).alias("table"), "c_custkey", "c_nationkey") for n in names]
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query("table_properties", """
+    SELECT t AS "table", k AS key, v AS value, (SELECT count(*) FROM nation) AS rows FROM (VALUES
+        ('plain', 'owner.team', 'sales'), ('parted', 'owner.team', 'sales'), ('parted', 'terrace.partition_by', 'hash(4, n_nationkey)'),
+        ('plain', 'option.compression', 'zstd'), ('parted', 'option.compression', 'zstd')) v(t, k, v)""")
+def table_properties(spark, sf):
+    namespace, nation = fresh_namespace(spark, "properties"), table(spark, sf, "nation")
+    for name, layout in (("plain", []), ("parted", ["hash(4, n_nationkey)"])):
+        append(nation, namespace, name, partition_by=layout, properties={"owner.team": "sales"})
+        replace_table(spark.table(quoted(namespace, name)), quoted(namespace, name))  # properties outlive a rewrite
+    shown = [spark.sql(f"SHOW TBLPROPERTIES {quoted(namespace, n)}").where(
+        F.col("key").isin("owner.team", "terrace.partition_by", "option.compression")).crossJoin(
+        spark.table(quoted(namespace, n)).agg(F.count("*").alias("rows"))).select(F.lit(n).alias("table"), "key", "value", "rows")
+        for n in ("plain", "parted")]
+    return shown[0].unionByName(shown[1])
 
 
 @query("runs_join_rows", " UNION ALL ".join(
     f"SELECT '{t}' AS _source, 'ok' AS run_status, count(*) AS run_rows, count(*) AS rows FROM {t}"
     for t in ("orders", "customer")))
 def runs_join_rows(spark, sf):
+    """A batch whose first run of ``customer`` failed and was repeated."""
     namespace = fresh_namespace(spark, "runs")
-    runs = ingest_all(spark, [
-        file_spec(t, f"{sf}/{t}.parquet", "parquet", namespace) for t in ("orders", "customer")],
-        batch_id="b1")
+    good = {t: file_spec(t, f"{sf}/{t}.parquet", "parquet", namespace) for t in ("orders", "customer")}
+    broken = file_spec("customer", f"{sf}/no_such_table.parquet", "parquet", namespace)
+    first = ingest_all(spark, [good["orders"], broken], batch_id="b1")
+    again = [r["source"] for r in failed_sources(first, "b1").collect()]
+    runs = first.unionByName(ingest_all(spark, list(good.values()), only=again, batch_id="b1"))
     raw = [spark.table(quoted(namespace, t)).select("_batch_id", "_source") for t in ("orders", "customer")]
     joined = rows_with_run(raw[0].unionByName(raw[1]), runs)
     return joined.groupBy("_source", "run_status", "run_rows").agg(F.count("*").alias("rows"))
@@ -368,13 +436,18 @@ def audit_contract_query(spark, sf):
     SELECT c AS "column", e AS expected, a AS actual, s AS status, share FROM (VALUES
         ('l_orderkey', 'bigint', 'bigint', 'ok'), ('l_linenumber', 'bigint', 'int', 'type_mismatch'),
         ('l_quantity', 'double', 'double', 'ok'), ('l_comment', 'string', NULL, 'missing'),
+        ('l_partkey', 'bigint', 'bigint', 'ok'), ('l_suppkey', 'string', 'bigint', 'type_mismatch'),
+        ('l_extendedprice', 'double', 'double', 'ok'), ('l_discount', 'decimal(4,2)', 'double', 'type_mismatch'),
+        ('l_tax', 'double', 'double', 'ok'), ('l_returnflag', 'string', 'string', 'ok'),
+        ('l_linestatus', NULL, 'string', 'extra'),
         ('l_shipdate', NULL, 'timestamp_ntz', 'extra')) v(c, e, a, s)
     LEFT JOIN (SELECT 'l_orderkey' AS c, avg(CASE WHEN l_orderkey IS NULL THEN 0.0 ELSE 1.0 END) AS share
                FROM lineitem) USING (c)""")
 def schema_check(spark, sf):
-    lineitem = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_shipdate")
+    lineitem = table(spark, sf, "lineitem")
     expected = {"L_ORDERKEY": "bigint", "l_linenumber": "bigint", "l_quantity": "double",
-                "l_comment": "string"}
+                "l_comment": "string", "l_partkey": "long", "l_suppkey": "string", "l_extendedprice": "double",
+                "l_discount": "decimal(4,2)", "l_tax": "double", "l_returnflag": "string"}
     filled = completeness(lineitem, ["l_orderkey"]).where("field <> 'overall'")
     return schema_report(lineitem, expected).join(
         filled.withColumnRenamed("field", "column"), "column", "left")

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from terrace.functions import rules as R
-from terrace.operators.aggregates import kpi
+from terrace.operators.aggregates import kpi, kpi_sets
 from terrace.operators.joins import conform, edges_with_facts, join_unique, lookup
 from terrace.operators.tables import quoted
 from terrace.plans.ingest import ingest_all, ingest_source
@@ -11,7 +11,7 @@ from terrace.plans.medallion import refresh_gold, refresh_silver
 from terrace.queries.registered import fresh_namespace, query, table
 from terrace.sources.files import read_files
 from terrace.sources.spec import SourceSpec
-from terrace.workspace import scratch
+from terrace.workspace import materialise, scratch
 
 def nations(spark, sf):
     region = table(spark, sf, "region").withColumnRenamed("r_regionkey", "n_regionkey")
@@ -100,10 +100,15 @@ def conform_unknown_member(spark, sf):
 
 
 def line_kpi(spark, sf, mode):
-    return kpi(table(spark, sf, "lineitem"), ["l_returnflag", "l_linestatus"], {
-        "rows": F.count("*"), "quantity": F.round(F.sum("l_quantity"), 2),
-        "orders": F.countDistinct("l_orderkey"), "cheapest": F.min("l_extendedprice"),
-        "dearest": F.max("l_extendedprice"), "mean_tax": F.round(F.avg("l_tax"), 8)}, mode)
+    if mode == "group":
+        return kpi(table(spark, sf, "lineitem"), ["l_returnflag", "l_linestatus"], {
+            "rows": F.count("*"), "quantity": F.round(F.sum("l_quantity"), 2),
+            "orders": F.countDistinct("l_orderkey"), "cheapest": F.min("l_extendedprice"),
+            "dearest": F.max("l_extendedprice"), "mean_tax": F.round(F.avg("l_tax"), 8)}, mode)
+    sets = kpi_sets(table(spark, sf, "lineitem"), ["l_returnflag", "l_linestatus"], {
+        "rows": ("count", "*"), "quantity": ("sum", "l_quantity"), "orders": ("distinct", "l_orderkey"),
+        "cheapest": ("min", "l_extendedprice"), "dearest": ("max", "l_extendedprice"), "mean_tax": ("avg", "l_tax")}, mode)
+    return sets.withColumns({"quantity": F.round("quantity", 2), "mean_tax": F.round("mean_tax", 8)})
 
 
 KPI_SQL = """count(*) AS rows, round(sum(l_quantity), 2) AS quantity, count(DISTINCT l_orderkey) AS orders,
@@ -160,8 +165,9 @@ def seed_lookup(spark, sf):
 def edge_network(spark, sf):
     owner = table(spark, sf, "orders").select(F.col("o_orderkey").alias("l_orderkey"),
                                               F.col("o_custkey").alias("source"))
-    sales = join_unique(table(spark, sf, "lineitem"), owner, "l_orderkey", "inner").select(
-        "source", F.col("l_suppkey").alias("target"), "l_extendedprice", "l_returnflag")
+    # Read twice below, by the export and by the join with the edges, so computed once.
+    sales = materialise(join_unique(table(spark, sf, "lineitem"), owner, "l_orderkey", "inner").select(
+        "source", F.col("l_suppkey").alias("target"), "l_extendedprice", "l_returnflag"), "sales")
     path = scratch(spark, "edges")
     sales.where("l_returnflag = 'R'").select("source", "target", F.lit(1).alias("weight")).write.option(
         "header", True).csv(path)

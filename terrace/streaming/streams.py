@@ -2,14 +2,12 @@
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from terrace.functions.audit import enrich
-from terrace.operators.changes import latest_changes
-from terrace.operators.staging import upsert_into
-from terrace.operators.tables import (
-    append, ensure_namespace, quoted, restore, staged, table_exists)
+from terrace.operators.changes import apply_changes, latest_changes
+from terrace.operators.tables import append, drop_partitions, quoted, replace_table, table_exists
 from terrace.sources.files import file_options
 from terrace.sources.spec import SourceSpec
 
@@ -38,6 +36,43 @@ def decode_json(df: DataFrame, schema: str, column: str = "value") -> DataFrame:
     return df.withColumn("_parsed", parsed).select(*others, "_parsed.*")
 
 
+def unframed(df: DataFrame, column: str = "value") -> DataFrame:
+    """Split registry-framed payloads: a zero byte, a 4-byte schema id, then the payload.
+
+    Adds ``schema_id`` and replaces the column by the payload. A value that is not framed so
+    has a NULL id and payload.
+    """
+    value = F.col(column).cast("binary")
+    framed = (F.octet_length(value) >= 5) & (F.hex(F.substring(value, 1, 1)) == "00")
+    number = F.conv(F.hex(F.substring(value, 2, 4)), 16, 10).cast("bigint")
+    payload = F.expr(f"substring(CAST(`{column}` AS BINARY), 6)")
+    return df.withColumns({"schema_id": F.when(framed, number), column: F.when(framed, payload)})
+
+
+def decode_framed(df: DataFrame, schemas: Mapping[int, str], column: str = "value") -> DataFrame:
+    """Framed JSON payloads as fields, each read by the schema its id names.
+
+    The fields of all schemas become columns (a name must have one type); rows with an
+    unknown id or no frame have NULL in all of them, and their ``schema_id`` tells.
+    """
+    fields = {}
+    for ddl in schemas.values():
+        for field in T._parse_datatype_string(ddl):
+            if fields.setdefault(field.name, field.dataType) != field.dataType:
+                raise ValueError(f"{field.name} has two types")
+    rows = unframed(df, column)
+    parsed = {i: F.from_json(F.col(column).cast("string"), ddl) for i, ddl in schemas.items()}
+    columns = []
+    for name, kind in fields.items():
+        value = F.lit(None).cast(kind)
+        for i, ddl in schemas.items():
+            if name in T._parse_datatype_string(ddl).names:
+                value = F.when(F.col("schema_id") == i, parsed[i].getField(name)).otherwise(value)
+        columns.append(value.alias(name))
+    others = [c for c in rows.columns if c != column]
+    return rows.select(*others, *columns)
+
+
 def stream_ingest(stream: DataFrame, spec: SourceSpec, checkpoint: str, run_id: str,
                   catalog: str | None = None, source_type: str | None = None,
                   include_source_file: bool = True, available_now: bool = True) -> StreamingQuery:
@@ -63,33 +98,43 @@ def stream_ingest(stream: DataFrame, spec: SourceSpec, checkpoint: str, run_id:
     return _start(enriched, load, checkpoint, available_now)
 
 
+EPOCH = "_epoch"
+
+
 def stream_changes(changes: DataFrame, namespace: str, table: str, keys: Sequence[str], seq: str,
                    op: str, checkpoint: str, catalog: str | None = None,
-                   available_now: bool = True) -> StreamingQuery:
-    """Keep the latest change per key in a table, deletes included as tombstones.
+                   available_now: bool = True, run_id: str = "run") -> StreamingQuery:
+    """Append every epoch's latest changes per key, deletes included, to a change table.
 
-    ``current_rows`` gives the surviving rows. Repeating an epoch changes nothing,
-    because the same changes win again. A plain Parquet table is rewritten per epoch,
-    so run this with few large epochs, or use a catalog that replaces rows itself.
+    Nothing stored is read or rewritten, however large the table is. ``current_rows`` gives
+    the rows the changes leave; ``compact_changes`` folds them together now and then. The
+    table is partitioned by epoch (``<run_id>:<epoch>``; ``run_id`` belongs to the
+    checkpoint), and a repeated epoch replaces its own partition.
     """
-    fqn = quoted(catalog, namespace, table)
+    started = []
+
+    def load(rows: DataFrame, epoch: int) -> None:
+        name = f"{run_id}:{epoch}"
+        last = latest_changes(rows, keys, seq, op).withColumn(EPOCH, F.lit(name))
+        replace_partition = not started and table_exists(rows.sparkSession, quoted(catalog, namespace, table))
+        if replace_partition:
+            drop_partitions(rows.sparkSession, quoted(catalog, namespace, table), [{EPOCH: name}])
+        append(last, namespace, table, catalog, [EPOCH], evolve=True)
+        started.append(epoch)
+
+    return _start(changes, load, checkpoint, available_now)
 
-    def merge(rows: DataFrame, epoch: int) -> None:
-        spark = rows.sparkSession
-        ensure_namespace(spark, namespace, catalog)
-        restore(spark, fqn)
-        last = latest_changes(rows, keys, seq, op)
-        if not table_exists(spark, fqn):
-            append(last, namespace, table, catalog)
-            return
-        with staged(last, fqn) as incoming:
-            upsert_into(incoming, fqn, keys, seq)
 
-    return _start(changes, merge, checkpoint, available_now)
+def current_rows(changes: DataFrame, keys: Sequence[str], seq: str, op: str) -> DataFrame:
+    """The rows that a change table leaves: latest per key, deleted keys removed."""
+    return apply_changes(changes.drop(EPOCH), keys, seq, op)
 
 
-def current_rows(tombstoned: DataFrame, op: str) -> DataFrame:
-    return tombstoned.where(~F.col(op).eqNullSafe("d")).drop(op)
+def compact_changes(spark: SparkSession, fqn: str, keys: Sequence[str], seq: str, op: str,
+                    epoch: str = "compacted") -> None:
+    """Keep the latest change per key, deletes included, as one epoch. Not beside a running stream."""
+    last = latest_changes(spark.table(fqn).drop(EPOCH), keys, seq, op)
+    replace_table(last.withColumn(EPOCH, F.lit(epoch)), fqn)
 
 
 def _start(df: DataFrame, sink, checkpoint: str, available_now: bool) -> StreamingQuery:

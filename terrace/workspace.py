@@ -2,11 +2,14 @@
 
 import re
 import tempfile
+import threading
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 _local_root = None
+_scope = threading.local()
 
 
 def one_process(spark: SparkSession) -> bool:
@@ -48,5 +51,25 @@ def materialise(df: DataFrame, label: str = "stage") -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch(spark, label)
+    for scope in getattr(_scope, "open", [])[-1:]:
+        scope.append(path)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession):
+    """Remove on leaving what ``materialise`` stores inside.
+
+    For work that ends in a write of its own: no frame made inside may be read afterwards.
+    """
+    if not hasattr(_scope, "open"):
+        _scope.open = []
+    _scope.open.append([])
+    try:
+        yield
+    finally:
+        jvm = spark.sparkContext._jvm
+        for path in _scope.open.pop():
+            place = jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)

@@ -1,19 +1,18 @@
 import pytest
 from pyspark.sql import functions as F
 
-from terrace.operators import joins
-from terrace.operators.aggregates import duplicate_keys, kpi, unknown_names
+from terrace.operators.aggregates import duplicate_keys, kpi, kpi_sets, unknown_names
 from terrace.operators.joins import (
     conform, edges_with_facts, join_unique, lookup, matched, orphans, rows_with_run)
 
 
-@pytest.fixture(params=["broadcast", "split"])
-def route(request, monkeypatch):
-    """Run a test once below and once above the broadcast bound."""
-    if request.param == "split":
-        monkeypatch.setattr(joins, "BROADCAST_ROWS", -1)
-        monkeypatch.setattr(joins, "HOT_KEYS", 2)
-    return request.param
+@pytest.fixture(params=["broadcast", "shuffled"])
+def route(request, spark):
+    """Run a test with and without Spark's own broadcast."""
+    if request.param == "shuffled":
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    yield request.param
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
 @pytest.fixture
@@ -46,16 +45,6 @@ def test_empty_sides(route, facts, dim, rows):
     assert join_unique(facts, dim.where("false"), "k", "left_anti").count() == facts.count()
 
 
-def test_split_join_shuffles_no_hot_or_null_key(spark, facts, dim, monkeypatch):
-    monkeypatch.setattr(joins, "HOT_KEYS", 1)
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
-    try:
-        plan = joins.split_hot_join(facts, dim, ["k"], "left")._jdf.queryExecution().executedPlan().toString()
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert "BroadcastHashJoin" in plan and "SortMergeJoin" in plan and "xxhash64" in plan
-
-
 def test_conform(route, rows):
     fact = rows.make([(1, "a"), (2, "b"), (None, "c")], "k int, f string")
     dim = rows.make([(1, "one"), (None, "null")], "k int, d string")
@@ -85,10 +74,23 @@ def test_parallel_edges_do_not_multiply_facts(route, rows):
 
 def test_rows_with_run(rows):
     raw = rows.make([("b1", "s", 1), ("b2", "s", 2)], "_batch_id string, _source string, v int")
-    runs = rows.make([("b1", "s", "ok", 1)], "batch_id string, source string, status string, rows bigint")
+    runs = rows.make([("b1", "s", "failed", None, 1), ("b1", "s", "ok", 1, 2), ("b1", "s", "failed", None, 3), ("b3", "s", "ok", 1, 1)],
+                     "batch_id string, source string, status string, rows bigint, started_at int")
     assert rows.of(rows_with_run(raw, runs)) == [("b1", "s", 1, "ok", 1)]
 
 
+def test_kpi_sets_equal_a_plain_cube(rows):
+    df = rows.make([(k % 3 if k % 7 else None, k % 2, k % 5, float(k)) for k in range(60)], "a int, b int, c int, v double")
+    measures = {"n": ("count", "*"), "s": ("sum", "v"), "m": ("avg", "v"), "d": ("distinct", "c"), "e": ("distinct", "v"), "x": ("max", "v")}
+    plain = {"n": F.count("*"), "s": F.sum("v"), "m": F.avg("v"), "d": F.countDistinct("c"), "e": F.countDistinct("v"), "x": F.max("v")}
+    for mode in ("group", "rollup", "cube"):
+        assert rows.of(kpi_sets(df, ["a", "b"], measures, mode)) == rows.of(kpi(df, ["a", "b"], plain, mode))
+    plan = kpi_sets(df, ["a", "b"], measures)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Expand") < plan.rindex("Aggregate")  # the plan is printed from the top
+    with pytest.raises(ValueError):
+        kpi_sets(df, ["a"], {"n": ("median", "v")})
+
+
 def test_aggregates(rows):
     df = rows.make([("a", 1), ("a", 1), ("b", 2)], "k string, v int")
     assert rows.of(duplicate_keys(df, ["k", "v"])) == [("a", 1, 2)]

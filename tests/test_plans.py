@@ -1,5 +1,6 @@
 """Physical plans: what is read, what is shuffled, what is broadcast."""
 
+import os
 import re
 
 import pytest
@@ -7,11 +8,13 @@ from pyspark.sql import functions as F
 
 from terrace.functions import rules as R
 from terrace.functions.audit import enrich, select_rows
-from terrace.operators.joins import lookup
-from terrace.operators.quality import rule_report
-from terrace.operators.staging import dedup, upsert
+from terrace.operators.joins import conform, lookup
+from terrace.operators.quality import rule_report, split_by_rules
+from terrace.operators.staging import dedup, upsert, upsert_into
+from terrace.operators.tables import append
+from terrace.queries import gold
 from terrace.sources.jdbc import read_increment
-from terrace.workspace import materialise, scratch, shared_folder
+from terrace.workspace import materialise, scratch, scratch_scope, shared_folder
 
 SF = "/root/testdata/sf0.001"
 
@@ -76,3 +79,38 @@ def test_intermediate_tables_live_in_the_shared_folder(spark):
     assert shared_folder(spark) == named and scratch(spark, "x").startswith(named)
     kept = materialise(spark.range(3).withColumn("t", F.lit("a")))
     assert kept.inputFiles()[0].replace("file://", "").startswith(named)
+
+
+def test_joins_read_their_large_side_once(spark, lineitem):
+    """Also where nothing may be broadcast: each side of ``conform`` and ``lookup`` is scanned once."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        facts = gold.revenue_by_customer(lineitem, spark.read.parquet(f"{SF}/orders.parquet"))
+        customer = spark.read.parquet(f"{SF}/customer.parquet").select("c_custkey", "c_nationkey")
+        text = plan(lookup(conform(facts, customer, "c_custkey"), gold.nations(spark, SF), "c_nationkey"))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert text.count("l_extendedprice") and len(re.findall(r"FileScan parquet \[l_orderkey", text)) == 1
+    assert "SortMergeJoin" in text
+
+
+def test_gate_judges_the_raw_rows_once(spark, lineitem):
+    passed, held = split_by_rules(lineitem, [R.at_least("l_quantity", 10)])
+    assert all("lineitem.parquet" not in f for part in (passed, held) for f in part.inputFiles())
+    assert passed.count() + held.count() == lineitem.count()
+
+
+def test_upsert_by_hashed_key_leaves_other_files_alone(spark, ns):
+    fqn = append(spark.range(2000).selectExpr("id AS k", "1 AS v"), ns, "t", partition_by=["hash(32, k)"])
+    before = set(spark.table(fqn).inputFiles())
+    upsert_into(spark.createDataFrame([(5, 2), (10_000, 2)], "k bigint, v int"), fqn, ["k"], "v")
+    after = set(spark.table(fqn).inputFiles())
+    assert spark.table(fqn).count() == 2001 and len(before - after) <= 2 < len(before & after)
+
+
+def test_scratch_of_a_finished_write_is_removed(spark):
+    with scratch_scope(spark):
+        kept = materialise(spark.range(3))
+        folder = kept.inputFiles()[0].replace("file://", "").rsplit("/", 1)[0]
+        assert os.path.isdir(folder)
+    assert not os.path.exists(folder)

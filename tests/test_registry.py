@@ -3,7 +3,7 @@ import yaml
 
 from terrace.sources.registry import (
     check_registry, choose, load_registry, registry_frame, select_enabled, shared_targets)
-from terrace.sources.spec import SourceSpec
+from terrace.sources.spec import SourceSpec, spec_from
 
 
 def entry(name="sales_raw", **changes):
@@ -81,3 +81,14 @@ def test_registry_as_a_frame(spark, rows):
     only = rows.make([("three",), ("three",), ("two",)], "name string")
     assert rows.of(select_enabled(frame, only).select("name")) == [("three",)]
     assert rows.of(shared_targets(frame)) == [("bronze", "shared", 2)]
+
+
+@pytest.mark.parametrize("wrong", [
+    {"partition_by": "day"}, {"tags": "a"}, {"tags": [1]}, {"enabled": "yes"}, {"enabled": 1}, {"name": 5}, {"options": []},
+    {"options": {"path": "p", "format": "csv", "recursive_lookup": "true"}}, {"options": {"path": "p", "format": "csv", "reader_options": "x"}},
+    {"options": {"path": "p", "format": "csv", "reader_options": {"sep": ["|"]}}}, {"options": {"path": 7, "format": "csv"}},
+    {"options": {"num_partitions": 1.5}}, {"options": {"fetch_size": True}}, {"options": {"lower_bound": 1.5}}])
+def test_values_of_the_wrong_type_are_refused(wrong):
+    assert spec_from(entry()).partition_by == ()
+    with pytest.raises(ValueError, match="wrong type"):
+        spec_from(entry() | wrong)

@@ -3,7 +3,7 @@ from datetime import datetime, timedelta
 import pytest
 
 from terrace.__main__ import main
-from terrace.operators.changes import unfinished_batches
+from terrace.operators.changes import unfinished_attempts
 from terrace.operators.runs import (
     RUN_SCHEMA, failed_sources, failure_rate, pair_events, run_summary, sla)
 from terrace.operators.tables import quoted
@@ -99,8 +99,8 @@ def test_increment_stopped_after_its_write_is_taken_back(spark, ns, tmp_path, ro
     rows.make([(2,)], "id int").write.mode("append").parquet(f"{tmp_path}/feed")
     real = ingest._append_counted
 
-    def write_and_die(*args):
-        real(*args)
+    def write_and_die(*args, **options):
+        real(*args, **options)
         raise KeyboardInterrupt
     monkeypatch.setattr(ingest, "_append_counted", write_and_die)
     with pytest.raises(KeyboardInterrupt):
@@ -108,7 +108,7 @@ def test_increment_stopped_after_its_write_is_taken_back(spark, ns, tmp_path, ro
     monkeypatch.undo()
     assert spark.table(quoted(ns, "feed")).count() == 3
     assert load("b3") == 1 and load("b4") == 0
-    assert unfinished_batches(spark.table(quoted(ns, "marks"))) == []
+    assert unfinished_attempts(spark.table(quoted(ns, "marks"))) == []
     assert rows.of(spark.table(quoted(ns, "feed")).select("id", "_batch_id")) == [
         (1, "b1"), (1, "b2"), (2, "b3")]
 

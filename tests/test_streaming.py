@@ -4,7 +4,8 @@ from terrace.operators.tables import append, quoted
 from terrace.sources.spec import SourceSpec
 from terrace.streaming import streams
 from terrace.streaming.streams import (
-    consumer_lag, current_rows, decode_json, finish, stream_changes, stream_files, stream_ingest)
+    compact_changes, consumer_lag, current_rows, decode_framed, decode_json, finish, stream_changes, stream_files,
+    stream_ingest)
 
 
 @pytest.fixture
@@ -69,8 +70,32 @@ def test_changes_keep_tombstones_across_epochs(spark, ns, rows, tmp_path):
         log = stream_files(spark, SourceSpec("log", {"path": path, "format": "json"}), "k int, seq int, op string")
         table = finish(stream_changes(log, ns, "state", ["k"], "seq", "op", f"{tmp_path}/ck"), spark,
                        quoted(ns, "state"))
-    assert rows.of(table) == [(1, 3, "d"), (2, 5, "d"), (3, 1, "i")]
-    assert rows.of(current_rows(table, "op")) == [(3, 1)]
+    changes = [(1, 1, "i"), (1, 2, "u"), (1, 3, "d"), (2, 4, "u"), (2, 5, "d"), (3, 1, "i")]
+    assert rows.of(table.select("k", "seq", "op")) == changes
+    assert rows.of(current_rows(table, ["k"], "seq", "op")) == [(3, 1)]
+    compact_changes(spark, quoted(ns, "state"), ["k"], "seq", "op")
+    table = spark.table(quoted(ns, "state"))
+    assert rows.of(table.select("k", "seq", "op")) == [(1, 3, "d"), (2, 5, "d"), (3, 1, "i")]
+    assert rows.of(current_rows(table, ["k"], "seq", "op")) == [(3, 1)]
+
+
+def test_a_repeated_epoch_of_changes_replaces_itself(spark, ns, rows, tmp_path):
+    path, schema = f"{tmp_path}/log", "k int, seq int, op string"
+    rows.make([(1, 1, "i")], schema).write.json(path)
+    log = stream_files(spark, SourceSpec("log", {"path": path, "format": "json"}), schema)
+    for checkpoint in ("a", "b"):  # the second start has lost its checkpoint: epoch 0 again
+        table = finish(stream_changes(log, ns, "state", ["k"], "seq", "op", f"{tmp_path}/{checkpoint}"), spark, quoted(ns, "state"))
+    assert table.count() == 1
+
+
+def test_framed_payloads(rows):
+    frame = bytes([0, 0, 0, 0, 7])
+    df = rows.make([("a", bytearray(frame + b'{"x":1}')), ("b", bytearray(b'{"x":2}')), ("c", bytearray(frame[:4])), ("d", None),
+                    ("e", bytearray(bytes([0, 0, 0, 1, 44]) + b'{"x":3,"y":"z"}'))], "k string, value binary")
+    assert rows.of(decode_framed(df, {7: "x int", 300: "x int, y string"})) == [
+        ("a", 7, 1, None), ("b", None, None, None), ("c", None, None, None), ("d", None, None, None), ("e", 300, 3, "z")]
+    with pytest.raises(ValueError, match="two types"):
+        decode_framed(df, {1: "x int", 2: "x string"})
 
 
 def test_decode_json(rows):
