@@ -4,13 +4,14 @@ A word's score is its share after the longest context that was seen with it, tim
 every word of context given up; a document's is the mean of the logarithms. The counts for a
 document leave out its own n-grams, so no text vouches for itself.
 
-The count tables are relations partitioned by the hash of the n-gram. Documents are laid out in
-blocks of bounded text. A block's exploded n-grams (all orders, distinct, with their number) go to
-the partitions as sorted arrays, one per block and hash range; a partition adds up the counts of
-all blocks and answers each block's array with the totals; a block joins the answers with its
-n-grams again and sums by document. So an n-gram that every document has is one entry per block,
-no partition grows with a frequent n-gram, and what is shuffled follows the distinct n-grams of
-the blocks. N-grams are 56-bit hashes, stored by byte planes because sorted hashes compress so.
+The count tables are relations partitioned by the hash of the n-gram, one for each order.
+Documents are laid out in blocks of bounded text. A block's exploded n-grams (distinct, with their
+number) go to the partitions as sorted arrays, one per block and hash range; a partition adds up the
+counts of all blocks and answers each block's array with the totals; a block joins the answers with
+its n-grams again and sums by document. So an n-gram that every document has is one entry per
+block, no partition grows with a frequent n-gram, and what is shuffled follows the distinct n-grams
+of the blocks. N-grams are 56-bit hashes, stored by byte planes because sorted hashes compress so.
+Orders are counted one after the other: only one's shuffle is on disk at a time.
 
 Defined cases: words are those of the n-gram join. NULL and empty texts have no words and a NULL
 score. A word that no other document has counts as one word after three times ``ALPHA``. Rows
@@ -22,6 +23,7 @@ import gc
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import functions as F
 
@@ -31,7 +33,7 @@ from terrace.workspace import materialise
 
 ORDER, ALPHA = 3, 0.4
 #: Bytes of text in a block, and n-grams of all blocks that a hash range is meant to hold.
-BLOCK_BYTES, RANGE_NGRAMS = 8 << 20, 1 << 20
+BLOCK_BYTES, RANGE_NGRAMS = 4 << 20, 1 << 20
 BITS = 56
 
 
@@ -46,39 +48,48 @@ def unpacked(data, width):
     return out.view("<u8").ravel()
 
 
-def ngrams(texts):
-    """56-bit hashes by order of the n-grams that end at each word (0 where the text has begun too late),
-    and the number of words of each text."""
-    words, counts = word_hashes(texts)
-    place = np.arange(len(words)) - np.repeat(np.cumsum(counts) - counts, counts)
-    factors = mix(np.arange(1, ORDER + 1, dtype="u8") * ODD) | np.uint64(1)
-    by_order = []
+def places(counts):
+    """The place of each word in its text."""
+    return np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+
+
+def ngrams(words, place, n):
+    """56-bit hashes of the n-grams of one order that end at the words far enough into their text."""
+    factors = mix(np.arange(1, n + 1, dtype="u8") * ODD) | np.uint64(1)
     with np.errstate(over="ignore"):
-        for n in range(1, ORDER + 1):
-            total = np.full(len(words), n, "u8")
-            for k in range(n):
-                total[k:] += words[:len(words) - k] * factors[k]
-            hashed = (mix(total) >> np.uint64(64 - BITS)) | np.uint64(1)
-            by_order.append(np.where(place >= n - 1, hashed, np.uint64(0)))
-    return by_order, counts
+        total = np.full(len(words), n, "u8")
+        for k in range(n):
+            total[k:] += words[:len(words) - k] * factors[k]
+        return mix(total[place >= n - 1]) >> np.uint64(64 - BITS)
+
 
+def folded(texts):
+    """Texts as one compressed value, which is what every later step reads and shuffles."""
+    data = [None if t is None else t.encode("utf-8", "replace") for t in texts]
+    sizes = np.array([-1 if d is None else len(d) for d in data], "<i4").tobytes()
+    return len(data).to_bytes(4, "little") + zstandard.ZstdCompressor(level=3).compress(sizes + b"".join(d or b"" for d in data))
 
-def _distinct(by_order):
-    every = np.concatenate(by_order)
-    found, count = np.unique(every, return_counts=True)
-    return (found[1:], count[1:]) if len(found) and not found[0] else (found, count)
+
+def unfolded(data):
+    count = 4 * int.from_bytes(data[:4], "little")
+    data = zstandard.ZstdDecompressor().decompress(data[4:])
+    out, at = [], count
+    for n in np.frombuffer(data[:count], "<i4"):
+        out.append(None if n < 0 else data[at:at + n].decode())
+        at += max(0, int(n))
+    return out
 
 
 def _blocks(docs, id_column, text_column):
-    """One row per block: ``block, ids, texts, words``."""
+    """One row per block: ``block, ids, size, texts`` (texts as ``folded`` makes them)."""
     def lay_out(parts):
         first = TaskContext.get().partitionId() << 32
         ids, texts, size, number = [], [], 0, 0
 
         def row():
             return pa.RecordBatch.from_arrays(
-                [pa.array([first + number]), pa.array([ids], pa.list_(pa.int64())), pa.array([texts], pa.list_(pa.string()))],
-                names=["block", "ids", "texts"])
+                [pa.array([first + number]), pa.array([ids], pa.list_(pa.int64())), pa.array([size], pa.int64()),
+                 pa.array([folded(texts)], pa.binary())], names=["block", "ids", "size", "texts"])
 
         for part in parts:
             for name, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
@@ -92,17 +103,18 @@ def _blocks(docs, id_column, text_column):
             yield row()
 
     return materialise(docs.select(F.col(id_column).cast("long"), F.col(text_column))
-                       .mapInArrow(lay_out, "block long, ids array<long>, texts array<string>"), "blocks")
+                       .mapInArrow(lay_out, "block long, ids array<long>, size long, texts binary"), "blocks")
 
 
-def _exploded(blocks, ranges):
-    """``range, block, grams, counts`` of the distinct n-grams of every block."""
+def _exploded(blocks, n, ranges):
+    """``range, block, grams, counts`` of the distinct n-grams of one order in every block."""
     shift = np.uint64(BITS - (ranges.bit_length() - 1))
 
     def explode(parts):
         for part in parts:
             for block, texts in zip(part.column(0).to_pylist(), part.column(1), strict=True):
-                found, count = _distinct(ngrams(texts.as_py())[0])
+                words, counts = word_hashes(unfolded(texts.as_py()))
+                found, count = np.unique(ngrams(words, places(counts), n), return_counts=True)
                 slot = (found >> shift).astype("i8")
                 starts = np.flatnonzero(np.r_[True, slot[1:] != slot[:-1]]) if len(slot) else np.zeros(0, "i8")
                 ends = np.r_[starts[1:], len(slot)]
@@ -124,22 +136,41 @@ def _totals(frame):
     return pd.DataFrame({"block": frame.block, "range": frame["range"], "totals": [packed(t, 5) for t in mine]})
 
 
+def _elsewhere(grams, doc, totals):
+    """How often each n-gram of a block occurs in other documents: the corpus's totals less the document's own."""
+    order = np.argsort(grams)
+    ranked = grams[order]
+    number = np.cumsum(np.r_[False, ranked[1:] != ranked[:-1]])  # of the distinct n-gram
+    at = np.empty(len(grams), "i8")
+    at[order] = number
+    pair = at * np.int64(doc[-1] + 1) + doc
+    own = np.ones(len(grams), "i8")
+    every = np.sort(pair)
+    starts = np.flatnonzero(np.r_[True, every[1:] != every[:-1]])
+    times = np.diff(np.r_[starts, len(every)])
+    more = times > 1
+    if more.any():  # few n-grams come more than once in a text
+        again, times = every[starts[more]], times[more]
+        k = np.minimum(np.searchsorted(again, pair), len(again) - 1)
+        own = np.where(again[k] == pair, times[k], 1)
+    return totals[at] - own
+
+
 def _scored(texts, totals, words_in_all):
-    """Sum of log scores and words of each text, from the totals of the block's distinct n-grams."""
-    by_order, counts = ngrams(texts)
-    found, _ = _distinct(by_order)
-    doc = np.repeat(np.arange(len(texts)), counts)
+    """Sum of log scores and words of each text, from the totals of the block's distinct n-grams by order."""
+    words, counts = word_hashes(texts)
+    if not len(words):
+        return np.zeros(len(texts)), counts
+    place, doc = places(counts), np.repeat(np.arange(len(texts)), counts)
     others = []  # by order: how often the n-gram ending at a word occurs in other documents
-    place = []
-    for grams in by_order:
-        at = np.searchsorted(found, grams)
-        at[grams == 0] = 0
-        pair = doc * np.int64(len(found) + 1) + at
-        _, back, own = np.unique(pair, return_inverse=True, return_counts=True)
-        others.append(np.where(grams == 0, 0, (totals[at] if len(totals) else 0) - own[back]).astype("f8"))
-        place.append(grams != 0)
+    for n in range(1, ORDER + 1):
+        there = place >= n - 1
+        found = np.zeros(len(words))
+        if there.any():
+            found[there] = _elsewhere(ngrams(words, place, n), doc[there], totals[n - 1])
+        others.append(found)
     rest = np.maximum(words_in_all - counts[doc], 1).astype("f8")
-    longest = place[0].astype("i4") + place[1] + place[2]
+    longest = np.minimum(place + 1, ORDER)
     score = ALPHA ** longest / rest
     done = np.zeros(len(doc), bool)
     for n in range(ORDER, 0, -1):
@@ -148,36 +179,38 @@ def _scored(texts, totals, words_in_all):
         ok = ~done & (others[n - 1] > 0)
         score[ok] = ALPHA ** (longest[ok] - n) * others[n - 1][ok] / context[ok]
         done |= ok
-    ends = np.cumsum(counts)
-    sums = np.diff(np.r_[0.0, np.cumsum(np.log(score))][np.r_[0, ends]]) if len(score) else np.zeros(len(texts))
-    return sums, counts
+    return np.bincount(doc, weights=np.log(score), minlength=len(texts)), counts
 
 
 def score_documents(docs, id_column="doc_id", text_column="text"):
     """``doc_id, n_words, log_score`` (mean of the words' log scores, 9 decimals) of every row."""
     spark = docs.sparkSession
     blocks = _blocks(docs, id_column, text_column)
-    size = blocks.select(F.sum(F.aggregate("texts", F.lit(0).cast("long"), lambda n, t: n + F.coalesce(F.length(t), F.lit(0))))).first()[0] or 0
-    ranges = 1 << max(0, (ORDER * size // 8 // RANGE_NGRAMS)).bit_length()
-    answers = materialise(_exploded(blocks, ranges).groupBy("range").applyInPandas(
-        _totals, "block long, range int, totals binary"), "totals")
-    # The totals are stored; collecting garbage lets Spark's cleaner drop the shuffle behind them.
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    size = blocks.agg(F.sum("size")).first()[0] or 0
+    ranges = 1 << max(0, (size // 6 // RANGE_NGRAMS)).bit_length()
+    answers = None
+    for n in range(1, ORDER + 1):
+        found = materialise(_exploded(blocks, n, ranges).groupBy("range").applyInPandas(
+            _totals, "block long, range int, totals binary"), "totals").withColumn("order", F.lit(n))
+        answers = found if answers is None else answers.union(found)
+        # The totals are stored; collecting garbage lets Spark's cleaner drop the shuffle behind them.
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
     words_in_all = _words(blocks)
 
     def score(parts):
         for part in parts:
             for ids, texts, answer in zip(part.column(0), part.column(1), part.column(2).to_pylist(), strict=True):
                 answer = sorted(answer or [], key=lambda a: a["range"])
-                totals = np.concatenate([unpacked(a["totals"], 5) for a in answer] or [np.zeros(0, "u8")]).astype("i8")
-                sums, counts = _scored(texts.as_py(), totals, words_in_all)
+                totals = [np.concatenate([unpacked(a["totals"], 5) for a in answer if a["order"] == n] or [np.zeros(0, "u8")]).astype("i8")
+                          for n in range(1, ORDER + 1)]
+                sums, counts = _scored(unfolded(texts.as_py()), totals, words_in_all)
                 mean = np.round(sums / np.maximum(counts, 1), 9)
                 yield pa.RecordBatch.from_arrays(
                     [ids.values, pa.array(counts.astype("i8")), pa.array(mean, mask=counts == 0)],
                     names=["doc_id", "n_words", "log_score"])
 
-    lists = answers.groupBy("block").agg(F.collect_list(F.struct("range", "totals")).alias("answer"))
+    lists = answers.groupBy("block").agg(F.collect_list(F.struct("order", "range", "totals")).alias("answer"))
     return blocks.join(lists, "block", "left").select("ids", "texts", "answer").mapInArrow(
         score, "doc_id long, n_words long, log_score double")
 
@@ -185,7 +218,7 @@ def score_documents(docs, id_column="doc_id", text_column="text"):
 def _words(blocks):
     def count(parts):
         for part in parts:
-            yield pa.RecordBatch.from_arrays([pa.array([int(word_hashes(t.as_py())[1].sum()) for t in part.column(0)], pa.int64())], names=["n"])
+            yield pa.RecordBatch.from_arrays([pa.array([int(word_hashes(unfolded(t.as_py()))[1].sum()) for t in part.column(0)], pa.int64())], names=["n"])
 
     return blocks.select("texts").mapInArrow(count, "n long").agg(F.sum("n")).first()[0] or 0
 
