@@ -27,7 +27,7 @@ from terrace.llm.jaccard import BYTE, ODD, chunks, mix
 from terrace.llm.registry import query, table
 from terrace.workspace import materialise
 
-CUT, LONGEST, RUN, LEAST = 26, 96, 3, 144
+CUT, LONGEST, RUN, LEAST = 48, 64, 6, 200
 FILTER_BITS = 1 << 27
 GAP = 16
 
@@ -93,9 +93,9 @@ def _shared(rows):
     """``digest, first`` of the runs that several documents have."""
     def read(parts):
         for part in parts:
-            ids, texts = part.column(0).to_numpy(), part.column(1).to_pylist()
-            for a, b in chunks(texts):
-                text, digest, _, _ = runs(texts[a:b])
+            ids = part.column(0).to_numpy()
+            for a, b, texts in chunks(part.column(1)):
+                text, digest, _, _ = runs(texts)
                 yield pa.RecordBatch.from_arrays([pa.array(digest.view("i8")), pa.array(ids[a:b][text])], names=["digest", "doc"])
 
     found = rows.mapInArrow(read, "digest long, doc long").groupBy("digest").agg(F.min("doc").alias("first"), F.max("doc").alias("last"))
@@ -129,10 +129,20 @@ def _filter(shared):
     return out.ravel()
 
 
+def _sources(first, group, wanted):
+    """The document that has most runs of a span first, for every span."""
+    found = set()
+    for k in wanted:
+        docs, times = np.unique(first[group == k], return_counts=True)
+        found.add(int(docs[times.argmax()]))
+    return sorted(found)
+
+
 def repeated_spans(docs, id_column="doc_id", text_column="text", least=LEAST):
     """``doc_id, spans, repeated_bytes, sources`` of every document that repeats another one.
 
-    ``spans`` are ranges of bytes of the UTF-8 text, ``sources`` the documents that have them first.
+    ``spans`` are ranges of bytes of the UTF-8 text, ``sources`` the documents that have them first
+    (of each span the one with most of its runs).
     """
     rows = _rows(docs, id_column, text_column)
     shared = _shared(rows)
@@ -140,9 +150,9 @@ def repeated_spans(docs, id_column="doc_id", text_column="text", least=LEAST):
 
     def places(parts):
         for part in parts:
-            ids, texts = part.column(0).to_numpy(), part.column(1).to_pylist()
-            for a, b in chunks(texts):
-                text, digest, start, end = runs(texts[a:b])
+            ids = part.column(0).to_numpy()
+            for a, b, texts in chunks(part.column(1)):
+                text, digest, start, end = runs(texts)
                 slot = digest % np.uint64(FILTER_BITS)
                 likely = (bits.value[(slot >> np.uint64(3)).astype("i8")] >> (slot & np.uint64(7)).astype("u1") & 1).astype(bool)
                 yield pa.RecordBatch.from_arrays(
@@ -165,7 +175,7 @@ def repeated_spans(docs, id_column="doc_id", text_column="text", least=LEAST):
                 if long.any():
                     group = np.cumsum(new) - 1
                     spans = [{"start": int(x), "end": int(y)} for x, y in zip(start[begin][long], stop[long], strict=True)]
-                    out.append((doc, spans, sum(s["end"] - s["start"] for s in spans), np.unique(first[long[group]]).tolist()))
+                    out.append((doc, spans, sum(s["end"] - s["start"] for s in spans), _sources(first, group, np.flatnonzero(long))))
             columns = list(zip(*out, strict=True)) or [()] * 4
             types = (pa.int64(), pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])), pa.int64(), pa.list_(pa.int64()))
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)],
