@@ -7,7 +7,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from terrace.functions.audit import enrich
 from terrace.operators.changes import apply_changes, latest_changes
-from terrace.operators.tables import append, drop_partitions, quoted, replace_table, table_exists
+from terrace.operators.tables import (
+    append, drop_partitions, in_partitions, partition_columns, quoted, replace_partitions, replace_table, restore, table_exists)
 from terrace.sources.files import file_options
 from terrace.sources.spec import SourceSpec
 
@@ -98,6 +99,25 @@ def stream_ingest(stream: DataFrame, spec: SourceSpec, checkpoint: str, run_id:
     return _start(enriched, load, checkpoint, available_now)
 
 
+def fold_epochs(spark: SparkSession, fqn: str, run_id: str) -> None:
+    """Fold the epochs of a finished run of ``stream_ingest`` into the one batch ``run_id``.
+
+    A long-running stream otherwise leaves a partition per epoch. Afterwards the run can be
+    taken back only as a whole. Not beside the running stream, nor before a restart of it.
+    """
+    restore(spark, fqn)
+    table = spark.table(fqn)
+    mine = F.startswith("_batch_id", F.lit(f"{run_id}:")) | (F.col("_batch_id") == run_id)
+    keys = partition_columns(spark, fqn)
+    # One row per epoch and value of the other partition columns.
+    touched = [r.asDict() for r in table.where(mine).select(*keys).distinct().collect()]
+    if touched:
+        folded = in_partitions(table, touched).withColumn("_batch_id", F.lit(run_id))
+        into = {tuple(sorted({**p, "_batch_id": run_id}.items(), key=str)) for p in touched}
+        every = {tuple(sorted(p.items(), key=str)) for p in touched} | into
+        replace_partitions(folded.select(*table.columns), fqn, [{k: dict(p)[k] for k in keys} for p in every])
+
+
 EPOCH = "_epoch"
 
 

@@ -4,7 +4,7 @@ from terrace.operators.tables import append, quoted
 from terrace.sources.spec import SourceSpec
 from terrace.streaming import streams
 from terrace.streaming.streams import (
-    compact_changes, consumer_lag, current_rows, decode_framed, decode_json, finish, stream_changes, stream_files,
+    compact_changes, consumer_lag, current_rows, decode_framed, decode_json, finish, fold_epochs, stream_changes, stream_files,
     stream_ingest)
 
 
@@ -98,6 +98,18 @@ def test_framed_payloads(rows):
         decode_framed(df, {1: "x int", 2: "x string"})
 
 
+@pytest.mark.parametrize("layout", [[], ["id"]])
+def test_epochs_of_a_finished_run_can_be_folded(spark, ns, rows, layout):
+    for batch, ids in (("r:0", [1, 2]), ("r:1", [2, 3]), ("r2:0", [1]), ("other", [9])):
+        append(rows.make([(i, batch, "x") for i in ids], "id int, _batch_id string, v string"), ns, "t", partition_by=[*layout, "_batch_id"])
+    fqn = quoted(ns, "t")
+    for _ in range(2):
+        fold_epochs(spark, fqn, "r")
+        assert rows.of(spark.table(fqn).select("id", "_batch_id")) == [
+            (1, "r"), (1, "r2:0"), (2, "r"), (2, "r"), (3, "r"), (9, "other")]
+    assert len({r[0] for r in spark.sql(f"SHOW PARTITIONS {fqn}").collect() if "r%3A" in r[0]}) == 0
+
+
 def test_decode_json(rows):
     df = rows.make([("k", '{"a":1,"b":{"c":"x"}}'), ("l", "bad")], "key string, value string")
     assert rows.of(decode_json(df, "a int, b struct<c:string>").select("key", "a", "b.c")) == [
