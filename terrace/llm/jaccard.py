@@ -5,8 +5,8 @@ documents have them, counted over all documents in ``BUCKETS`` hash buckets (a t
 which order is used never changes a result, only the number of candidates), then by hash. Two sets
 that reach the similarity share an n-gram among their first ``n - ceil(t n) + 1``, so documents meet
 in the buckets of these prefix n-grams. Length, positional and suffix filters (set sizes; what is
-left behind the shared n-gram; n-grams counted by ``RANGES`` hash ranges, whose differences bound
-the overlap) drop pairs before any set is looked at; a pair is verified once, with whole sets.
+left behind the shared n-gram; n-grams counted by hash class, whose differences bound the overlap)
+drop pairs before any set is looked at; a pair is verified once, with whole sets.
 
 Groups of copies never become all their pairs:
 
@@ -14,9 +14,14 @@ Groups of copies never become all their pairs:
 2. every class is first verified against one partner, the one it meets in most buckets among its
    neighbours by size; a bucket over ``HOT`` rows is dealt out by hash, its parts' first rows meet
    in a bucket of their own;
-3. links found so far make components, and what remains are pairs that meet in a bucket but lie in
-   different components. All of them are verified; large buckets are cut into blocks, and pairs of
-   blocks are independent tasks.
+3. links found so far make components, and ``CHEAP`` times the neighbour pairs that still join two
+   components have their best one for each two components verified;
+4. what remains are buckets with several components. Rows without a counterpart there (by small
+   sketches of 64 bytes) drop out; then each bucket looks for pairs of different components that
+   pass all filters and merges as it finds them, so it returns a forest, not all pairs. These are
+   verified and the components are renewed; buckets with a pair whose ends still lie apart look
+   again, without the pairs that failed and with more partners for each row, until none is left.
+   Large buckets are cut into blocks, and pairs of blocks are independent tasks.
 
 A link inside a component cannot change it, so leaving those pairs out loses nothing.
 
@@ -27,10 +32,13 @@ occur. An id with several different texts is compared by the one whose set sorts
 """
 
 import hashlib
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from terrace.llm.components import components
@@ -39,15 +47,17 @@ from terrace.workspace import materialise
 
 #: Counters of the rarity table: 2 MB, whatever the corpus.
 BUCKETS = 1 << 19
-RANGES = 16
-HOT, BLOCK = 20_000, 2_048
-#: Bits of the filter that keeps unconcerned texts out of the verification's shuffle: 8 MB.
+HOT, BLOCK, CHEAP = 20_000, 2_048, 2
+#: Bits of the filter that keeps unconcerned documents out of the verification's shuffle: 8 MB.
 FILTER_BITS = 1 << 26
-CHUNK = 4_000_000
+CHUNK = 1_000_000
 
 _rng = np.random.default_rng(5)
 BYTE = _rng.integers(1, 1 << 63, 256, "u8") * np.uint64(2) + np.uint64(1)
 ODD = np.uint64(0x9E3779B97F4A7C15)
+#: The value of every byte with A-Z taken as a-z, and whether it belongs to a word.
+LOWERED = np.where((np.arange(256) >= 65) & (np.arange(256) <= 90), np.roll(BYTE, -32), BYTE)
+INSIDE = ~((np.arange(256) == 32) | ((np.arange(256) >= 9) & (np.arange(256) <= 13)))
 
 
 def mix(x):
@@ -56,25 +66,34 @@ def mix(x):
     return x ^ (x >> np.uint64(31))
 
 
+_powers = [np.ones(1, "u8"), np.ones(1, "u8")]
+
+
+def powers(size):
+    """Powers of ``ODD`` and of its inverse modulo 2 ** 64, grown once per Python worker."""
+    if len(_powers[0]) < size:
+        with np.errstate(over="ignore"):
+            for k, base in enumerate((ODD, np.uint64(pow(int(ODD), -1, 1 << 64)))):
+                _powers[k] = np.cumprod(np.r_[np.uint64(1), np.full(size + (size >> 2), base, "u8")])
+    return _powers
+
+
 def word_hashes(texts):
     """64-bit hashes of all words, and the number of words of each text."""
     data = [(t or "").encode("utf-8", "replace") for t in texts]
     flat = np.frombuffer(b"\n".join(data) + b"\n", "u1")
-    capital = (flat >= 65) & (flat <= 90)
-    flat = np.where(capital, flat + 32, flat).astype("u1")
-    inside = ~((flat == 32) | ((flat >= 9) & (flat <= 13)))
-    edge = np.diff(np.r_[False, inside, False].astype("i1"))
-    starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+    inside = INSIDE[flat]
+    edge = np.flatnonzero(inside[1:] != inside[:-1]) + 1
+    edge = np.r_[0, edge] if inside[0] else edge
+    starts, ends = edge[::2], edge[1::2]
     doc_ends = np.cumsum([len(d) + 1 for d in data])
     counts = np.diff(np.r_[0, np.searchsorted(starts, doc_ends)])
-    if not len(starts):
-        return np.zeros(0, "u8"), counts
-    sizes = ends - starts
-    begin = np.r_[0, np.cumsum(sizes)[:-1]]
+    ahead, inverse = powers(len(flat))
     with np.errstate(over="ignore"):
-        powers = np.cumprod(np.full(int(sizes.max()), ODD, "u8"))
-        place = np.arange(int(sizes.sum())) - np.repeat(begin, sizes)
-        return mix(np.add.reduceat(BYTE[flat[inside]] * powers[place], begin)), counts
+        sums = np.empty(len(flat) + 1, "u8")  # of byte values times the power of their place
+        sums[0] = 0
+        np.cumsum(LOWERED[flat] * ahead[:len(flat)], out=sums[1:])
+        return mix((sums[ends] - sums[starts]) * inverse[starts]), counts
 
 
 def shingle_sets(texts, n=4):
@@ -99,16 +118,15 @@ def shingle_sets(texts, n=4):
     return out
 
 
-def chunks(texts, limit=CHUNK):
-    """Ranges of texts whose length together is bounded, at least one text each."""
-    start = size = 0
-    for i, t in enumerate(texts):
-        size += len(t or "")
-        if size > limit:
-            yield start, i + 1
+def chunks(column, limit=CHUNK):
+    """A text column in parts of bounded length, at least one text each: (first row, row after, texts)."""
+    sizes = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
+    start, size = 0, 0
+    for i, n in enumerate(sizes):
+        size += int(n)
+        if size > limit or i + 1 == len(sizes):
+            yield start, i + 1, column.slice(start, i + 1 - start).to_pylist()
             start, size = i + 1, 0
-    if start < len(texts):
-        yield start, len(texts)
 
 
 def needed(percent, size):
@@ -126,30 +144,30 @@ def _columns(docs, id_column, text_column):
 
 
 def _profile(docs, n):
-    """Rows ``doc, size, digest, ranges`` of all documents, and rows ``part, counts`` of the rarity table."""
+    """Rows ``doc, size, digest, sketch, small`` of all documents, and rows ``part, counts`` of the rarity table."""
+    names = ["doc", "size", "digest", "sketch", "small", "part", "counts"]
+
     def read(parts):
         counts = np.zeros(BUCKETS, "i8")
         for part in parts:
-            ids, texts = part.column(0), part.column(1).to_pylist()
-            for a, b in chunks(texts):
-                sets = shingle_sets(texts[a:b], n)
+            ids = part.column(0)
+            for a, b, texts in chunks(part.column(1)):
+                sets = shingle_sets(texts, n)
                 every = np.concatenate([*sets, np.zeros(0, "u8")])
                 counts += np.bincount((every % np.uint64(BUCKETS)).astype("i8"), minlength=BUCKETS)
-                ranges = [np.bincount((s >> np.uint64(60)).astype("i8"), minlength=RANGES).astype("<i4").tobytes() for s in sets]
                 yield pa.RecordBatch.from_arrays(
                     [ids.slice(a, b - a), pa.array([len(s) for s in sets], pa.int64()),
                      pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets], pa.binary()),
-                     pa.array(ranges, pa.binary()), pa.nulls(b - a, pa.int32()), pa.nulls(b - a, pa.binary())],
-                    names=["doc", "size", "digest", "ranges", "part", "counts"])
+                     pa.array([sketch(s).tobytes() for s in sets], pa.binary()), pa.array([small(s).tobytes() for s in sets], pa.binary()),
+                     pa.nulls(b - a, pa.int32()), pa.nulls(b - a, pa.binary())], names=names)
         if counts.any():
             found = counts.astype("<i8").reshape(16, -1)
             yield pa.RecordBatch.from_arrays(
-                [pa.nulls(16, pa.int64()), pa.nulls(16, pa.int64()), pa.nulls(16, pa.binary()), pa.nulls(16, pa.binary()),
-                 pa.array(range(16), pa.int32()), pa.array([c.tobytes() for c in found], pa.binary())],
-                names=["doc", "size", "digest", "ranges", "part", "counts"])
+                [pa.nulls(16, pa.int64()), pa.nulls(16, pa.int64()), *[pa.nulls(16, pa.binary())] * 3,
+                 pa.array(range(16), pa.int32()), pa.array([c.tobytes() for c in found], pa.binary())], names=names)
 
-    out = materialise(docs.mapInArrow(read, "doc long, size long, digest binary, ranges binary, part int, counts binary"), "profile")
-    return out.where("part IS NULL").select("doc", "size", "digest", "ranges"), out.where("part IS NOT NULL").select("part", "counts")
+    out = materialise(docs.mapInArrow(read, "doc long, size long, digest binary, sketch binary, small binary, part int, counts binary"), "profile")
+    return out.where("part IS NULL").select("doc", "size", "digest", "sketch", "small"), out.where("part IS NOT NULL").select("part", "counts")
 
 
 def _rarity(counts):
@@ -183,10 +201,10 @@ def _prefixes(docs, rarity, n, percent):
 
     def read(parts):
         for part in parts:
-            ids, texts = part.column(0).to_pylist(), part.column(1).to_pylist()
-            for a, b in chunks(texts):
+            ids = part.column(0).to_pylist()
+            for a, b, texts in chunks(part.column(1)):
                 rows = []
-                for doc, s in zip(ids[a:b], shingle_sets(texts[a:b], n), strict=True):
+                for doc, s in zip(ids[a:b], shingle_sets(texts, n), strict=True):
                     if len(s) and doc is not None:
                         keys = ordered(s, shared.value)[:len(s) - needed(percent, len(s)) + 1]
                         digest = int.from_bytes(hashlib.blake2b(s.tobytes(), digest_size=16).digest()[:8], "little", signed=True)
@@ -291,27 +309,36 @@ def _concerned(docs, ids, n):
         filled[r.k] |= np.frombuffer(r.bits, "u1")
     shared = docs.sparkSession.sparkContext.broadcast(filled.ravel())
 
-    def likely(parts):
-        for part in parts:
-            slot = (mix(part.column(0).fill_null(0).to_numpy(zero_copy_only=False).astype("i8").view("u8")) % np.uint64(FILTER_BITS)).astype("i8")
-            yield part.filter(pa.array((shared.value[slot >> 3] >> (slot & 7) & 1).astype(bool)))
-
     def grams(parts):
         for part in parts:
-            names, texts = part.column(0), part.column(1).to_pylist()
-            for a, b in chunks(texts):
+            slot = (mix(part.column(0).fill_null(0).to_numpy(zero_copy_only=False).astype("i8").view("u8")) % np.uint64(FILTER_BITS)).astype("i8")
+            part = part.filter(pa.array((shared.value[slot >> 3] >> (slot & 7) & 1).astype(bool)))
+            for a, b, texts in chunks(part.column(1)):
                 yield pa.RecordBatch.from_arrays(
-                    [names.slice(a, b - a), pa.array([s.tobytes() for s in shingle_sets(texts[a:b], n)], pa.binary())], names=["doc", "grams"])
+                    [part.column(0).slice(a, b - a), pa.array([s.tobytes() for s in shingle_sets(texts, n)], pa.binary())],
+                    names=["doc", "grams"])
 
-    some = docs.mapInArrow(likely, docs.schema).join(ids, "doc", "left_semi")
-    sets = some.mapInArrow(grams, "doc long, grams binary")
+    sets = docs.mapInArrow(grams, "doc long, grams binary").join(ids, "doc", "left_semi")
     return materialise(sets.groupBy("doc").agg(F.min("grams").alias("grams")), "sets")
 
 
-def _verified(docs, pairs, n, percent):
-    """The pairs (each once) whose whole sets are similar."""
-    ids = materialise(pairs.select(F.col("a").alias("doc")).union(pairs.select("b")).distinct(), "concerned")
-    sets = _concerned(docs, ids, n)
+def _verified(docs, pairs, n, percent, store):
+    """The pairs (each once) whose whole sets are similar.
+
+    ``store`` keeps the sets that were made so far: texts are read again only for other documents.
+    """
+    concerned = materialise(pairs.select(F.col("a").alias("doc")).union(pairs.select("b")).distinct(), "concerned")
+    ids = concerned
+    for sets in store:
+        ids = ids.join(sets.select("doc"), "doc", "left_anti")
+    ids = materialise(ids, "concerned") if store else ids
+    if not ids.isEmpty():
+        store.append(_concerned(docs, ids, n))
+    if not store:
+        return pairs.select("a", "b").where("false")
+    sets = store[0]
+    if len(store) > 1 or ids is not concerned:  # only the sets that these pairs need are shuffled
+        sets = reduce(DataFrame.union, store).join(concerned, "doc", "left_semi")
 
     def similar(parts):
         for part in parts:
@@ -326,38 +353,157 @@ def _verified(docs, pairs, n, percent):
     return materialise(joined.mapInArrow(similar, "a long, b long"), "links")
 
 
-def _across(rows, known, profile, percent):
-    """All pairs that meet in a bucket, lie in different components and pass the filters, each once."""
-    ranges = profile.select("doc", "ranges").where("doc IS NOT NULL").groupBy("doc").agg(F.min("ranges").alias("ranges"))
-    rows = (rows.where("part >= 0").select("token", "doc", "size", "place")
-            .join(known.toDF("doc", "component"), "doc", "left").withColumn("component", F.coalesce("component", "doc")))
-    rows = materialise(rows, "bucket_rows")
+def sketch(hashes):
+    """N-grams counted up to 3 by hash class, two to four classes an n-gram, four classes a byte."""
+    classes = max(64, 1 << (2 * len(hashes)).bit_length())
+    counts = np.minimum(np.bincount((hashes % np.uint64(classes)).astype("i8"), minlength=classes), 3).astype("u1")
+    return counts[0::4] | counts[1::4] << 2 | counts[2::4] << 4 | counts[3::4] << 6
+
+
+def small(hashes):
+    """N-grams counted in 64 hash classes."""
+    return np.minimum(np.bincount((hashes >> np.uint64(58)).astype("i8"), minlength=64), 255).astype("u1")
+
+
+def unpacked(data):
+    """The counts of a sketch."""
+    packed = np.frombuffer(data, "u1")
+    return np.stack([packed & 3, packed >> 2 & 3, packed >> 4 & 3, packed >> 6], 1).ravel()
+
+
+def apart(one, many):
+    """How many n-grams at least only one of two sets has, for the counts of one set and of several."""
+    width = min(len(one), min(map(len, many)))
+    return np.abs(np.stack([_folded(m, width) for m in many]) - _folded(one, width)).sum(axis=1, dtype="i8")
+
+
+def _folded(counts, width):
+    """Counts over fewer classes: sums of those that fall together."""
+    return counts.astype("i2") if len(counts) == width else counts.reshape(-1, width).sum(axis=0, dtype="i2")
+
+
+def forest(doc, size, place, part, mine, sketches, failed, i, j, percent, depth):
+    """Pairs of places that join the components of one bucket as far as the filters let them.
+
+    A row is compared with the rows of components it is not merged with yet; of each
+    such component the first ``depth`` that pass are paired with it, and the two are merged. Pairs in
+    ``failed`` are known not to be similar.
+    """
+    order = np.lexsort((doc, size))
+    _, label = np.unique(part, return_inverse=True)
+    counts, out = {}, []
+
+    def sketch_of(k):
+        if k not in counts:
+            counts[k] = unpacked(sketches[k])
+        return counts[k]
+
+    for at, k in enumerate(order):
+        # Larger sets only (each pair once), while they can be similar.
+        later = order[at + 1:]
+        later = later[:np.searchsorted(size[later], 100 * int(size[k]) // percent, "right")]
+        later = later[label[later] != label[k]]
+        if i != j:
+            later = later[mine[later] != mine[k]]
+        later = later[passes(percent, size[k], size[later], place[k], place[later])]
+        if len(failed[k]):
+            later = later[~np.isin(doc[later], failed[k])]
+        met = {}
+        while len(later):
+            some, later = later[:64], later[64:]
+            total = size[some].astype("i8") + size[k]
+            near = apart(sketch_of(k), [sketch_of(m) for m in some]) <= total - 2 * overlap_needed(percent, total, 0)
+            for m in some[near]:
+                met[label[m]] = met.get(label[m], 0) + 1
+                if met[label[m]] <= depth:
+                    out.append((k, m))
+            full = [x for x, times in met.items() if times >= depth]
+            later = later[~np.isin(label[later], full)]
+        for x in met:
+            label[label == x] = label[k]
+    return out
+
+
+def _forests(rows, sketches, failed, percent, depth):
+    """``token, a, b, x, y``: pairs of every bucket of several components, and the components of their ends."""
     mixed = materialise(rows.groupBy("token").agg(F.count("*").alias("n"), F.min("component").alias("x"), F.max("component").alias("y"))
                         .where("x <> y").select("token", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")), "mixed")
-    rows = materialise(rows.join(mixed, "token").join(ranges, "doc"), "mixed_rows")
     mine = F.pmod(F.xxhash64("doc"), F.col("blocks")).cast("int")
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    rows = (rows.withColumn("mine", mine).withColumn("other", other)
-            .withColumn("i", F.least("mine", "other")).withColumn("j", F.greatest("mine", "other")).drop("other", "blocks"))
-
-    def cross(keys, frame):
-        doc, size, place, part, mine = (frame[c].to_numpy() for c in ("doc", "size", "place", "component", "mine"))
-        ranges = np.stack([np.frombuffer(r, "<i4") for r in frame.ranges])
-        i, j = keys[1], keys[2]
-        left = np.flatnonzero(mine == i)
-        right = np.flatnonzero(mine == j)
+    columns = ["token", "i", "j", "doc", "size", "place", "component", "mine"]
+    rows = (rows.join(mixed, "token").join(sketches.select("doc", "small"), "doc").withColumn("mine", mine).withColumn("other", other)
+            .withColumn("i", F.least("mine", "other")).withColumn("j", F.greatest("mine", "other")).select(*columns, "small"))
+    none = np.zeros(0, "i8")
+
+    def buckets(parts, each):
+        """``each`` of runs of whole buckets, with their starts and the end; rows come sorted by bucket."""
+        held = None
+        for part in parts:
+            frame = part.to_pandas()
+            frame = frame if held is None else pd.concat([held, frame], ignore_index=True)
+            key = frame[["token", "i", "j"]].to_numpy()
+            starts = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]).any(axis=1)])
+            held = frame.iloc[starts[-1]:]  # the last bucket may go on
+            yield each(frame, starts)
+        if held is not None and len(held):
+            yield each(held, np.array([0, len(held)]))
+
+    def live(parts):
+        """The rows that have a counterpart in their bucket as far as the small sketches tell."""
+        return buckets(parts, hopeful)
+
+    def hopeful(frame, starts):
+        size, place, part, mine = (frame[c].to_numpy() for c in ("size", "place", "component", "mine"))
+        small = np.stack([np.frombuffer(x, "u1") for x in frame.small]).astype("i2") if len(frame) else None
+        keep = np.zeros(len(frame), bool)
+        for a, b in zip(starts[:-1], starts[1:], strict=True):
+            if (part[a:b] != part[a]).any():
+                for at in range(a, b, 256):
+                    k = np.arange(at, min(b, at + 256))[:, None]
+                    other = np.arange(a, b)
+                    x, y = np.nonzero((part[k] != part[other]) & (k < other) & passes(percent, size[k], size[other], place[k], place[other]))
+                    for c in range(0, len(x), 20_000):
+                        left, right = at + x[c:c + 20_000], a + y[c:c + 20_000]
+                        total = size[left].astype("i8") + size[right]
+                        near = np.abs(small[left] - small[right]).sum(axis=1) <= total - 2 * overlap_needed(percent, total, 0)
+                        keep[left[near]] = keep[right[near]] = True
+        table = pa.Table.from_pandas(frame[columns][keep[:len(frame)]], preserve_index=False).combine_chunks()
+        return table.to_batches()[0] if table.num_rows else pa.RecordBatch.from_pandas(frame[columns][:0], preserve_index=False)
+
+    schema = "token long, i int, j int, doc long, size int, place int, component long, mine int"
+    rows = materialise(rows.repartition("token", "i", "j").sortWithinPartitions("token", "i", "j").mapInArrow(live, schema), "live")
+    rows = rows.join(sketches.select("doc", "sketch"), "doc")
+    rows = rows.join(failed, "doc", "left") if failed is not None else rows.withColumn("failed", F.lit(None).cast("array<long>"))
+    rows = rows.select(*columns, "sketch", "failed")
+
+    def look(parts):
+        return buckets(parts, found)
+
+    def found(frame, starts):
+        token, i, j, doc, size, place, part, mine = (
+            frame[c].to_numpy() for c in ("token", "i", "j", "doc", "size", "place", "component", "mine"))
+        sketches, lists = frame["sketch"].to_numpy(), [none if f is None else np.asarray(f, "i8") for f in frame.failed]
         out = []
-        for k in left:
-            r = right[(part[right] != part[k]) & ((doc[right] > doc[k]) | (i != j))]
-            r = r[passes(percent, size[k], size[r], place[k], place[r])]
-            apart = np.abs(ranges[r] - ranges[k]).sum(axis=1)
-            total = size[r].astype("i8") + size[k]
-            r = r[apart <= total - 2 * overlap_needed(percent, total, 0)]
-            out.append(np.stack([np.minimum(doc[k], doc[r]), np.maximum(doc[k], doc[r])], 1))
-        found = np.concatenate(out) if out else np.zeros((0, 2), "i8")
-        return pd.DataFrame({"a": found[:, 0], "b": found[:, 1]}, dtype="int64")
+        for a, b in zip(starts[:-1], starts[1:], strict=True):
+            part_of = part[a:b]
+            if (part_of != part_of[0]).any():
+                out += [(a + k, a + m) for k, m in forest(doc[a:b], size[a:b], place[a:b], part_of, mine[a:b], sketches[a:b],
+                                                          lists[a:b], i[a], j[a], percent, depth)]
+        k, m = np.array(out, "i8").reshape(-1, 2).T
+        return pa.RecordBatch.from_arrays(
+            [pa.array(token[k]), pa.array(np.minimum(doc[k], doc[m])), pa.array(np.maximum(doc[k], doc[m])),
+             pa.array(np.minimum(part[k], part[m])), pa.array(np.maximum(part[k], part[m]))], names=["token", "a", "b", "x", "y"])
+
+    dealt = rows.repartition("token", "i", "j").sortWithinPartitions("token", "i", "j")
+    return materialise(dealt.mapInArrow(look, "token long, a long, b long, x long, y long"), "forests")
+
 
-    return materialise(rows.groupBy("token", "i", "j").applyInPandas(cross, "a long, b long").distinct(), "across")
+def _labelled(pairs, known):
+    """The pairs whose ends lie in different components, with these components."""
+    pairs = pairs.select("token", "a", "b") if "token" in pairs.columns else pairs.select("n", "a", "b")
+    for end, label in (("a", "p"), ("b", "q")):
+        pairs = pairs.join(known.toDF(end, label), end, "left").withColumn(label, F.coalesce(label, end))
+    return pairs.where("p <> q").withColumns({"x": F.least("p", "q"), "y": F.greatest("p", "q")}).drop("p", "q")
 
 
 def jaccard_components(docs, n=4, percent=85, id_column="doc_id", text_column="text"):
@@ -370,14 +516,38 @@ def jaccard_components(docs, n=4, percent=85, id_column="doc_id", text_column="t
     leads = rows.where("part = -1").select("token", "part", "doc", "size", "place")
     if not leads.isEmpty():
         pairs = pairs.union(_meet(leads, percent).where("a IS NOT NULL").select("a", "b"))
-    shared = pairs.groupBy("a", "b").agg(F.count("*").alias("n"))
+    shared = materialise(pairs.groupBy("a", "b").agg(F.count("*").alias("n")), "neighbours")
     one = materialise(shared.groupBy("b").agg(F.max(F.struct("n", "a")).alias("best")).select(F.col("best.a").alias("a"), "b"), "partners")
-    links = _verified(texts, one, n, percent)
+    store = []
+    links, tried = _verified(texts, one, n, percent, store), one
     known = materialise(components(links), "known")
-    rest = _across(rows, known, profile, percent)
-    if not rest.isEmpty():
-        more = _verified(texts, rest, n, percent)
-        known = materialise(components(links.union(more)), "known")
+    for _ in range(CHEAP):
+        between = _labelled(shared.join(tried, ["a", "b"], "left_anti"), known)
+        one = materialise(between.groupBy("x", "y").agg(F.max(F.struct("n", "a", "b")).alias("best")).select("best.a", "best.b"), "partners")
+        if one.isEmpty():
+            break
+        links, tried = materialise(links.union(_verified(texts, one, n, percent, store)), "links"), materialise(tried.union(one), "tried")
+        known = materialise(components(links), "known")
+    rows = rows.where("part >= 0").select("token", "doc", "size", "place")
+    sketches = (profile.where("doc IS NOT NULL").groupBy("doc").agg(F.min(F.struct("sketch", "small")).alias("s"))
+                .select("doc", "s.sketch", "s.small"))
+    failed, depth = None, 1
+    while True:
+        placed = rows.join(known.toDF("doc", "component"), "doc", "left").withColumn("component", F.coalesce("component", "doc"))
+        found = _forests(materialise(placed, "bucket_rows"), sketches, failed, percent, depth)
+        one = materialise(found.select("a", "b").distinct(), "partners")
+        if one.isEmpty():
+            break
+        depth *= 8
+        good = _verified(texts, one, n, percent, store)
+        bad = one.join(good, ["a", "b"], "left_anti")
+        wrong = materialise(bad if failed is None else wrong.union(bad), "wrong")
+        failed = materialise(wrong.union(wrong.select("b", "a")).toDF("doc", "other").groupBy("doc")
+                             .agg(F.collect_set("other").alias("failed")), "failed")
+        links = materialise(links.union(good), "links")
+        known = materialise(components(links), "known")
+        again = materialise(_labelled(found, known).select("token").distinct(), "again")
+        rows = materialise(rows.join(again, "token", "left_semi"), "again_rows")
     classes = (profile.where("doc IS NOT NULL AND size > 0").groupBy("digest").agg(F.min("doc").alias("node"))
                .join(known, "node", "left").select("digest", F.coalesce("component", "node").alias("component")))
     classes = materialise(classes, "classes")
