@@ -14,6 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
+from terrace.llm.jaccard import chunks
 from terrace.llm.recurrent import Adam, back, batches, new_direction, run, sum_by, windows
 from terrace.llm.registry import query, remainder, table
 
@@ -181,6 +182,16 @@ def predict(model, texts):
     return langs, scores
 
 
+def _predicted(model, column):
+    """``predict`` over a column, in parts of bounded length."""
+    langs, scores = [], []
+    for _, _, texts in chunks(column, 4_000_000):
+        more = predict(model, texts)
+        langs += more[0]
+        scores += more[1]
+    return langs, scores
+
+
 def learn(docs, id_column="doc_id", text_column="text", label_column="lang"):
     """Train on the rows outside the held-out fold (crc32 of the id modulo 3 is 1)."""
     rows = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"),
@@ -192,7 +203,7 @@ def identify(docs, model, id_column="doc_id", text_column="text"):
     """``doc_id, lang_pred, score`` of every row."""
     def score(parts):
         for part in parts:
-            langs, scores = predict(model, part.column(1).to_pylist())
+            langs, scores = _predicted(model, part.column(1))
             yield pa.RecordBatch.from_arrays(
                 [part.column(0), pa.array(langs, pa.string()), pa.array(scores, pa.float64())],
                 names=["doc_id", "lang_pred", "score"])
@@ -208,7 +219,7 @@ def keep_identified(docs, model, text_column="text"):
 
     def kept(parts):
         for part in parts:
-            langs, _ = predict(model, part.column(place).to_pylist())
+            langs, _ = _predicted(model, part.column(place))
             yield part.filter(pa.array([lang != UNKNOWN for lang in langs], pa.bool_()))
 
     return docs.mapInArrow(kept, docs.schema)

@@ -36,7 +36,7 @@ CAPACITY = 4096
 BLOCK = 256
 #: Cost of n tokens of one document: LINEAR * n + QUADRATIC * n * n (a model 1,024 wide: 24 w^2 and 4 w).
 LINEAR, QUADRATIC = 24 * 1024 ** 2, 4 * 1024
-WORDS_KEPT = 800_000
+WORDS_KEPT = 400_000
 
 PROBES = ("The", "Été,", "straße.", "ÑANDÚ!?", "x", "ÿ;")
 #: Latin letters, then stops.
@@ -74,6 +74,8 @@ class Encoder:
         ids = self.parts.get(part)
         if ids is None:
             found = self.tool.model.tokenize(part.encode().decode("latin-1").translate(SHOWN))
+            if len(self.parts) >= WORDS_KEPT:
+                self.parts = {"": b""}
             ids = self.parts[part] = array.array("I", [t.id for t in found]).tobytes()
         return ids
 
@@ -86,7 +88,6 @@ class Encoder:
         if len(word) <= 64:
             if len(self.words) >= WORDS_KEPT:
                 self.words.clear()
-                self.parts = {"": b""}
             self.words[word] = ids
         return ids
 

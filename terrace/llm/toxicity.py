@@ -20,6 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
+from terrace.llm.jaccard import chunks
 from terrace.llm.language import sample
 from terrace.llm.recurrent import Adam, back, batches, new_direction, run, sum_by, windows
 from terrace.llm.registry import query, remainder, table
@@ -259,20 +260,9 @@ def learn(docs, labels, id_column="doc_id", text_column="text", label_column="to
     return train(sample(rows, remainder("id", 4) != 2, PER_CLASS))
 
 
-def _chunks(texts, limit=4_000_000):
-    """Ranges of texts of bounded length together, at least one text each."""
-    start, size = 0, 0
-    for i, t in enumerate(texts):
-        size += len(t or "")
-        if size > limit:
-            yield start, i + 1
-            start, size = i + 1, 0
-    if start < len(texts):
-        yield start, len(texts)
-
-
-def _scored(model, texts):
-    return np.concatenate([scores(model, texts[a:b]) for a, b in _chunks(texts)] or [np.zeros(0)])
+def _scored(model, column):
+    """``scores`` over a column, in parts of bounded length."""
+    return np.concatenate([*(scores(model, texts) for _, _, texts in chunks(column, 4_000_000)), np.zeros(0)])
 
 
 def score_documents(docs, model, id_column="doc_id", text_column="text"):
@@ -280,7 +270,7 @@ def score_documents(docs, model, id_column="doc_id", text_column="text"):
     def score(parts):
         for part in parts:
             yield pa.RecordBatch.from_arrays(
-                [part.column(0), pa.array(_scored(model, part.column(1).to_pylist()), pa.float64())],
+                [part.column(0), pa.array(_scored(model, part.column(1)), pa.float64())],
                 names=["doc_id", "score"])
 
     kind = docs.schema[id_column].dataType.simpleString()
@@ -293,7 +283,7 @@ def keep_clean(docs, model, text_column="text", threshold=THRESHOLD):
 
     def kept(parts):
         for part in parts:
-            yield part.filter(pa.array(_scored(model, part.column(place).to_pylist()) < threshold, pa.bool_()))
+            yield part.filter(pa.array(_scored(model, part.column(place)) < threshold, pa.bool_()))
 
     return docs.mapInArrow(kept, docs.schema)
 
