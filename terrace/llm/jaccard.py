@@ -372,9 +372,18 @@ def unpacked(data):
 
 
 def apart(one, many):
-    """How many n-grams at least only one of two sets has, for the counts of one set and of several."""
+    """How many n-grams at least only one of two sets has, for the counts of one set and of several.
+
+    A class counted up to 3 has at least so many; over classes that fall together such counts tell a
+    difference only where the smaller one is exact.
+    """
     width = min(len(one), min(map(len, many)))
-    return np.abs(np.stack([_folded(m, width) for m in many]) - _folded(one, width)).sum(axis=1, dtype="i8")
+    left, right = _folded(one, width), np.stack([_folded(m, width) for m in many])
+    if all(len(x) == width for x in (one, *many)):
+        return np.abs(right - left).sum(axis=1, dtype="i8")
+    exact = [_exact(one, width), np.stack([_exact(m, width) for m in many])]
+    more = right - left
+    return np.where(np.where(more > 0, *exact), np.abs(more), 0).sum(axis=1, dtype="i8")
 
 
 def _folded(counts, width):
@@ -382,6 +391,11 @@ def _folded(counts, width):
     return counts.astype("i2") if len(counts) == width else counts.reshape(-1, width).sum(axis=0, dtype="i2")
 
 
+def _exact(counts, width):
+    """Whether none of the classes that fall together was counted up to 3, which may stand for more."""
+    return (counts < 3).reshape(-1, width).all(axis=0)
+
+
 def forest(doc, size, place, part, mine, sketches, failed, i, j, percent, depth):
     """Pairs of places that join the components of one bucket as far as the filters let them.
 

@@ -111,6 +111,29 @@ def test_sketch_bounds_set_differences():
     assert jaccard.apart(counts[4], [counts[3]])[0] > 2000
 
 
+@pytest.mark.parametrize("percent", [85, 80])
+def test_sketch_keeps_supersets_across_powers_of_two(percent):
+    """A set and one that has it and is similar by exactly ``percent``: their sketches are of two widths."""
+    rng = np.random.default_rng(7)
+    for power in (512, 2048, 8192):
+        for less in np.linspace(power * percent // 100 + 1, power - 1, 5).astype(int) // 20 * 20:
+            more = int(less) * 100 // percent
+            whole = rng.integers(0, 1 << 63, more, "u8") * np.uint64(2)
+            one, other = (jaccard.unpacked(jaccard.sketch(s)) for s in (whole[:less], whole))
+            allowed = less + more - 2 * jaccard.overlap_needed(percent, int(less), more)
+            assert jaccard.apart(one, [other])[0] <= more - less <= allowed
+            assert jaccard.apart(other, [one])[0] <= more - less
+
+
+def test_forest_pairs_supersets_across_powers_of_two():
+    """The rounds that must find every link left pair a set with a superset of it."""
+    whole = np.random.default_rng(8).integers(0, 1 << 63, 1176, "u8")
+    sets = [whole[:1000], whole]
+    pairs = jaccard.forest(np.arange(2), np.array([1000, 1176]), np.zeros(2, "i8"), np.arange(2), np.zeros(2, "i8"),
+                           [jaccard.sketch(s).tobytes() for s in sets], [()] * 2, 0, 0, 85, 1)
+    assert [tuple(map(int, p)) for p in pairs] == [(0, 1)]
+
+
 @pytest.mark.parametrize("block", [components.BLOCK, 7])
 def test_components(spark, block, monkeypatch):
     monkeypatch.setattr(components, "BLOCK", block)
