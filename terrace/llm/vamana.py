@@ -14,8 +14,12 @@ cluster meet. A pair that meets in several shards is counted in one: the smalles
 and there the shard of its two blocks. Shards return numbers of links and one link per node to its
 group, never the pairs of a group.
 
-The audit compares the links of ``AUDIT`` nodes with brute force over all rows. While it finds less
-than ``ENOUGH`` of them, everything is repeated with one more cluster per node, ``REPEATS`` times.
+The audit compares the links of nodes with brute force over all rows: nodes are taken by hash, alike
+from all labels, until ``AUDIT`` of them have links. While those got back less than ``ENOUGH`` of their
+links (averaged by node), everything is repeated with one more cluster per node, ``REPEATS`` times.
+If that does not help, or ``AUDIT_MOST`` nodes have too few links to tell, an exact pass finds all
+pairs: a node meets, in blocks of ``EXACT``, all nodes that can be similar to any in its cluster.
+Its work grows with the square of a label's nodes where vectors have no structure.
 
 Defined cases: vectors that are NULL, empty, zero or have NULL or non-finite components, and those
 of another length than the sample's, link with nothing, nor do rows with a NULL label or id (a NULL
@@ -37,7 +41,8 @@ SIMILARITY = 0.93
 SAMPLE, CENTRES, PER_SHARD, BLOCK = 4096, 4096, 1200, 2048
 OVERLAP, REPEATS = 3, 3
 DEGREE, CANDIDATES, RANDOM, ALPHA, BEAM = 16, 48, 16, 1.2, 24
-AUDIT, ENOUGH = 64, 0.995
+AUDIT, AUDIT_FIRST, AUDIT_MOST, ENOUGH = 256, 1024, 12_000, 0.995
+EXACT = 8192
 
 
 def _nodes(rows, id_column, vector_column, label_column):
@@ -247,26 +252,120 @@ def _links(shards, graph, similarity):
     return materialise(rows.groupBy(*KEY).applyInPandas(find, "node long, links long, root long"), "links")
 
 
-def _audited(nodes, links, similarity):
-    """Share of the true links of some nodes that were found (1.0 without any)."""
-    chosen = nodes.orderBy(F.xxhash64("node")).limit(AUDIT).join(links.groupBy("node").agg(F.sum("links").alias("links")), "node", "left").collect()
-    chosen = [r for r in chosen if len(r.vector) == len(chosen[0].vector)]
-    if not chosen:
-        return 1.0
-    names, labels, vectors = [r.node for r in chosen], [r.label for r in chosen], unit([r.vector for r in chosen])
+def _truth(nodes, size, similarity):
+    """``{node: (label, links)}`` of nodes that have links, by brute force over all rows, and whether they are enough.
+
+    Nodes are taken by hash, about as many of every label, in doubling rounds until ``AUDIT`` of them
+    have links or all were looked at; after ``AUDIT_MOST`` nodes the links are too rare to audit.
+    """
+    counts = materialise(nodes.groupBy("label").agg(F.count("*").alias("n")), "labels")
+    labels, most = counts.agg(F.count("*"), F.max("n")).first()
+    each = AUDIT_FIRST / labels
+    turn = F.pmod(F.xxhash64("node"), F.lit(1 << 30)) / F.lit(1 << 30) * F.col("n") / F.lit(each)
+    dealt = materialise(nodes.where(F.size("vector") == size).join(counts, "label").select("node", "label", "vector", turn.alias("turn")), "probes")
+    found, looked, low, high = {}, 0, 0, 1
+    while True:
+        probes = dealt.where((F.col("turn") >= low) & (F.col("turn") < high)).select("node", "label", "vector").collect()
+        looked += len(probes)
+        if probes:
+            found |= _brute(nodes, probes, size, similarity)
+        if high * each >= most or len(found) >= AUDIT:
+            return found, True
+        if looked >= AUDIT_MOST:
+            return found, False
+        low, high = high, 2 * high + 1
+
+
+def _brute(nodes, probes, size, similarity):
+    """``{node: (label, links)}`` of the probes that have links."""
+    shared = nodes.sparkSession.sparkContext.broadcast(
+        (np.array([r.node for r in probes], "i8"), np.array([r.label for r in probes], object), unit([r.vector for r in probes])))
 
     def count(parts):
+        names, labels, vectors = shared.value
         total = np.zeros(len(names), "i8")
         for part in parts:
-            hit = vectors @ unit(matrix(part.column(2))).T >= similarity
-            hit &= np.array(labels, object)[:, None] == np.array(part.column(1).to_pylist(), object)[None, :]
-            hit &= np.array(names)[:, None] != part.column(0).to_numpy()[None, :]
-            total += hit @ part.column(3).to_numpy()
-        yield pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array(total)], names=["node", "links"])
+            node, copies, label = part.column(0).to_numpy(), part.column(3).to_numpy(), np.array(part.column(1).to_pylist(), object)
+            points = unit(matrix(part.column(2)))
+            for name in set(label):
+                mine, theirs = np.flatnonzero(labels == name), np.flatnonzero(label == name)
+                for a in range(0, len(theirs), 1024):
+                    some = theirs[a:a + 1024]
+                    hit = (vectors[mine] @ points[some].T >= similarity) & (names[mine][:, None] != node[some])
+                    total[mine] += hit @ copies[some]
+        some = total > 0
+        yield pa.RecordBatch.from_arrays([pa.array(names[some]), pa.array(total[some])], names=["node", "links"])
+
+    rows = nodes.where(F.size("vector") == size).select("node", "label", "vector", "copies")
+    true = rows.mapInArrow(count, "node long, links long").groupBy("node").agg(F.sum("links").alias("links")).collect()
+    label = {r.node: r.label for r in probes}
+    shared.unpersist()
+    return {r.node: (label[r.node], r.links) for r in true}
+
+
+def _recall(links, truth):
+    """The mean share of its links that a node of the audit got back (1.0 where no node has any)."""
+    if not truth:
+        return 1.0
+    names = links.sparkSession.createDataFrame([(int(n),) for n in truth], "node long")
+    got = {r.node: r.links for r in links.join(F.broadcast(names), "node").groupBy("node").agg(F.sum("links").alias("links")).collect()}
+    return float(np.mean([min(1.0, got.get(n, 0) / true) for n, (_, true) in truth.items()]))
+
+
+def _exact(nodes, found, similarity):
+    """``node, links, root`` like ``_links``, of all pairs: no link is missed.
+
+    A node is at home in its nearest cluster and a guest wherever it is near enough to the plane between the
+    two centres for a node beyond it to be similar. At home it meets all members of the cluster.
+    """
+    shared = nodes.sparkSession.sparkContext.broadcast(found)
+    reach = np.sqrt(1 - similarity ** 2) + 1e-9 if similarity > 0 else np.inf
 
-    rows = nodes.where(F.size("vector") == vectors.shape[1]).select("node", "label", "vector", "copies")
-    true = rows.mapInArrow(count, "node long, links long").agg(F.sum("links")).first()[0]
-    return sum(r.links or 0 for r in chosen) / true if true else 1.0
+    def place(parts):
+        square = (shared.value ** 2).sum(axis=1)
+        between = np.sqrt(np.maximum(0, square[:, None] + square - 2 * shared.value @ shared.value.T)) + 1e-6
+        for part in parts:
+            near = unit(matrix(part.column(2))) @ shared.value.T
+            home = near.argmax(axis=1)
+            member = near.max(axis=1)[:, None] - near <= reach * between[home]
+            member[np.arange(len(home)), home] = True
+            row, cluster = np.nonzero(member)
+            at = pa.array(row)
+            yield pa.RecordBatch.from_arrays([*(part.column(i).take(at) for i in range(4)), pa.array(cluster.astype("i4")), pa.array(home[row] == cluster)],
+                                             names=["node", "label", "vector", "copies", "cluster", "home"])
+
+    placed = materialise(nodes.where(F.size("vector") == found.shape[1]).select("node", "label", "vector", "copies").mapInArrow(
+        place, "node long, label string, vector array<double>, copies long, cluster int, home boolean"), "members")
+    sizes = materialise(placed.groupBy("label", "cluster").agg(F.ceil(F.count("*") / EXACT).cast("int").alias("members"),
+                                                               F.ceil(F.count_if("home") / EXACT).cast("int").alias("homes"))
+                        .where("homes > 0"), "sizes")
+    rows = placed.join(sizes, ["label", "cluster"])
+    block = lambda of: F.pmod(F.xxhash64("node"), F.col(of)).cast("int")
+    every = lambda of: F.explode(F.sequence(F.lit(0), F.col(of) - 1))
+    columns = [*KEY, "node", "vector", "copies", "asks"]
+    homes = rows.where("home").withColumn("asks", F.lit(True)).withColumn("i", block("homes")).withColumn("j", every("members"))
+    others = rows.withColumn("asks", F.lit(False)).withColumn("j", block("members")).withColumn("i", every("homes"))
+
+    def find(frame):
+        mine, other = frame[frame.asks], frame[~frame.asks]
+        if not len(mine) or not len(other):
+            return pd.DataFrame({"node": [], "links": [], "root": []}).astype("i8")
+        names, node, copies = mine.node.to_numpy(), other.node.to_numpy(), other.copies.to_numpy()
+        points, theirs = unit(np.stack(mine.vector)), unit(np.stack(other.vector))
+        ids = np.union1d(names, node)
+        left, right = np.searchsorted(ids, names), np.searchsorted(ids, node)
+        links, parent = np.zeros(len(ids), "i8"), np.arange(len(ids))
+        for a in range(0, len(names), 512):
+            hit = (points[a:a + 512] @ theirs.T >= similarity) & (names[a:a + 512, None] != node)
+            links[left[a:a + 512]] = hit @ copies
+            q, found = np.nonzero(hit)
+            pairs = np.stack([left[a + q], right[found]], 1)
+            parent = groups(len(ids), np.concatenate([pairs, np.stack([np.arange(len(ids)), parent], 1)]))
+        some = (links > 0) | (parent != np.arange(len(ids)))
+        return pd.DataFrame({"node": ids[some], "links": links[some], "root": ids[parent[some]]})
+
+    dealt = homes.select(*columns).union(others.select(*columns))
+    return materialise(dealt.groupBy(*KEY).applyInPandas(find, "node long, links long, root long"), "links")
 
 
 def near_duplicates(rows, similarity=SIMILARITY, id_column="vec_id", vector_column="embedding", label_column="label"):
@@ -281,14 +380,19 @@ def near_duplicates(rows, similarity=SIMILARITY, id_column="vec_id", vector_colu
     sample = nodes.where(F.pmod(F.xxhash64("node"), F.lit(1 << 30)) < int(share * (1 << 30))).orderBy(F.xxhash64("node")).limit(SAMPLE).collect()
     sample = sample or nodes.limit(SAMPLE).collect()
     sample = unit([r.vector for r in sample if len(r.vector) == len(sample[0].vector)])
-    for overlap in range(OVERLAP, OVERLAP + REPEATS + 1):
+    truth, enough = _truth(nodes, sample.shape[1], similarity)
+    recall = 0.0
+    for overlap in range(OVERLAP, OVERLAP + REPEATS + 1) if enough else ():
         k = min(CENTRES, max(1, -(-overlap * count // (labels * PER_SHARD))))
         found = centres(sample, k, np.random.default_rng(3))
         shards = materialise(_shards(nodes, found, overlap), "shard_rows")
         links = _links(shards, _graph(shards), similarity)
-        recall = _audited(nodes, links, similarity)
+        recall = _recall(links, truth)
         if recall >= ENOUGH:
             break
+    if recall < ENOUGH:
+        found = centres(sample, min(CENTRES, -(-count // (labels * EXACT))), np.random.default_rng(3))
+        links, recall = _exact(nodes, found, similarity), 1.0
     together = components(links.where("root <> node"), "root", "node")
     by_node = materialise(links.groupBy("node").agg(F.sum("links").alias("links")).join(together, "node", "full"), "by_node")
     known = (members.join(by_node, "node", "left")

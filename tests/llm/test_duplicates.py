@@ -185,6 +185,36 @@ def test_vectors_agree_with_brute_force(spark, block, monkeypatch):
     assert all(r.kept == (r.vec_id == r.component_id) for r in found)
 
 
+def spread_pairs(seed, pairs=150, size=64):
+    """Pairs at cosine 0.935 in all directions: many share none of their nearest clusters."""
+    rng = np.random.default_rng(seed)
+    out = []
+    for k in range(pairs):
+        one, other = vamana.unit(rng.normal(size=(2, size)))
+        other = vamana.unit([other - (other @ one) * one])[0]
+        for v in (one, 0.935 * one + (1 - 0.935 ** 2) ** 0.5 * other):
+            out.append((len(out), [float(x) for x in v], k % 2))
+    return out
+
+
+@pytest.mark.parametrize("probes", [vamana.AUDIT_MOST, 20])
+def test_vectors_lost_by_the_shards_are_found(spark, probes, monkeypatch):
+    """Small clusters lose pairs, beside a hot group whose links all are found; rare links cannot be audited."""
+    monkeypatch.setattr(vamana, "PER_SHARD", 4)
+    monkeypatch.setattr(vamana, "OVERLAP", 1)
+    monkeypatch.setattr(vamana, "REPEATS", 0)
+    monkeypatch.setattr(vamana, "EXACT", 40)
+    monkeypatch.setattr(vamana, "AUDIT_MOST", probes)
+    monkeypatch.setattr(vamana, "AUDIT_FIRST", probes)
+    rng = np.random.default_rng(9)
+    hot = [(1000 + k, [1.0 + float(x) for x in rng.normal(size=64) * 0.05], 0) for k in range(100)]
+    rows = spread_pairs(3) + hot
+    expected, counts = brute_vectors(rows)
+    found = vamana.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()
+    assert {r.vec_id: r.n_links for r in found} == counts
+    assert {r.vec_id: r.component_id for r in found} == expected
+
+
 def test_vectors_odd_rows(spark):
     v, w = [1.0, 0.0, 0.0], [0.0, 1.0, 0.0]
     rows = [(1, v, 0), (2, [2.0, 0.0, 0.0], 0), (3, v, 1), (4, v, None), (5, None, 0), (6, [0.0] * 3, 0), (7, [1.0, None, 0.0], 0),
