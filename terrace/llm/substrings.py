@@ -8,7 +8,9 @@ The unit of deduplication is a run of ``RUN`` chunks, by its 64-bit digest: two
 passage share all runs between its first and its last boundary. A digest that several documents
 have belongs to the one with the smallest id; elsewhere its bytes are repeated, and overlapping or
 touching repeated runs of ``LEAST`` bytes together are a span. Runs are shorter than that, so
-shared phrases and single lines leave a text alone.
+shared phrases and single lines leave a text alone. Shorter ones, of short words, are a span where
+over ``WORDS`` words are shared: those that may be (``MARGIN`` bytes more on both sides, as a passage
+goes on beyond its first and last boundary) are compared with the text of their source, byte by byte.
 
 Digests are pre-aggregated in each task. Texts are read a second time for the places of repeated
 digests; a bit filter of fixed size (``FILTER_BITS``) keeps runs that are certainly unique out of
@@ -23,11 +25,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from terrace.llm.jaccard import BYTE, ODD, chunks, mix
+from terrace.llm.jaccard import BYTE, INSIDE, ODD, chunks, mix
 from terrace.llm.registry import query, table
 from terrace.workspace import materialise
 
 CUT, LONGEST, RUN, LEAST = 48, 64, 6, 200
+WORDS, MARGIN, WINDOW = 50, 112, 512
 FILTER_BITS = 1 << 27
 GAP = 16
 
@@ -129,13 +132,70 @@ def _filter(shared):
     return out.ravel()
 
 
-def _sources(first, group, wanted):
-    """The document that has most runs of a span first, for every span."""
-    found = set()
-    for k in wanted:
-        docs, times = np.unique(first[group == k], return_counts=True)
-        found.add(int(docs[times.argmax()]))
-    return sorted(found)
+def _words(data):
+    """Where the words of a text start and end, in bytes."""
+    inside = np.r_[False, INSIDE[np.frombuffer(data, "u1")], False]
+    edge = np.flatnonzero(inside[1:] != inside[:-1])
+    return edge[::2], edge[1::2]
+
+
+def _common(mine, at, other, there):
+    """How many bytes before and from two places on are the same."""
+    out = []
+    for x, y in ((mine[:at][::-1], other[:there][::-1]), (mine[at:], other[there:])):
+        n = min(len(x), len(y))
+        unlike = np.flatnonzero(np.frombuffer(x[:n], "u1") != np.frombuffer(y[:n], "u1"))
+        out.append(int(unlike[0]) if len(unlike) else n)
+    return out
+
+
+SPAN = "doc long, start int, end int, source long, digest long, at int, sure boolean"
+
+
+def _verified(rows, doubtful):
+    """The doubtful spans that share over ``WORDS`` words with their source, as far as the shared words go."""
+    ask = F.struct("doc", "start", "end", "source", "digest", "at")
+    asks = doubtful.select(F.col("doc").alias("owner"), ask.alias("ask")).union(doubtful.select("source", ask.alias("ask")))
+    asks = materialise(asks.groupBy("owner").agg(F.collect_list("ask").alias("asks")), "asks")
+    schema = "doc long, start int, end int, source long, mine boolean, base int, at int, whole boolean, data binary"
+    names = [c.split()[0] for c in schema.split(", ")]
+
+    def windows(parts):
+        for part in parts:
+            out = []
+            for owner, text, wanted in zip(*(part.column(k).to_pylist() for k in range(3)), strict=True):
+                data = (text or "").encode("utf-8", "replace")
+                _, digest, start, _ = runs([text])
+                digest = digest.view("i8")
+                for a in wanted:
+                    mine = a["doc"] == owner
+                    for at in [a["at"]] if mine else start[digest == a["digest"]].tolist():
+                        base = max(0, at - WINDOW)
+                        out.append((a["doc"], a["start"], a["end"], a["source"], mine, base, at - base, at + WINDOW >= len(data), data[base:at + WINDOW]))
+            columns = list(zip(*out, strict=True)) or [()] * len(names)
+            types = (pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.bool_(), pa.int32(), pa.int32(), pa.bool_(), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=names)
+
+    def compare(parts):
+        for part in parts:
+            out = []
+            for r in part.to_pylist():
+                data, base = r["data"], r["base"]
+                before, after = _common(data, r["at"], r["other"], r["there"])
+                low = min(r["start"] - base, r["at"] - before)
+                high = max(r["end"] - base, r["at"] + after)
+                begin, stop = _words(data)
+                # words that the window cuts off are not whole
+                inside = (begin >= low) & (stop <= high) & ((begin > 0) | (base == 0)) & ((stop < len(data)) | r["whole"])
+                if inside.sum() > WORDS:
+                    out.append((r["doc"], base + int(begin[inside][0]), base + int(stop[inside][-1]), r["source"], 0, 0, True))
+            columns = list(zip(*out, strict=True)) or [()] * 7
+            types = (pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.bool_())
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=[c.split()[0] for c in SPAN.split(", ")])
+
+    found = materialise(rows.join(asks, F.col("doc") == F.col("owner")).select("doc", "text", "asks").mapInArrow(windows, schema), "windows")
+    theirs = found.where("NOT mine").select("doc", "start", F.col("at").alias("there"), F.col("data").alias("other"))
+    return found.where("mine").join(theirs, ["doc", "start"]).mapInArrow(compare, SPAN)
 
 
 def repeated_spans(docs, id_column="doc_id", text_column="text", least=LEAST):
@@ -155,35 +215,64 @@ def repeated_spans(docs, id_column="doc_id", text_column="text", least=LEAST):
                 text, digest, start, end = runs(texts)
                 slot = digest % np.uint64(FILTER_BITS)
                 likely = (bits.value[(slot >> np.uint64(3)).astype("i8")] >> (slot & np.uint64(7)).astype("u1") & 1).astype(bool)
+                text, digest, start, end = text[likely], digest[likely], start[likely], end[likely]
+                low, high = np.zeros(len(text), "i4"), np.zeros(len(text), "i4")
+                for k in np.unique(text):  # words that begin before the run and its margin, and that end after both
+                    here = slice(*np.searchsorted(text, [k, k + 1]))
+                    begin, stop = _words((texts[k] or "").encode("utf-8", "replace"))
+                    low[here] = np.searchsorted(begin, start[here] - MARGIN)
+                    high[here] = np.searchsorted(stop, end[here] + MARGIN, "right")
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(digest[likely].view("i8")), pa.array(ids[a:b][text[likely]]),
-                     pa.array(start[likely].astype("i4")), pa.array(end[likely].astype("i4"))],
-                    names=["digest", "doc", "start", "end"])
+                    [pa.array(digest.view("i8")), pa.array(ids[a:b][text]), pa.array(start.astype("i4")), pa.array(end.astype("i4")),
+                     pa.array(low), pa.array(high)], names=["digest", "doc", "start", "end", "low", "high"])
 
     def merge(parts):
         for part in parts:
             out = []
             for doc, found in zip(part.column(0).to_pylist(), part.column(1), strict=True):
-                start, end, first = (found.values.field(i).to_numpy() for i in range(3))
+                start, end, first, digest, low, high = (found.values.field(i).to_numpy() for i in range(6))
                 order = np.argsort(start, kind="stable")
-                start, end, first = start[order], end[order], first[order]
+                start, end, first, digest, low, high = (x[order] for x in (start, end, first, digest, low, high))
                 reach = np.maximum.accumulate(end)
                 new = np.r_[True, start[1:] > reach[:-1]]
                 begin = np.flatnonzero(new)
-                stop = reach[np.r_[begin[1:] - 1, len(start) - 1]]
-                long = stop - start[begin] >= least
-                if long.any():
-                    group = np.cumsum(new) - 1
-                    spans = [{"start": int(x), "end": int(y)} for x, y in zip(start[begin][long], stop[long], strict=True)]
-                    out.append((doc, spans, sum(s["end"] - s["start"] for s in spans), _sources(first, group, np.flatnonzero(long))))
+                last = np.r_[begin[1:], len(start)]
+                for x, y in zip(begin, last, strict=True):
+                    sure = reach[y - 1] - start[x] >= least
+                    if sure or high[y - 1] - low[x] > WORDS:
+                        names, times = np.unique(first[x:y], return_counts=True)
+                        source = names[times.argmax()]
+                        at = x + int((first[x:y] == source).argmax())
+                        out.append((doc, int(start[x]), int(reach[y - 1]), int(source), int(digest[at]), int(start[at]), bool(sure)))
+            columns = list(zip(*out, strict=True)) or [()] * 7
+            types = (pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.bool_())
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=[c.split()[0] for c in SPAN.split(", ")])
+
+    def gather(parts):
+        for part in parts:
+            out = []
+            for doc, found in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
+                spans = []
+                for f in sorted(found, key=lambda f: (f["start"], f["end"])):
+                    if spans and f["start"] <= spans[-1]["end"]:
+                        spans[-1]["end"] = max(spans[-1]["end"], f["end"])
+                    else:
+                        spans.append({"start": f["start"], "end": f["end"]})
+                out.append((doc, spans, sum(s["end"] - s["start"] for s in spans), sorted({f["source"] for f in found})))
             columns = list(zip(*out, strict=True)) or [()] * 4
             types = (pa.int64(), pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])), pa.int64(), pa.list_(pa.int64()))
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)],
                                              names=["doc_id", "spans", "repeated_bytes", "sources"])
 
-    found = rows.mapInArrow(places, "digest long, doc long, start int, end int").join(shared, "digest").where("doc <> first")
-    lists = found.groupBy("doc").agg(F.collect_list(F.struct("start", "end", "first")).alias("found"))
-    return lists.mapInArrow(merge, "doc_id long, spans array<struct<start:int,end:int>>, repeated_bytes long, sources array<long>")
+    found = rows.mapInArrow(places, "digest long, doc long, start int, end int, low int, high int").join(shared, "digest").where("doc <> first")
+    lists = found.groupBy("doc").agg(F.collect_list(F.struct("start", "end", "first", "digest", "low", "high")).alias("found"))
+    spans = materialise(lists.mapInArrow(merge, SPAN), "spans")
+    doubtful = spans.where("NOT sure")
+    sure = spans.where("sure")
+    if not doubtful.isEmpty():
+        sure = sure.union(_verified(rows, doubtful))
+    by_doc = sure.groupBy("doc").agg(F.collect_set(F.struct("start", "end", "source")).alias("found"))
+    return by_doc.mapInArrow(gather, "doc_id long, spans array<struct<start:int,end:int>>, repeated_bytes long, sources array<long>")
 
 
 def remove_repeats(docs, id_column="doc_id", text_column="text", least=LEAST):

@@ -269,6 +269,24 @@ def test_substrings_find_planted_passages(spark):
         assert (left[k] == t) == (k not in rows) and len(left[k].encode()) == len(t.encode()) - (rows[k].repeated_bytes if k in rows else 0)
 
 
+def test_substrings_find_passages_of_short_words(spark):
+    """Of shared passages of short words, all those of 51 words are found and none of 45."""
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choices("abcdefghij", k=3))
+    docs, long = [], set()
+    for k in range(0, 80, 2):
+        shared = " ".join(word() for _ in range(51 if k % 4 else 45))
+        docs += [(k + d, " ".join([*(word() for _ in range(30)), shared, *(word() for _ in range(30))])) for d in (0, 1)]
+        long |= {k + 1} if k % 4 else set()
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    rows = {r.doc_id: r for r in substrings.repeated_spans(frame).collect()}
+    assert set(rows) == long
+    text = dict(docs)
+    for k, r in rows.items():
+        assert r.sources == [k - 1] and all(text[k].encode()[s.start:s.end].decode() in text[k - 1] for s in r.spans)
+    assert sum(r.repeated_bytes >= 51 * 4 - 1 for r in rows.values()) >= 0.9 * len(rows)
+
+
 def test_substrings_odd_rows(spark):
     rng = random.Random(5)
     text = passage(rng, 80)
