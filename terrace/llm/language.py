@@ -214,13 +214,19 @@ def identify(docs, model, id_column="doc_id", text_column="text"):
 
 
 def keep_identified(docs, model, text_column="text"):
-    """The documents with a language: those that are not ``und``, all columns as they are."""
+    """The documents with a language: those that are not ``und``, all columns as they are.
+
+    Without a model (no row to learn from) those with a letter stay.
+    """
     place = docs.columns.index(text_column)
 
     def kept(parts):
         for part in parts:
-            langs, _ = _predicted(model, part.column(place))
-            yield part.filter(pa.array([lang != UNKNOWN for lang in langs], pa.bool_()))
+            if model is None:
+                keep = [has_letter(t) for t in part.column(place).to_pylist()]
+            else:
+                keep = [lang != UNKNOWN for lang in _predicted(model, part.column(place))[0]]
+            yield part.filter(pa.array(keep, pa.bool_()))
 
     return docs.mapInArrow(kept, docs.schema)
 

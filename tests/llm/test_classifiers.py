@@ -103,6 +103,12 @@ def test_language_labels_every_position():
     assert np.allclose(labels[0].mean(axis=0), language.document_probabilities(model, [text])[0], atol=1e-4)
 
 
+def test_language_without_learnable_rows_keeps_documents(spark):
+    docs = spark.createDataFrame([(1, "plain words", None), (2, "12 34", None), (3, None, None), (4, "été", None)], "doc_id long, text string, lang string")
+    model = language.learn(docs)
+    assert model is None and sorted(r.doc_id for r in language.keep_identified(docs, model).collect()) == [1, 4]
+
+
 def test_toxicity_held_out(spark):
     sf = "/root/testdata/sf0.1"
     labels = spark.read.parquet(f"{sf}/labels.parquet")
