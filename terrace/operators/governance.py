@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from terrace.operators.tables import (
-    delete_rows, drop_partitions, literal, partition_columns, quoted)
+    bounded, delete_rows, in_partitions, literal, partition_columns, quoted, replace_partitions, restore)
 
 
 def _moment(df: DataFrame, ts: str, value: datetime) -> Column:
@@ -70,19 +70,25 @@ def expire_table(spark: SparkSession, fqn: str, ts: str, cutoff: datetime) -> No
     """Apply ``expire`` to a stored table.
 
     A table partitioned by ``<ts>_day`` drops the days before the cutoff and rewrites at
-    most the day the cutoff falls into.
+    most the day the cutoff falls into, all in one replacement.
     """
+    restore(spark, fqn)
     table, day = spark.table(fqn), f"{ts}_day"
     kind = table.schema[ts].dataType.simpleString()
     early = f"{quoted(ts)} < CAST({literal(cutoff)} AS {kind})"
     if day not in partition_columns(spark, fqn):
         delete_rows(spark, fqn, f"{quoted(ts)} IS NULL OR {early}")
         return
+    # One replacement: the days before the cutoff go, the day it falls into is rewritten.
     last_day = F.lit(str(cutoff.date())).cast("date")
-    days = table.where(F.col(day) < last_day).select(day).distinct()
-    drop_partitions(spark, fqn, [r.asDict() for r in days.collect()])
-    delete_rows(spark, fqn, f"({quoted(day)} IS NULL OR {quoted(day)} = DATE '{cutoff.date()}') "
-                            f"AND ({quoted(ts)} IS NULL OR {early})")
+    affected = table.where(F.col(day).isNull() | (F.col(day) < last_day) | ((F.col(day) == last_day) & ~_kept(table, ts, cutoff)))
+    days = [r.asDict() for r in bounded(affected.select(*partition_columns(spark, fqn)).distinct(), fqn)]
+    if days:
+        replace_partitions(in_partitions(table, days).where(_kept(table, ts, cutoff)), fqn, days)
+
+
+def _kept(table: DataFrame, ts: str, cutoff: datetime) -> Column:
+    return F.coalesce(F.col(ts) >= _moment(table, ts, cutoff), F.lit(False))
 
 
 def lineage(runs: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ from terrace.functions.rules import Rule
 from terrace.operators.joins import join_unique
 from terrace.operators.ranking import first_per_key
 from terrace.operators.tables import (
-    add_columns, in_partitions, is_native, partition_columns, partition_sources, quoted, replace_partitions, replace_table,
+    add_columns, bounded, in_partitions, is_native, partition_columns, partition_sources, quoted, replace_partitions, replace_table,
     restore, with_partitions)
 from terrace.workspace import materialise, scratch_scope
 
@@ -142,7 +142,7 @@ def upsert_into(source: DataFrame, fqn: str, keys: Sequence[str], order_by: str)
         spark.sql(f"MERGE INTO {fqn} t USING {{best}} s ON {on} WHEN MATCHED AND ({newer}) "
                   "THEN UPDATE SET * WHEN NOT MATCHED THEN INSERT *", best=best)
     elif parts and (set(parts) <= set(keys) or partition_sources(spark, fqn) <= set(keys)):
-        touched = [r.asDict() for r in source.select(*parts).distinct().collect()]
+        touched = [r.asDict() for r in bounded(source.select(*parts).distinct(), fqn)]
         if touched:
             target = in_partitions(spark.table(fqn), touched)
             replace_partitions(_winners(target, source, keys, order_by), fqn, touched)

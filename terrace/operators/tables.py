@@ -6,14 +6,16 @@ partition transforms natively.
 """
 
 import re
+import uuid
 from collections.abc import Mapping, Sequence
-from contextlib import contextmanager
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 from terrace.functions.audit import AUDIT_COLUMNS
 from terrace.operators.partitioning import (
     derived_columns, native_partitions, plain_partitions, source_columns, spread)
+from terrace.workspace import remove, scratch
 
 # Properties given to a table of an Iceberg-style catalog on creation.
 TABLE_PROPERTIES = {
@@ -32,10 +34,14 @@ _LAYOUT = "terrace.partition_by"
 # it has rows for, whatever the session says.
 _DYNAMIC = ("partitionOverwriteMode", "dynamic")
 
-# Tables that replacements keep beside a table are named so and say whose they are. No
-# other table may have such a name.
+# Names of the tables through which bucketed files are written. No other table may have one.
 _RESERVED = "_terrace_"
-_OWNER = "terrace.beside"
+
+# Table property that names the stored intent of a replacement under way.
+_INTENT = "terrace.replacement"
+
+# Partitions that one replacement may switch: their list passes through the driver.
+MAX_PARTITIONS = 100_000
 
 _INTEGERS = [T.ByteType, T.ShortType, T.IntegerType, T.LongType]
 _DIGITS = {T.ByteType: 3, T.ShortType: 5, T.IntegerType: 10, T.LongType: 19}
@@ -60,9 +66,15 @@ def table_exists(spark: SparkSession, fqn: str) -> bool:
     return spark.catalog.tableExists(fqn)
 
 
+def name_parts(fqn: str) -> list[str]:
+    """The parts of an identifier, quoted or not."""
+    return [a.replace("``", "`") or b for a, b in re.findall(r"`((?:[^`]|``)+)`|([^.`]+)", fqn)]
+
+
 def is_native(spark: SparkSession, fqn: str) -> bool:
     """Whether the table's catalog brings its own table format."""
-    catalog = fqn.split("`.`")[0].strip("`") if fqn.count("`.`") == 2 else "spark_catalog"
+    parts = name_parts(fqn)
+    catalog = parts[0] if len(parts) > 2 else spark.catalog.currentCatalog()
     return spark.conf.get(f"spark.sql.catalog.{catalog}", None) is not None
 
 
@@ -329,8 +341,7 @@ def delete_rows(spark: SparkSession, fqn: str, condition: str) -> None:
         if not table.where(gone).isEmpty():
             replace_table(table.where(~gone), fqn)
     else:
-        # At most one row per partition of the table.
-        touched = [r.asDict() for r in table.where(gone).select(*keys).distinct().collect()]
+        touched = [r.asDict() for r in bounded(table.where(gone).select(*keys).distinct(), fqn)]
         if touched:
             replace_partitions(in_partitions(table, touched).where(~gone), fqn, touched)
 
@@ -353,138 +364,150 @@ def in_partitions(table: DataFrame, partitions: Sequence[Mapping]) -> DataFrame:
 
 
 def replace_partitions(df: DataFrame, fqn: str, partitions: Sequence[Mapping]) -> None:
-    """Make the frame, which may read the table, the whole contents of these partitions.
+    """Make the frame, which may read the table, the whole contents of these partitions."""
+    spark = df.sparkSession
+    _refuse_repaired(spark, fqn)
+    _switch_partitions(df, fqn, partitions)
 
-    The rows go to a table beside it first. A job that stops after that is completed by
-    the next write to the table.
-    """
-    spark, part = df.sparkSession, _beside(fqn, "part")
-    keys = list(partitions[0])
-    _refuse_leftovers(spark, fqn)
-    _create_beside(df, fqn, "part")
-    filled = {tuple(r) for r in spark.table(part).select(*keys).distinct().collect()}
-    _restore_part(spark, fqn, part)
-    drop_partitions(spark, fqn, [p for p in partitions if tuple(p[k] for k in keys) not in filled])
+
+def replace_table(df: DataFrame, fqn: str) -> None:
+    """Make the frame, which may read the table, its whole contents."""
+    spark = df.sparkSession
+    if is_native(spark, fqn):
+        df.writeTo(fqn).replace()
+        return
+    _refuse_repaired(spark, fqn)
+    keys = partition_columns(spark, fqn)
+    if keys:
+        held = spark.table(fqn).select(*keys).distinct()
+        _switch_partitions(df, fqn, [r.asDict() for r in bounded(held, fqn)])
+        return
+    old = _location(spark, fqn)
+    head, _, last = old.rpartition("/")
+    new = f"{head}/{last.split('--')[0]}--{uuid.uuid4().hex[:12]}"
+    _write_files(df, fqn, new)
+    _commit(spark, fqn, [(None, new)], [], [old])
 
 
-def _refuse_leftovers(spark: SparkSession, fqn: str) -> None:
+def bounded(rows: DataFrame, fqn: str) -> list:
+    """At most one row per partition, collected; more than ``MAX_PARTITIONS`` are refused."""
+    found = rows.limit(MAX_PARTITIONS + 1).collect()
+    if len(found) > MAX_PARTITIONS:
+        raise ValueError(f"{fqn}: more than {MAX_PARTITIONS} partitions at once; partition by hash(n, key), "
+                         "which bounds their number")
+    return found
+
+
+def _refuse_repaired(spark: SparkSession, fqn: str) -> None:
     """A frame computed from a half-replaced table must not become its contents."""
     if restore(spark, fqn):
-        raise RuntimeError(f"an earlier replacement of {fqn} had stopped half-way; it is repaired "
+        raise RuntimeError(f"an earlier replacement of {fqn} had stopped half-way; it is completed "
                            "now, so compute the new rows again")
 
 
-def _restore_part(spark: SparkSession, fqn: str, part: str) -> None:
-    _overwrite(spread(spark.table(part), _layout_columns(spark, fqn)), fqn)
-    spark.sql(f"DROP TABLE {part}")
+def _switch_partitions(df: DataFrame, fqn: str, partitions: Sequence[Mapping]) -> None:
+    """Write the new files into a fresh folder of the table and point its partitions there."""
+    spark = df.sparkSession
+    keys, table = partition_columns(spark, fqn), spark.table(fqn)
+    fresh = f"{_location(spark, fqn)}/_{uuid.uuid4().hex[:12]}"
+    _write_files(df, fqn, fresh)
+    written = spark.read.schema(table.schema).parquet(fresh)
+    new = {tuple(r[:-1]): unquote(r[-1]) for r in bounded(_folders(written, keys), fqn)}
+    old = bounded(_folders(in_partitions(table, partitions), keys), fqn) if partitions else []
+    listed = dict.fromkeys([tuple(p[k] for k in keys) for p in partitions])
+    spec = {values: ", ".join(f"{quoted(k)} = {literal(v)}" for k, v in zip(keys, values))
+            for values in {**listed, **new}}
+    _commit(spark, fqn, [(spec[v], folder) for v, folder in new.items()],
+            [spec[v] for v in listed if v not in new], [unquote(r[-1]) for r in old])
 
 
-def _beside(fqn: str, kind: str) -> str:
-    head, _, last = fqn.rpartition(".")
-    return f"{head}.{quoted(_RESERVED + kind + '_' + last.strip('`'))}"
+def _folders(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The partitions that have rows, with the folder of each (as a URL)."""
+    path = rows.metadataColumn("_metadata").getField("file_path")
+    folder = F.regexp_replace(path, "/[^/]*$", "")
+    return rows.select(*keys, folder.alias("_folder")).groupBy(*keys).agg(F.max("_folder").alias("_folder"))
 
 
-def _create_beside(df: DataFrame, fqn: str, kind: str) -> str:
-    name = _beside(fqn, kind)
-    df.writeTo(name).using("parquet").option("compression", "zstd").tableProperty(_OWNER, fqn).create()
-    return name
+def _location(spark: SparkSession, fqn: str) -> str:
+    shown = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE EXTENDED {fqn}").collect()}
+    return shown["Location"].rstrip("/")
 
 
-def _is_beside(spark: SparkSession, fqn: str, kind: str) -> bool:
-    """Whether a replacement of this very table has left a table of this kind."""
-    name = _beside(fqn, kind)
-    return table_exists(spark, name) and _properties(spark, name).get(_OWNER) == fqn
+def _write_files(df: DataFrame, fqn: str, folder: str) -> None:
+    """Write the rows into a folder as the table lays its files out."""
+    spark = df.sparkSession
+    held, keys, buckets = spark.table(fqn).schema, partition_columns(spark, fqn), _buckets(spark, fqn)
+    have = {c.lower() for c in df.columns}
+    rows = df.select(*[(F.col(quoted(f.name)) if f.name.lower() in have else F.lit(None)).cast(f.dataType).alias(f.name)
+                       for f in held])
+    writer = spread(rows, _layout_columns(spark, fqn)).write.option("compression", "zstd")
+    if keys:
+        writer = writer.partitionBy(*keys)
+    if not buckets:
+        writer.parquet(folder)
+        return
+    # Buckets can only be written through a table: one of its own, whose files stay when it goes.
+    through = quoted(*name_parts(fqn)[:-1], _RESERVED + uuid.uuid4().hex[:12])
+    count, names = buckets
+    writer.format("parquet").option("path", folder).bucketBy(count, *names).saveAsTable(through)
+    spark.sql(f"DROP TABLE {through}")
 
 
-def replace_table(df: DataFrame, fqn: str) -> None:
-    """Swap in new contents that may be computed from the table itself.
+_INTENT_ROW = "switched array<struct<spec: string, folder: string>>, dropped array<string>, old array<string>"
+
 
-    The new rows are first written to a table beside it. A table
-    without partitions is then switched by two renames. A partitioned one is
-    overwritten from the staged rows, because the session catalog keeps the old place
-    of every partition across a rename. ``restore`` completes or undoes what a crash
-    leaves, and every write to the table calls it first.
+def _commit(spark: SparkSession, fqn: str, switched: list, dropped: list, old: list) -> None:
+    """Record the whole intent as one row, let the table name it, and carry it out.
+
+    Before the table names it nothing has changed; afterwards ``restore`` carries it out again,
+    as often as it takes. No row is copied and nothing is renamed.
     """
-    spark = df.sparkSession
-    if is_native(spark, fqn):
-        df.writeTo(fqn).replace()
-        return
-    _refuse_leftovers(spark, fqn)
-    staging, old = _beside(fqn, "stg"), _beside(fqn, "old")
-    if partition_columns(spark, fqn):
-        _create_beside(df, fqn, "stg")
-        restore(spark, fqn)
-        return
-    layout = _buckets(spark, fqn)
-    writer = spread(df, _layout_columns(spark, fqn)).writeTo(staging).using("parquet")
-    writer = writer.option("compression", "zstd")
-    for key, value in {**_properties(spark, fqn), _OWNER: fqn}.items():
-        writer = writer.tableProperty(key, value)
-    if layout:
-        writer = writer.partitionedBy(*layout)
-    writer.create()
-    spark.sql(f"ALTER TABLE {fqn} SET TBLPROPERTIES ('{_OWNER}' = {literal(fqn)})")
-    spark.sql(f"ALTER TABLE {fqn} RENAME TO {old}")
-    spark.sql(f"ALTER TABLE {staging} RENAME TO {fqn}")
-    spark.sql(f"DROP TABLE {old}")
-
-
-def _buckets(spark: SparkSession, fqn: str) -> list:
-    detail = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE EXTENDED {fqn}").collect()}
-    count = int(detail.get("Num Buckets") or 0)
-    names = re.findall(r"`([^`]+)`", detail.get("Bucket Columns") or "")
-    return [F.partitioning.bucket(count, *names)] if count > 0 else []
+    path = scratch(spark, "intent")
+    spark.createDataFrame([(switched, dropped, old)], _INTENT_ROW).write.parquet(path)
+    _state(spark, f"ALTER TABLE {fqn} SET TBLPROPERTIES ('{_INTENT}' = {literal(path)})")
+    _carry_out(spark, fqn, path)
 
 
-@contextmanager
-def staged(df: DataFrame, fqn: str):
-    """The frame written once to a table beside ``fqn``, which is dropped afterwards."""
-    spark, name = df.sparkSession, _beside(fqn, "in")
-    if is_native(spark, fqn) or _is_beside(spark, fqn, "in"):
-        spark.sql(f"DROP TABLE IF EXISTS {name}")
-    if is_native(spark, fqn):
-        df.writeTo(name).create()
-    else:
-        _create_beside(df, fqn, "in")
-    try:
-        yield spark.table(name)
-    finally:
-        spark.sql(f"DROP TABLE IF EXISTS {name}")
+def _carry_out(spark: SparkSession, fqn: str, path: str) -> None:
+    intent = spark.read.schema(_INTENT_ROW).parquet(path).first()
+    for spec, folder in intent["switched"]:
+        if spec is None:
+            _state(spark, f"ALTER TABLE {fqn} SET LOCATION {literal(folder)}")
+        else:
+            _state(spark, f"ALTER TABLE {fqn} ADD IF NOT EXISTS PARTITION ({spec}) LOCATION {literal(folder)}")
+            _state(spark, f"ALTER TABLE {fqn} PARTITION ({spec}) SET LOCATION {literal(folder)}")
+    for spec in intent["dropped"]:
+        _state(spark, f"ALTER TABLE {fqn} DROP IF EXISTS PARTITION ({spec})")
+    used = {folder for _, folder in intent["switched"]}
+    for folder in intent["old"]:
+        if folder not in used:
+            remove(spark, folder)
+    _state(spark, f"ALTER TABLE {fqn} UNSET TBLPROPERTIES IF EXISTS ('{_INTENT}')")
+    remove(spark, path)
+
+
+def _state(spark: SparkSession, statement: str) -> None:
+    spark.sql(statement)
 
 
 def restore(spark: SparkSession, fqn: str) -> bool:
-    """Complete or undo a replacement that stopped half-way; says whether there was one.
+    """Complete a replacement that stopped half-way; says whether there was one.
 
-    Only tables that such a replacement of this table made are touched. A staged table
-    exists only once it is completely written. A partitioned table may
-    have lost rows to the overwrite it was staged for, so that is run again. Otherwise
-    the old table is put back, and what was staged for it is dropped.
+    The table itself names the intent, so any spelling of its name finds it.
     """
-    staging, old, part = (_beside(fqn, k) for k in ("stg", "old", "part"))
-    left = [_beside(fqn, k) for k in ("stg", "old", "part") if _is_beside(spark, fqn, k)]
-    if old in left:
-        if table_exists(spark, fqn):
-            spark.sql(f"DROP TABLE {old}")
-        else:
-            spark.sql(f"ALTER TABLE {old} RENAME TO {fqn}")
-    if part in left:
-        _restore_part(spark, fqn, part)
-    if staging in left:
-        if table_exists(spark, fqn) and partition_columns(spark, fqn):
-            _become(spark.table(staging), fqn)
-        spark.sql(f"DROP TABLE {staging}")
-    return bool(left)
-
-
-def _become(df: DataFrame, fqn: str) -> None:
-    """Make a stored frame the whole contents of a partitioned table."""
-    spark, keys = df.sparkSession, partition_columns(df.sparkSession, fqn)
-    _overwrite(spread(df, _layout_columns(spark, fqn)), fqn)
-    kept = df.select(*keys).distinct()
-    same = [F.col(f"t.{quoted(k)}").eqNullSafe(F.col(f"k.{quoted(k)}")) for k in keys]
-    # At most one row per partition of the table.
-    gone = spark.table(fqn).select(*keys).distinct().alias("t").join(kept.alias("k"), same, "left_anti")
-    drop_partitions(spark, fqn, [r.asDict() for r in gone.collect()])
+    if not table_exists(spark, fqn) or is_native(spark, fqn):
+        return False
+    path = _properties(spark, fqn).get(_INTENT)
+    if path:
+        _carry_out(spark, fqn, path)
+    return bool(path)
+
+
+def _buckets(spark: SparkSession, fqn: str) -> tuple | None:
+    detail = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE EXTENDED {fqn}").collect()}
+    count = int(detail.get("Num Buckets") or 0)
+    names = re.findall(r"`([^`]+)`", detail.get("Bucket Columns") or "")
+    return (count, names) if count > 0 else None
 
 
 def list_namespaces(spark: SparkSession, catalog: str | None = None) -> DataFrame:

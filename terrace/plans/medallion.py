@@ -10,8 +10,8 @@ from terrace.operators.aggregates import kpi
 from terrace.operators.quality import gate
 from terrace.operators.staging import dedup, null_policy, type_rules, typed_columns, upsert_into
 from terrace.operators.tables import (
-    append, quoted, restore, rollback_batch, staged, table_exists, write_partitioned)
-from terrace.workspace import scratch_scope
+    append, quoted, restore, rollback_batch, table_exists, write_partitioned)
+from terrace.workspace import materialise, scratch_scope
 
 
 def stage(raw: DataFrame, types: Mapping[str, str], nulls: Mapping[str, tuple],
@@ -52,8 +52,7 @@ def refresh_silver(raw: DataFrame, table: str, types: Mapping[str, str], keys: S
         if not table_exists(spark, fqn):
             return append(good, namespace, table, catalog, partition_by)
         # The staged rows are read three times below, so they are computed once.
-        with staged(good, fqn) as incoming:
-            upsert_into(incoming, fqn, keys, order_by)
+        upsert_into(materialise(good, "staged"), fqn, keys, order_by)
     return fqn
 
 

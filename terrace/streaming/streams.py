@@ -8,7 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 from terrace.functions.audit import enrich
 from terrace.operators.changes import apply_changes, latest_changes
 from terrace.operators.tables import (
-    append, drop_partitions, in_partitions, partition_columns, quoted, replace_partitions, replace_table, restore, table_exists)
+    append, bounded, drop_partitions, in_partitions, partition_columns, quoted, replace_partitions, replace_table, restore, table_exists)
 from terrace.sources.files import file_options
 from terrace.sources.spec import SourceSpec
 
@@ -110,7 +110,7 @@ def fold_epochs(spark: SparkSession, fqn: str, run_id: str) -> None:
     mine = F.startswith("_batch_id", F.lit(f"{run_id}:")) | (F.col("_batch_id") == run_id)
     keys = partition_columns(spark, fqn)
     # One row per epoch and value of the other partition columns.
-    touched = [r.asDict() for r in table.where(mine).select(*keys).distinct().collect()]
+    touched = [r.asDict() for r in bounded(table.where(mine).select(*keys).distinct(), fqn)]
     if touched:
         folded = in_partitions(table, touched).withColumn("_batch_id", F.lit(run_id))
         into = {tuple(sorted({**p, "_batch_id": run_id}.items(), key=str)) for p in touched}

@@ -57,6 +57,12 @@ def materialise(df: DataFrame, label: str = "stage") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder, if it is there."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
 @contextmanager
 def scratch_scope(spark: SparkSession):
     """Remove on leaving what ``materialise`` stores inside.
@@ -69,7 +75,5 @@ def scratch_scope(spark: SparkSession):
     try:
         yield
     finally:
-        jvm = spark.sparkContext._jvm
         for path in _scope.open.pop():
-            place = jvm.org.apache.hadoop.fs.Path(path)
-            place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+            remove(spark, path)

@@ -1,6 +1,8 @@
 import uuid
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 from datetime import datetime
+from unittest.mock import patch
 
 import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
@@ -169,39 +171,100 @@ def test_deletes_rewrite_only_touched_partitions(spark, ns, rows):
     assert len(spark.sql(f"SHOW PARTITIONS {fqn}").collect()) == 2
 
 
-def left_behind(df, fqn, kind):
-    """What a replacement that stopped half-way has written."""
-    tables._create_beside(df, fqn, kind)
-
-
-def test_partitioned_replacement_is_completed_after_a_crash(spark, ns, rows):
-    df = rows.make([(1, "a"), (2, "b")], "id int, s string")
-    fqn = append(df, ns, "t", partition_by=["s"])
-    left_behind(df.where("id = 2"), fqn, "stg")
-    spark.sql(f"ALTER TABLE {fqn} DROP PARTITION (s = 'b')")  # the overwrite had begun
-    append(rows.make([(3, "c")], "id int, s string"), ns, "t")
-    assert rows.of(spark.table(fqn)) == [(2, "b"), (3, "c")]
-    left_behind(rows.make([(9, "c")], "id int, s string"), fqn, "part")
-    restore(spark, fqn)
-    assert rows.of(spark.table(fqn)) == [(2, "b"), (9, "c")]
-    assert [r.table for r in list_tables(spark, ns).collect()] == ["t"]
-
-
-def test_replacement_can_be_finished_after_a_crash(spark, ns):
+class Stopped(Exception):
+    pass
+
+
+@contextmanager
+def stopped_after(statements):
+    """Let a replacement run this many of its statements and then stop."""
+    real, left = tables._state, [statements]
+
+    def state(spark, statement):
+        if not left[0]:
+            raise Stopped
+        left[0] -= 1
+        real(spark, statement)
+    with patch.object(tables, "_state", state):
+        try:
+            yield
+            raise AssertionError("was not stopped")
+        except Stopped:
+            pass
+
+
+def test_replacement_is_completed_under_any_spelling(spark, ns, rows):
+    """A stop between two statements; the next write names the table in another way."""
+    for k, layout in enumerate(([], ["s"])):
+        fqn = append(rows.make([(1, "a"), (2, "b"), (3, "c")], "id int, s string"), ns, f"t{k}", partition_by=layout)
+        for n, gone in ((1, 1), (2, 2)):
+            with stopped_after(n):
+                delete_rows(spark, f"{ns}.t{k}", f"id = {gone}")
+            spark.sql(f"USE {ns}")
+            try:
+                delete_rows(spark, f"t{k}", "id = 99")
+            finally:
+                spark.sql("USE default")
+            assert sorted(r.id for r in spark.table(fqn).collect()) == list(range(gone + 1, 4))
+        append(rows.make([(4, "d")], "id int, s string"), ns, f"t{k}")
+        assert rows.of(spark.table(fqn)) == [(3, "c"), (4, "d")]
+
+
+def test_replacement_stopped_before_its_intent_changes_nothing(spark, ns):
     fqn = append(spark.range(3), ns, "t")
-    old = tables._beside(fqn, "old")
-    spark.sql(f"ALTER TABLE {fqn} SET TBLPROPERTIES ('{tables._OWNER}' = '{fqn}')")
-    spark.sql(f"ALTER TABLE {fqn} RENAME TO {old}")
-    assert restore(spark, fqn) is True and restore(spark, fqn) is False
-    assert spark.table(fqn).count() == 3
-    left_behind(spark.range(9), fqn, "stg")
+    with stopped_after(0):
+        replace_table(spark.range(9), fqn)
+    assert restore(spark, fqn) is False and spark.table(fqn).count() == 3
+    with stopped_after(1):
+        replace_table(spark.range(9), fqn)
     with pytest.raises(RuntimeError, match="again"):
         replace_table(spark.range(1), fqn)
+    assert spark.table(fqn).count() == 9
     replace_table(spark.table(fqn).where("id > 0"), fqn)
-    assert spark.table(fqn).count() == 2
+    assert spark.table(fqn).count() == 8
     assert [r.table for r in list_tables(spark, ns).collect()] == ["t"]
 
 
+def test_replacement_leaves_no_files_of_the_old_contents(spark, tmp_path):
+    name = f"n{uuid.uuid4().hex[:8]}"
+    tables.ensure_namespace(spark, name, location=str(tmp_path))
+    data = spark.range(10).selectExpr("id", "id % 2 AS part")
+    for table, layout in (("flat", []), ("parted", ["part"]), ("buckets", ["bucket(2, id)"])):
+        fqn = append(data, name, table, partition_by=layout)
+        for _ in range(3):
+            replace_table(spark.table(fqn).where("id < 9"), fqn)
+            delete_rows(spark, fqn, "id = 3")
+        stored = [p for p in tmp_path.rglob("*.parquet") if p.relative_to(tmp_path).parts[0].startswith(table)]
+        assert {f.split(":", 1)[1].lstrip("/") for f in spark.table(fqn).inputFiles()} == {str(p).lstrip("/") for p in stored}
+        assert sorted(r.id for r in spark.table(fqn).collect()) == [0, 1, 2, 4, 5, 6, 7, 8]
+        overwritten = data.where("id = 1") if layout == ["part"] else None
+        if overwritten is not None:  # partitions at new places are appended to and overwritten like others
+            append(data.where("id = 3"), name, table)
+            assert spark.table(fqn).count() == 9
+            overwrite_partitions(overwritten, fqn)
+            assert sorted(r.id for r in spark.table(fqn).collect()) == [0, 1, 2, 4, 6, 8]
+        spark.sql(f"DROP TABLE {fqn}")
+        assert append(data, name, table, partition_by=layout) and spark.table(fqn).count() == 10
+
+
+def test_replacement_with_odd_partition_values(spark, ns, rows):
+    values = ["a b", "x/y=z", "it's", None, "50%", "ü:1"]
+    fqn = append(rows.make([(k, v) for k, v in enumerate(values)] * 2, "id int, s string"), ns, "t", partition_by=["s"])
+    delete_rows(spark, fqn, "id = 0")
+    replace_table(spark.table(fqn).distinct(), fqn)
+    assert rows.of(spark.table(fqn)) == sorted([(k, v) for k, v in enumerate(values) if k], key=repr)
+    assert len(spark.sql(f"SHOW PARTITIONS {fqn}").collect()) == 5
+
+
+def test_too_many_partitions_are_refused(spark, ns, monkeypatch):
+    monkeypatch.setattr(tables, "MAX_PARTITIONS", 3)
+    fqn = append(spark.range(4).selectExpr("id", "id AS part"), ns, "t", partition_by=["part"])
+    with pytest.raises(ValueError, match="hash"):
+        delete_rows(spark, fqn, "id >= 0")
+    delete_rows(spark, fqn, "id > 1")
+    assert spark.table(fqn).count() == 2
+
+
 def test_retention_of_a_stored_table(spark, ns, rows):
     df = rows.make([(1, datetime(2024, 1, 1)), (2, datetime(2024, 1, 2, 5)), (3, None)], "id int, ts timestamp")
     for table, layout in (("plain", []), ("daily", ["days(ts)"])):
@@ -230,10 +293,6 @@ def test_other_tables_are_never_taken_for_leftovers(spark, ns, rows):
         delete_rows(spark, quoted(ns, name), "id = 2")
         replace_table(spark.table(quoted(ns, name)), quoted(ns, name))
     assert {n: spark.table(quoted(ns, n)).count() for n in names} == dict.fromkeys(names, 2)
-    # A table with a reserved name that no replacement made is not touched either.
-    spark.range(3).writeTo(quoted(ns, "_terrace_old_t")).using("parquet").create()
-    append(df, ns, "t")
-    assert spark.table(quoted(ns, "_terrace_old_t")).count() == 3
     with pytest.raises(ValueError, match="reserved"):
         append(df, ns, "_terrace_old_t")
 
