@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from terrace.operators.tables import (
     bounded, delete_rows, in_partitions, literal, partition_columns, quoted, replace_partitions, restore)
+from terrace.workspace import materialise
 
 
 def _moment(df: DataFrame, ts: str, value: datetime) -> Column:
@@ -96,6 +97,33 @@ def lineage(runs: DataFrame) -> DataFrame:
     return runs.where("status = 'ok'").select("batch_id", "source", "target").distinct()
 
 
+def lineage_closure(edges: DataFrame) -> DataFrame:
+    """Every ``source`` that reaches a ``target`` over the edges, and in how few ``hops``.
+
+    Each round extends the pairs of the round before by one edge and keeps those not seen yet, so the
+    rounds end with the longest shortest path, cycles included (a node on a cycle reaches itself), and
+    a pair is extended once however many ways lead to it. Rounds are written tables.
+    """
+    edges = materialise(edges.select("source", "target").where("source IS NOT NULL AND target IS NOT NULL").distinct(), "edges")
+    known = frontier = edges.withColumn("hops", F.lit(1))
+    step = edges.select(F.col("source").alias("target"), F.col("target").alias("_next"))
+    while True:
+        further = (frontier.join(step, "target").select("source", F.col("_next").alias("target"), F.col("hops") + 1)
+                   .toDF("source", "target", "hops").distinct())
+        frontier = materialise(further.join(known, ["source", "target"], "left_anti"), "hops")
+        if frontier.isEmpty():
+            return known
+        known = known.unionByName(frontier)
+
+
+def reaches_raw(tables: DataFrame, closure: DataFrame, raw: DataFrame, name: str = "table") -> DataFrame:
+    """``tables`` with ``has_lineage``: whether a raw source (``raw.source``) leads to them."""
+    origins = raw.select("source").distinct()
+    traced = closure.join(origins, "source", "left_semi").select(F.col("target").alias(name)).distinct()
+    return tables.join(traced.withColumn("has_lineage", F.lit(True)), name, "left").withColumn(
+        "has_lineage", F.coalesce("has_lineage", F.lit(False)))
+
+
 def table_cost(spark: SparkSession, tables: Sequence[str]) -> DataFrame:
     """Files, bytes and rows of stored tables, read from file metadata and row counts only."""
     parts = []

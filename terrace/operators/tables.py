@@ -8,14 +8,14 @@ partition transforms natively.
 import re
 import uuid
 from collections.abc import Mapping, Sequence
-from urllib.parse import unquote
+from urllib.parse import unquote as url_path
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 from terrace.functions.audit import AUDIT_COLUMNS
 from terrace.operators.partitioning import (
     derived_columns, native_partitions, plain_partitions, source_columns, spread)
-from terrace.workspace import remove, scratch
+from terrace.workspace import move, remove, scratch
 
 # Properties given to a table of an Iceberg-style catalog on creation.
 TABLE_PROPERTIES = {
@@ -382,7 +382,7 @@ def replace_table(df: DataFrame, fqn: str) -> None:
         held = spark.table(fqn).select(*keys).distinct()
         _switch_partitions(df, fqn, [r.asDict() for r in bounded(held, fqn)])
         return
-    old = _location(spark, fqn)
+    old = location(spark, fqn)
     head, _, last = old.rpartition("/")
     new = f"{head}/{last.split('--')[0]}--{uuid.uuid4().hex[:12]}"
     _write_files(df, fqn, new)
@@ -409,16 +409,16 @@ def _switch_partitions(df: DataFrame, fqn: str, partitions: Sequence[Mapping]) -
     """Write the new files into a fresh folder of the table and point its partitions there."""
     spark = df.sparkSession
     keys, table = partition_columns(spark, fqn), spark.table(fqn)
-    fresh = f"{_location(spark, fqn)}/_{uuid.uuid4().hex[:12]}"
+    fresh = f"{location(spark, fqn)}/_{uuid.uuid4().hex[:12]}"
     _write_files(df, fqn, fresh)
     written = spark.read.schema(table.schema).parquet(fresh)
-    new = {tuple(r[:-1]): unquote(r[-1]) for r in bounded(_folders(written, keys), fqn)}
+    new = {tuple(r[:-1]): url_path(r[-1]) for r in bounded(_folders(written, keys), fqn)}
     old = bounded(_folders(in_partitions(table, partitions), keys), fqn) if partitions else []
     listed = dict.fromkeys([tuple(p[k] for k in keys) for p in partitions])
     spec = {values: ", ".join(f"{quoted(k)} = {literal(v)}" for k, v in zip(keys, values))
             for values in {**listed, **new}}
     _commit(spark, fqn, [(spec[v], folder) for v, folder in new.items()],
-            [spec[v] for v in listed if v not in new], [unquote(r[-1]) for r in old])
+            [spec[v] for v in listed if v not in new], [url_path(r[-1]) for r in old])
 
 
 def _folders(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -428,7 +428,7 @@ def _folders(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
     return rows.select(*keys, folder.alias("_folder")).groupBy(*keys).agg(F.max("_folder").alias("_folder"))
 
 
-def _location(spark: SparkSession, fqn: str) -> str:
+def location(spark: SparkSession, fqn: str) -> str:
     shown = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE EXTENDED {fqn}").collect()}
     return shown["Location"].rstrip("/")
 
@@ -436,7 +436,7 @@ def _location(spark: SparkSession, fqn: str) -> str:
 def _write_files(df: DataFrame, fqn: str, folder: str) -> None:
     """Write the rows into a folder as the table lays its files out."""
     spark = df.sparkSession
-    held, keys, buckets = spark.table(fqn).schema, partition_columns(spark, fqn), _buckets(spark, fqn)
+    held, keys, buckets = spark.table(fqn).schema, partition_columns(spark, fqn), stored_buckets(spark, fqn)
     have = {c.lower() for c in df.columns}
     rows = df.select(*[(F.col(quoted(f.name)) if f.name.lower() in have else F.lit(None)).cast(f.dataType).alias(f.name)
                        for f in held])
@@ -453,17 +453,24 @@ def _write_files(df: DataFrame, fqn: str, folder: str) -> None:
     spark.sql(f"DROP TABLE {through}")
 
 
-_INTENT_ROW = "switched array<struct<spec: string, folder: string>>, dropped array<string>, old array<string>"
+_INTENT_ROW = ("switched array<struct<spec: string, folder: string>>, dropped array<string>, old array<string>, "
+               "moved array<struct<file: string, place: string>>")
 
 
-def _commit(spark: SparkSession, fqn: str, switched: list, dropped: list, old: list) -> None:
+def commit_moves(spark: SparkSession, fqn: str, moved: list[tuple[str, str]], old: list[str]) -> None:
+    """Move files that were written aside into the table and remove old ones, as one replacement."""
+    _commit(spark, fqn, [], [], old, moved)
+    spark.catalog.refreshTable(fqn)
+
+
+def _commit(spark: SparkSession, fqn: str, switched: list, dropped: list, old: list, moved: list = ()) -> None:
     """Record the whole intent as one row, let the table name it, and carry it out.
 
     Before the table names it nothing has changed; afterwards ``restore`` carries it out again,
     as often as it takes. No row is copied and nothing is renamed.
     """
     path = scratch(spark, "intent")
-    spark.createDataFrame([(switched, dropped, old)], _INTENT_ROW).write.parquet(path)
+    spark.createDataFrame([(switched, dropped, old, list(moved))], _INTENT_ROW).write.parquet(path)
     _state(spark, f"ALTER TABLE {fqn} SET TBLPROPERTIES ('{_INTENT}' = {literal(path)})")
     _carry_out(spark, fqn, path)
 
@@ -478,6 +485,8 @@ def _carry_out(spark: SparkSession, fqn: str, path: str) -> None:
             _state(spark, f"ALTER TABLE {fqn} PARTITION ({spec}) SET LOCATION {literal(folder)}")
     for spec in intent["dropped"]:
         _state(spark, f"ALTER TABLE {fqn} DROP IF EXISTS PARTITION ({spec})")
+    for file, place in intent["moved"]:
+        move(spark, file, place)
     used = {folder for _, folder in intent["switched"]}
     for folder in intent["old"]:
         if folder not in used:
@@ -503,7 +512,7 @@ def restore(spark: SparkSession, fqn: str) -> bool:
     return bool(path)
 
 
-def _buckets(spark: SparkSession, fqn: str) -> tuple | None:
+def stored_buckets(spark: SparkSession, fqn: str) -> tuple | None:
     detail = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE EXTENDED {fqn}").collect()}
     count = int(detail.get("Num Buckets") or 0)
     names = re.findall(r"`([^`]+)`", detail.get("Bucket Columns") or "")

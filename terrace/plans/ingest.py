@@ -4,6 +4,7 @@ import time
 import uuid
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import replace
 from datetime import datetime, timezone
 from threading import Event, Lock
 
@@ -15,7 +16,7 @@ from terrace.operators.changes import stored_mark, unfinished_attempts
 from terrace.operators.runs import RUN_SCHEMA
 from terrace.operators.tables import (
     append, delete_rows, drop_partitions, is_native, literal, partition_columns, quoted, table_exists)
-from terrace.sources.jdbc import read_increment
+from terrace.sources.jdbc import read_increment, read_jdbc
 from terrace.sources.readers import from_files, read_source
 from terrace.sources.registry import choose
 from terrace.sources.spec import SourceSpec
@@ -110,7 +111,9 @@ def ingest_increment(spark: SparkSession, spec: SourceSpec, column: str, batch_i
     before the next one reads. One run per source at a time.
     """
     target = quoted(catalog, spec.namespace, spec.table or spec.name)
-    raw = read_source(spark, spec)
+    by_depth = spec.type == "jdbc" and spec.options.get("split") == "depth"
+    plain = {k: v for k, v in spec.options.items() if k not in ("split", "partition_column", "num_partitions")}
+    raw = read_source(spark, replace(spec, options=plain) if by_depth else spec)
     kind = raw.schema[column].dataType.simpleString()
 
     def record(attempt, mark):
@@ -130,7 +133,9 @@ def ingest_increment(spark: SparkSession, spec: SourceSpec, column: str, batch_i
             record(attempt, None)
     attempt = new_batch_id()
     record(attempt, None)
-    rows = enrich(read_increment(raw, column, mark), spec.name, spec.type, batch_id, from_files(spec))
+    # Split by depth, the rows above the mark are what is dealt to the tasks.
+    new = read_jdbc(spark, spec, (column, mark)) if by_depth else read_increment(raw, column, mark)
+    rows = enrich(new, spec.name, spec.type, batch_id, from_files(spec))
     rows = rows.withColumn(ATTEMPT, F.lit(attempt))
     table, count, seen = _append_counted(rows, spec, catalog, F.max(column).alias("mark"),
                                          partition_by=[*spec.partition_by, ATTEMPT])

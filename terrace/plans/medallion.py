@@ -35,16 +35,19 @@ def refresh_silver(raw: DataFrame, table: str, types: Mapping[str, str], keys: S
                    order_by: str, nulls: Mapping[str, tuple] | None = None,
                    rules: Sequence[Rule] = (), namespace: str = "silver",
                    catalog: str | None = None, max_failed_share: float | None = None,
-                   partition_by: Sequence[str] = (), batch_ids: Sequence[str] | None = None) -> str:
+                   partition_by: Sequence[str] = (), batch_ids: Sequence[str] | None = None,
+                   fed_by: Sequence[str] = (), edges: tuple[str, str] | None = None) -> str:
     """Merge staged rows into a Silver table; rows that fail go to ``<table>_quarantine``.
 
     A rerun of the same batch leaves both as they are. ``batch_ids`` names the batches in
     ``raw``; without it they are looked up, which reads that column once more. With
     ``partition_by`` columns that belong to the keys, or transforms of them
-    (``hash(64, key)``), a refresh rewrites only the partitions it touches.
+    (``hash(64, key)``), a refresh rewrites only the partitions it touches. The tables in ``fed_by``
+    are recorded as its sources in the table ``edges`` (namespace, table).
     """
     spark = raw.sparkSession
     fqn = quoted(catalog, namespace, table)
+    record_edges(spark, fed_by, fqn, edges, catalog)
     with scratch_scope(spark):
         good, bad = stage(raw, types, nulls or {}, rules, keys, order_by, max_failed_share)
         _quarantine(raw, bad, namespace, f"{table}_quarantine", catalog, batch_ids)
@@ -71,11 +74,26 @@ def _quarantine(raw: DataFrame, bad: DataFrame, namespace: str, table: str,
 
 def refresh_gold(facts: DataFrame, table: str, by: Sequence[str], measures: Mapping[str, Column],
                  partition_by: Sequence[str], mode: str = "group", namespace: str = "gold",
-                 catalog: str | None = None) -> str:
+                 catalog: str | None = None, fed_by: Sequence[str] = (),
+                 edges: tuple[str, str] | None = None) -> str:
     """Aggregate and write, replacing the partitions that were computed."""
+    record_edges(facts.sparkSession, fed_by, quoted(catalog, namespace, table), edges, catalog)
     return write_partitioned(kpi(facts, by, measures, mode), namespace, table, partition_by, catalog)
 
 
+def record_edges(spark: SparkSession, sources: Sequence[str], target: str,
+                 edges: tuple[str, str] | None, catalog: str | None = None) -> None:
+    """Append ``source, target`` rows that the edge table does not hold yet."""
+    if not edges or not sources:
+        return
+    rows = spark.createDataFrame([(s.replace("`", ""), target.replace("`", "")) for s in sources], "source string, target string")
+    held = quoted(catalog, *edges)
+    if table_exists(spark, held):
+        rows = rows.join(spark.table(held), ["source", "target"], "left_anti")
+    if not rows.isEmpty():
+        append(rows, *edges, catalog=catalog)
+
+
 def read_table(spark: SparkSession, namespace: str, table: str,
                catalog: str | None = None) -> DataFrame:
     return spark.table(quoted(catalog, namespace, table))

@@ -16,7 +16,7 @@ from terrace.queries.registered import fresh_namespace, query, table
 from terrace.sources.files import read_files
 from terrace.sources.spec import SourceSpec
 from terrace.streaming.streams import (
-    compact_changes, consumer_lag, current_rows, decode_framed, decode_json, finish, stream_changes, stream_files,
+    consumer_lag, current_rows, decode_framed, decode_json, finish, merge_runs, stream_changes, stream_files,
     stream_ingest)
 from terrace.workspace import scratch
 
@@ -215,7 +215,7 @@ def file_stream_source(spark, sf):
 
 
 @query("framed_topic_decode", """
-    SELECT event_id, user_id, CASE WHEN event_type = 'view' THEN NULL ELSE value END AS value,
+    SELECT event_id, ts, user_id, event_type, props, CASE WHEN event_type = 'view' THEN NULL ELSE value END AS value,
            CASE WHEN event_type = 'view' THEN 7 WHEN event_type = 'error' THEN NULL ELSE 300 END AS schema_id
     FROM (SELECT * REPLACE (CASE WHEN event_type = 'error' THEN NULL ELSE event_id END AS event_id,
                             CASE WHEN event_type = 'error' THEN NULL ELSE user_id END AS user_id,
@@ -226,25 +226,26 @@ def framed_topic_decode(spark, sf):
     body = F.when(kind == "view", F.to_json(F.struct("event_id", "user_id"))).otherwise(F.to_json(F.struct("event_id", "user_id", "value")))
     frame = F.when(kind == "view", F.unhex(F.lit("0000000007"))).otherwise(F.unhex(F.lit("000000012C")))
     message = F.when(kind == "error", body.cast("binary")).otherwise(F.concat(frame, body.cast("binary")))
-    topic = table(spark, sf, "events").select(message.alias("value"))
+    topic = table(spark, sf, "events").select(message.alias("value"), "ts", "event_type", "props")
     return decode_framed(topic, {7: "event_id bigint, user_id bigint", 300: "event_id bigint, user_id bigint, value double"}).select(
-        "event_id", "user_id", "value", F.col("schema_id").cast("int").alias("schema_id"))
+        "event_id", "ts", "user_id", "event_type", "props", "value", F.col("schema_id").cast("int").alias("schema_id"))
 
 
 @query("stream_cdc", """
-    SELECT event_id, user_id, value FROM (
+    SELECT event_id, ts, user_id, event_type, value, props, TRUE AS merged FROM (
         SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS rn FROM events)
     WHERE rn = 1 AND event_type <> 'error'""")
 def stream_cdc(spark, sf):
     spec, schema = event_files(spark, sf, "cdc")
-    changes = stream_files(spark, spec, schema, max_files=3).select(
-        "event_id", "user_id", "value", F.when(F.col("event_type") == "error", "d").otherwise("u").alias("op"))
+    changes = stream_files(spark, spec, schema, max_files=1).withColumn(
+        "op", F.when(F.col("event_type") == "error", "d").otherwise("u"))
     merging = stream_changes(changes, spec.namespace, "users", ["user_id"], "event_id", "op",
                              scratch(spark, "checkpoint"))
     fqn = quoted(spec.namespace, "users")
     finish(merging, spark, fqn)
-    compact_changes(spark, fqn, ["user_id"], "event_id", "op")
-    return current_rows(spark.table(fqn), ["user_id"], "event_id", "op")
+    merged = merge_runs(spark, fqn, ["user_id"], "event_id", "op", fanout=3)
+    rows = current_rows(spark.table(fqn), ["user_id"], "event_id", "op")
+    return rows.withColumn("merged", F.lit(bool(merged)))
 
 
 @query("consumer_lag", """

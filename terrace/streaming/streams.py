@@ -1,5 +1,6 @@
 """Streaming ingest into Bronze tables, change logs and consumer lag."""
 
+import hashlib
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -157,6 +158,46 @@ def compact_changes(spark: SparkSession, fqn: str, keys: Sequence[str], seq: str
     replace_table(last.withColumn(EPOCH, F.lit(epoch)), fqn)
 
 
+def merge_runs(spark: SparkSession, fqn: str, keys: Sequence[str], seq: str, op: str, fanout: int = 4) -> list[list[str]]:
+    """Merge runs of similar size in a change table; says which were merged.
+
+    A run is what one epoch, or an earlier merge, holds: the latest change per key. Its level is the
+    power of ``fanout`` that its rows reach. As soon as a level has ``fanout`` runs, they become one
+    run, mostly of the next level, so a change is rewritten once for each level and a small epoch never
+    rewrites a large run; readers meet fewer than ``fanout`` runs a level. Deletes are kept.
+    Not beside a running stream.
+    """
+    restore(spark, fqn)
+    merged = []
+    while True:
+        sizes = bounded(spark.table(fqn).groupBy(EPOCH).agg(F.count("*").alias("rows")), fqn)
+        levels = {}
+        for run, rows in sorted(sizes):
+            level = 0
+            while fanout ** (level + 1) <= rows:
+                level += 1
+            levels.setdefault(level, []).append(run)
+        full = min((k for k, runs in levels.items() if len(runs) >= fanout), default=None)
+        if full is None:
+            return merged
+        runs = levels[full]
+        # Named by what it holds, so a repeated merge writes the same run.
+        name = "merged-" + hashlib.sha256("\n".join(runs).encode()).hexdigest()[:16]
+        parts = [{EPOCH: r} for r in runs]
+        last = latest_changes(in_partitions(spark.table(fqn), parts).drop(EPOCH), keys, seq, op)
+        replace_partitions(last.withColumn(EPOCH, F.lit(name)), fqn, [*parts, {EPOCH: name}])
+        merged.append(runs)
+
+
+def dedup_stream(stream: DataFrame, keys: Sequence[str], ts: str, delay: str) -> DataFrame:
+    """Each event once, also when it is delivered again within ``delay`` of its own time.
+
+    Keys are kept in the state store until the watermark (the latest event time less ``delay``) has
+    passed them by ``delay``; events older than the watermark are late and left out.
+    """
+    return stream.withWatermark(ts, delay).dropDuplicatesWithinWatermark(list(keys))
+
+
 def _start(df: DataFrame, sink, checkpoint: str, available_now: bool) -> StreamingQuery:
     writer = df.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if available_now else writer).start()

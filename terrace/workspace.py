@@ -57,10 +57,22 @@ def materialise(df: DataFrame, label: str = "stage") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def remove(spark: SparkSession, path: str) -> None:
-    """Delete a folder, if it is there."""
+def _placed(spark: SparkSession, path: str):
     place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+    return place, place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder, if it is there."""
+    place, files = _placed(spark, path)
+    files.delete(place, True)
+
+
+def move(spark: SparkSession, path: str, to: str) -> None:
+    """Move a file, unless that has been done."""
+    place, files = _placed(spark, path)
+    if files.exists(place) and not files.rename(place, _placed(spark, to)[0]):
+        raise OSError(f"could not move {path} to {to}")
 
 
 @contextmanager
