@@ -21,15 +21,19 @@ If that does not help, or ``AUDIT_MOST`` nodes have too few links to tell, an ex
 pairs: a node meets, in blocks of ``EXACT``, all nodes that can be similar to any in its cluster.
 Its work grows with the square of a label's nodes where vectors have no structure.
 
-Defined cases: vectors that are NULL, empty, zero or have NULL or non-finite components, and those
-of another length than the sample's, link with nothing, nor do rows with a NULL label or id (a NULL
-id has a NULL component and is kept). Repeated rows of one id are one vector, returned as often as
+Defined cases: vectors that are NULL, empty, zero or have NULL or non-finite components link with
+nothing, nor do rows with a NULL label or id (a NULL id has a NULL component and is kept). Vectors are
+compared with those of their own length; lengths between two powers of two share a run, in which shorter
+vectors are filled up with zeros. Repeated rows of one id are one vector, returned as often as
 they occur; of several vectors under one id the smallest is compared.
 """
 
+from functools import reduce
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from terrace.llm.components import components
@@ -52,7 +56,9 @@ def _nodes(rows, id_column, vector_column, label_column):
     found = (rows.select(F.col(id_column).cast("long").alias("id"), F.col(label_column).cast("string").alias("label"), vector.alias("vector"))
              .where(F.col("id").isNotNull() & F.col("label").isNotNull() & F.coalesce(good, F.lit(False)))
              .groupBy("id").agg(F.min(F.struct("vector", "label")).alias("v")).select("id", "v.label", "v.vector"))
-    digest = F.sha2(F.concat_ws(",", F.col("vector").cast("array<string>"), "label"), 256)
+    # Vectors of different lengths are never compared: their length is part of the label from here on.
+    found = found.withColumn("label", F.concat_ws("/", F.size("vector"), "label"))
+    digest = F.sha2(F.concat_ws(",", "label", F.col("vector").cast("array<string>")), 256)
     found = materialise(found.withColumn("digest", digest), "vectors")
     nodes = materialise(found.groupBy("digest").agg(F.min("id").alias("node"), F.count("*").alias("copies"), F.min("label").alias("label"),
                                                     F.min("vector").alias("vector")), "nodes")
@@ -243,6 +249,7 @@ def _links(shards, graph, similarity):
         common = (clusters[q][:, :, None] == clusters[node][:, None, :]).any(axis=2)
         first = np.where(common, clusters[q], np.iinfo("i4").max).min(axis=1) if len(q) else np.zeros(0, "i8")
         counted = (first == cluster) & (np.minimum(mine[q], mine[node]) == i) & (np.maximum(mine[q], mine[node]) == j)
+        pairs = pairs[counted]  # numbers of links and groups come from the same pairs
         links = np.bincount(q[counted], weights=copies[node[counted]], minlength=len(names)).astype("i8")
         root = names[groups(len(names), pairs)]
         some = (links > 0) | (root != names)
@@ -368,14 +375,9 @@ def _exact(nodes, found, similarity):
     return materialise(dealt.groupBy(*KEY).applyInPandas(find, "node long, links long, root long"), "links")
 
 
-def near_duplicates(rows, similarity=SIMILARITY, id_column="vec_id", vector_column="embedding", label_column="label"):
-    """``vec_id, n_links, component_id, kept, audit_recall`` of every row."""
-    members, nodes = _nodes(rows, id_column, vector_column, label_column)
+def _found(nodes, similarity):
+    """``node, links, root`` of nodes whose vectors have one length, and the audited recall."""
     count, labels = nodes.agg(F.count("*"), F.approx_count_distinct("label")).first()
-    every = rows.select(F.col(id_column).cast("long").alias("vec_id"))
-    if not count:
-        return every.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"),
-                            F.lit(True).alias("kept"), F.lit(1.0).alias("audit_recall"))
     share = min(1.0, 1.3 * SAMPLE / count)
     sample = nodes.where(F.pmod(F.xxhash64("node"), F.lit(1 << 30)) < int(share * (1 << 30))).orderBy(F.xxhash64("node")).limit(SAMPLE).collect()
     sample = sample or nodes.limit(SAMPLE).collect()
@@ -393,6 +395,21 @@ def near_duplicates(rows, similarity=SIMILARITY, id_column="vec_id", vector_colu
     if recall < ENOUGH:
         found = centres(sample, min(CENTRES, -(-count // (labels * EXACT))), np.random.default_rng(3))
         links, recall = _exact(nodes, found, similarity), 1.0
+    return links, recall
+
+
+def near_duplicates(rows, similarity=SIMILARITY, id_column="vec_id", vector_column="embedding", label_column="label"):
+    """``vec_id, n_links, component_id, kept, audit_recall`` of every row."""
+    members, nodes = _nodes(rows, id_column, vector_column, label_column)
+    every = rows.select(F.col(id_column).cast("long").alias("vec_id"))
+    if nodes.isEmpty():
+        return every.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"),
+                            F.lit(True).alias("kept"), F.lit(1.0).alias("audit_recall"))
+    kind = F.ceil(F.log2(F.size("vector"))).cast("int")
+    longest = {r.kind: r.longest for r in nodes.groupBy(kind.alias("kind")).agg(F.max(F.size("vector")).alias("longest")).collect()}  # 32 rows at most
+    found = [_found(nodes.where(kind == k).withColumn("vector", F.concat("vector", F.array_repeat(F.lit(0.0), F.lit(size) - F.size("vector")))),
+                    similarity) for k, size in longest.items()]
+    links, recall = reduce(DataFrame.union, [x for x, _ in found]), min(x for _, x in found)
     together = components(links.where("root <> node"), "root", "node")
     by_node = materialise(links.groupBy("node").agg(F.sum("links").alias("links")).join(together, "node", "full"), "by_node")
     known = (members.join(by_node, "node", "left")

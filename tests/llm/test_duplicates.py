@@ -228,6 +228,23 @@ def test_vectors_odd_rows(spark):
     assert [r.n_links for r in vamana.near_duplicates(frame.where("vec_id = 5")).collect()] == [0]
 
 
+def test_vectors_of_several_lengths(spark):
+    """Vectors meet those of their own length alone, and a label cannot pass for a component."""
+    rows = [(k, [float(x) for x in v], "a") for k, v in enumerate(np.random.default_rng(8).normal(size=(40, 6)))]
+    rows += [(100 + k, r[1][:n], "a") for k, (r, n) in enumerate(zip(rows, [3, 3, 2, 5, 1, 4] * 6))]
+    rows += [(200 + k, [x * 2 for x in r[1]], "a") for k, r in enumerate(rows[::3])]
+    rows += [(300, [1.0], "2.0,a"), (301, [1.0, 2.0], "a"), (302, [1.0, 0.0], "b"), (303, [1.0], "b")]
+    expected, counts = {}, {}
+    for n in range(1, 7):
+        e, c = brute_vectors([r for r in rows if len(r[1]) == n])
+        expected |= e
+        counts |= c
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label string")
+    found = vamana.near_duplicates(frame).collect()
+    assert {r.vec_id: r.n_links for r in found} == counts
+    assert {r.vec_id: r.component_id for r in found} == expected
+
+
 def test_flat_graph_search_reaches_all_of_a_shard():
     rng = np.random.default_rng(2)
     points = vamana.unit(np.r_[rng.normal(size=(400, 24)), rng.normal(size=(1, 24)) + rng.normal(size=(150, 24)) * 0.1])
