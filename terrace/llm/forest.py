@@ -17,8 +17,8 @@ rows and one of queries, so leaves full of copies (or of a third of all rows) ar
 Each gives every query of the block its ``k`` best; those are merged by query.
 
 Defined cases: vectors that are NULL, empty, zero or have NULL or non-finite components take no
-part, nor do those with a NULL id or with another length than the first of the sample. Queries with
-fewer than ``k`` candidates return all of them. Of repeated rows with one id, one takes part. Ties
+part, nor do those with a NULL id. Vectors of another length than the first of the sample are compared
+with all vectors of their own length. Queries with fewer than ``k`` candidates return all of them. Of repeated rows with one id, one takes part. Ties
 go to the smaller id.
 """
 
@@ -220,8 +220,10 @@ def search(rows, queries, k=20, visits=None):
 
     fitting = F.size("vector") == forest.size
     spread = "tree int, leaf int, id long"
-    placed = rows.where(fitting).mapInArrow(index, spread)
-    asked = queries.where(fitting).mapInArrow(descend, spread)
+    # The few vectors of another length than the trees' are one leaf for each length: all of them meet, in blocks.
+    apart = [F.lit(-1).alias("tree"), F.size("vector").alias("leaf"), "id"]
+    placed = rows.where(fitting).mapInArrow(index, spread).union(rows.where(~fitting).select(*apart))
+    asked = queries.where(fitting).mapInArrow(descend, spread).union(queries.where(~fitting).select(*apart))
     sizes = materialise(placed.groupBy("tree", "leaf").agg(F.ceil(F.count("*") / ROWS).cast("int").alias("row_blocks"))
                         .join(asked.groupBy("tree", "leaf").agg(F.ceil(F.count("*") / QUERIES).cast("int").alias("query_blocks")), ["tree", "leaf"]), "leaves")
     block = lambda of: F.pmod(F.xxhash64("id"), F.col(of)).cast("int")

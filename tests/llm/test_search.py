@@ -92,6 +92,19 @@ def test_forest_copies_in_one_leaf(spark, monkeypatch):
     assert {(r.query_id, r.rank): r.vec_id for r in found} == {(q, n + 1): i for q, v in true.items() for n, (_, i) in enumerate(v)}
 
 
+def test_forest_serves_vectors_of_every_length(spark, monkeypatch):
+    monkeypatch.setattr(forest, "ROWS", 7)
+    rng = np.random.default_rng(4)
+    rows = [(k, rng.normal(size=5 if k % 4 else 3).tolist()) for k in range(200)]
+    frame = spark.createDataFrame(rows, "id long, vector array<double>")
+    found = forest.search(frame, frame.where("id % 10 = 0"), k=4, visits=10_000).collect()
+    true = {}
+    for n in (3, 5):
+        some = [r for r in rows if len(r[1]) == n]
+        true |= neighbours(some, [i for i, _ in some if i % 10 == 0], 4)
+    assert {(r.query_id, r.rank): r.vec_id for r in found} == {(q, n + 1): i for q, v in true.items() for n, (_, i) in enumerate(v)}
+
+
 def test_forest_odd_rows(spark):
     rows = [(0, [1.0, 0.0], 1), (20, [0.5, 0.5], 1), (3, [2.0, 0.0], 1), (4, None, 1), (5, [0.0, 0.0], 1), (6, [1.0, None], 1), (7, [float("nan"), 0.0], 1),
             (8, [float("inf"), 0.0], 1), (None, [1.0, 1.0], 1), (0, [1.0, 0.0], 1), (9, [], 1), (2, [2.0, 0.0], 1)]
