@@ -195,7 +195,8 @@ def manifest(leaves, levels=LEVELS):
     groups = materialise(groups.select(F.col("grp").alias("_grp"), F.col("place").alias("tree")), "groups")
     nodes = nodes.join(groups, F.col("grp").eqNullSafe(F.col("_grp"))).drop("_grp")
     rounds, subroots = rise(nodes, levels)
-    over, roots = rise(subroots.select(F.lit(0).cast("long").alias("tree"), F.col("tree").alias("place"), "digest"), levels)
+    top = materialise(subroots.select(F.lit(0).cast("long").alias("tree"), F.col("tree").alias("place"), "digest"), "nodes")
+    over, roots = rise(top, levels)
     root = roots.first()
     ends = fall(over, roots.select("tree", "place", F.lit("").alias("sides"), F.lit("").alias("siblings")))
     ends = materialise(ends.select(F.col("place").alias("tree"), F.lit(0).cast("long").alias("place"), "sides", "siblings"),
