@@ -19,6 +19,7 @@ import ahocorasick
 import pyarrow as pa
 import regex
 
+from terrace.llm.memory import remembered
 from terrace.llm.registry import query, table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -124,15 +125,10 @@ class Codec:
         return b"".join(map(self.bytes_of.__getitem__, numbers))
 
 
-_codecs = {}
-
-
 def codec(data, pattern):
     """One codec for each vocabulary and pattern in a Python worker."""
     key = hashlib.sha256(data).digest(), pattern
-    if key not in _codecs:
-        _codecs[key] = Codec(ranks_of(data), pattern)
-    return _codecs[key]
+    return remembered("bytepair", key, lambda: Codec(ranks_of(data), pattern))
 
 
 def encode_documents(docs, path, pattern, id_column="doc_id", text_column="text"):

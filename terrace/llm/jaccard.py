@@ -42,6 +42,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from terrace.llm.components import components
+from terrace.llm.memory import release_others
 from terrace.llm.registry import query, table
 from terrace.workspace import materialise
 
@@ -80,6 +81,7 @@ def powers(size):
 
 def word_hashes(texts):
     """64-bit hashes of all words, and the number of words of each text."""
+    release_others("jaccard")
     data = [(t or "").encode("utf-8", "replace") for t in texts]
     flat = np.frombuffer(b"\n".join(data) + b"\n", "u1")
     inside = INSIDE[flat]

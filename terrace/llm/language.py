@@ -12,38 +12,53 @@ row (an empty table, say) every text is ``und``.
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from terrace.llm.jaccard import chunks
+from terrace.llm.memory import release_others
 from terrace.llm.recurrent import Adam, back, batches, new_direction, run, sum_by, windows
 from terrace.llm.registry import query, remainder, table
+from terrace.workspace import materialise
 
 UNKNOWN = "und"
-#: Documents of each language the network learns from at most (in expectation 1.2 times that).
-PER_CLASS = 150
+#: Documents of each language the network learns from at most, languages, and characters of a document.
+PER_CLASS, CLASSES, LEARNT = 180, 1000, 50_000
 SEGMENTS, SEGMENT = 4, 96
 UNITS, EPOCHS, BATCH, RATE = 8, 6, 128, 0.03
 WINDOW, ROWS = 256, 2048
+#: The pipeline's stage keeps documents that score this many times what a guess would.
+MARGIN = 1.2
+#: Bytes of text that are scored together (a longer text alone).
+PART = 2_000_000
 
 
 def has_letter(text):
     return text is not None and any(map(str.isalpha, text))
 
 
-def sample(docs, rows, per_class=PER_CLASS):
+def sample(docs, marked, per_class=PER_CLASS):
     """Labelled documents for training, as many of each class: ``[(text, label)]`` on the driver.
 
-    ``docs`` has ``id, text, label``; ``rows`` says which rows may be learnt from. A class is thinned
-    out by a hash of the id, so the sample does not depend on the order of the rows.
+    ``marked`` has ``id, label`` of the rows that may be learnt from, ``docs`` has ``id, text`` (and may have
+    ``label``, which then has to be the same). Of every class the ``per_class`` rows with the smallest hash of
+    the id are taken, all if there are fewer, so no class is lost at any size and the order of rows does not
+    matter. Ids and labels alone decide, and each task keeps only its own smallest; the texts of the chosen
+    are looked up afterwards. At most ``CLASSES`` classes, the most frequent, are learnt. A text of more
+    than ``LEARNT`` characters gives that many from a place that its hash names (for training alone).
     """
-    labelled = docs.where(rows & F.col("label").isNotNull())
-    counts = labelled.groupBy("label").count().collect()
-    hashed = F.pmod(F.xxhash64("id"), F.lit(1 << 20))
-    chosen = F.lit(False)
-    for label, count in counts:
-        chosen |= (F.col("label") == F.lit(label)) & (hashed < int(min(1, 1.2 * per_class / count) * (1 << 20)))
-    found = labelled.where(chosen).select("id", "text", "label").collect()
-    return [(r.text, r.label) for r in sorted(found, key=lambda r: (r.id is None, r.id or 0, r.text or ""))]
+    marked = marked.where("id IS NOT NULL AND label IS NOT NULL").select("id", "label", F.xxhash64("id").alias("_turn"))
+    rank = F.row_number().over(Window.partitionBy("label").orderBy("_turn"))
+    classes = marked.groupBy("label").count().orderBy(F.desc("count"), "label").limit(CLASSES).select("label")
+    chosen = (marked.withColumn("_rank", rank).where(F.col("_rank") <= per_class).drop("_rank")
+              .join(classes, "label", "left_semi").distinct())
+    chosen = F.broadcast(materialise(chosen, "sample"))  # CLASSES * per_class rows at most
+    taken = docs.join(chosen, ["id", "label"] if "label" in docs.columns else "id")
+    full = F.row_number().over(Window.partitionBy("label").orderBy("_turn", "id", "text"))  # repeated ids share a turn
+    start = (F.pmod(F.col("_turn"), F.greatest(F.length("text") - LEARNT + 1, F.lit(1))) + 1).cast("int")
+    found = (taken.withColumn("text", F.substring("text", start, F.lit(LEARNT))).withColumn("_rank", full)
+             .where(F.col("_rank") <= per_class).select("id", "text", "label").collect())
+    return [(r.text, r.label) for r in sorted(found, key=lambda r: (r.id, r.text or "", str(r.label)))]
 
 
 def forward(params, steps, mask):
@@ -184,8 +199,9 @@ def predict(model, texts):
 
 def _predicted(model, column):
     """``predict`` over a column, in parts of bounded length."""
+    release_others("language")
     langs, scores = [], []
-    for _, _, texts in chunks(column, 4_000_000):
+    for _, _, texts in chunks(column, PART):
         more = predict(model, texts)
         langs += more[0]
         scores += more[1]
@@ -196,7 +212,7 @@ def learn(docs, id_column="doc_id", text_column="text", label_column="lang"):
     """Train on the rows outside the held-out fold (crc32 of the id modulo 3 is 1)."""
     rows = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"),
                        F.col(label_column).alias("label"))
-    return train(sample(rows, remainder("id", 3) != 1))
+    return train(sample(rows, rows.where(remainder("id", 3) != 1).select("id", "label")))
 
 
 def identify(docs, model, id_column="doc_id", text_column="text"):
@@ -213,10 +229,12 @@ def identify(docs, model, id_column="doc_id", text_column="text"):
         score, f"doc_id {kind}, lang_pred string, score double")
 
 
-def keep_identified(docs, model, text_column="text"):
-    """The documents with a language: those that are not ``und``, all columns as they are.
+def keep_identified(docs, model, text_column="text", margin=MARGIN):
+    """The documents whose language is known well enough, all columns as they are.
 
-    Without a model (no row to learn from) those with a letter stay.
+    Those stay whose pooled probability is at least ``margin`` times that of a guess among the model's
+    languages (every document with a letter, where there is one language or, with no row to learn from, no
+    model); the others, and those without a letter, go.
     """
     place = docs.columns.index(text_column)
 
@@ -225,7 +243,8 @@ def keep_identified(docs, model, text_column="text"):
             if model is None:
                 keep = [has_letter(t) for t in part.column(place).to_pylist()]
             else:
-                keep = [lang != UNKNOWN for lang in _predicted(model, part.column(place))[0]]
+                least = margin / len(model["classes"]) if len(model["classes"]) > 1 else 0
+                keep = [lang != UNKNOWN and score >= least for lang, score in zip(*_predicted(model, part.column(place)), strict=True)]
             yield part.filter(pa.array(keep, pa.bool_()))
 
     return docs.mapInArrow(kept, docs.schema)

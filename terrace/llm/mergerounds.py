@@ -27,6 +27,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import regex
 
+from terrace.llm.memory import remembered
 from terrace.llm.packing import SHOWN
 from terrace.llm.registry import query, table
 
@@ -271,15 +272,10 @@ class Codec:
         return " ".join(self.tokens[ids])
 
 
-_codecs = {}
-
-
 def codec(definition):
     """One codec for each vocabulary in a Python worker."""
     key = hashlib.sha256(definition.encode()).digest()
-    if key not in _codecs:
-        _codecs[key] = Codec(definition)
-    return _codecs[key]
+    return remembered("mergerounds", key, lambda: Codec(definition))
 
 
 def encode_documents(docs, path, id_column="doc_id", text_column="text"):

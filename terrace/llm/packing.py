@@ -28,6 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 
+from terrace.llm.memory import remembered
 from terrace.llm.registry import query, table
 
 VOCABULARY, END = "word_bpe_49k.json", 2
@@ -101,15 +102,10 @@ class Encoder:
         return b"".join(ids)
 
 
-_encoders = {}
-
-
 def encoder(definition):
     """One encoder for each vocabulary in a Python worker."""
     key = hashlib.sha256(definition.encode()).digest()
-    if key not in _encoders:
-        _encoders[key] = Encoder(definition)
-    return _encoders[key]
+    return remembered("packing", key, lambda: Encoder(definition))
 
 
 def pack(lengths, sequences, capacity=CAPACITY):

@@ -21,7 +21,8 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 from terrace.llm.jaccard import chunks
-from terrace.llm.language import sample
+from terrace.llm.language import PART, sample
+from terrace.llm.memory import release_others
 from terrace.llm.recurrent import Adam, back, batches, new_direction, run, sum_by, windows
 from terrace.llm.registry import query, remainder, table
 
@@ -256,13 +257,15 @@ def window_scores(model, text):
 def learn(docs, labels, id_column="doc_id", text_column="text", label_column="toxic"):
     """Train on labelled documents outside the held-out fold (crc32 of the id modulo 4 is 2)."""
     marked = labels.select(F.col(id_column).alias("id"), F.col(label_column).alias("label")).where("label IN (0, 1)").distinct()
-    rows = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text")).join(marked, "id")
-    return train(sample(rows, remainder("id", 4) != 2, PER_CLASS))
+    rows = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
+    marked = rows.select("id").where(remainder("id", 4) != 2).distinct().join(marked, "id")
+    return train(sample(rows, marked, PER_CLASS))
 
 
 def _scored(model, column):
     """``scores`` over a column, in parts of bounded length."""
-    return np.concatenate([*(scores(model, texts) for _, _, texts in chunks(column, 4_000_000)), np.zeros(0)])
+    release_others("toxicity")
+    return np.concatenate([*(scores(model, texts) for _, _, texts in chunks(column, PART)), np.zeros(0)])
 
 
 def score_documents(docs, model, id_column="doc_id", text_column="text"):

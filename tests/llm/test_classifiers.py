@@ -94,6 +94,36 @@ def test_language_odd_rows(spark):
     assert {r.lang_pred for r in language.identify(docs, None).collect()} == {"und"}
 
 
+def test_sample_takes_rows_of_every_class(spark):
+    """The smallest hashes of each class: a rare class, repeated ids and classes of any size are all there."""
+    docs = spark.range(3000).selectExpr("id", "concat('text ', id) AS text", "CASE WHEN id = 7 THEN 'rare' WHEN id % 5 = 0 THEN 'few' ELSE 'many' END AS label")
+    copies = spark.range(500).selectExpr("-1L AS id", "'same' AS text", "'copies' AS label")
+    docs = docs.union(copies).union(spark.createDataFrame([(None, None, "none"), (1, "text", None)], "id long, text string, label string"))
+    rows = language.sample(docs, docs, per_class=40)
+    found = {}
+    for text, label in rows:
+        found.setdefault(label, []).append(text)
+    assert {k: len(v) for k, v in found.items()} == {"rare": 1, "few": 40, "many": 40, "copies": 40}
+    mixed = docs.orderBy(F.rand())
+    assert len(set(found["many"])) == 40 and sorted(rows) == sorted(language.sample(mixed, mixed, per_class=40))
+
+
+def test_sample_cuts_long_texts(spark, monkeypatch):
+    monkeypatch.setattr(language, "LEARNT", 10)
+    docs = spark.createDataFrame([(k, "0123456789" * 50, "x") for k in range(20)] + [(99, "short", "x")], "id long, text string, label string")
+    rows = language.sample(docs.drop("label"), docs.drop("text"))
+    assert {len(t) for t, _ in rows} == {5, 10} and len({t for t, _ in rows}) > 3
+
+
+def test_language_stage_decides_by_score(spark):
+    two = [("the cat and the dog of the house", "en"), ("le chat et le chien de la maison", "fr")]
+    docs = spark.createDataFrame([(k, *two[k % 2]) for k in range(40)], "doc_id long, text string, lang string")
+    model = language.learn(docs)
+    assert model["classes"] == ["en", "fr"]
+    assert language.keep_identified(docs, model).count() == 40
+    assert language.keep_identified(docs, model, margin=3).count() == 0  # no probability is above 1
+
+
 def test_language_labels_every_position():
     model = language.train([("der die das und", "de"), ("the and of that", "en")] * 5)
     text = "the cat " * 100 + "é"
