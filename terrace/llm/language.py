@@ -43,15 +43,20 @@ def sample(docs, marked, per_class=PER_CLASS):
     ``marked`` has ``id, label`` of the rows that may be learnt from, ``docs`` has ``id, text`` (and may have
     ``label``, which then has to be the same). Of every class the ``per_class`` rows with the smallest hash of
     the id are taken, all if there are fewer, so no class is lost at any size and the order of rows does not
-    matter. Ids and labels alone decide, and each task keeps only its own smallest; the texts of the chosen
-    are looked up afterwards. At most ``CLASSES`` classes, the most frequent, are learnt. A text of more
+    matter. Ids and labels alone decide, and of a large class only ids with small hashes are ranked; the texts
+    of the chosen are looked up afterwards. At most ``CLASSES`` classes, the most frequent, are learnt. A text of more
     than ``LEARNT`` characters gives that many from a place that its hash names (for training alone).
     """
-    marked = marked.where("id IS NOT NULL AND label IS NOT NULL").select("id", "label", F.xxhash64("id").alias("_turn"))
+    turn = F.pmod(F.xxhash64("id"), F.lit(1 << 62)).alias("_turn")
+    marked = marked.where("id IS NOT NULL AND label IS NOT NULL").select("id", "label", turn)
+    classes = (marked.groupBy("label").agg(F.count("*").alias("_n"), F.approx_count_distinct("id").alias("_ids"))
+               .orderBy(F.desc("_n"), "label").limit(CLASSES))
+    classes = F.broadcast(materialise(classes, "classes"))  # CLASSES rows at most
+    # Four times as many ids as wanted lie below this cut (all, in a small class), so few rows are ranked.
+    below = F.col("_turn") / F.lit(float(1 << 62)) < F.lit(4.0 * per_class) / F.col("_ids")
     rank = F.row_number().over(Window.partitionBy("label").orderBy("_turn"))
-    classes = marked.groupBy("label").count().orderBy(F.desc("count"), "label").limit(CLASSES).select("label")
-    chosen = (marked.withColumn("_rank", rank).where(F.col("_rank") <= per_class).drop("_rank")
-              .join(classes, "label", "left_semi").distinct())
+    chosen = (marked.join(classes, "label").where(below).select("id", "label", "_turn").distinct()
+              .withColumn("_rank", rank).where(F.col("_rank") <= per_class).drop("_rank"))
     chosen = F.broadcast(materialise(chosen, "sample"))  # CLASSES * per_class rows at most
     taken = docs.join(chosen, ["id", "label"] if "label" in docs.columns else "id")
     full = F.row_number().over(Window.partitionBy("label").orderBy("_turn", "id", "text"))  # repeated ids share a turn
