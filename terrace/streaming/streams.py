@@ -24,6 +24,28 @@ def stream_files(spark: SparkSession, spec: SourceSpec, schema: str,
     return reader.load(spec.options["path"])
 
 
+def _files(spark: SparkSession, spec: SourceSpec) -> DataFrame:
+    return stream_files(spark, spec, spec.need("schema")[0])
+
+
+# type -> reader of a stream
+STREAMS = {"file": _files}
+
+
+def register_stream_type(name: str, reader) -> None:
+    """Add a type of streaming source; ``reader(spark, spec)`` returns a streaming DataFrame."""
+    if name != name.lower() or not name:
+        raise ValueError(f"source type must be a lower-case word, not {name!r}")
+    STREAMS[name] = reader
+
+
+def read_stream(spark: SparkSession, spec: SourceSpec) -> DataFrame:
+    """The stream of a source by its type, verbatim."""
+    if spec.type not in STREAMS:
+        raise KeyError(f"[{spec.name}] no stream of type {spec.type!r}; supported: {sorted(STREAMS)}")
+    return STREAMS[spec.type](spark, spec)
+
+
 def stream_topic(spark: SparkSession, servers: str, topic: str,
                  options: Mapping[str, str] | None = None) -> DataFrame:
     """A Kafka-protocol topic as a stream. Needs Spark's Kafka package on the session."""

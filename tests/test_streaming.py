@@ -3,9 +3,10 @@ import pytest
 from terrace.operators.tables import append, quoted
 from terrace.sources.spec import SourceSpec
 from terrace.streaming import streams
+from terrace.streaming.progress import ProgressLog, live_lag, positions
 from terrace.streaming.streams import (
-    compact_changes, consumer_lag, current_rows, decode_framed, decode_json, finish, fold_epochs, stream_changes, stream_files,
-    stream_ingest)
+    compact_changes, consumer_lag, current_rows, decode_framed, decode_json, finish, fold_epochs, read_stream,
+    register_stream_type, stream_changes, stream_files, stream_ingest)
 
 
 @pytest.fixture
@@ -13,7 +14,7 @@ def feed(spark, ns, tmp_path):
     spec = SourceSpec("feed", {"path": f"{tmp_path}/in", "format": "json"}, namespace=ns)
 
     class Feed:
-        table = quoted(ns, "feed")
+        table, path = quoted(ns, "feed"), spec.options["path"]
 
         @staticmethod
         def add(*ids):
@@ -121,3 +122,47 @@ def test_lag(rows):
     produced = rows.make([(0, 5), (0, 9), (1, 3), (2, 4)], schema)
     consumed = rows.make([(0, 7), (0, 2), (2, 6)], schema)
     assert rows.of(consumer_lag(produced, consumed)) == [(0, 2), (1, 4), (2, 0)]
+
+
+def test_positions_of_offsets():
+    assert positions('{"t": {"0": 5, "1": 7}, "u": {"0": 1}}') == {"t/0": 5, "t/1": 7, "u/0": 1}
+    assert positions('{"logOffset": 3}') == {"logOffset": 3} and positions("12") == {"": 12}
+    assert positions(None) == positions("None") == positions("null") == positions('{"a": "x", "b": true, "c": null}') == {}
+
+
+def test_live_lag(rows):
+    schema = "query string, source int, partition string, epoch bigint, end bigint, latest bigint"
+    progress = rows.make([("q", 0, "p", 0, 3, 9), ("q", 0, "p", 1, 6, 9), ("q", 1, "p", 1, 2, 2), ("q", 0, "new", 1, None, 4),
+                          ("f", 0, "logOffset", 0, 1, None)], schema)
+    assert rows.of(live_lag(progress)) == [("f", 0, "logOffset", None, 0), ("q", 0, "new", 4, 1), ("q", 0, "p", 3, 1), ("q", 1, "p", 0, 1)]
+
+
+def test_progress_of_a_file_stream_is_logged(spark, ns, feed, rows):
+    feed.add(1, 2)
+    feed.add(3)
+    log = ProgressLog(spark, ns, latest=lambda name: {"logOffset": 4})
+    spark.streams.addListener(log)
+    try:
+        stream = stream_files(spark, SourceSpec("feed", {"path": feed.path, "format": "json"}), "id int", max_files=1)
+        checkpoint = f"{feed.path}-lag"
+        progress = log.wait(stream.writeStream.queryName("lagging").foreachBatch(lambda df, epoch: df.count())
+                            .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+        assert rows.of(progress.select("epoch", "partition", "start", "end", "latest", "rows").where("rows > 0")) == [
+            (0, "logOffset", None, 0, 4, 2), (1, "logOffset", 0, 1, 4, 1)]
+        assert rows.of(live_lag(progress).select("query", "lag")) == [("lagging", 3)]
+        log.latest = lambda name: 1 / 0
+        feed.add(4)
+        with pytest.raises(RuntimeError, match="not written"):
+            log.wait(stream.writeStream.foreachBatch(lambda df, epoch: None).option("checkpointLocation", checkpoint)
+                     .trigger(availableNow=True).start())
+    finally:
+        spark.streams.removeListener(log)
+
+
+def test_a_stream_of_an_unknown_type_is_refused(spark):
+    with pytest.raises(KeyError, match="no stream of type 'nope'"):
+        read_stream(spark, SourceSpec("x", {}, "nope"))
+    with pytest.raises(ValueError, match="schema"):
+        read_stream(spark, SourceSpec("x", {"path": "p", "format": "json"}))
+    with pytest.raises(ValueError, match="lower-case"):
+        register_stream_type("Mixed", None)
