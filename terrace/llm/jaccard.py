@@ -21,7 +21,8 @@ Groups of copies never become all their pairs:
    pass all filters and merges as it finds them, so it returns a forest, not all pairs. These are
    verified and the components are renewed; buckets with a pair whose ends still lie apart look
    again, without the pairs that failed and with more partners for each row, until none is left.
-   Large buckets are cut into blocks, and pairs of blocks are independent tasks.
+   Large buckets are cut into blocks, and pairs of blocks are independent tasks; the rows of the
+   largest component of such a bucket meet only the others, and only sets of near sizes meet.
 
 A link inside a component cannot change it, so leaving those pairs out loses nothing.
 
@@ -440,15 +441,49 @@ def forest(doc, size, place, part, mine, sketches, failed, i, j, percent, depth)
     return out
 
 
+def _cut(rows, percent):
+    """Rows of the buckets of several components, once for each pair of blocks ``i <= j`` that they are to meet in.
+
+    A bucket over ``BLOCK`` rows is cut by the largest component against all others, by size class (sets
+    that can be similar are of the same class or of neighbouring ones) and by hash. Rows of the largest
+    component meet only the others, and all rows meet only their own and the neighbouring classes, so
+    thousands of copies with a few strays are copied about once. ``mine`` is the block of the row itself.
+    """
+    sizes = rows.groupBy("token").agg(F.count("*").alias("n"), F.min("component").alias("x"), F.max("component").alias("y"))
+    mixed = materialise(sizes.where("x <> y").select("token", "n"), "mixed")
+    one = F.lit(0).cast("long")
+    few = rows.join(mixed.where(F.col("n") <= BLOCK).select("token"), "token").withColumns({"i": one, "j": one, "mine": one})
+    large = rows.join(mixed.where(F.col("n") > BLOCK).select("token"), "token")
+    width = max(np.log(100 / percent), 1e-6) * (1 + 1e-9)
+    largest = (large.groupBy("token", "component").agg(F.count("*").alias("n"))
+               .groupBy("token").agg(F.max(F.struct("n", "component")).alias("m")).select("token", F.col("m.component").alias("largest")))
+    large = (large.join(materialise(largest, "largest"), "token")
+             .withColumns({"rest": F.col("component") != F.col("largest"), "class": F.floor(F.ln("size") / F.lit(float(width)))}))
+    groups = (large.groupBy("token", "rest", "class").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
+              .groupBy("token").agg(F.collect_list(F.struct("rest", "class", "blocks")).alias("groups")))
+
+    def number(rest, kind, k):
+        return F.shiftleft(rest.cast("long"), 60).bitwiseOR(F.shiftleft(kind, 28)).bitwiseOR(k)
+
+    def blocks(group):
+        return F.transform(F.sequence(F.lit(0).cast("long"), group["blocks"] - 1), lambda k: number(group["rest"], group["class"], k))
+
+    def meets(group):
+        return (F.abs(group["class"] - F.col("class")) <= 1) & (group["rest"] | F.col("rest"))
+
+    own = F.filter("groups", lambda g: (g["class"] == F.col("class")) & (g["rest"] == F.col("rest")))[0]
+    cut = (large.join(materialise(groups, "groups"), "token")
+           .withColumn("mine", number(F.col("rest"), F.col("class"), F.pmod(F.xxhash64("doc"), own["blocks"])))
+           .withColumn("other", F.explode(F.flatten(F.transform(F.filter("groups", meets), blocks))))
+           .withColumns({"i": F.least("mine", "other"), "j": F.greatest("mine", "other")}))
+    columns = ["token", "i", "j", "doc", "size", "place", "component", "mine"]
+    return few.select(columns).unionByName(cut.select(columns))
+
+
 def _forests(rows, sketches, failed, percent, depth):
     """``token, a, b, x, y``: pairs of every bucket of several components, and the components of their ends."""
-    mixed = materialise(rows.groupBy("token").agg(F.count("*").alias("n"), F.min("component").alias("x"), F.max("component").alias("y"))
-                        .where("x <> y").select("token", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")), "mixed")
-    mine = F.pmod(F.xxhash64("doc"), F.col("blocks")).cast("int")
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     columns = ["token", "i", "j", "doc", "size", "place", "component", "mine"]
-    rows = (rows.join(mixed, "token").join(sketches.select("doc", "small"), "doc").withColumn("mine", mine).withColumn("other", other)
-            .withColumn("i", F.least("mine", "other")).withColumn("j", F.greatest("mine", "other")).select(*columns, "small"))
+    rows = _cut(rows, percent).join(sketches.select("doc", "small"), "doc").select(*columns, "small")
     none = np.zeros(0, "i8")
 
     def buckets(parts, each):
@@ -470,6 +505,7 @@ def _forests(rows, sketches, failed, percent, depth):
 
     def hopeful(frame, starts):
         size, place, part, mine = (frame[c].to_numpy() for c in ("size", "place", "component", "mine"))
+        within = (frame.i == frame.j).to_numpy()
         small = np.stack([np.frombuffer(x, "u1") for x in frame.small]).astype("i2") if len(frame) else None
         keep = np.zeros(len(frame), bool)
         for a, b in zip(starts[:-1], starts[1:], strict=True):
@@ -477,7 +513,8 @@ def _forests(rows, sketches, failed, percent, depth):
                 for at in range(a, b, 256):
                     k = np.arange(at, min(b, at + 256))[:, None]
                     other = np.arange(a, b)
-                    x, y = np.nonzero((part[k] != part[other]) & (k < other) & passes(percent, size[k], size[other], place[k], place[other]))
+                    x, y = np.nonzero((part[k] != part[other]) & (k < other) & (within[a] | (mine[k] != mine[other]))
+                                      & passes(percent, size[k], size[other], place[k], place[other]))
                     for c in range(0, len(x), 20_000):
                         left, right = at + x[c:c + 20_000], a + y[c:c + 20_000]
                         total = size[left].astype("i8") + size[right]
@@ -486,7 +523,7 @@ def _forests(rows, sketches, failed, percent, depth):
         table = pa.Table.from_pandas(frame[columns][keep[:len(frame)]], preserve_index=False).combine_chunks()
         return table.to_batches()[0] if table.num_rows else pa.RecordBatch.from_pandas(frame[columns][:0], preserve_index=False)
 
-    schema = "token long, i int, j int, doc long, size int, place int, component long, mine int"
+    schema = "token long, i long, j long, doc long, size int, place int, component long, mine long"
     rows = materialise(rows.repartition("token", "i", "j").sortWithinPartitions("token", "i", "j").mapInArrow(live, schema), "live")
     rows = rows.join(sketches.select("doc", "sketch"), "doc")
     rows = rows.join(failed, "doc", "left") if failed is not None else rows.withColumn("failed", F.lit(None).cast("array<long>"))

@@ -1,5 +1,6 @@
 """Jaccard join, embedding near-dedup, substring dedup and components against brute force."""
 
+import collections
 import random
 import re
 
@@ -326,3 +327,29 @@ def test_chunks_resist_insertions():
     alone = substrings.runs([text])
     beside = substrings.runs(["other", text, "é"])
     assert set(alone[1].tolist()) <= set(beside[1].tolist())
+
+
+@pytest.mark.parametrize("percent", [80, 85, 100])
+def test_jaccard_blocks_of_a_mixed_bucket(spark, monkeypatch, percent):
+    """Every pair that can be similar meets once; many rows of one component are not copied to all blocks."""
+    monkeypatch.setattr(jaccard, "BLOCK", 10)
+    rng = np.random.default_rng(percent)
+    rows = [(1, d, int(size), 0, 0 if d < 300 else d) for d, size in enumerate(np.r_[rng.integers(90, 130, 300), rng.integers(1, 400, 30)])]
+    rows += [(2, d, int(size), 0, d % 7) for d, size in enumerate(rng.integers(1, 60, 60))]
+    rows += [(3, d, 50, 0, 5) for d in range(40)] + [(4, d, 50, 0, d) for d in range(9)]
+    cut = jaccard._cut(spark.createDataFrame(rows, "token long, doc long, size int, place int, component long"), percent).collect()
+    blocks, met = {}, {}
+    for r in cut:
+        blocks.setdefault((r.token, r.i, r.j), []).append(r)
+    for (token, i, j), held in blocks.items():
+        for x in held:
+            for y in held:
+                if x.doc < y.doc and (i == j or x.mine != y.mine):
+                    met[token, x.doc, y.doc] = met.get((token, x.doc, y.doc), 0) + 1
+    assert set(met.values()) == {1}
+    for a in rows:
+        for b in rows:
+            if a[0] == b[0] and a[1] < b[1] and a[4] != b[4] and 100 * min(a[2], b[2]) >= percent * max(a[2], b[2]):
+                assert (a[0], a[1], b[1]) in met
+    assert 3 not in {r.token for r in cut} and sum(r.token == 4 for r in cut) == 9
+    assert max(collections.Counter(r.doc for r in cut if r.token == 1 and r.doc < 300).values()) <= 4
