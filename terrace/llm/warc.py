@@ -4,10 +4,10 @@ Writing: captures are range-partitioned and sorted by reversed-host URL key and
 writes one ``.warc.gz`` (a gzip member per record) and one index file beside it. An index file
 holds its lines in compressed blocks of ``BLOCK_LINES``, then a sparse directory (first key and
 place of every block), then the place of that directory. The first level, the key range of each
-index file, has one row per writing task.
+index file, is a stored table with one row per writing task.
 
-Reading: a key is searched by bisection in the key ranges and then in the directory of a file;
-blocks that can hold it are read by range, and so are the records their lines point at. One row
+Reading: keys are joined to the key ranges by sorting both together, then searched by bisection in
+the directory of a file; blocks that can hold one are read by range, and so are the records their lines point at. One row
 per (block, key) travels, so a URL with a third of all captures is read by as many tasks as it has
 blocks.
 
@@ -31,6 +31,8 @@ import zlib
 
 import pyarrow as pa
 from pyarrow import fs
+from pyspark import TaskContext
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from terrace.llm.registry import query, table
@@ -176,12 +178,10 @@ def write_archive(pages, folder, id_column="page_id", url_column="url", payload_
 
 
 class Directory:
-    """Key ranges of the index files and, as needed, the block directory of a few of them."""
+    """The block directories of a few index files, read when needed."""
 
-    def __init__(self, folder, ranges):
+    def __init__(self, folder):
         self.store, self.base = _open(folder)
-        self.ranges = ranges  # (last key, first key, file), sorted
-        self.lasts = [r[0] for r in ranges]
         self.known = {}
 
     def blocks(self, file):
@@ -194,36 +194,75 @@ class Directory:
                 self.known[file] = json.loads(zlib.decompress(source.read_at(length, place), 31))
         return self.known[file]
 
-    def search(self, key):
-        """(file, block number) of every block that can hold a key."""
-        for last, first, file in self.ranges[bisect.bisect_left(self.lasts, key):]:
-            if first > key:
-                break
-            starts = [b[0] for b in self.blocks(file)]
-            for k in range(max(0, bisect.bisect_left(starts, key) - 1), bisect.bisect_right(starts, key)):
-                yield file, k
+    def search(self, file, key):
+        """Numbers of the blocks of a file that can hold a key, by bisection."""
+        starts = [b[0] for b in self.blocks(file)]
+        return range(max(0, bisect.bisect_left(starts, key) - 1), bisect.bisect_right(starts, key))
+
+
+def _files_of(archive, keys):
+    """``file, key`` of every file whose key range holds one of the (distinct) keys.
+
+    Ranges touch in their ends at most, so a key lies in the files that begin with it and in the last
+    one that begins before it. The first are an equal join. For the others keys and beginnings are sorted
+    together by range, and a pass over each sorted part remembers the last beginning; a key that comes
+    before any in its part takes the last one of the parts before (one row per part is compared for that).
+    """
+    begins = archive.groupBy(F.col("first_key").alias("key")).agg(F.max(F.struct("last_key", "file")).alias("f"))
+    both = keys.select("key", F.lit(None).cast("string").alias("last_key"), F.lit(None).cast("string").alias("file")).union(
+        begins.select("key", "f.last_key", "f.file"))
+    # A key before the beginning that equals it: that file is found by the equal join.
+    ordered = both.repartitionByRange("key").sortWithinPartitions("key", F.col("file").asc_nulls_first())
+
+    def follow(parts):
+        number, file, last = TaskContext.get().partitionId(), None, None
+        any_rows = False
+        for part in parts:
+            found = []
+            for key, last_key, name in zip(*(part.column(i).to_pylist() for i in range(3)), strict=True):
+                if name is not None:
+                    file, last = name, last_key
+                elif file is None:
+                    found.append((number, key, None, None))  # for the parts before
+                elif last >= key:
+                    found.append((None, key, file, last))
+            any_rows = any_rows or part.num_rows > 0
+            yield shown(found)
+        if any_rows:
+            yield shown([(number, None, file, last)])
+
+    def shown(rows):
+        types = pa.int32(), pa.string(), pa.string(), pa.string()
+        columns = list(zip(*rows, strict=True)) or [()] * 4
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=["part", "key", "file", "last_key"])
+
+    seen = materialise(ordered.mapInArrow(follow, "part int, key string, file string, last_key string"), "places")
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    ends = seen.where("key IS NULL").select("part", *(F.last(c, True).over(before).alias(c) for c in ("file", "last_key")))
+    early = seen.where("key IS NOT NULL AND file IS NULL").select("part", "key").join(ends, "part").where("last_key >= key")
+    return (seen.where("key IS NOT NULL AND file IS NOT NULL").select("file", "key")
+            .union(early.select("file", "key"))
+            .union(archive.join(keys, F.col("first_key") == F.col("key")).select("file", "key")))
 
 
 def lookup(archive, folder, keys, key_column="key"):
     """All captures of the keys: ``key, page_id, url, payload_bytes, payload_digest, record_type, refers_to, payload``.
 
-    ``archive`` is what ``write_archive`` returned; its rows (one per writing task) go to every task.
+    ``archive`` is what ``write_archive`` returned: the stored first level, which is joined to the keys.
     """
-    files = archive.collect()
-    ranges = sorted((r.last_key, r.first_key, r.file) for r in files)
-    tasks = 1 + sum(r.blocks for r in files) // BLOCKS_READ
-    shared = archive.sparkSession.sparkContext.broadcast(ranges)
+    tasks = 1 + (archive.agg(F.sum("blocks")).first()[0] or 0) // BLOCKS_READ
 
     def find(parts):
-        directory = Directory(folder, shared.value)
+        directory = Directory(folder)
         for part in parts:
-            found = [(file, block, key) for key in part.column(0).to_pylist() for file, block in directory.search(key)]
+            found = [(file, block, key) for file, key in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True)
+                     for block in directory.search(file, key)]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([f[i] for f in found], t) for i, t in ((0, pa.string()), (1, pa.int64()), (2, pa.string()))],
                 names=["file", "block", "key"])
 
     def read(parts):
-        directory = Directory(folder, shared.value)
+        directory = Directory(folder)
         at, wanted = None, set()
         for part in parts:
             for file, block, key in zip(*(part.column(i).to_pylist() for i in range(3)), strict=True):
@@ -235,8 +274,8 @@ def lookup(archive, folder, keys, key_column="key"):
         if at is not None:
             yield _rows(directory, *at, wanted)
 
-    places = keys.select(F.col(key_column).alias("key")).where("key IS NOT NULL").distinct().mapInArrow(
-        find, "file string, block long, key string")
+    wanted = keys.select(F.col(key_column).alias("key")).where("key IS NOT NULL").distinct()
+    places = _files_of(archive, wanted).mapInArrow(find, "file string, block long, key string")
     return (places.repartition(tasks, "file", "block").sortWithinPartitions("file", "block")
             .mapInArrow(read, "key string, page_id long, url string, payload_bytes long, payload_digest string, "
                               "record_type string, refers_to long, payload binary"))
