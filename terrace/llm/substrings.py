@@ -33,6 +33,8 @@ CUT, LONGEST, RUN, LEAST = 48, 64, 6, 200
 WORDS, MARGIN, WINDOW = 50, 112, 512
 FILTER_BITS = 1 << 27
 GAP = 16
+#: Spans in one row of those that a text is compared for, and windows of texts in one batch.
+ASKS, SHOWN = 512, 4096
 
 GEAR = np.random.default_rng(10).integers(0, 1 << 16, 256).astype("u2")
 
@@ -152,29 +154,47 @@ def _common(mine, at, other, there):
 SPAN = "doc long, start int, end int, source long, digest long, at int, sure boolean"
 
 
-def _verified(rows, doubtful):
-    """The doubtful spans that share over ``WORDS`` words with their source, as far as the shared words go."""
+def _dealt(doubtful):
+    """``owner, asks``: whose texts the doubtful spans are compared in, at most about ``ASKS`` spans in a row.
+
+    A passage that a third of all documents share makes one document the source of as many spans, so
+    these are dealt out by hash; each row meets the source's text in a task of its own.
+    """
     ask = F.struct("doc", "start", "end", "source", "digest", "at")
     asks = doubtful.select(F.col("doc").alias("owner"), ask.alias("ask")).union(doubtful.select("source", ask.alias("ask")))
-    asks = materialise(asks.groupBy("owner").agg(F.collect_list("ask").alias("asks")), "asks")
+    hot = materialise(asks.groupBy(F.col("owner").alias("hot")).agg(F.ceil(F.count("*") / ASKS).alias("parts")).where("parts > 1"), "hot")
+    part = F.pmod(F.xxhash64("ask.doc", "ask.start"), F.coalesce("parts", F.lit(1)))
+    return asks.join(hot, F.col("owner") == F.col("hot"), "left").groupBy("owner", part.alias("part")).agg(F.collect_list("ask").alias("asks"))
+
+
+def _verified(rows, doubtful):
+    """The doubtful spans that share over ``WORDS`` words with their source, as far as the shared words go."""
+    asks = materialise(_dealt(doubtful), "asks")
     schema = "doc long, start int, end int, source long, mine boolean, base int, at int, whole boolean, data binary"
     names = [c.split()[0] for c in schema.split(", ")]
 
+    def shown(out):
+        columns = list(zip(*out, strict=True)) or [()] * len(names)
+        types = (pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.bool_(), pa.int32(), pa.int32(), pa.bool_(), pa.binary())
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=names)
+
     def windows(parts):
+        out = []
         for part in parts:
-            out = []
-            for owner, text, wanted in zip(*(part.column(k).to_pylist() for k in range(3)), strict=True):
+            for owner, text, wanted in zip(*(part.column(k) for k in range(3)), strict=True):
+                owner, text = owner.as_py(), text.as_py()
                 data = (text or "").encode("utf-8", "replace")
                 _, digest, start, _ = runs([text])
                 digest = digest.view("i8")
-                for a in wanted:
+                for a in wanted.as_py():
                     mine = a["doc"] == owner
                     for at in [a["at"]] if mine else start[digest == a["digest"]].tolist():
                         base = max(0, at - WINDOW)
                         out.append((a["doc"], a["start"], a["end"], a["source"], mine, base, at - base, at + WINDOW >= len(data), data[base:at + WINDOW]))
-            columns = list(zip(*out, strict=True)) or [()] * len(names)
-            types = (pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.bool_(), pa.int32(), pa.int32(), pa.bool_(), pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=names)
+                        if len(out) >= SHOWN:
+                            yield shown(out)
+                            out = []
+        yield shown(out)
 
     def compare(parts):
         for part in parts:
@@ -285,16 +305,17 @@ def remove_repeats(docs, id_column="doc_id", text_column="text", least=LEAST):
 
     def cut(parts):
         for part in parts:
-            texts = part.column(place).to_pylist()
-            for i, found in enumerate(part.column(last).to_pylist()):
-                if found:
-                    data, at, kept = texts[i].encode("utf-8"), 0, []
-                    for s in found:
-                        kept.append(data[at:s["start"]])
-                        at = s["end"]
-                    texts[i] = b"".join([*kept, data[at:]]).decode("utf-8", "ignore")
-            columns = [pa.array(texts, part.column(k).type) if k == place else part.column(k) for k in range(last)]
-            yield pa.RecordBatch.from_arrays(columns, schema=pa.schema([part.schema.field(k) for k in range(last)]))
+            for start, stop, texts in chunks(part.column(place)):
+                rows = part.slice(start, stop - start)
+                for i, found in enumerate(rows.column(last).to_pylist()):
+                    if found:
+                        data, at, kept = texts[i].encode("utf-8"), 0, []
+                        for s in found:
+                            kept.append(data[at:s["start"]])
+                            at = s["end"]
+                        texts[i] = b"".join([*kept, data[at:]]).decode("utf-8", "ignore")
+                columns = [pa.array(texts, rows.column(k).type) if k == place else rows.column(k) for k in range(last)]
+                yield pa.RecordBatch.from_arrays(columns, schema=pa.schema([rows.schema.field(k) for k in range(last)]))
 
     return joined.mapInArrow(cut, docs.schema)
 

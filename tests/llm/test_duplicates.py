@@ -305,6 +305,84 @@ def test_substrings_find_passages_of_short_words(spark):
     assert sum(r.repeated_bytes >= 51 * 4 - 1 for r in rows.values()) >= 0.9 * len(rows)
 
 
+def brute_spans(docs):
+    """``{id: (spans, sources)}`` by the definition: document by document, whole texts compared, no filter and no window."""
+    runs = {k: substrings.runs([t])[1:] for k, t in docs}
+    first = {}
+    for k in sorted(runs):
+        for d in runs[k][0].tolist():
+            first.setdefault(d, k)
+    data, out = {k: t.encode() for k, t in docs}, {}
+    for k, (digests, starts, ends) in runs.items():
+        groups = []
+        for d, a, b in zip(digests.tolist(), starts.tolist(), ends.tolist()):
+            if first[d] != k:
+                if groups and a <= groups[-1][1]:
+                    groups[-1][1] = max(groups[-1][1], b)
+                    groups[-1][2].append((d, a))
+                else:
+                    groups.append([a, b, [(d, a)]])
+        found = set()
+        for a, b, members in groups:
+            votes = collections.Counter(first[d] for d, _ in members)
+            source = min(votes, key=lambda s: (-votes[s], s))
+            if b - a >= substrings.LEAST:
+                found.add((a, b, source))
+                continue
+            d, at = next(m for m in members if first[m[0]] == source)
+            mine, other = data[k], data[source]
+            for there in (s for e, s in zip(runs[source][0].tolist(), runs[source][1].tolist()) if e == d):
+                low, high, back, on = at, at, there, there
+                while low and back and mine[low - 1] == other[back - 1]:
+                    low, back = low - 1, back - 1
+                while high < len(mine) and on < len(other) and mine[high] == other[on]:
+                    high, on = high + 1, on + 1
+                words = [w for w in re.finditer(rb"[^\x20\x09-\x0D]+", mine) if w.start() >= min(a, low) and w.end() <= max(b, high)]
+                if len(words) > substrings.WORDS:
+                    found.add((words[0].start(), words[-1].end(), source))
+        if found:
+            spans = []
+            for a, b, _ in sorted(found):
+                if spans and a <= spans[-1][1]:
+                    spans[-1] = spans[-1][0], max(spans[-1][1], b)
+                else:
+                    spans.append((a, b))
+            out[k] = spans, sorted({s for *_, s in found})
+    return out
+
+
+@pytest.mark.parametrize("asks", [substrings.ASKS, 2])
+def test_substrings_agree_with_brute_force(spark, asks, monkeypatch):
+    """Passages of long and short words, also one that a third of the documents have from one source."""
+    monkeypatch.setattr(substrings, "ASKS", asks)
+    monkeypatch.setattr(substrings, "SHOWN", 3)
+    rng = random.Random(12)
+    short = lambda n: " ".join("".join(rng.choices("abcdefghij", k=rng.randrange(2, 5))) for _ in range(n))
+    hot, pool = short(52), [short(rng.randrange(40, 60)) for _ in range(8)] + [passage(rng, rng.randrange(30, 90)) for _ in range(6)]
+    docs = []
+    for k in range(72):
+        parts = [short(25), hot if k % 3 == 0 else rng.choice(pool), passage(rng, 20)]
+        rng.shuffle(parts)
+        docs.append((k, " ".join(parts)))
+    docs += [(100, docs[5][1]), (101, docs[5][1]), (102, docs[9][1][:150] + "ü" + docs[9][1][150:])]  # ties and a near copy
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    found = {r.doc_id: ([(s.start, s.end) for s in r.spans], r.sources) for r in substrings.repeated_spans(frame).collect()}
+    assert found == brute_spans(docs)
+    assert sum(0 in sources for _, sources in found.values()) >= 20
+
+
+def test_substrings_spans_of_one_source_are_dealt_out(spark, monkeypatch):
+    monkeypatch.setattr(substrings, "ASKS", 20)
+    spans = [(d, 5, 100, 0, 7, 5, False) for d in range(1, 1001)] + [(2000, 5, 100, 3, 8, 5, False)]
+    rows = substrings._dealt(spark.createDataFrame(spans, substrings.SPAN)).collect()
+    of = {}
+    for r in rows:
+        of.setdefault(r.owner, []).append(len(r.asks))
+    assert sum(of[0]) == 1000 and len(of[0]) >= 45 and max(of[0]) <= 60
+    assert of[3] == [2]
+    assert of[2000] == [1] and len(of) == 1002
+
+
 def test_substrings_odd_rows(spark):
     rng = random.Random(5)
     text = passage(rng, 80)
