@@ -198,20 +198,18 @@ def score_documents(docs, id_column="doc_id", text_column="text"):
         spark.sparkContext._jvm.System.gc()
     words_in_all = _words(blocks)
 
-    def score(parts):
-        for part in parts:
-            for ids, texts, answer in zip(part.column(0), part.column(1), part.column(2).to_pylist(), strict=True):
-                answer = sorted(answer or [], key=lambda a: a["range"])
-                totals = [np.concatenate([unpacked(a["totals"], 5) for a in answer if a["order"] == n] or [np.zeros(0, "u8")]).astype("i8")
-                          for n in range(1, ORDER + 1)]
-                sums, counts = _scored(unfolded(texts.as_py()), totals, words_in_all)
-                mean = np.round(sums / np.maximum(counts, 1), 9)
-                yield pa.RecordBatch.from_arrays(
-                    [ids.values, pa.array(counts.astype("i8")), pa.array(mean, mask=counts == 0)],
-                    names=["doc_id", "n_words", "log_score"])
-
-    lists = answers.groupBy("block").agg(F.collect_list(F.struct("order", "range", "totals")).alias("answer"))
-    return blocks.join(lists, "block", "left").select("ids", "texts", "answer").mapInArrow(
+    def score(block, answer):
+        """One block and the answers to it, so a task holds one block at a time."""
+        answer = answer.sort_by([("order", "ascending"), ("range", "ascending")])
+        order, data = answer["order"].to_pylist(), answer["totals"]
+        totals = [np.concatenate([unpacked(data[i].as_py(), 5) for i, of in enumerate(order) if of == n] or [np.zeros(0, "u8")]).astype("i8")
+                  for n in range(1, ORDER + 1)]
+        sums, counts = _scored(unfolded(block["texts"][0].as_py()), totals, words_in_all)
+        mean = np.round(sums / np.maximum(counts, 1), 9)
+        return pa.Table.from_arrays([block["ids"][0].values, pa.array(counts.astype("i8")), pa.array(mean, mask=counts == 0)],
+                                    names=["doc_id", "n_words", "log_score"])
+
+    return blocks.select("block", "ids", "texts").groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
         score, "doc_id long, n_words long, log_score double")
 
 

@@ -53,6 +53,18 @@ def test_scores_agree_with_brute_force(spark, size, monkeypatch):
         assert rows[k].log_score is None if mean is None else rows[k].log_score == pytest.approx(mean, abs=1e-8)
 
 
+def test_scores_long_and_empty_texts(spark, monkeypatch):
+    """A text longer than a block is a block of its own, also between empty ones."""
+    monkeypatch.setattr(scoring, "BLOCK_BYTES", 100)
+    rng = random.Random(2)
+    texts = ["", " ".join(rng.choices([f"w{k}" for k in range(40)], k=3000)), "", None, "w1 w2 w3", " ".join(rng.choices(["w1", "w2"], k=900)), ""]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(1)
+    rows = {r.doc_id: r for r in scoring.score_documents(docs).collect()}
+    for k, (n, mean) in enumerate(brute_scores(texts)):
+        assert rows[k].n_words == n
+        assert rows[k].log_score is None if mean is None else rows[k].log_score == pytest.approx(mean, abs=1e-8)
+
+
 def test_scores_odd_rows(spark):
     docs = spark.createDataFrame([(None, "a b c", "x"), (1, "a b c", "x"), (1, "a b c", "x"), (2, None, "x")], "doc_id long, text string, block string")
     rows = scoring.score_documents(docs).collect()
@@ -152,6 +164,31 @@ def test_archive_of_one_url(spark, monkeypatch):
     assert sorted(r.page_id for r in found) == list(range(300)) and all(r.payload == str(r.page_id).encode() for r in found)
 
 
+def test_archive_of_many_files(spark, monkeypatch):
+    """The first level has many rows in several sorted parts; keys before, between and after all files are looked up too."""
+    monkeypatch.setattr(warc, "BLOCK_LINES", 2)
+    monkeypatch.setattr(warc, "FILE_BYTES", 60)
+    monkeypatch.setattr(warc, "BLOCKS_READ", 4)
+    rng = random.Random(3)
+    urls = [f"http://h{rng.randrange(30)}.org/" if k % 3 else "http://hot.org/" for k in range(120)]
+    pages = spark.createDataFrame([(k, u, str(k) * 5) for k, u in enumerate(urls)], "page_id long, url string, html string")
+    folder = scratch(spark, "warc")
+    archive = warc.write_archive(pages, folder)
+    assert archive.count() > 10
+    name = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "false")
+    try:
+        wanted = pages.select(warc.url_key(F.col("url")).alias("key")).union(
+            spark.createDataFrame([("",), ("a",), ("org,h1)/x",), ("org,h2)/x",), ("org,hot)/0",), ("zzz",)], "key string"))
+        rows = warc.lookup(archive, folder, wanted).collect()
+        one = warc.lookup(archive, folder, spark.createDataFrame([("org,h7)/",)], "key string")).collect()
+    finally:
+        spark.conf.set(name, before)
+    assert sorted((r.page_id, r.url, r.payload) for r in rows) == [(k, u, (str(k) * 5).encode()) for k, u in enumerate(urls)]
+    assert sorted(r.page_id for r in one) == [k for k, u in enumerate(urls) if u == "http://h7.org/"]
+
+
 def test_archive_of_nothing(spark):
     pages = spark.createDataFrame([], "page_id long, url string, html string")
     folder = scratch(spark, "warc")
