@@ -202,15 +202,11 @@ def predict(model, texts):
     return langs, scores
 
 
-def _predicted(model, column):
-    """``predict`` over a column, in parts of bounded length."""
+def _predicted(model, part, place):
+    """``predict`` over a text column, in slices of bounded length: (slice, languages, scores)."""
     release_others("language")
-    langs, scores = [], []
-    for _, _, texts in chunks(column, PART):
-        more = predict(model, texts)
-        langs += more[0]
-        scores += more[1]
-    return langs, scores
+    for start, stop, texts in chunks(part.column(place), PART):
+        yield part.slice(start, stop - start), *predict(model, texts)
 
 
 def learn(docs, id_column="doc_id", text_column="text", label_column="lang"):
@@ -224,10 +220,10 @@ def identify(docs, model, id_column="doc_id", text_column="text"):
     """``doc_id, lang_pred, score`` of every row."""
     def score(parts):
         for part in parts:
-            langs, scores = _predicted(model, part.column(1))
-            yield pa.RecordBatch.from_arrays(
-                [part.column(0), pa.array(langs, pa.string()), pa.array(scores, pa.float64())],
-                names=["doc_id", "lang_pred", "score"])
+            for rows, langs, scores in _predicted(model, part, 1):
+                yield pa.RecordBatch.from_arrays(
+                    [rows.column(0), pa.array(langs, pa.string()), pa.array(scores, pa.float64())],
+                    names=["doc_id", "lang_pred", "score"])
 
     kind = docs.schema[id_column].dataType.simpleString()
     return docs.select(id_column, text_column).mapInArrow(
@@ -243,14 +239,16 @@ def keep_identified(docs, model, text_column="text", margin=MARGIN):
     """
     place = docs.columns.index(text_column)
 
+    least = margin / len(model["classes"]) if model is not None and len(model["classes"]) > 1 else 0
+
     def kept(parts):
         for part in parts:
-            if model is None:
-                keep = [has_letter(t) for t in part.column(place).to_pylist()]
-            else:
-                least = margin / len(model["classes"]) if len(model["classes"]) > 1 else 0
-                keep = [lang != UNKNOWN and score >= least for lang, score in zip(*_predicted(model, part.column(place)), strict=True)]
-            yield part.filter(pa.array(keep, pa.bool_()))
+            for rows, langs, scores in _predicted(model, part, place):
+                if model is None:
+                    keep = [has_letter(t) for t in rows.column(place).to_pylist()]
+                else:
+                    keep = [lang != UNKNOWN and score >= least for lang, score in zip(langs, scores, strict=True)]
+                yield rows.filter(pa.array(keep, pa.bool_()))
 
     return docs.mapInArrow(kept, docs.schema)
 

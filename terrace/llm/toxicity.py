@@ -262,19 +262,19 @@ def learn(docs, labels, id_column="doc_id", text_column="text", label_column="to
     return train(sample(rows, marked, PER_CLASS))
 
 
-def _scored(model, column):
-    """``scores`` over a column, in parts of bounded length."""
+def _scored(model, part, place):
+    """``scores`` over a text column, in slices of bounded length: (slice, scores)."""
     release_others("toxicity")
-    return np.concatenate([*(scores(model, texts) for _, _, texts in chunks(column, PART)), np.zeros(0)])
+    for start, stop, texts in chunks(part.column(place), PART):
+        yield part.slice(start, stop - start), scores(model, texts)
 
 
 def score_documents(docs, model, id_column="doc_id", text_column="text"):
     """``doc_id, score`` of every row."""
     def score(parts):
         for part in parts:
-            yield pa.RecordBatch.from_arrays(
-                [part.column(0), pa.array(_scored(model, part.column(1)), pa.float64())],
-                names=["doc_id", "score"])
+            for rows, found in _scored(model, part, 1):
+                yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(found, pa.float64())], names=["doc_id", "score"])
 
     kind = docs.schema[id_column].dataType.simpleString()
     return docs.select(id_column, text_column).mapInArrow(score, f"doc_id {kind}, score double")
@@ -286,7 +286,8 @@ def keep_clean(docs, model, text_column="text", threshold=THRESHOLD):
 
     def kept(parts):
         for part in parts:
-            yield part.filter(pa.array(_scored(model, part.column(place)) < threshold, pa.bool_()))
+            for rows, found in _scored(model, part, place):
+                yield rows.filter(pa.array(found < threshold, pa.bool_()))
 
     return docs.mapInArrow(kept, docs.schema)
 
