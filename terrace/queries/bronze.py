@@ -318,11 +318,10 @@ def truncate_partitions(spark, sf):
 
 
 @query("overwrite_one_partition", """
-    SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN o_totalprice * 2 ELSE o_totalprice END
-           AS o_totalprice, o_orderstatus FROM orders""")
+    SELECT * REPLACE (CASE WHEN o_orderstatus = 'F' THEN o_totalprice * 2 ELSE o_totalprice END AS o_totalprice) FROM orders""")
 def overwrite_one_partition(spark, sf):
     namespace = fresh_namespace(spark, "overwrite")
-    orders = table(spark, sf, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus")
+    orders = table(spark, sf, "orders")
     fqn = write_partitioned(orders, namespace, "orders", ["o_orderstatus"])
     corrected = orders.where("o_orderstatus = 'F'").withColumn("o_totalprice", F.col("o_totalprice") * 2)
     overwrite_partitions(corrected, fqn)
@@ -374,18 +373,18 @@ def incremental_rerun(spark, sf):
 
 
 @query("sibling_tables", " UNION ALL ".join(
-    f"SELECT '{t}' AS \"table\", c_custkey, c_nationkey FROM customer CROSS JOIN (VALUES (1), (2)) v(n) "
+    f"SELECT '{t}' AS \"table\", customer.* FROM customer CROSS JOIN (VALUES (1), (2)) v(n) "
     "WHERE c_nationkey % 5 <> 0" for t in ("t", "t__old", "t__stg", "t__part", "t__in")))
 def sibling_tables(spark, sf):
     """Tables whose names look like leftovers, written and rewritten in turn."""
     namespace, names = fresh_namespace(spark, "siblings"), ["t", "t__old", "t__stg", "t__part", "t__in"]
-    customer = table(spark, sf, "customer").select("c_custkey", "c_nationkey")
+    customer = table(spark, sf, "customer")
     for _ in range(2):
         for name in names:
             append(customer, namespace, name, partition_by=["c_nationkey"] if name == "t__part" else [])
     for name in names:
         delete_rows(spark, quoted(namespace, name), "c_nationkey % 5 = 0")
-    parts = [spark.table(quoted(namespace, n)).select(F.lit(n).alias("table"), "c_custkey", "c_nationkey") for n in names]
+    parts = [spark.table(quoted(namespace, n)).select(F.lit(n).alias("table"), *customer.columns) for n in names]
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -399,8 +398,8 @@ def table_properties(spark, sf):
         append(nation, namespace, name, partition_by=layout, properties={"owner.team": "sales"})
         replace_table(spark.table(quoted(namespace, name)), quoted(namespace, name))  # properties outlive a rewrite
     shown = [spark.sql(f"SHOW TBLPROPERTIES {quoted(namespace, n)}").where(
-        F.col("key").isin("owner.team", "terrace.partition_by", "option.compression")).crossJoin(
-        spark.table(quoted(namespace, n)).agg(F.count("*").alias("rows"))).select(F.lit(n).alias("table"), "key", "value", "rows")
+        F.col("key").isin("owner.team", "terrace.partition_by", "option.compression")).select(
+        F.lit(n).alias("table"), "key", "value", F.lit(spark.table(quoted(namespace, n)).count()).alias("rows"))
         for n in ("plain", "parted")]
     return shown[0].unionByName(shown[1])
 
@@ -441,13 +440,13 @@ def audit_contract_query(spark, sf):
         ('l_tax', 'double', 'double', 'ok'), ('l_returnflag', 'string', 'string', 'ok'),
         ('l_linestatus', NULL, 'string', 'extra'),
         ('l_shipdate', NULL, 'timestamp_ntz', 'extra')) v(c, e, a, s)
-    LEFT JOIN (SELECT 'l_orderkey' AS c, avg(CASE WHEN l_orderkey IS NULL THEN 0.0 ELSE 1.0 END) AS share
-               FROM lineitem) USING (c)""")
+    LEFT JOIN (UNPIVOT (SELECT avg(CASE WHEN COLUMNS(*) IS NULL THEN 0.0 ELSE 1.0 END) FROM lineitem)
+               ON COLUMNS(*) INTO NAME c VALUE share) USING (c)""")
 def schema_check(spark, sf):
     lineitem = table(spark, sf, "lineitem")
     expected = {"L_ORDERKEY": "bigint", "l_linenumber": "bigint", "l_quantity": "double",
                 "l_comment": "string", "l_partkey": "long", "l_suppkey": "string", "l_extendedprice": "double",
                 "l_discount": "decimal(4,2)", "l_tax": "double", "l_returnflag": "string"}
-    filled = completeness(lineitem, ["l_orderkey"]).where("field <> 'overall'")
+    filled = completeness(lineitem, lineitem.columns).where("field <> 'overall'")
     return schema_report(lineitem, expected).join(
         filled.withColumnRenamed("field", "column"), "column", "left")
