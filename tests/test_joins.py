@@ -1,6 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from terrace.operators import aggregates
 from terrace.operators.aggregates import duplicate_keys, kpi, kpi_sets, unknown_names
 from terrace.operators.joins import (
     conform, edges_with_facts, join_unique, lookup, matched, orphans, rows_with_run)
@@ -91,6 +92,27 @@ def test_kpi_sets_equal_a_plain_cube(rows):
         kpi_sets(df, ["a"], {"n": ("median", "v")})
 
 
+def test_kpi_sets_hold_no_value_of_a_set_in_memory(rows, monkeypatch):
+    monkeypatch.setattr(aggregates, "PART_ROWS", 7, raising=False)  # many parts
+    # A frequent value, NULL values and groups, rows that repeat, both zeros.
+    data = [(k % 3 if k % 7 else None, "x" if k % 2 else None, None if k % 11 == 0 else 1 if k % 3 else k, -0.0 if k % 4 else 0.0)
+            for k in range(90)] * 2
+    df = rows.make(data, "a int, b string, c int, v double")
+    measures = {"d": ("distinct", "c"), "n": ("count", "c"), "e": ("distinct", "v"), "s": ("sum", "c")}
+    plain = {"d": F.countDistinct("c"), "n": F.count("c"), "e": F.countDistinct("v"), "s": F.sum("c")}
+    for mode in ("group", "rollup", "cube"):
+        found, expected = kpi_sets(df, ["a", "b"], measures, mode), kpi(df, ["a", "b"], plain, mode)
+        assert rows.of(found) == rows.of(expected)
+        assert found.schema.simpleString() == expected.schema.simpleString()
+    assert rows.of(kpi_sets(df.limit(0), ["a"], {"d": ("distinct", "c")}, "rollup")) == rows.of(
+        kpi(df.limit(0), ["a"], {"d": F.countDistinct("c")}, "rollup"))
+    lines = kpi_sets(df, ["a", "b"], measures)._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    above = lines[:next(i for i, line in enumerate(lines) if "Expand" in line)]
+    # What is expanded is grouped by the grouping set alone, never by the values counted distinct.
+    keys = [line[line.index("["):line.index("]")] for line in above if "Aggregate [" in line]
+    assert keys and not any("_distinct" in k for k in keys)
+
+
 def test_aggregates(rows):
     df = rows.make([("a", 1), ("a", 1), ("b", 2)], "k string, v int")
     assert rows.of(duplicate_keys(df, ["k", "v"])) == [("a", 1, 2)]
