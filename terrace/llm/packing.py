@@ -45,7 +45,6 @@ simple = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]*)").fullmatch
 #: How byte-level vocabularies write bytes: those that can be shown as themselves, others from 256 on.
 _shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
 SHOWN = {b: 256 + k for k, b in enumerate(b for b in range(256) if b not in _shown)}
-blank_free = re.compile(r"[^ \t-\r]+").findall
 
 
 def cost(tokens):
@@ -65,35 +64,41 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tool = Tokenizer.from_str(definition)
-        self.words, self.parts = {}, {"": b""}
+        self.words = {}
         self.direct = all(self._direct(simple(w)) == self._whole(w) for w in PROBES)
 
     def _whole(self, word):
         return array.array("I", self.tool.encode(word, add_special_tokens=False).ids).tobytes()
 
+    def _keep(self, word, ids):
+        if len(self.words) >= 2 * WORDS_KEPT:  # words, and the parts of words
+            self.words.clear()
+        self.words[word] = ids
+        return ids
+
     def _part(self, part):
-        ids = self.parts.get(part)
+        """Ids of letters in lower case or of stops, kept as those of a word: they are words of their own."""
+        key = part.encode()
+        ids = self.words.get(key)
         if ids is None:
-            found = self.tool.model.tokenize(part.encode().decode("latin-1").translate(SHOWN))
-            if len(self.parts) >= WORDS_KEPT:
-                self.parts = {"": b""}
-            ids = self.parts[part] = array.array("I", [t.id for t in found]).tobytes()
+            found = self.tool.model.tokenize(part if part.isascii() else key.decode("latin-1").translate(SHOWN))
+            ids = self._keep(key, array.array("I", [t.id for t in found]).tobytes())
         return ids
 
     def _direct(self, match):
-        return self._part(match[1].lower()) + self._part(match[2])
-
-    def _new(self, word):
-        match = self.direct and len(word) <= 64 and simple(word)
-        ids = self._direct(match) if match else self._whole(word)
-        if len(word) <= 64:
-            if len(self.words) >= WORDS_KEPT:
-                self.words.clear()
-            self.words[word] = ids
-        return ids
+        letters, stops = match.groups()
+        ids = self._part(letters.lower())
+        return ids + self._part(stops) if stops else ids
+
+    def _new(self, data):
+        word = data.decode()
+        if len(word) > 64:
+            return self._whole(word)
+        match = self.direct and simple(word)
+        return self._keep(data, self._direct(match) if match else self._whole(word))
 
     def encode(self, text):
-        words = blank_free(text)
+        words = text.encode().split()  # bytes are split at the six ASCII blanks alone
         ids = list(map(self.words.get, words))
         if None in ids:
             for k, known in enumerate(ids):

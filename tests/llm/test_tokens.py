@@ -145,3 +145,14 @@ def test_packing_odd_rows(spark):
     packed(rows, 256)
     assert all(len(r.ids) == 4 * r.length and zlib.crc32(bytes(r.ids)) == r.ids_crc32 for r in rows)
     assert packing.pack_documents(docs.where("false"), path).count() == 0
+
+
+def test_a_part_of_a_word_is_encoded_and_kept_once():
+    with open(public.path(packing.VOCABULARY), encoding="utf-8") as file:
+        own = packing.Encoder(file.read())
+    assert own.direct
+    own.words.clear()
+    assert own.encode("house House! HOUSE, house") == b"".join(map(own._whole, ("house", "House!", "HOUSE,", "house")))
+    assert set(own.words) == {w.encode() for w in ("house", "House!", "HOUSE,", "HOUSE", "!", ",")} - {b"HOUSE"}
+    # Only ASCII blanks separate words; others stay inside one.
+    assert own.encode("a\x1cb\x85c\xa0d e") == own._whole("a\x1cb\x85c\xa0d") + own._whole("e")
