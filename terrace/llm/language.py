@@ -30,7 +30,7 @@ WINDOW, ROWS = 256, 2048
 #: The pipeline's stage keeps documents that score this many times what a guess would.
 MARGIN = 1.2
 #: Bytes of text that are scored together (a longer text alone).
-PART = 2_000_000
+PART = 500_000
 
 
 def has_letter(text):

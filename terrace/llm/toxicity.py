@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 from terrace.llm.jaccard import chunks
-from terrace.llm.language import PART, sample
+from terrace.llm.language import sample
 from terrace.llm.memory import release_others
 from terrace.llm.recurrent import Adam, back, batches, new_direction, run, sum_by, windows
 from terrace.llm.registry import query, remainder, table
@@ -36,6 +36,10 @@ LEAST_TEXTS = 4
 WINDOW, STRIDE, ROWS = 32, 16, 2048
 #: Longer runs of non-blanks are read in parts of this length.
 LONGEST_WORD = 40
+#: Words whose characters are looked up at a time.
+TOGETHER = 4096
+#: Bytes of text that are scored together (a longer text alone): the words they share are looked up once.
+PART = 2_000_000
 
 WORD = re.compile(r"\S{1,%d}" % LONGEST_WORD)
 SHELL = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum()) + "«»¿¡…“”’‘"
@@ -63,12 +67,18 @@ class Features:
 
     def rows(self):
         """(hashed word row, hashed triples of all words in one array, where each word's begin)."""
-        data = [f"^{w}$".encode("utf-8", "replace") for w in self.words]
+        parts = [self._hashed(self.words[i:i + TOGETHER]) for i in range(0, len(self.words), TOGETHER)]
+        none = np.zeros(0, "i8")
+        shift = np.cumsum([0, *(len(p[1]) for p in parts)])
+        return (np.concatenate([none, *(p[0] for p in parts)]), np.concatenate([none.astype("i4"), *(p[1] for p in parts)]),
+                np.concatenate([none, *(p[2] + at for p, at in zip(parts, shift))]))
+
+    @staticmethod
+    def _hashed(words):
+        data = [f"^{w}$".encode("utf-8", "replace") for w in words]
         lengths = np.array([len(d) for d in data], "i8")
         flat = np.frombuffer(b"".join(data), "u1").astype("u4")
-        begin = np.r_[0, np.cumsum(lengths)[:-1]].astype("i8") if len(data) else np.zeros(0, "i8")
-        if not len(data):
-            return np.zeros(0, "i8"), np.zeros(0, "i8"), begin
+        begin = np.r_[0, np.cumsum(lengths)[:-1]].astype("i8")
         nearby = (flat * 257 + np.roll(flat, -1)) * 257 + np.roll(flat, -2)
         nearby[begin + lengths - 2] = nearby[begin + lengths - 1] = 0
         triples = nearby * np.uint32(2654435761) >> np.uint32(19)
@@ -77,7 +87,7 @@ class Features:
             power = np.cumprod(np.full(LONGEST_WORD * 4 + 2, 0x9E3779B97F4A7C15, "u8"))
             mixed = np.add.reduceat((flat.astype("u8") + 1) * power[place], begin)
             mixed = (mixed ^ (mixed >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
-        return (mixed >> np.uint64(64 - 13)).astype("i8"), (triples % TRIPLES).astype("i8"), begin
+        return (mixed >> np.uint64(64 - 13)).astype("i8"), (triples % TRIPLES).astype("i4"), begin
 
 
 def inputs(params, side, rows):
@@ -86,10 +96,14 @@ def inputs(params, side, rows):
     width = params["word_" + side].shape[1]
     if not len(word):
         return np.zeros((1, width), "f4")
-    counts = np.diff(np.r_[begin, len(triples)])[:, None]
-    x = np.add.reduceat(params["triple_" + side][triples], begin, axis=0) / counts
-    x += np.r_[params["word_" + side], np.zeros((1, width), "f4")][word]
-    return np.r_[x, np.zeros((1, width), "f4")].astype("f4")
+    ends = np.r_[begin, len(triples)]
+    known = np.r_[params["word_" + side], np.zeros((1, width), "f4")]
+    out = np.zeros((len(word) + 1, width), "f4")
+    for i in range(0, len(word), TOGETHER):
+        some = ends[i:i + TOGETHER + 1]
+        x = np.add.reduceat(params["triple_" + side][triples[some[0]:some[-1]]], some[:-1] - some[0], axis=0) / np.diff(some)[:, None]
+        out[i:i + len(x)] = x + known[word[i:i + len(x)]]
+    return out
 
 
 def pool(params, ahead, behind, inside):

@@ -1,5 +1,7 @@
 """Language ID and toxicity: gradients against differences, held-out accuracy, odd rows."""
 
+import tracemalloc
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -177,3 +179,22 @@ def test_toxicity_scores_all_windows():
     found = toxicity.window_scores(model, text)
     assert len(found) == len(range(0, 361 - 32, 16)) + 1 and found[-1][0] + found[-1][1] == 361
     assert max(s for _, _, s in found) == pytest.approx(toxicity.scores(model, [text])[0], abs=1e-5)
+
+
+def test_word_vectors_of_many_words_are_made_in_slices():
+    rng = np.random.default_rng(3)
+    features = toxicity.Features()
+    features.add(" ".join(f"w{i}x{i * 7919 % 100_003}" for i in range(50_000)))
+    params = {"word_f": rng.normal(size=(toxicity.WORDS, 24)).astype("f4"), "triple_f": rng.normal(size=(toxicity.TRIPLES, 24)).astype("f4")}
+    tracemalloc.start()
+    rows = features.rows()
+    found = toxicity.inputs(params, "f", rows)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 30e6  # 8 MB of this are the result
+    word, triples, begin = rows
+    for k in (0, toxicity.TOGETHER - 1, toxicity.TOGETHER, 49_999):
+        own = triples[begin[k]:begin[k + 1] if k + 1 < len(begin) else None]
+        assert len(own) == len(features.words[k]) + 2
+        assert np.allclose(found[k], params["triple_f"][own].mean(axis=0) + params["word_f"][word[k]], atol=1e-5)
+    assert not found[-1].any() and len(found) == 50_001
