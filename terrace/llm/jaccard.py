@@ -11,12 +11,13 @@ drop pairs before any set is looked at; a pair is verified once, with whole sets
 Groups of copies never become all their pairs:
 
 1. documents with equal sets are one class from the start, joined on the digest of the set;
-2. every class is first verified against one partner, the one it meets in most buckets among its
-   neighbours by size; a bucket over ``HOT`` rows is dealt out by hash, its parts' first rows meet
-   in a bucket of their own;
-3. links found so far make components, and ``CHEAP`` times the neighbour pairs that still join two
-   components have their best one for each two components verified;
-4. what remains are buckets with several components. Rows without a counterpart there (by small
+2. buckets of ``SMALL`` rows at most give all their pairs, larger ones those of neighbours by size; a
+   bucket over ``HOT`` rows is dealt out by hash, its parts' first rows meet in a bucket of their own.
+   Each pair, wherever it met, passes the filters once, before a set is made;
+3. every class is first verified against one partner, the one it meets in most buckets. Links found so
+   far make components; pairs that still join two components have their best one for each two
+   components verified, after ``CHEAP`` such rounds more in each round, until no pair is left;
+4. what remains are larger buckets with several components. Rows without a counterpart there (by small
    sketches of 64 bytes) drop out; then each bucket looks for pairs of different components that
    pass all filters and merges as it finds them, so it returns a forest, not all pairs. These are
    verified and the components are renewed; buckets with a pair whose ends still lie apart look
@@ -39,7 +40,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from terrace.llm.components import components
@@ -49,7 +50,7 @@ from terrace.workspace import materialise
 
 #: Counters of the rarity table: 2 MB, whatever the corpus.
 BUCKETS = 1 << 19
-HOT, BLOCK, CHEAP = 20_000, 2_048, 2
+HOT, BLOCK, SMALL, CHEAP = 20_000, 2_048, 16, 2
 #: Bits of the filter that keeps unconcerned documents out of the verification's shuffle: 8 MB.
 FILTER_BITS = 1 << 26
 CHUNK = 1_000_000
@@ -203,15 +204,18 @@ def _prefixes(docs, rarity, n, percent):
     shared = docs.sparkSession.sparkContext.broadcast(rarity)
 
     def read(parts):
+        least = {}  # the smallest id of each class in this task so far: copies are passed on once
         for part in parts:
             ids = part.column(0).to_pylist()
             for a, b, texts in chunks(part.column(1)):
-                rows = []
+                fresh = {}
                 for doc, s in zip(ids[a:b], shingle_sets(texts, n), strict=True):
                     if len(s) and doc is not None:
-                        keys = ordered(s, shared.value)[:len(s) - needed(percent, len(s)) + 1]
-                        digest = int.from_bytes(hashlib.blake2b(s.tobytes(), digest_size=16).digest()[:8], "little", signed=True)
-                        rows.append((keys, digest, len(s), doc))
+                        digest = hashlib.blake2b(s.tobytes(), digest_size=16).digest()
+                        if digest not in least or doc < least[digest]:
+                            least[digest], fresh[digest] = doc, (s, doc)
+                rows = [(ordered(s, shared.value)[:len(s) - needed(percent, len(s)) + 1], int.from_bytes(digest[:8], "little", signed=True), len(s), doc)
+                        for digest, (s, doc) in fresh.items()]
                 if rows:
                     sizes = [len(r[0]) for r in rows]
                     keys = np.concatenate([r[0] for r in rows])
@@ -225,7 +229,8 @@ def _prefixes(docs, rarity, n, percent):
                         names=["token", "part", "digest", "size", "place", "doc"])
 
     rows = docs.mapInArrow(read, "token long, part int, digest long, size int, place int, doc long")
-    return rows.groupBy("token", "part", "digest", "size", "place").agg(F.min("doc").alias("doc"))
+    # dealt by bucket once: grouping and meeting both find whole buckets in a task
+    return rows.repartition("token", "part").groupBy("token", "part", "digest", "size", "place").agg(F.min("doc").alias("doc"))
 
 
 ROW = "token long, part int, doc long, size int, place int"
@@ -233,8 +238,9 @@ MET = "a long, b long, token long, part int, doc long, size int, place int"
 
 
 def _meet(rows, percent):
-    """Of rows sorted by bucket: pairs of neighbours by size and of each with the first (``a, b``), the
-    first row of each part of a hot bucket (``part`` -1), and all rows of buckets that have two at least."""
+    """Of rows dealt by bucket: all pairs of small buckets, in others those of neighbours by size and of each
+    with the first (``a, b``), the first row of each part of a hot bucket (``part`` -1), and all rows of the
+    buckets that are not small."""
     def read(parts):
         held = None
         for part in parts:
@@ -256,16 +262,20 @@ def _meet(rows, percent):
         doc, size, place = (frame[c].to_numpy() for c in ("doc", "size", "place"))
         new = np.r_[True, (token[1:] != token[:-1]) | (salt[1:] != salt[:-1])]
         first = np.maximum.accumulate(np.where(new, np.arange(len(frame)), 0))
+        held = np.diff(np.r_[np.flatnonzero(new), len(frame)])
+        hot = ((token.view("u8") >> np.uint64(44)).astype("i8") >= HOT) & (salt >= 0)
+        many = (np.repeat(held, held) > SMALL) | hot
+        lead = new & hot
         at = np.flatnonzero(~new)
-        left = np.concatenate([at - 1, first[at]])
-        right = np.concatenate([at, at])
+        ends = [(first[at], at), (at - 1, at)]
+        for back in range(2, SMALL):
+            at = at[(at - first[at] >= back) & ~many[at]]
+            ends.append((at - back, at))
+        left, right = (np.concatenate(e) for e in zip(*ends, strict=True))
         ok = passes(percent, size[left], size[right], place[left], place[right]) & (doc[left] != doc[right])
         left, right = left[ok], right[ok]
-        hot = (token.view("u8") >> np.uint64(44)).astype("i8") >= HOT
-        many = ~new | np.r_[~new[1:], False] | (hot & (salt >= 0))
-        lead = new & hot & (salt >= 0)
         a, b = np.minimum(doc[left], doc[right]), np.maximum(doc[left], doc[right])
-        k, m = len(a), int(many.sum())
+        k = len(a)
         blank = lambda n, t: pa.nulls(n, t)
         yield pa.RecordBatch.from_arrays(
             [pa.array(a), pa.array(b), blank(k, pa.int64()), blank(k, pa.int32()), blank(k, pa.int64()), blank(k, pa.int32()),
@@ -278,7 +288,7 @@ def _meet(rows, percent):
 
     shape = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("token", pa.int64()), ("part", pa.int32()), ("doc", pa.int64()),
                        ("size", pa.int32()), ("place", pa.int32())])
-    dealt = rows.select("token", "part", "doc", "size", "place").repartition("token", "part")
+    dealt = rows.select("token", "part", "doc", "size", "place")
     return materialise(dealt.sortWithinPartitions("token", "part", "size", "doc").mapInArrow(read, MET), "met")
 
 
@@ -389,6 +399,31 @@ def apart(one, many):
     return np.where(np.where(more > 0, *exact), np.abs(more), 0).sum(axis=1, dtype="i8")
 
 
+def _near(pairs, sketches, percent):
+    """The pairs (with how often they met) that the sketches of their documents allow to be similar.
+
+    An id with several texts has the sketch of one of them: its pairs are kept.
+    """
+    def allowed(parts):
+        for part in parts:
+            size = np.asarray(part.column(3)) + np.asarray(part.column(4))
+            room = size - 2 * overlap_needed(percent, size, 0)
+            x, y = (np.frombuffer(b"".join(part.column(k).to_pylist()), "u1").reshape(-1, 64).astype("i2") for k in (5, 6))
+            keep = np.abs(x - y).sum(axis=1) <= room
+            x, y = part.column(7), part.column(8)
+            for k in np.flatnonzero(keep):
+                keep[k] = apart(unpacked(x[k].as_py()), [unpacked(y[k].as_py())])[0] <= room[k]
+            several = part.column(9).to_numpy(zero_copy_only=False)
+            yield part.select(["a", "b", "n"]).filter(pa.array(keep | several, pa.bool_()))
+
+    both = pairs
+    for end, others in (("a", "x"), ("b", "y")):
+        both = both.join(sketches.select(F.col("doc").alias(end), F.col("size").alias("size_" + others), F.col("small").alias("small_" + others),
+                                         F.col("sketch").alias(others), F.col("several").alias("several_" + others)), end)
+    both = both.select("a", "b", "n", "size_x", "size_y", "small_x", "small_y", "x", "y", F.expr("several_x OR several_y"))
+    return materialise(both.mapInArrow(allowed, "a long, b long, n long"), "near")
+
+
 def _folded(counts, width):
     """Counts over fewer classes: sums of those that fall together."""
     return counts.astype("i2") if len(counts) == width else counts.reshape(-1, width).sum(axis=0, dtype="i2")
@@ -453,6 +488,9 @@ def _cut(rows, percent):
     mixed = materialise(sizes.where("x <> y").select("token", "n"), "mixed")
     one = F.lit(0).cast("long")
     few = rows.join(mixed.where(F.col("n") <= BLOCK).select("token"), "token").withColumns({"i": one, "j": one, "mine": one})
+    columns = ["token", "i", "j", "doc", "size", "place", "component", "mine"]
+    if mixed.where(F.col("n") > BLOCK).isEmpty():
+        return few.select(columns)
     large = rows.join(mixed.where(F.col("n") > BLOCK).select("token"), "token")
     width = max(np.log(100 / percent), 1e-6) * (1 + 1e-9)
     largest = (large.groupBy("token", "component").agg(F.count("*").alias("n"))
@@ -476,7 +514,6 @@ def _cut(rows, percent):
            .withColumn("mine", number(F.col("rest"), F.col("class"), F.pmod(F.xxhash64("doc"), own["blocks"])))
            .withColumn("other", F.explode(F.flatten(F.transform(F.filter("groups", meets), blocks))))
            .withColumns({"i": F.least("mine", "other"), "j": F.greatest("mine", "other")}))
-    columns = ["token", "i", "j", "doc", "size", "place", "component", "mine"]
     return few.select(columns).unionByName(cut.select(columns))
 
 
@@ -553,7 +590,7 @@ def _forests(rows, sketches, failed, percent, depth):
 
 def _labelled(pairs, known):
     """The pairs whose ends lie in different components, with these components."""
-    pairs = pairs.select("token", "a", "b") if "token" in pairs.columns else pairs.select("n", "a", "b")
+    pairs = pairs.drop("x", "y")
     for end, label in (("a", "p"), ("b", "q")):
         pairs = pairs.join(known.toDF(end, label), end, "left").withColumn(label, F.coalesce(label, end))
     return pairs.where("p <> q").withColumns({"x": F.least("p", "q"), "y": F.greatest("p", "q")}).drop("p", "q")
@@ -568,24 +605,32 @@ def jaccard_components(docs, n=4, percent=85, id_column="doc_id", text_column="t
     pairs = met.where("a IS NOT NULL").select("a", "b")
     leads = rows.where("part = -1").select("token", "part", "doc", "size", "place")
     if not leads.isEmpty():
-        pairs = pairs.union(_meet(leads, percent).where("a IS NOT NULL").select("a", "b"))
+        pairs = pairs.union(_meet(leads.repartition("token", "part"), percent).where("a IS NOT NULL").select("a", "b"))
     shared = materialise(pairs.groupBy("a", "b").agg(F.count("*").alias("n")), "neighbours")
-    one = materialise(shared.groupBy("b").agg(F.max(F.struct("n", "a")).alias("best")).select(F.col("best.a").alias("a"), "b"), "partners")
+    rows = rows.where("part >= 0").select("token", "doc", "size", "place")
+    concerned = shared.select(F.col("a").alias("doc")).union(shared.select("b")).union(rows.select("doc")).distinct()
+    several = (F.min("digest") != F.max("digest")).alias("several")
+    sketches = materialise(profile.join(concerned, "doc", "left_semi").groupBy("doc").agg(F.min(F.struct("sketch", "small", "size")).alias("s"), several)
+                           .select("doc", "s.sketch", "s.small", "s.size", "several"), "sketches")
+    near = _near(shared, sketches, percent)
+    one = materialise(near.groupBy("b").agg(F.max(F.struct("n", "a")).alias("best")).select(F.col("best.a").alias("a"), "b"), "partners")
     store = []
-    links, tried = _verified(texts, one, n, percent, store), one
+    links = _verified(texts, one, n, percent, store)
     known = materialise(components(links), "known")
-    for _ in range(CHEAP):
-        between = _labelled(shared.join(tried, ["a", "b"], "left_anti"), known)
-        one = materialise(between.groupBy("x", "y").agg(F.max(F.struct("n", "a", "b")).alias("best")).select("best.a", "best.b"), "partners")
+    between, depth, cheap = near.join(one, ["a", "b"], "left_anti"), 1, 0
+    while True:
+        turn = F.row_number().over(Window.partitionBy("x", "y").orderBy(F.desc("n"), "a", "b"))
+        between = materialise(_labelled(between, known).withColumn("turn", turn), "between")
+        one = between.where(F.col("turn") <= depth).select("a", "b")
         if one.isEmpty():
             break
-        links, tried = materialise(links.union(_verified(texts, one, n, percent, store)), "links"), materialise(tried.union(one), "tried")
+        cheap += 1
+        links = materialise(links.union(_verified(texts, one, n, percent, store)), "links")
         known = materialise(components(links), "known")
-    rows = rows.where("part >= 0").select("token", "doc", "size", "place")
-    sketches = (profile.where("doc IS NOT NULL").groupBy("doc").agg(F.min(F.struct("sketch", "small")).alias("s"))
-                .select("doc", "s.sketch", "s.small"))
+        between = between.where(F.col("turn") > depth).drop("turn")
+        depth = depth * 8 if cheap >= CHEAP else 1
     failed, depth = None, 1
-    while True:
+    while not rows.isEmpty():
         placed = rows.join(known.toDF("doc", "component"), "doc", "left").withColumn("component", F.coalesce("component", "doc"))
         found = _forests(materialise(placed, "bucket_rows"), sketches, failed, percent, depth)
         one = materialise(found.select("a", "b").distinct(), "partners")

@@ -431,3 +431,31 @@ def test_jaccard_blocks_of_a_mixed_bucket(spark, monkeypatch, percent):
                 assert (a[0], a[1], b[1]) in met
     assert 3 not in {r.token for r in cut} and sum(r.token == 4 for r in cut) == 9
     assert max(collections.Counter(r.doc for r in cut if r.token == 1 and r.doc < 300).values()) <= 4
+
+
+@pytest.mark.parametrize("most", [1, 3])
+def test_jaccard_buckets_of_any_size_agree_with_brute_force(spark, most, monkeypatch):
+    """Whether a bucket gives all its pairs or goes through the forests changes nothing."""
+    monkeypatch.setattr(jaccard, "SMALL", most)
+    docs = corpus(random.Random(5), groups=6, alone=10)
+    docs += [(100 + k, text) for k, text in docs[:10]] + [(3, "another text with this id"), (None, docs[0][1]), (90, None)]
+    expected, _ = brute_jaccard([d for d in docs if d[0] is not None and d != docs[-3]])
+    rows = jaccard.jaccard_components(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert {r.doc_id: r.component_id for r in rows if r.doc_id not in (None, 3)} == {k: v for k, v in expected.items() if k != 3}
+    assert len(rows) == len(docs)
+
+
+def test_jaccard_makes_no_sets_of_pairs_that_sketches_tell_apart(spark, monkeypatch):
+    tried, verified = [], jaccard._verified
+
+    def spy(docs, pairs, *rest):
+        tried.extend((r.a, r.b) for r in pairs.collect())
+        return verified(docs, pairs, *rest)
+
+    monkeypatch.setattr(jaccard, "_verified", spy)
+    # Two documents each share a rare passage, four each a longer and more frequent one.
+    texts = [" ".join([f"p{i // 2}w{k}" for k in range(40)] + [f"b{i % 5}w{k}" for k in range(80)]) for i in range(20)]
+    texts.append(texts[0].replace("b0w9 ", "other "))
+    rows = jaccard.jaccard_components(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert {r.doc_id: r.component_id for r in rows} == {**dict(enumerate(range(20))), 20: 0}
+    assert tried == [(0, 20)]
