@@ -16,12 +16,15 @@ Groups of copies never become all their pairs:
    Each pair, wherever it met, passes the filters once, before a set is made;
 3. every class is first verified against one partner, the one it meets in most buckets. Links found so
    far make components; pairs that still join two components have their best one for each two
-   components verified, after ``CHEAP`` such rounds more in each round, until no pair is left;
+   components verified, after ``CHEAP`` such rounds more in each round (all, where no more are left than
+   there were partners), until no pair is left;
 4. what remains are larger buckets with several components. Rows without a counterpart there (by small
    sketches of 64 bytes) drop out; then each bucket looks for pairs of different components that
    pass all filters and merges as it finds them, so it returns a forest, not all pairs. These are
    verified and the components are renewed; buckets with a pair whose ends still lie apart look
    again, without the pairs that failed and with more partners for each row, until none is left.
+   From its second look on a bucket merges only after a number of pairs in proportion to its rows, eight
+   times as many in every further look; one that gave all its pairs before that is done.
    Large buckets are cut into blocks, and pairs of blocks are independent tasks; the rows of the
    largest component of such a bucket meet only the others, and only sets of near sizes meet.
 
@@ -53,7 +56,8 @@ BUCKETS = 1 << 19
 HOT, BLOCK, SMALL, CHEAP = 20_000, 2_048, 16, 2
 #: Bits of the filter that keeps unconcerned documents out of the verification's shuffle: 8 MB.
 FILTER_BITS = 1 << 26
-CHUNK = 1_000_000
+#: Bytes of text that a worker hashes at a time.
+CHUNK = 300_000
 
 _rng = np.random.default_rng(5)
 BYTE = _rng.integers(1, 1 << 63, 256, "u8") * np.uint64(2) + np.uint64(1)
@@ -299,8 +303,8 @@ def passes(percent, size_a, size_b, place_a, place_b):
     return (100 * small >= percent * large) & (rest >= overlap_needed(percent, small, large))
 
 
-def _concerned(docs, ids, n):
-    """``doc, grams`` of the documents with these ids: sorted shingle hashes as bytes."""
+def id_bits(ids):
+    """A bit per hashed id, set where one of these ids (the first column) falls: 8 MB whatever the corpus."""
     def bits(parts):
         found = np.zeros(FILTER_BITS // 8, "u1")
         for part in parts:
@@ -320,12 +324,22 @@ def _concerned(docs, ids, n):
     filled = np.zeros((64, FILTER_BITS // 512), "u1")
     for r in ids.coalesce(8).mapInArrow(bits, "k int, bits binary").repartition(16, "k").mapInArrow(unite, "k int, bits binary").collect():
         filled[r.k] |= np.frombuffer(r.bits, "u1")
-    shared = docs.sparkSession.sparkContext.broadcast(filled.ravel())
+    return filled.ravel()
+
+
+def in_bits(bits, ids):
+    """Which of these ids the filter lets through: all that it was made of, and a few others."""
+    slot = (mix(ids.astype("i8").view("u8")) % np.uint64(FILTER_BITS)).astype("i8")
+    return (bits[slot >> 3] >> (slot & 7) & 1).astype(bool)
+
+
+def _concerned(docs, ids, n):
+    """``doc, grams`` of the documents with these ids: sorted shingle hashes as bytes."""
+    shared = docs.sparkSession.sparkContext.broadcast(id_bits(ids))
 
     def grams(parts):
         for part in parts:
-            slot = (mix(part.column(0).fill_null(0).to_numpy(zero_copy_only=False).astype("i8").view("u8")) % np.uint64(FILTER_BITS)).astype("i8")
-            part = part.filter(pa.array((shared.value[slot >> 3] >> (slot & 7) & 1).astype(bool)))
+            part = part.filter(pa.array(in_bits(shared.value, part.column(0).fill_null(0).to_numpy(zero_copy_only=False))))
             for a, b, texts in chunks(part.column(1)):
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0).slice(a, b - a), pa.array([s.tobytes() for s in shingle_sets(texts, n)], pa.binary())],
@@ -434,12 +448,14 @@ def _exact(counts, width):
     return (counts < 3).reshape(-1, width).all(axis=0)
 
 
-def forest(doc, size, place, part, mine, sketches, failed, i, j, percent, depth):
+def forest(doc, size, place, part, mine, sketches, failed, i, j, percent, depth, free=0):
     """Pairs of places that join the components of one bucket as far as the filters let them.
 
     A row is compared with the rows of components it is not merged with yet; of each
     such component the first ``depth`` that pass are paired with it, and the two are merged. Pairs in
-    ``failed`` are known not to be similar.
+    ``failed`` are known not to be similar. While there are fewer than ``free`` pairs, a row is paired with
+    all that pass and nothing is merged: what a merger leaves out may have to be looked for
+    again, once the pair behind it has failed.
     """
     order = np.lexsort((doc, size))
     _, label = np.unique(part, return_inverse=True)
@@ -460,19 +476,21 @@ def forest(doc, size, place, part, mine, sketches, failed, i, j, percent, depth)
         later = later[passes(percent, size[k], size[later], place[k], place[later])]
         if len(failed[k]):
             later = later[~np.isin(doc[later], failed[k])]
-        met = {}
+        met, merges = {}, len(out) >= free
         while len(later):
             some, later = later[:64], later[64:]
             total = size[some].astype("i8") + size[k]
             near = apart(sketch_of(k), [sketch_of(m) for m in some]) <= total - 2 * overlap_needed(percent, total, 0)
             for m in some[near]:
                 met[label[m]] = met.get(label[m], 0) + 1
-                if met[label[m]] <= depth:
+                if not merges or met[label[m]] <= depth:
                     out.append((k, m))
-            full = [x for x, times in met.items() if times >= depth]
-            later = later[~np.isin(label[later], full)]
-        for x in met:
-            label[label == x] = label[k]
+            if merges:
+                full = [x for x, times in met.items() if times >= depth]
+                later = later[~np.isin(label[later], full)]
+        if merges:
+            for x in met:
+                label[label == x] = label[k]
     return out
 
 
@@ -518,7 +536,8 @@ def _cut(rows, percent):
 
 
 def _forests(rows, sketches, failed, percent, depth):
-    """``token, a, b, x, y``: pairs of every bucket of several components, and the components of their ends."""
+    """``token, a, b, x, y, merged``: pairs of every bucket of several components, the components of their ends, and
+    whether the bucket merged these."""
     columns = ["token", "i", "j", "doc", "size", "place", "component", "mine"]
     rows = _cut(rows, percent).join(sketches.select("doc", "small"), "doc").select(*columns, "small")
     none = np.zeros(0, "i8")
@@ -577,15 +596,18 @@ def _forests(rows, sketches, failed, percent, depth):
         for a, b in zip(starts[:-1], starts[1:], strict=True):
             part_of = part[a:b]
             if (part_of != part_of[0]).any():
-                out += [(a + k, a + m) for k, m in forest(doc[a:b], size[a:b], place[a:b], part_of, mine[a:b], sketches[a:b],
-                                                          lists[a:b], i[a], j[a], percent, depth)]
-        k, m = np.array(out, "i8").reshape(-1, 2).T
+                free, first = depth // 8 * (b - a), {}
+                pairs = forest(doc[a:b], size[a:b], place[a:b], part_of, mine[a:b], sketches[a:b], lists[a:b], i[a], j[a], percent, depth, free)
+                for at, (k, m) in enumerate(pairs):  # a row merges when its first pair comes after the free ones
+                    out.append((a + k, a + m, first.setdefault(k, at) >= free))
+        k, m, merged = np.array(out, "i8").reshape(-1, 3).T
         return pa.RecordBatch.from_arrays(
             [pa.array(token[k]), pa.array(np.minimum(doc[k], doc[m])), pa.array(np.maximum(doc[k], doc[m])),
-             pa.array(np.minimum(part[k], part[m])), pa.array(np.maximum(part[k], part[m]))], names=["token", "a", "b", "x", "y"])
+             pa.array(np.minimum(part[k], part[m])), pa.array(np.maximum(part[k], part[m])), pa.array(merged.astype(bool))],
+            names=["token", "a", "b", "x", "y", "merged"])
 
     dealt = rows.repartition("token", "i", "j").sortWithinPartitions("token", "i", "j")
-    return materialise(dealt.mapInArrow(look, "token long, a long, b long, x long, y long"), "forests")
+    return materialise(dealt.mapInArrow(look, "token long, a long, b long, x long, y long, merged boolean"), "forests")
 
 
 def _labelled(pairs, known):
@@ -617,16 +639,19 @@ def jaccard_components(docs, n=4, percent=85, id_column="doc_id", text_column="t
     store = []
     links = _verified(texts, one, n, percent, store)
     known = materialise(components(links), "known")
-    between, depth, cheap = near.join(one, ["a", "b"], "left_anti"), 1, 0
+    between, depth, cheap, tested = near.join(one, ["a", "b"], "left_anti"), 1, 0, one.count()
     while True:
         turn = F.row_number().over(Window.partitionBy("x", "y").orderBy(F.desc("n"), "a", "b"))
         between = materialise(_labelled(between, known).withColumn("turn", turn), "between")
-        one = between.where(F.col("turn") <= depth).select("a", "b")
-        if one.isEmpty():
+        left = between.count()
+        if not left:
             break
         cheap += 1
+        one = (between if left <= tested else between.where(F.col("turn") <= depth)).select("a", "b")  # no more than before: all at once
         links = materialise(links.union(_verified(texts, one, n, percent, store)), "links")
         known = materialise(components(links), "known")
+        if left <= tested:
+            break
         between = between.where(F.col("turn") > depth).drop("turn")
         depth = depth * 8 if cheap >= CHEAP else 1
     failed, depth = None, 1
@@ -644,7 +669,7 @@ def jaccard_components(docs, n=4, percent=85, id_column="doc_id", text_column="t
                              .agg(F.collect_set("other").alias("failed")), "failed")
         links = materialise(links.union(good), "links")
         known = materialise(components(links), "known")
-        again = materialise(_labelled(found, known).select("token").distinct(), "again")
+        again = materialise(_labelled(found.where("merged"), known).select("token").distinct(), "again")
         rows = materialise(rows.join(again, "token", "left_semi"), "again_rows")
     classes = (profile.where("doc IS NOT NULL AND size > 0").groupBy("digest").agg(F.min("doc").alias("node"))
                .join(known, "node", "left").select("digest", F.coalesce("component", "node").alias("component")))

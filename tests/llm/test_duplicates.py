@@ -459,3 +459,27 @@ def test_jaccard_makes_no_sets_of_pairs_that_sketches_tell_apart(spark, monkeypa
     rows = jaccard.jaccard_components(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
     assert {r.doc_id: r.component_id for r in rows} == {**dict(enumerate(range(20))), 20: 0}
     assert tried == [(0, 20)]
+
+
+def test_jaccard_pairs_that_fail_do_not_take_a_round_each(spark, monkeypatch):
+    """24 texts share 367 of 400 shingles (368 are needed): most pairs pass the sketches, and none is similar."""
+    looks, forests = [], jaccard._forests
+
+    def spy(*rest):
+        looks.append(forests(*rest))
+        return looks[-1]
+
+    monkeypatch.setattr(jaccard, "_forests", spy)
+    docs = [(i, " ".join([f"c{k}" for k in range(370)] + [f"p{i}w{k}" for k in range(33)])) for i in range(24)]
+    rows = jaccard.jaccard_components(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert {(r.doc_id, r.n_shingles, r.component_id) for r in rows} == {(i, 400, i) for i in range(24)}
+    assert 2 <= len(looks) <= 4
+    assert len({(r.a, r.b) for look in looks for r in look.collect()}) > 100
+
+
+def test_forest_merges_only_after_its_free_pairs():
+    sets = [np.unique(np.random.default_rng(3).integers(0, 1 << 63, 50, "u8"))] * 10
+    given = np.arange(10), np.full(10, 50), np.zeros(10, "i8"), np.arange(10), np.zeros(10, "i8"), [jaccard.sketch(s).tobytes() for s in sets], [()] * 10
+    assert len(jaccard.forest(*given, 0, 0, 85, 8)) == 9
+    assert len(jaccard.forest(*given, 0, 0, 85, 8, 100)) == len(set(jaccard.forest(*given, 0, 0, 85, 8, 100))) == 45
+    assert len(jaccard.forest(*given, 0, 0, 85, 8, 9)) == 9 + 8
