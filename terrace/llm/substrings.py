@@ -14,7 +14,8 @@ goes on beyond its first and last boundary) are compared with the text of their
 
 Digests are pre-aggregated in each task. Texts are read a second time for the places of repeated
 digests; a bit filter of fixed size (``FILTER_BITS``) keeps runs that are certainly unique out of
-that join, and what it lets through wrongly the join removes.
+that join, and what it lets through wrongly the join removes. Texts are shuffled only where spans are
+to be compared or cut, by another such filter of their ids; all others are passed on where they are read.
 
 Defined cases: NULL and empty texts have no spans. Repetition inside one document is not counted,
 nor are rows that share an id (repeated rows). Rows with a NULL id take no part and stay as they
@@ -22,10 +23,12 @@ are.
 """
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from terrace.llm.jaccard import BYTE, INSIDE, ODD, chunks, mix
+from terrace.llm.jaccard import BYTE, INSIDE, ODD, chunks, id_bits, in_bits, mix
+from terrace.llm.memory import release_others
 from terrace.llm.registry import query, table
 from terrace.workspace import materialise
 
@@ -53,6 +56,7 @@ def boundaries(flat):
 
 def runs(texts):
     """Runs of chunks of all texts: arrays (text, digest, first byte, byte after)."""
+    release_others("substrings")
     data = [(t or "").encode("utf-8", "replace") for t in texts]
     gap = b"\0" * GAP
     flat = np.frombuffer(gap + gap.join(data) + gap, "u1")
@@ -151,6 +155,17 @@ def _common(mine, at, other, there):
     return out
 
 
+def _among(ids):
+    """A condition on an id column: whether it may be one of these ids (the first column); NULL is taken as 0."""
+    shared = ids.sparkSession.sparkContext.broadcast(id_bits(ids))
+
+    @F.pandas_udf("boolean")
+    def among(column: pd.Series) -> pd.Series:
+        return pd.Series(in_bits(shared.value, column.to_numpy()))
+
+    return lambda column: among(F.coalesce(F.col(column).cast("long"), F.lit(0).cast("long")))
+
+
 SPAN = "doc long, start int, end int, source long, digest long, at int, sure boolean"
 
 
@@ -213,7 +228,8 @@ def _verified(rows, doubtful):
             types = (pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.bool_())
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=[c.split()[0] for c in SPAN.split(", ")])
 
-    found = materialise(rows.join(asks, F.col("doc") == F.col("owner")).select("doc", "text", "asks").mapInArrow(windows, schema), "windows")
+    owners = rows.where(_among(asks.select("owner"))("doc"))
+    found = materialise(owners.join(asks, F.col("doc") == F.col("owner")).select("doc", "text", "asks").mapInArrow(windows, schema), "windows")
     theirs = found.where("NOT mine").select("doc", "start", F.col("at").alias("there"), F.col("data").alias("other"))
     return found.where("mine").join(theirs, ["doc", "start"]).mapInArrow(compare, SPAN)
 
@@ -300,7 +316,8 @@ def remove_repeats(docs, id_column="doc_id", text_column="text", least=LEAST):
     new = "_" * (1 + max(map(len, docs.columns)))  # longer than any column, so no name clashes
     spans = materialise(repeated_spans(docs, id_column, text_column, least)
                         .select(F.col("doc_id").alias(new + "doc"), F.col("spans").alias(new + "spans")), "spans")
-    joined = docs.join(spans, F.col(id_column).cast("long") == F.col(new + "doc"), "left").drop(new + "doc")
+    concerned = _among(spans.select(new + "doc"))(id_column)
+    joined = docs.where(concerned).join(spans, F.col(id_column).cast("long") == F.col(new + "doc"), "left").drop(new + "doc")
     place, last = joined.columns.index(text_column), len(joined.columns) - 1
 
     def cut(parts):
@@ -317,7 +334,7 @@ def remove_repeats(docs, id_column="doc_id", text_column="text", least=LEAST):
                 columns = [pa.array(texts, rows.column(k).type) if k == place else rows.column(k) for k in range(last)]
                 yield pa.RecordBatch.from_arrays(columns, schema=pa.schema([rows.schema.field(k) for k in range(last)]))
 
-    return joined.mapInArrow(cut, docs.schema)
+    return docs.where(~concerned).union(joined.mapInArrow(cut, docs.schema))
 
 
 @query("op10_substring_dedup")

@@ -7,7 +7,7 @@ import re
 import numpy as np
 import pytest
 
-from terrace.llm import components, jaccard, substrings, vamana
+from terrace.llm import components, jaccard, memory, substrings, vamana
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
@@ -483,3 +483,24 @@ def test_forest_merges_only_after_its_free_pairs():
     assert len(jaccard.forest(*given, 0, 0, 85, 8)) == 9
     assert len(jaccard.forest(*given, 0, 0, 85, 8, 100)) == len(set(jaccard.forest(*given, 0, 0, 85, 8, 100))) == 45
     assert len(jaccard.forest(*given, 0, 0, 85, 8, 9)) == 9 + 8
+
+
+def test_substrings_texts_without_repeats_are_not_joined(spark):
+    rng = random.Random(9)
+    docs = [(i, passage(rng, 60)) for i in range(300)]
+    docs += [(300, docs[7][1]), (None, docs[7][1]), (301, None)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    let = frame.where(substrings._among(spark.createDataFrame([(7,), (300,)], "id long"))("doc_id"))
+    assert {7, 300} <= {r.doc_id for r in let.collect()} and let.count() < 10
+    out = substrings.remove_repeats(frame)
+    branches = out._jdf.queryExecution().optimizedPlan()
+    assert branches.nodeName() == "Union" and "Join" not in branches.children().apply(0).toString()
+    kept = {r.doc_id: r.text for r in out.collect()}
+    assert out.count() == len(docs) and len(kept[300]) < 60
+    assert {k: v for k, v in kept.items() if k != 300} == {k: v for k, v in docs if k != 300}
+
+
+def test_substrings_give_back_what_other_operators_keep():
+    memory.remembered("jaccard", "some", list)
+    substrings.runs(["a text"])
+    assert memory._owner == "substrings" and not memory._kept
